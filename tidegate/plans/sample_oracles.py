@@ -51,7 +51,7 @@ def _matching(rules: str, day_first: bool = False) -> dict[str, str]:
             case when biotaxon_naam is null then lower(parameter_code) when parameter_code is null then lower(biotaxon_naam) end pkey,
             coalesce({month}try_strptime(begindatum, '%d-%m-%Y')) bd from m""",
         "mg": "select mk.*, coalesce(n, 0) n_groups from mk left join grp_n on grp_n.bundle = mk.bundle and p = pkey",
-        "hits": """select k1, k2, k3, k4, list_sort(list(distinct rule_id)) ids from mg join ex on mg.bundle = ex.bundle
+        "hits": """select k1, k2, k3, k4, mg.begindatum, mg.grootheid_code gc, coalesce(mg.typering_code, '-') tc, list_sort(list(distinct rule_id)) ids from mg join ex on mg.bundle = ex.bundle
             and mg.grootheid_code is not distinct from ex.grootheid_code
             and mg.typering_code is not distinct from ex.typering_code
             and mg.eenheid_code is not distinct from ex.eenheid_code
@@ -59,8 +59,9 @@ def _matching(rules: str, day_first: bool = False) -> dict[str, str]:
             and list_contains(string_split(ex.bemonsteringsapparaat_omschrijving, ';'), mg.bemonsteringsapparaat_omschrijving)
             and s <= bd and bd <= e
             and (pkey is null or n_groups >= 1)
-            and (biotaxon_naam is null or lower(coalesce(biotaxon_of_niet, '')) = 'j') group by 1, 2, 3, 4""",
-        "asg": """select mg.*, ids, ids[1] rule from mg left join hits using (k1, k2, k3, k4)
+            and (biotaxon_naam is null or lower(coalesce(biotaxon_of_niet, '')) = 'j') group by 1, 2, 3, 4, 5, 6, 7""",
+        "asg": """select mg.*, ids, ids[1] rule from mg left join hits on hits.k1 = mg.k1 and hits.k2 = mg.k2 and hits.k3 = mg.k3 and hits.k4 = mg.k4
+            and hits.begindatum = mg.begindatum and hits.gc = mg.grootheid_code and hits.tc = coalesce(mg.typering_code, '-')
             where mg.bundle in (select bundle from br)""",
     }
 
@@ -146,12 +147,15 @@ _VALUES = {
     + """ union all select x.bundle, 9, 'locatiecode', 'Locatiecode', x.v from (select distinct bundle, loc v from mk) x
             where not exists (select 1 from texts t where t.bundle = x.bundle and t.col = 'locatiecode'
               and (contains(t.raw, x.v) or (t.raw is null and x.v is null)))""",
-    "firstbad": """select mk.bundle, mk.rid, mk.k1, mk.k2, mk.k3, mk.k4, arg_min(struct_pack(label := label, v := bad.v, col := bad.col), pos) h from mk join bad on bad.bundle = mk.bundle
-        and ((col = 'grootheid_code' and v = coalesce(grootheid_code, 'nan')) or (col = 'typering_code' and v = coalesce(typering_code, 'nan'))
-          or (col = 'eenheid_code' and v = coalesce(eenheid_code, 'nan'))
-          or (col = 'bemonsteringsapparaat_omschrijving' and v = coalesce(bemonsteringsapparaat_omschrijving, 'nan'))
-          or (col = 'locatiecode' and v is not distinct from loc))
-        where mk.bundle in (select bundle from br) group by 1, 2, 3, 4, 5, 6""",
+    "codes": """select distinct bundle, coalesce(grootheid_code, 'nan') g, coalesce(typering_code, 'nan') t, coalesce(eenheid_code, 'nan') u,
+        coalesce(bemonsteringsapparaat_omschrijving, 'nan') a, loc from mk where bundle in (select bundle from br)""",
+    "worst": """select codes.bundle, g, t, u, a, loc, arg_min(struct_pack(label := label, v := bad.v, col := bad.col), pos) h
+        from codes join bad on bad.bundle = codes.bundle
+        and case col when 'grootheid_code' then v = g when 'typering_code' then v = t when 'eenheid_code' then v = u
+          when 'bemonsteringsapparaat_omschrijving' then v = a else v is not distinct from loc end group by 1, 2, 3, 4, 5, 6""",
+    "firstbad": """select mk.bundle, rid, h from mk join worst w on w.bundle = mk.bundle and g = coalesce(grootheid_code, 'nan')
+        and t = coalesce(typering_code, 'nan') and u = coalesce(eenheid_code, 'nan') and a = coalesce(bemonsteringsapparaat_omschrijving, 'nan')
+        and w.loc is not distinct from mk.loc""",
 }
 _VALUE_CHECK = """select 'Kolomwaarde controle' section, firstbad.bundle databundelcode, rid record_id, 'ongeldige code' uitvalreden,
  h.label||' '''||coalesce(h.v, 'nan')||''' niet in: {'||txt||'}' informatie
@@ -323,21 +327,21 @@ _STATUS = {
           case when f.bad then p.place else 1 end, p.d desc nulls last, p.ord) rn
         from pdates p join pfirst f on f.databundelcode = p.databundelcode) where rn = 1""",
     "placed": f"""select *, row_number() over (partition by base order by ord) rn from (select *, {_BASE_CODE.format(c='databundelcode')} base from dedup)""",
-    "both": """select coalesce(l.databundelcode, p.databundelcode) databundelcode, p.criteria krmcriterium, l.last_updated,
+    "whole": """select coalesce(l.databundelcode, p.databundelcode) databundelcode, p.criteria krmcriterium, l.last_updated,
           coalesce(validation, false) validation, coalesce(approval, false) approval, status, p.leverdatum,
           l.base is not null delivered, p.databundelcode validation_databundelcode, case when l.base is not null then p.databundelcode end code
         from placed p left join latest l on l.base = p.base and p.rn = 1
         union all select databundelcode, krmcriterium, last_updated, validation, approval, status, null, true, null, databundelcode
         from latest where base not in (select base from placed)""",
-    "live": """select distinct b.code from (select distinct code, regexp_replace(code, '\\s+', '+', 'g') n from both where code is not null) b
+    "live": """select distinct b.code from (select distinct code, regexp_replace(code, '\\s+', '+', 'g') n from whole where code is not null) b
         join published q on starts_with(regexp_replace(q.databundelcode, '\\s+', '+', 'g'), b.n)""",
-    "over": """select both.*, case when delivered then 'delivered' else 'not_delivered' end delivery_status,
+    "over": """select whole.*, case when delivered then 'delivered' else 'not_delivered' end delivery_status,
         case when live.code is not null then 'published' else 'not_published' end publication_status,
         case when not delivered then 'Gegevens nog niet beschikbaar' when approval then case when validation then 'Voldoet' else 'Voldoet met afwijkingen' end
              when validation then 'Voldoet' else 'Geleverd maar voldoet nog niet' end combined_status
-        from both left join live on live.code = both.code""",
+        from whole left join live on live.code = whole.code""",
     "picked": """select criterium, arg_min(struct_pack(id := id, name := name), id) filter (where contains(lower(name), 'actueel') or contains(lower(name), 'current')) cur,
-        arg_min(struct_pack(id := id, name := name), id) whole, arg_min(struct_pack(id := id, name := name), id) filter (where contains(lower(name), 'tst_actueel_indicator')) tst
+        arg_min(struct_pack(id := id, name := name), id) any_layer, arg_min(struct_pack(id := id, name := name), id) filter (where contains(lower(name), 'tst_actueel_indicator')) tst
         from catalog group by 1""",
     "wanted": """select distinct regexp_replace(trim(c), '^ANSNL?-', '') criterium, publication_status
         from (select unnest(string_split(krmcriterium, ';')) c, publication_status from over) where trim(c) <> ''""",
@@ -471,8 +475,8 @@ def build() -> dict[str, str]:
             **_SCALE, **_ISSUES,
         ),
         "next_steps": _sql(
-            """select databundelcode, step, description, false completed, strftime(date '2025-06-01' + cast(days as int), '%Y-%m-%d') deadline from (
-            select databundelcode, 1 step, 'Corrigeer kritieke data problemen ('||cast(high_severity as varchar)||' gevallen)' description, 7 days from tot where high_severity > 0
+            """select databundelcode, step, description, false completed, strftime(date '2025-06-01' + cast(n_days as int), '%Y-%m-%d') deadline from (
+            select databundelcode, 1 step, 'Corrigeer kritieke data problemen ('||cast(high_severity as varchar)||' gevallen)' description, 7 n_days from tot where high_severity > 0
             union all select databundelcode, 2, 'Controleer monster aantal inconsistenties op '||cast(affected_locations as varchar)||' locatie(s)', 14 from tot
             union all select databundelcode, 3, 'Evalueer data verzamel methodologie', 21 from tot where issue_types > 1
             union all select databundelcode, 4, 'Herzend gecorrigeerde dataset na fixes', 28 from tot
@@ -488,8 +492,8 @@ def build() -> dict[str, str]:
         ),
         "layer_pick": _sql(
             """select w.criterium, w.publication_status,
-            case when w.publication_status = 'not_published' then tst.id else coalesce(cur, whole).id end layer_id,
-            case when w.publication_status = 'not_published' then tst.name else coalesce(cur, whole).name end layer_name
+            case when w.publication_status = 'not_published' then tst.id else coalesce(cur, any_layer).id end layer_id,
+            case when w.publication_status = 'not_published' then tst.name else coalesce(cur, any_layer).name end layer_name
             from wanted w left join picked on picked.criterium = w.criterium""",
             **_STATUS,
         ),
