@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidegate import config
 from tidegate.config import CHECK_ORDER, RULE_TEXT_COLUMNS
 from tidegate.functions import text
-from tidegate.operators.matching import order_struct, require, with_assignments
+from tidegate.operators.matching import order_key, require, with_assignments
 from tidegate.operators.references import References
 
 SAMPLE_LEVEL = "monster.lokaalid"
@@ -58,7 +58,7 @@ def _per_id(df: DataFrame, refs: References, bundles: DataFrame | None) -> DataF
         text.strip_prefix("monster_lokaalid").alias("sample_id"),
         "location_code",
         F.get("matched", F.lit(0)).alias("validatieregel"),
-        order_struct(refs).alias("ord"),
+        order_key(refs).alias("ord"),
         F.coalesce(F.col("_group_by") == SAMPLE_LEVEL, F.lit(False)).alias("by_sample"),
     )
 
@@ -81,11 +81,12 @@ def count_lines(df: DataFrame, refs: References, bundles: DataFrame | None = Non
         totals = (
             left.join(right, ["databundelcode", "record_id"])
             .groupBy("databundelcode", "validatieregel", "location_code")
-            .agg(
-                F.sum(F.col("_assigned") * F.col("_found")).alias("_n"),
-                F.min_by("record_id", "_first").alias("record_id"),
-            )
+            .agg(F.sum(F.col("_assigned") * F.col("_found")).alias("_n"), F.min("_first").alias("_first"))
         )
+        # The id of the first record is looked up afterwards: taking it along as text would
+        # turn the aggregation of all records into one that sorts.
+        ids = left.select("databundelcode", "validatieregel", "_first", "record_id")
+        totals = totals.join(ids, ["databundelcode", "validatieregel", "_first"])
     else:
         # Counts only the rule's own locations, and distinct samples where the rule asks for them.
         located = with_rule.where(F.col("location_code").isNotNull())

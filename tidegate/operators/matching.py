@@ -34,6 +34,12 @@ def order_struct(refs: References) -> Column:
     return F.struct(*[F.col(c) for c in refs.settings.order_by])
 
 
+def order_key(refs: References) -> Column:
+    """One value that orders the records of a bundle: a plain column where one is enough."""
+    order = refs.settings.order_by
+    return F.col(order[0]) if len(order) == 1 else order_struct(refs)
+
+
 def with_rulesets(df: DataFrame, refs: References, bundles: DataFrame | None = None) -> DataFrame:
     """Add the clean bundle name, the rule set and the stripped ids to every record.
 

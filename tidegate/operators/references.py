@@ -22,7 +22,7 @@ from tidegate.runtime import kept_side
 
 # Stands for a missing group name, so that missing meets missing in plain comparisons.
 NO_GROUP = "\u0000"
-# Separates the rule texts that one search looks through.
+# Separates the rule texts that one search looks through; a value that holds it matches nothing.
 TEXT_SEPARATOR = "\u0001"
 MAX_COLUMN_DEFINITIONS = 5000
 
@@ -174,14 +174,20 @@ class References:
             .groupBy("ruleset")
             .agg(*[F.max(F.when(F.col("col") == c, F.col("vals"))).alias(f"vals_{c}") for c in checked])
         )
-        return facts.join(listed, "ruleset").withColumns(
-            {
-                f"text_{c}": F.array_join(
-                    F.col(f"vals_{c}"), TEXT_SEPARATOR, *(["nan"] if c != "locatiecode" else [])
-                )
-                for c in checked
-            }
-        )
+        compat = self.settings.compat
+        columns = {}
+        for c in checked:
+            values = F.col(f"vals_{c}")
+            columns[f"shown_{c}"] = F.array_join(values, ",", text.MISSING)
+            columns[f"without_{c}"] = F.exists(values, lambda v: v.isNull())
+            if not compat:
+                columns[f"text_{c}"] = F.concat(F.lit(";"), F.array_join(values, ";"), F.lit(";"))
+            elif c == "locatiecode":
+                columns[f"text_{c}"] = F.array_join(values, TEXT_SEPARATOR)
+            else:
+                columns[f"text_{c}"] = F.array_join(values, TEXT_SEPARATOR, text.MISSING)
+        arrays = [f"vals_{c}" for c in checked]
+        return facts.join(listed, "ruleset").withColumns(columns).drop(*arrays)
 
     @cached_property
     def match_index(self) -> DataFrame:
@@ -246,10 +252,24 @@ class References:
                 .select("mpnident", F.lit(None).cast(POINTS).alias("_points"), F.col("_shapes").cast(SHAPES))
             )
         whole = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        return (
-            whole.groupBy(F.col("mpnident").alias("_known_location"))
-            .agg(F.first("_points", True).alias("_points"), F.first("_shapes", True).alias("_shapes"))
+        merged = whole.groupBy(F.col("mpnident").alias("_known_location")).agg(
+            F.first("_points", True).alias("_points"), F.first("_shapes", True).alias("_shapes")
         )
+        first = F.get("_points", F.lit(0))
+        rest = F.when(F.size("_points") > 1, F.slice("_points", 2, F.size("_points")))
+        return merged.select(
+            "_known_location",
+            first["x"].alias("_point_x"),
+            first["y"].alias("_point_y"),
+            rest.alias("_more_points"),
+            "_shapes",
+        )
+
+    @cached_property
+    def plain_locations(self) -> bool:
+        """Is every location a single point? Then distances need no arrays at all."""
+        side = self.side("locations", lambda: self.location_index)
+        return not side.where(F.col("_more_points").isNotNull() | F.col("_shapes").isNotNull()).take(1)
 
     @cached_property
     def mandatory_names(self) -> list[tuple[str, str]]:

@@ -1,12 +1,15 @@
 """Checks that look at one record at a time, all of them in one pass over the records.
 
-Each check is a column that holds a failure or null. The wanted ones are put into
-one array per record and the array is exploded, so ten checks read the data once.
+Each check is a condition. The numbers of the conditions that hold are exploded to
+one row per failure, and only those rows get their texts. Conditions and texts use
+no lambda functions, so the pass stays in generated code; the few expressions that
+do need lambdas sit in projections of their own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +17,14 @@ from pyspark.sql import functions as F
 from tidegate import config
 from tidegate.config import CHECK_ORDER
 from tidegate.functions import dates, geo, text
-from tidegate.operators.matching import order_struct, require, spread_nulls, with_matches, with_memberships, with_rulesets
+from tidegate.operators.matching import (
+    order_struct,
+    require,
+    spread_nulls,
+    with_matches,
+    with_memberships,
+    with_rulesets,
+)
 from tidegate.operators.references import TEXT_SEPARATOR, References
 
 # What the fixed-value checks accept. Records are read as text, so the
@@ -38,144 +48,153 @@ ROW_CHECKS = (
 )
 
 
-def failure(check: str, section: str, reason: str | Column, info: Column, col_ord: int = 0) -> Column:
-    why = F.lit(reason) if isinstance(reason, str) else reason
-    return F.struct(
-        F.lit(CHECK_ORDER[check]).alias("check_ord"),
-        F.lit(col_ord).alias("col_ord"),
-        F.lit(section).alias("section"),
-        why.alias("uitvalreden"),
-        info.alias("informatie"),
-    )
-
-
-def _unknown_location(df: DataFrame, refs: References) -> list[Column]:
-    info = F.concat(F.lit("onbekende locatie: "), text.shown("location_code"))
-    found = failure("unknown_location", config.GEO, "onbekende locatie", info)
-    return [F.when(F.col("_known_location").isNull(), found)]
+@dataclass
+class Check:
+    """When a record fails, and what the report says about it."""
 
+    name: str
+    section: str
+    reason: str
+    when: Column
+    info: Column
+    column: int = 0
 
-def location_distances() -> Column:
-    """Metres from the record (``_x``, ``_y``) to every geometry of its location."""
-    x, y = F.col("_x"), F.col("_y")
-    to_points = F.transform("_points", lambda p: geo.point_distance(x, y, p["x"], p["y"]))
-    to_shapes = F.transform("_shapes", lambda s: geo.edges_distance(s["edges"], x, y, s["area"]))
-    none = F.lit([]).cast("array<double>")
-    return F.concat(F.coalesce(to_points, none), F.coalesce(to_shapes, none))
 
-
-def _location_distance(df: DataFrame, refs: References) -> Column:
-    """An array: a location with several geometries can fail more than once."""
-    too_far = F.filter(location_distances(), lambda d: d > refs.settings.max_location_distance_m)
-    message = lambda d: F.concat(
-        F.lit("afstand van locatie: "), text.shown("location_code"), F.lit(": "), d.cast("bigint").cast("string"), F.lit("m")
-    )
-    return F.transform(
-        too_far, lambda d: failure("location_distance", config.GEO, "locatie verder dan 100 meter", message(d))
-    )
-
-
-def in_file(df: DataFrame, name: str) -> Column:
+def in_file(columns: list[str], name: str) -> Column:
     """Does the bundle's own file have the column? Taken for granted if its header is not known."""
-    if "header" not in df.columns or name == "location_code":
+    if "header" not in columns or name == "location_code":
         return F.lit(True)
     return F.col("header").isNull() | F.array_contains("header", name)
 
 
-def _mandatory_columns(df: DataFrame, refs: References) -> list[Column]:
-    found = []
-    for position, (label, name) in enumerate(refs.mandatory_names, start=1):
-        if name in df.columns:
-            info = F.lit(f"geen waarde in bestand voor: {label}")
-            hit = failure("mandatory_columns", config.MANDATORY, "verplichte kolom is leeg", info, position)
-            found.append(F.when(F.col(name).isNull() & in_file(df, name), hit))
-    return found
-
-
-def _found_in_texts(value: Column, name: str, missing: str | None) -> Column:
-    """Is the value part of any rule text? One search through the joined texts of the rule set."""
-    whole = F.col(f"text_{name}").contains(value)
-    each = F.exists(f"vals_{name}", lambda t: (F.coalesce(t, F.lit(missing)) if missing else t).contains(value))
-    return F.when(value.contains(TEXT_SEPARATOR), each).otherwise(whole)
-
-
-def _value_in_any_rule(df: DataFrame, refs: References) -> list[Column]:
-    """The first column whose value suits no rule of the bundle, and the location if all columns do."""
-    compat = refs.settings.compat
-    tests = [(c, c, label) for c, label in config.VALUE_COLUMNS if c in df.columns]
-    tests.append(("location_code", "locatiecode", "Locatiecode"))
-    hits = []
-    for position, (data, rule, label) in enumerate(tests, start=1):
-        value = F.col(data).cast("string")
-        allowed = F.col(f"vals_{rule}")
-        if not compat:
-            suits = F.exists(allowed, lambda t: text.in_list(value, t))
-        elif rule == "locatiecode":
-            # a missing location suits a rule without locations, and only that
-            without = F.exists(allowed, lambda t: t.isNull())
-            suits = F.when(value.isNull(), without).otherwise(_found_in_texts(value, rule, None))
-        else:
-            suits = _found_in_texts(text.shown(value), rule, text.MISSING)
-        info = F.concat(
-            F.lit(f"{label} '"),
-            text.shown(value),
-            F.lit("' niet in: {"),
-            F.array_join(allowed, ",", text.MISSING),
-            F.lit("}"),
+def _mandatory(columns: list[str], refs: References) -> list[Check]:
+    return [
+        Check(
+            "mandatory_columns",
+            config.MANDATORY,
+            "verplichte kolom is leeg",
+            F.col(name).isNull() & in_file(columns, name),
+            F.lit(f"geen waarde in bestand voor: {label}"),
+            position,
         )
-        hit = failure("value_in_any_rule", config.COLUMN_VALUE, "ongeldige code", info)
-        hits.append(F.when(~F.coalesce(suits, F.lit(False)) & in_file(df, data), hit))
-    return [F.when(F.col("ruleset").isNotNull(), F.coalesce(*hits))]
-
-
-def _quality_code(df: DataFrame, refs: References) -> list[Column]:
-    c = F.col("kwaliteitsoordeel_code").cast("string")
-    info = F.concat(F.lit('Kwaliteitsoordeel "'), text.shown(c), F.lit('" niet in (00,03,04,25,99)'))
-    hit = failure("quality_code", config.FIXED_VALUES, "vaste waarde ongeldig", info)
-    return [F.when(~F.coalesce(c.isin(*QUALITY_CODES), F.lit(False)), hit)]
-
-
-def _namespace(df: DataFrame, refs: References) -> list[Column]:
-    info = F.concat(F.lit('Namespace "'), text.shown("namespace"), F.lit('" ongelijk aan "NL80"'))
-    hit = failure("namespace", config.FIXED_VALUES, "vaste waarde ongeldig", info)
-    return [F.when(~F.col("namespace").eqNullSafe(NAMESPACE), hit)]
+        for position, (label, name) in enumerate(refs.mandatory_names, start=1)
+        if name in columns
+    ]
 
 
-def _horizontal_reference(df: DataFrame, refs: References) -> list[Column]:
-    c = F.col("referentiehorizontaal_code")
-    info = F.concat(F.lit('Referentiehorizontaal.code "'), text.shown(c), F.lit('" ongelijk aan "EPSG:4258"'))
-    hit = failure("horizontal_reference", config.FIXED_VALUES, "vaste waarde ongeldig", info)
-    return [F.when(~F.coalesce(c.isin(*HORIZONTAL_REFERENCES), F.lit(False)), hit)]
+def _value_tests(columns: list[str]) -> list[tuple[str, str, str]]:
+    """(record column, rule column, label) in the order of the test."""
+    tests = [(c, c, label) for c, label in config.VALUE_COLUMNS if c in columns]
+    return [*tests, ("location_code", "locatiecode", "Locatiecode")]
 
 
-def _analysis_compartment(df: DataFrame, refs: References) -> list[Column]:
-    info = F.lit("analysecompartiment_code is niet leeg")
-    hit = failure("analysis_compartment", config.FIXED_VALUES, "vaste waarde ongeldig", info)
-    return [F.when(F.col("analysecompartiment_code").isNotNull(), hit)]
+def _unsuited(columns: list[str], refs: References) -> Column:
+    """Number of the first column whose value suits no rule of the bundle, else null.
 
-
-def _records_without_rule(df: DataFrame, refs: References) -> list[Column]:
-    info = F.lit("geen enkele validatieregel van toepassing")
-    hit = failure("records_without_rule", config.RULES, "geen validatieregel", info)
-    if not refs.has_locations_column:
-        return []
-    return [F.when(F.col("ruleset").isNotNull() & (F.size("matched") == 0), hit)]
-
-
-def _missing_value(df: DataFrame, refs: References) -> list[Column]:
-    info = F.lit("numerieke EN alfanumerieke waarde zijn leeg")
-    hit = failure("missing_value", config.OTHER, "waarde ontbreekt", info)
-    return [F.when(F.col("numeriekewaarde").isNull() & F.col("alfanumeriekewaarde").isNull(), hit)]
-
-
-def _limit_symbol(df: DataFrame, refs: References) -> list[Column]:
-    info = F.lit("limietsymbool dient leeg te zijn of < of >")
-    hit = failure("limit_symbol", config.OTHER, "limietsymbool ongeldig", info)
-    return [F.when(~F.col("limietsymbool").isin(*LIMIT_SYMBOLS), hit)]
+    The texts of all rules are searched at once: a value is part of some rule text if it is
+    part of their concatenation and does not hold the separator itself.
+    """
+    chain = F
+    for number, (data, rule, _) in enumerate(_value_tests(columns)):
+        value, texts, without = F.col(data).cast("string"), F.col(f"text_{rule}"), F.col(f"without_{rule}")
+        if not refs.settings.compat:
+            listed = texts.contains(F.concat(F.lit(";"), value, F.lit(";"))) & ~value.contains(";")
+            suits = F.when(value.isNull(), without).otherwise(listed)
+        elif rule == "locatiecode":
+            # a missing location suits a rule without locations, and only that
+            suits = F.when(value.isNull(), without).otherwise(
+                texts.contains(value) & ~value.contains(TEXT_SEPARATOR)
+            )
+        else:
+            shown = text.shown(value)
+            suits = texts.contains(shown) & ~shown.contains(TEXT_SEPARATOR)
+        bad = ~F.coalesce(suits, F.lit(False))
+        if "header" in columns:
+            bad = bad & in_file(columns, data)
+        chain = chain.when(bad, number)
+    return F.when(F.col("ruleset").isNotNull(), chain)
+
+
+def _value_check(columns: list[str]) -> Check:
+    tests = _value_tests(columns)
+    pick = lambda parts: F.element_at(F.array(*parts), F.col("_unsuited") + 1)
+    info = F.concat(
+        pick([F.lit(label) for _, _, label in tests]),
+        F.lit(" '"),
+        pick([text.shown(data) for data, _, _ in tests]),
+        F.lit("' niet in: {"),
+        pick([F.col(f"shown_{rule}") for _, rule, _ in tests]),
+        F.lit("}"),
+    )
+    return Check(
+        "value_in_any_rule", config.COLUMN_VALUE, "ongeldige code", F.col("_unsuited").isNotNull(), info
+    )
 
 
-def _date_range(df: DataFrame, refs: References) -> list[Column]:
-    within = F.coalesce(F.col("begin").between(F.col("min_start"), F.col("max_end")), F.lit(False))
+def _distance_check(refs: References, metres: Column) -> Check:
+    info = F.concat(
+        F.lit("afstand van locatie: "),
+        text.shown("location_code"),
+        F.lit(": "),
+        metres.cast("bigint").cast("string"),
+        F.lit("m"),
+    )
+    limit = refs.settings.max_location_distance_m
+    return Check("location_distance", config.GEO, "locatie verder dan 100 meter", F.col("_metres") > limit, info)
+
+
+def _fixed(name: str, when: Column, info: Column) -> Check:
+    return Check(name, config.FIXED_VALUES, "vaste waarde ongeldig", when, info)
+
+
+def _not_among(value: Column, allowed: tuple[str, ...]) -> Column:
+    return ~F.coalesce(value.isin(*allowed), F.lit(False))
+
+
+def _quoted(before: str, value: Column, after: str) -> Column:
+    return F.concat(F.lit(f'{before} "'), text.shown(value), F.lit(f'" {after}'))
+
+
+def _build(name: str, columns: list[str], refs: References) -> list[Check]:
+    c = F.col
+    if name == "unknown_location":
+        info = F.concat(F.lit("onbekende locatie: "), text.shown("location_code"))
+        return [Check(name, config.GEO, "onbekende locatie", c("_known_location").isNull(), info)]
+    if name == "location_distance":
+        return [_distance_check(refs, c("_metres"))]
+    if name == "mandatory_columns":
+        return _mandatory(columns, refs)
+    if name == "value_in_any_rule":
+        return [_value_check(columns)]
+    if name == "quality_code":
+        code = c("kwaliteitsoordeel_code").cast("string")
+        info = _quoted("Kwaliteitsoordeel", code, "niet in (00,03,04,25,99)")
+        return [_fixed(name, _not_among(code, QUALITY_CODES), info)]
+    if name == "namespace":
+        differs = ~c("namespace").eqNullSafe(NAMESPACE)
+        return [_fixed(name, differs, _quoted("Namespace", c("namespace"), 'ongelijk aan "NL80"'))]
+    if name == "horizontal_reference":
+        code = c("referentiehorizontaal_code")
+        info = _quoted("Referentiehorizontaal.code", code, 'ongelijk aan "EPSG:4258"')
+        return [_fixed(name, _not_among(code, HORIZONTAL_REFERENCES), info)]
+    if name == "analysis_compartment":
+        filled = c("analysecompartiment_code").isNotNull()
+        return [_fixed(name, filled, F.lit("analysecompartiment_code is niet leeg"))]
+    if name == "records_without_rule":
+        if not refs.has_locations_column:
+            return []
+        none = c("ruleset").isNotNull() & (F.size("matched") == 0)
+        info = F.lit("geen enkele validatieregel van toepassing")
+        return [Check(name, config.RULES, "geen validatieregel", none, info)]
+    if name == "missing_value":
+        empty = c("numeriekewaarde").isNull() & c("alfanumeriekewaarde").isNull()
+        info = F.lit("numerieke EN alfanumerieke waarde zijn leeg")
+        return [Check(name, config.OTHER, "waarde ontbreekt", empty, info)]
+    if name == "limit_symbol":
+        other = c("limietsymbool").isNotNull() & ~c("limietsymbool").isin(*LIMIT_SYMBOLS)
+        info = F.lit("limietsymbool dient leeg te zijn of < of >")
+        return [Check(name, config.OTHER, "limietsymbool ongeldig", other, info)]
+    within = F.coalesce(c("begin").between(c("min_start"), c("max_end")), F.lit(False))
     info = F.concat(
         dates.report_date("begin"),
         F.lit(" valt buiten datumbereik validatieregels ("),
@@ -184,23 +203,8 @@ def _date_range(df: DataFrame, refs: References) -> list[Column]:
         dates.report_date("max_end"),
         F.lit(")"),
     )
-    hit = failure("date_range", config.DATES, "datum valt buiten bereik", info)
-    return [F.when(F.col("ruleset").isNotNull() & ~within, hit)]
-
-
-_BUILD = {
-    "unknown_location": _unknown_location,
-    "mandatory_columns": _mandatory_columns,
-    "value_in_any_rule": _value_in_any_rule,
-    "quality_code": _quality_code,
-    "namespace": _namespace,
-    "horizontal_reference": _horizontal_reference,
-    "analysis_compartment": _analysis_compartment,
-    "records_without_rule": _records_without_rule,
-    "missing_value": _missing_value,
-    "limit_symbol": _limit_symbol,
-    "date_range": _date_range,
-}
+    return [Check(name, config.DATES, "datum valt buiten bereik", c("ruleset").isNotNull() & ~within, info)]
+
 
 # Record columns a check cannot do without.
 _NEEDS = {
@@ -220,8 +224,26 @@ def with_locations(df: DataFrame, refs: References) -> DataFrame:
     looked_up = df.withColumn(
         "_location_key", spread_nulls(F.col("location_code"), *refs.settings.order_by)
     )
-    on = F.col("_location_key") == F.col("_known_location")
-    return looked_up.join(refs.side("locations", lambda: refs.location_index), on, "left").drop("_location_key")
+    side = refs.side("locations", lambda: refs.location_index)
+    return looked_up.join(side, F.col("_location_key") == F.col("_known_location"), "left").drop("_location_key")
+
+
+def with_distances(df: DataFrame, refs: References) -> DataFrame:
+    """Metres to the location's (first) point, and an array of metres to its other geometries."""
+    east, north = geo.to_utm31("lon", "lat")
+    placed = df.withColumns({"_x": east, "_y": north})
+    x, y = F.col("_x"), F.col("_y")
+    near = placed.withColumn("_metres", geo.point_distance(x, y, F.col("_point_x"), F.col("_point_y")))
+    none = F.lit([]).cast("array<double>")
+    if refs.plain_locations:
+        return near.withColumn("_metres_more", none)
+    to_points = F.transform("_more_points", lambda p: geo.point_distance(x, y, p["x"], p["y"]))
+    to_shapes = F.transform("_shapes", lambda s: geo.edges_distance(s["edges"], x, y, s["area"]))
+    return near.withColumn("_metres_more", F.concat(F.coalesce(to_points, none), F.coalesce(to_shapes, none)))
+
+
+# Numbers from here on stand for the far geometries beyond the first, by their place.
+MORE = 1000
 
 
 def row_failures(
@@ -240,24 +262,49 @@ def row_failures(
         work = with_matches(with_memberships(work, refs), refs)
     elif "date_range" in wanted:
         work = work.withColumn("begin", dates.record_date("begindatum", day_first=not refs.settings.compat))
-    if {"value_in_any_rule", "date_range"} & set(wanted):
-        work = work.join(refs.side("facts", lambda: refs.ruleset_facts), "ruleset", "left")
     if set(GEO_CHECKS) & set(wanted):
         work = with_locations(work, refs)
+    far_more = False
     if "location_distance" in wanted:
-        east, north = geo.to_utm31("lon", "lat")
-        work = work.withColumns({"_x": east, "_y": north})
-
-    columns = work.drop(*[c for c in work.columns if c.startswith("_")])
-    single = [c for check in wanted if check in _BUILD for c in _BUILD[check](columns, refs)]
-    found = F.array_compact(F.array(*single)) if single else None
-    if "location_distance" in wanted:
-        far = _location_distance(df, refs)
-        found = F.concat(found, far) if found is not None else far
-    return work.select(
+        work = with_distances(work, refs)
+        far_more = not refs.plain_locations
+        if far_more:
+            limit = refs.settings.max_location_distance_m
+            work = work.withColumn("_far_more", F.filter("_metres_more", lambda d: d > limit))
+    columns = [*df.columns, *(["header"] if "header" in work.columns else [])]
+    if {"value_in_any_rule", "date_range"} & set(wanted):
+        work = work.join(refs.side("facts", lambda: refs.ruleset_facts), "ruleset", "left")
+    if "value_in_any_rule" in wanted:
+        work = work.withColumn("_unsuited", _unsuited(columns, refs))
+
+    rows = [c for check in wanted for c in _build(check, columns, refs)]
+    numbers = F.array(*[F.when(c.when, number) for number, c in enumerate(rows)])
+    if far_more:
+        count = F.size("_far_more")
+        places = F.when(count > 0, F.sequence(F.lit(MORE), F.lit(MORE - 1) + count)).otherwise(
+            F.lit([]).cast("array<int>")
+        )
+        numbers = F.concat(numbers, places)
+    hits = work.withColumn("_hit", F.explode(numbers)).where(F.col("_hit").isNotNull())
+
+    which, infos = F.col("_hit"), F
+    for number, c in enumerate(rows):
+        infos = infos.when(F.col("_hit") == number, c.info)
+    if far_more:
+        distance = next(i for i, c in enumerate(rows) if c.name == "location_distance")
+        which = F.when(F.col("_hit") >= MORE, distance).otherwise(F.col("_hit"))
+        more = _distance_check(refs, F.get("_far_more", F.col("_hit") - MORE))
+        infos = infos.when(F.col("_hit") >= MORE, more.info)
+    table = [(CHECK_ORDER[c.name], c.column, c.section, c.reason) for c in rows]
+    constant = lambda i: F.element_at(F.lit([row[i] for row in table]), which + 1)
+    return hits.select(
         "bundle",
         F.col("clean_name").alias("databundelcode"),
         "record_id",
         order_struct(refs).alias("ord"),
-        F.explode(found).alias("f"),
-    ).select("bundle", "databundelcode", "record_id", "ord", "f.*")
+        constant(0).alias("check_ord"),
+        constant(1).alias("col_ord"),
+        constant(2).alias("section"),
+        constant(3).alias("uitvalreden"),
+        infos.alias("informatie"),
+    )

@@ -68,7 +68,7 @@ def _matching(rules: str, day_first: bool = False) -> dict[str, str]:
 
 _HAND, _SCALE = _matching("rules"), _matching("rules_scale")
 
-_RULE_MATCH = """select bundle, bundle databundelcode, k1, k2, k3, k4, rid record_id,
+_RULE_MATCH = """select bundle, bundle databundelcode, row_ord, rid record_id,
  case when rule is null then 5 else 0 end uitvalreden, coalesce(array_to_string(ids, ';'), '') mogelijke_validatieregels,
  rule validatieregel, case when n_groups > 1 then 1 else 0 end betreftverzameling, monster_lokaalid monster_identificatie from asg"""
 

@@ -28,6 +28,7 @@ from tidegate.streaming import ingest
 
 CURRENT_YEAR = 2025
 TODAY = "2025-06-01"
+KEYS = ("k1", "k2", "k3", "k4")
 FAILURE = ("section", "databundelcode", "record_id", "uitvalreden", "informatie")
 
 
@@ -70,7 +71,7 @@ def collection_flag(spark: SparkSession, sf: str) -> DataFrame:
     known = matching.with_rulesets(sv.records(spark, sf), refs, sv.bundle_names(spark, sf))
     counted = matching.with_memberships(known, refs).where(F.col("ruleset").isNotNull())
     flag = F.when(F.col("n_groups") > 1, 1).otherwise(0).alias("betreftverzameling")
-    return counted.select(*sv.ORDER, "parameter_key", "n_groups", flag)
+    return counted.select(*KEYS, "parameter_key", "n_groups", flag)
 
 
 def polygon_distance(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,10 +79,8 @@ def polygon_distance(spark: SparkSession, sf: str) -> DataFrame:
     refs.points, refs.rings = None, sv.view(spark, sf, sv.RINGS)
     known = matching.with_rulesets(sv.records(spark, sf), refs, sv.bundle_names(spark, sf))
     placed = row_checks.with_locations(known, refs).where(F.col("_known_location").isNotNull())
-    east, north = geo.to_utm31("lon", "lat")
-    found = placed.withColumns({"_x": east, "_y": north})
-    distance = F.explode(row_checks.location_distances()).alias("d")
-    return found.select(*sv.ORDER, distance).select(*sv.ORDER, F.round("d", 3).alias("distance"))
+    found = row_checks.with_distances(placed, refs)
+    return found.select(*KEYS, F.explode("_metres_more").alias("d")).select(*KEYS, F.round("d", 3).alias("distance"))
 
 
 def _lines(spark: SparkSession, sf: str, scale: bool, **settings) -> tuple[DataFrame, object]:
@@ -169,7 +168,7 @@ def _expanded(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def criteria_fanout(spark: SparkSession, sf: str) -> DataFrame:
-    return _expanded(spark, sf).select(*sv.ORDER, "bundle", "krmcriterium", "monprog_naam")
+    return _expanded(spark, sf).select(*KEYS, "bundle", "krmcriterium", "monprog_naam")
 
 
 def export_projection(spark: SparkSession, sf: str) -> DataFrame:

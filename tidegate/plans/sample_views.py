@@ -12,10 +12,11 @@ from tidegate.config import Settings
 from tidegate.operators.references import References
 
 FACTS = {"lineitem": ("l_orderkey", "l_linenumber", "l_partkey")}
-ORDER = ("k1", "k2", "k3", "k4")
+# Rows of equal order and line number have the same record id.
+ORDER = ("row_ord",)
 
 RECORDS = """
-select l.l_orderkey k1, l.l_linenumber k2, l.l_partkey k3, l.l_suppkey k4, o.o_orderpriority bundle,
+select l.l_orderkey * 10 + l.l_linenumber row_ord, l.l_orderkey k1, l.l_linenumber k2, l.l_partkey k3, l.l_suppkey k4, o.o_orderpriority bundle,
  'NL80_'||cast(l.l_orderkey as string)||'_'||cast(l.l_linenumber as string) meetwaarde_lokaalid,
  'NL80_'||cast(l.l_orderkey as string) monster_lokaalid,
  'NL80_S'||cast(l.l_suppkey % 20 as string) meetobject_lokaalid,

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only when its measured rows, written as JSON, stay below this.
+# A side is broadcast only when its rows, measured in the cache, stay below this.
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
 
@@ -56,10 +56,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tidegate/{label}-{uuid.uuid4().hex}"
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows of ``df`` as JSON text, summed on the executors."""
-    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    return df.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first()["n"]
+def cached_bytes(df: DataFrame) -> int:
+    """Real size of a cached table, which is computed here if it was not yet."""
+    df.count()
+    statistics = df.select("*")._jdf.queryExecution().optimizedPlan().stats()
+    return int(str(statistics.sizeInBytes()))
 
 
 def kept_side(df: DataFrame, kept: list[DataFrame], limit: int | None = None) -> DataFrame:
@@ -72,7 +73,7 @@ def kept_side(df: DataFrame, kept: list[DataFrame], limit: int | None = None) ->
     """
     bound = BROADCAST_LIMIT_BYTES if limit is None else limit
     cached = df.persist()
-    if measured_bytes(cached) <= bound:
+    if cached_bytes(cached) <= bound:
         kept.append(cached)
         return F.broadcast(cached)
     cached.unpersist()
