@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidegate import config
 from tidegate.config import CHECK_ORDER, RULE_TEXT_COLUMNS
 from tidegate.functions import text
-from tidegate.operators.matching import order_key, require, with_assignments
+from tidegate.operators.matching import order_key, require, with_assignments, with_rulesets
 from tidegate.operators.references import References
 
 SAMPLE_LEVEL = "monster.lokaalid"
@@ -45,48 +45,50 @@ def rule_locations(refs: References) -> DataFrame:
     )
 
 
-def _per_id(df: DataFrame, refs: References, bundles: DataFrame | None) -> DataFrame:
-    assigned = with_assignments(df, refs, bundles).where(F.col("ruleset").isNotNull())
-    if not refs.has_locations_column:
-        assigned = assigned.where(F.lit(False))
+def _with_level(df: DataFrame, refs: References) -> DataFrame:
+    """Add the ids and whether the first rule of the bundle counts samples; bundles without rules go."""
     settings = refs.side(
         "settings", lambda: refs.ruleset_facts.select("ruleset", F.col("group_by").alias("_group_by"))
     )
-    return assigned.join(settings, "ruleset").select(
-        F.col("clean_name").alias("databundelcode"),
-        "record_id",
-        text.strip_prefix("monster_lokaalid").alias("sample_id"),
-        "location_code",
-        F.get("matched", F.lit(0)).alias("validatieregel"),
-        order_key(refs).alias("ord"),
-        F.coalesce(F.col("_group_by") == SAMPLE_LEVEL, F.lit(False)).alias("by_sample"),
+    return df.join(settings, "ruleset").withColumns(
+        {
+            "databundelcode": F.col("clean_name"),
+            "sample_id": text.strip_prefix("monster_lokaalid"),
+            "by_sample": F.coalesce(F.col("_group_by") == SAMPLE_LEVEL, F.lit(False)),
+        }
     )
 
 
 def count_lines(df: DataFrame, refs: References, bundles: DataFrame | None = None) -> DataFrame:
     """Found count per rule, bundle, record location and rule location, with the verdict."""
     require(df, "monster_lokaalid")
-    records = _per_id(df, refs, bundles)
-    with_rule = records.where(F.col("validatieregel").isNotNull())
+    assigned = _with_level(with_assignments(df, refs, bundles), refs)
+    if not refs.has_locations_column:
+        assigned = assigned.where(F.lit(False))
+    with_rule = (
+        assigned.withColumn("validatieregel", F.get("matched", F.lit(0)))
+        .where(F.col("validatieregel").isNotNull())
+        .withColumn("ord", order_key(refs))
+    )
     if refs.settings.compat:
         left = with_rule.groupBy("databundelcode", "record_id", "validatieregel").agg(
             F.count("*").alias("_assigned"), F.min("ord").alias("_first")
         )
         counted_id = F.when(F.col("by_sample"), F.col("sample_id")).otherwise(F.col("record_id"))
         right = (
-            records.where(F.col("location_code").isNotNull())
+            _with_level(with_rulesets(df, refs, bundles), refs)
+            .where(F.col("location_code").isNotNull())
             .groupBy("databundelcode", counted_id.alias("record_id"), "location_code")
             .agg(F.count("*").alias("_found"))
         )
         totals = (
             left.join(right, ["databundelcode", "record_id"])
             .groupBy("databundelcode", "validatieregel", "location_code")
-            .agg(F.sum(F.col("_assigned") * F.col("_found")).alias("_n"), F.min("_first").alias("_first"))
+            .agg(
+                F.sum(F.col("_assigned") * F.col("_found")).alias("_n"),
+                F.min_by("record_id", "_first").alias("record_id"),
+            )
         )
-        # The id of the first record is looked up afterwards: taking it along as text would
-        # turn the aggregation of all records into one that sorts.
-        ids = left.select("databundelcode", "validatieregel", "_first", "record_id")
-        totals = totals.join(ids, ["databundelcode", "validatieregel", "_first"])
     else:
         # Counts only the rule's own locations, and distinct samples where the rule asks for them.
         located = with_rule.where(F.col("location_code").isNotNull())
