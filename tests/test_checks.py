@@ -1,0 +1,332 @@
+"""One test per established oddity, and the corrected behaviour next to it."""
+
+import pytest
+from helpers import RECORD, records, references, rules
+from pyspark.sql import functions as F
+
+from tidegate.operators import collections, counts, matching, publish, report, row_checks
+from tidegate.plans.validate import run_checks, validate
+
+
+def reasons(spark, refs, check, *rows):
+    found = row_checks.row_failures(records(spark, *rows), refs, [check]).orderBy("ord", "col_ord")
+    return [(r["record_id"], r["informatie"]) for r in found.collect()]
+
+
+def matches(spark, refs, *rows):
+    got = matching.assignments(records(spark, *rows), refs).orderBy("row_ord").collect()
+    return [r["mogelijke_validatieregels"] for r in got]
+
+
+def test_match_needs_every_condition(spark):
+    refs = references(spark)
+    spoil = [
+        {"eenheid_code": "x"},
+        {"typering_code": "T"},
+        {"meetobject_lokaalid": "NL80_L9"},
+        {"meetobject_lokaalid": None},
+        {"bemonsteringsapparaat_omschrijving": "BO"},
+        {"parameter_code": "Zn"},
+        {"begindatum": "1-1-2019"},
+        {"begindatum": None},
+        {"begindatum": "geen datum"},
+        {"parameter_code": None, "biotaxon_naam": "CU"},
+    ]
+    assert matches(spark, refs, {}, *spoil) == [[2]] + [[]] * len(spoil)
+
+
+def test_match_without_parameter_or_with_two_passes_the_group_test(spark):
+    refs = references(spark, [{"biotaxon_of_niet": "J"}])
+    assert matches(spark, refs, {"parameter_code": None}, {"parameter_code": "Zn", "biotaxon_naam": "T"}) == [[2], [2]]
+
+
+def test_taxon_needs_the_flag_and_a_missing_flag_is_no(spark):
+    row = {"parameter_code": None, "biotaxon_naam": "Cu"}
+    assert matches(spark, references(spark, [{"biotaxon_of_niet": None}]), row) == [[]]
+    assert matches(spark, references(spark, [{"biotaxon_of_niet": "j"}]), row) == [[2]]
+
+
+def test_matched_rules_are_distinct_and_sorted(spark):
+    refs = references(spark, [{"locatiecode": "L1;L1"}, {}, {"eenheid_code": "x"}, {"databundelcode": "B1 2024"}])
+    assert matches(spark, refs, {}) == [[2, 3, 5]]
+
+
+def test_rule_without_location_matches_only_records_without(spark):
+    refs = references(spark, [{"locatiecode": None}])
+    assert matches(spark, refs, {}, {"meetobject_lokaalid": None}) == [[], [2]]
+
+
+def test_collection_flag_counts_group_rows(spark):
+    refs = references(spark, [{}, {"groep": "andere"}], groups=[("metalen", "CU"), ("andere", "cu"), ("derde", "Cu")])
+    got = matching.assignments(records(spark, {}, {"parameter_code": "Zn"}), refs).orderBy("row_ord").collect()
+    assert [r["betreftverzameling"] for r in got] == [1, 0]
+
+
+def test_missing_group_meets_missing_group(spark):
+    refs = references(spark, [{"groep": None}], groups=[(None, "CU")])
+    assert matches(spark, refs, {}) == [[2]]
+
+
+def test_q1_values_match_as_parts_of_text(spark):
+    refs = references(spark, [{"grootheid_code": "CONCTTE", "typering_code": "T"}])
+    assert reasons(spark, refs, "value_in_any_rule", {"typering_code": "T"}) == []
+    assert reasons(spark, references(spark, [{"grootheid_code": "CONCTTE"}], compat=False), "value_in_any_rule", {}) == [
+        ("L1_1", "Grootheid.code 'CONC' niet in: {CONCTTE}")
+    ]
+
+
+def test_q1_missing_value_is_the_word_nan(spark):
+    both = references(spark, [{"typering_code": None}, {"typering_code": "banaan"}])
+    assert reasons(spark, both, "value_in_any_rule", {"typering_code": None}) == []
+    assert reasons(spark, both, "value_in_any_rule", {"typering_code": "X"}) == [
+        ("L1_1", "Typering.code 'X' niet in: {nan,banaan}")
+    ]
+    inside = references(spark, [{"typering_code": "onanis"}])
+    assert reasons(spark, inside, "value_in_any_rule", {"typering_code": None}) == []
+
+
+def test_q1_location_last_and_missing_only_meets_missing(spark):
+    refs = references(spark, [{"locatiecode": "L1;L2"}, {"locatiecode": "L3"}])
+    got = reasons(spark, refs, "value_in_any_rule", {"meetobject_lokaalid": "NL80_L9"}, {"meetobject_lokaalid": None})
+    assert got == [
+        ("L1_1", "Locatiecode 'L9' niet in: {L1;L2,L3}"),
+        ("L1_1", "Locatiecode 'nan' niet in: {L1;L2,L3}"),
+    ]
+    assert reasons(spark, references(spark, [{"locatiecode": None}]), "value_in_any_rule", {"meetobject_lokaalid": None}) == []
+
+
+def test_q1_only_the_first_column_is_reported_and_absent_columns_pass(spark):
+    refs = references(spark)
+    row = {"grootheid_code": "X", "eenheid_code": "Y"}
+    assert reasons(spark, refs, "value_in_any_rule", row) == [("L1_1", "Grootheid.code 'X' niet in: {CONC}")]
+    found = row_checks.row_failures(records(spark, row).drop("grootheid_code"), refs, ["value_in_any_rule"]).collect()
+    assert [r["informatie"] for r in found] == ["Eenheid.code 'Y' niet in: {mg/l}"]
+
+
+def test_q1_a_value_never_matches_across_two_rules(spark):
+    refs = references(spark, [{"eenheid_code": "ab"}, {"eenheid_code": "cd"}])
+    assert len(reasons(spark, refs, "value_in_any_rule", {"eenheid_code": "ab\u0001cd"})) == 1
+    assert len(reasons(spark, refs, "value_in_any_rule", {"eenheid_code": "bc"})) == 1
+
+
+def lines(spark, refs, *rows):
+    got = counts.count_lines(records(spark, *rows), refs).orderBy("validatieregel", "data_location", "rule_location")
+    return [(r["validatieregel"], r["data_location"], r["rule_location"], r["aantaldat"], r["uitvalreden"]) for r in got.collect()]
+
+
+def test_q2_every_record_counts_under_each_location_of_its_rule(spark):
+    two = [{"meetwaarde_lokaalid": "NL80_a"}, {"meetwaarde_lokaalid": "NL80_b"}]
+    unequal = "aantal monsters ongelijk aan verwachting"
+    assert lines(spark, references(spark), *two) == [(2, "L1", "L1", 2, unequal), (2, "L1", "L2", 2, unequal)]
+    assert lines(spark, references(spark, compat=False), *two) == [(2, "L1", "L1", 2, unequal)]
+
+
+def test_q2_failures_repeat_per_location_and_the_report_does_not(spark):
+    refs = references(spark)
+    found = counts.count_lines(records(spark, {}, {"meetwaarde_lokaalid": "NL80_b"}), refs)
+    assert counts.count_failures(found).count() == 2
+    rows = counts.count_report(found, refs).collect()
+    assert len(rows) == 1 and '"locatiecode":"L1;L2"' in rows[0]["validatieregel"]
+
+
+def test_q3_repeated_ids_multiply(spark):
+    same = [{}, {}, {}]
+    assert [l[3] for l in lines(spark, references(spark, [{"locatiecode": "L1"}]), *same)] == [9]
+    assert [l[3] for l in lines(spark, references(spark, [{"locatiecode": "L1"}], compat=False), *same)] == [3]
+    assert [l[3] for l in lines(spark, references(spark, [{"locatiecode": "L1;L1"}]), {})] == [2]
+
+
+def test_q3_sample_level_joins_measurement_ids_to_sample_ids(spark):
+    refs = references(spark, [{"group_by": " monster.lokaalid ", "locatiecode": "L1"}])
+    rows = [{"meetwaarde_lokaalid": "NL80_M1"}, {"meetwaarde_lokaalid": "NL80_x"}]
+    assert [l[3] for l in lines(spark, refs, *rows)] == [2]
+    fixed = references(spark, [{"group_by": "monster.lokaalid", "locatiecode": "L1"}], compat=False)
+    assert [l[3] for l in lines(spark, fixed, *rows, {"monster_lokaalid": "NL80_M2"})] == [2]
+
+
+def test_counts_first_record_id_is_by_order(spark):
+    refs = references(spark, [{"locatiecode": "L1"}])
+    rows = [{"meetwaarde_lokaalid": "NL80_z"}, {"meetwaarde_lokaalid": "NL80_a"}]
+    assert counts.count_lines(records(spark, *rows), refs).first()["record_id"] == "z"
+
+
+@pytest.mark.parametrize(
+    "limit,expected,reason",
+    [("<=", 0, "groter dan verwacht"), (">=", 9, "kleiner dan verwacht"), ("=", None, "ongelijk aan verwachting"), ("<=", 1, ""), (">=", None, ""), (None, 5, "")],
+)
+def test_limit_verdicts(spark, limit, expected, reason):
+    refs = references(spark, [{"locatiecode": "L1", "limiet": limit, "aantal": expected}])
+    assert lines(spark, refs, {})[0][4] == (f"aantal monsters {reason}" if reason else "")
+
+
+def test_q4_parameters_need_other_codes_to_be_found(spark):
+    refs = references(spark, groups=[("metalen", "CU")])
+    rows = [{"parameter_code": "Zn", "biotaxon_naam": None, "begindatum": "23-1-2018"}]
+    both = [{"parameter_code": "Zn", "biotaxon_naam": "T"}]
+    flagged = references(spark, [{"biotaxon_of_niet": "j"}])
+    assert collections.parameter_failures(records(spark, *rows), refs).count() == 0
+    got = collections.parameter_failures(records(spark, *both), flagged, codes=(0, 5)).collect()
+    assert [(r["informatie"], r["copies"]) for r in got] == [
+        ('parameter "Zn / T" i.c.m. groep (metalen) uit de validatieregel komt niet voor in de groep-lijst', 2)
+    ]
+
+
+def test_q4_collections_find_missing_members_only_by_intent(spark):
+    groups = [("metalen", "Cu"), ("metalen", "Zn"), ("zwaar", "Cu")]
+    refs = references(spark, [{}, {"groep": "zwaar", "eenheid_code": "x"}], groups=groups)
+    m = records(spark, {})
+    assert collections.collection_failures(m, refs).count() == 0
+    got = collections.collection_failures(m, refs, "intent").collect()
+    assert [r["informatie"] for r in got] == ['parameter "zn" uit groep "metalen" niet gevonden']
+
+
+def test_q5_ambiguous_dates_read_month_first_in_records_only(spark):
+    refs = [{"startdatum": "1-3-2018", "einddatum": "31-3-2018"}]
+    assert matches(spark, references(spark, refs), {"begindatum": "3-4-2018"}) == [[2]]
+    assert matches(spark, references(spark, refs, compat=False), {"begindatum": "3-4-2018"}) == [[]]
+
+
+def test_q6_unreadable_dates_fail_the_range(spark):
+    got = reasons(spark, references(spark), "date_range", {"begindatum": "x"}, {"begindatum": "23-1-2018"}, {"begindatum": "1-1-2019"})
+    tail = "valt buiten datumbereik validatieregels (01-01-2018 tm 31-12-2018)"
+    assert got == [("L1_1", f"nan {tail}"), ("L1_1", f"01-01-2019 {tail}")]
+
+
+def test_q7_missing_coordinates_are_not_far(spark):
+    rows = [{"lon": None}, {"lon": float("nan")}, {"lon": 3.01}, {"lon": 3.0005}]
+    got = reasons(spark, references(spark), "location_distance", *rows)
+    assert got == [("L1_1", "afstand van locatie: L1: 686m")]
+
+
+def test_every_geometry_of_a_location_is_tested(spark):
+    refs = references(spark, points=[("L1", 3.0, 52.0), ("L1", 3.01, 52.0), ("L1", 3.02, 52.0)])
+    square = [(2.9, 51.9), (3.0001, 51.9), (3.0001, 52.1), (2.9, 52.1), (2.9, 51.9)]
+    ring = [("L1", 0, 0, i, x, y, True) for i, (x, y) in enumerate(square)]
+    line = [("L1", 1, 0, i, x, y, False) for i, (x, y) in enumerate([(3.1, 52.0), (3.2, 52.0)])]
+    refs.rings = spark.createDataFrame(
+        ring + line, "mpnident string, geom int, ring int, vertex int, lon double, lat double, area boolean"
+    )
+    got = reasons(spark, refs, "location_distance", {})
+    metres = sorted(int(info.split(": ")[2].rstrip("m")) for _, info in got)
+    # near the first point and inside the area is near; one degree of longitude at 52 north on the
+    # ellipsoid is 68678 m, times the scale 0.9996 on the central meridian
+    assert metres == [int(68678 * 0.9996 * d) for d in (0.01, 0.02, 0.1)]
+
+
+def test_unknown_location(spark):
+    got = reasons(spark, references(spark), "unknown_location", {"meetobject_lokaalid": "NL80_Q"}, {"meetobject_lokaalid": None}, {})
+    assert got == [("L1_1", "onbekende locatie: Q"), ("L1_1", "onbekende locatie: nan")]
+
+
+def test_q8_quality_codes_with_and_without_leading_zero(spark):
+    rows = [{"kwaliteitsoordeel_code": c} for c in ("00", "0", "3", "03", "99", "50", None)]
+    got = [info for _, info in reasons(spark, references(spark), "quality_code", *rows)]
+    assert got == ['Kwaliteitsoordeel "50" niet in (00,03,04,25,99)', 'Kwaliteitsoordeel "nan" niet in (00,03,04,25,99)']
+
+
+def test_fixed_values_and_others(spark):
+    refs = references(spark)
+    assert len(reasons(spark, refs, "namespace", {"namespace": None}, {"namespace": "NL1"}, {})) == 2
+    assert len(reasons(spark, refs, "horizontal_reference", {"referentiehorizontaal_code": "EPSG4258"}, {"referentiehorizontaal_code": None})) == 1
+    assert len(reasons(spark, refs, "analysis_compartment", {"analysecompartiment_code": "OW"}, {})) == 1
+    assert len(reasons(spark, refs, "missing_value", {"numeriekewaarde": None}, {})) == 1
+    assert len(reasons(spark, refs, "limit_symbol", {"limietsymbool": "="}, {"limietsymbool": "<"}, {})) == 1
+
+
+def test_mandatory_columns_that_exist(spark):
+    refs = references(spark)
+    refs.columns = spark.createDataFrame([("Begindatum", "V"), ("Bestaat.niet", "V"), ("Eenheid.code", "C")], "kolomnaam string, ihm_verplicht string")
+    assert reasons(spark, refs, "mandatory_columns", {"begindatum": None, "eenheid_code": None}) == [("L1_1", "geen waarde in bestand voor: begindatum")]
+
+
+def test_q14_bundles_without_rules_skip_rule_checks(spark):
+    refs = references(spark)
+    m = records(spark, {"bundle": "ZZ", "grootheid_code": "?", "begindatum": None})
+    assert matching.assignments(m, refs).count() == 0
+    found = run_checks(m, refs, ["records_without_rule", "value_in_any_rule", "counts", "date_range"])
+    assert found.count() == 0
+    assert publish.expand_criteria(m, refs).first()["krmcriterium"] is None
+
+
+def test_q14_rule_list_without_location_column(spark):
+    refs = references(spark)
+    plain = type(refs)(rules=rules(spark, {}).drop("locatiecode"), groups=refs.groups, columns=refs.columns, points=refs.points)
+    m = records(spark, {})
+    assert matching.assignments(m, plain).count() == 0
+    assert counts.count_lines(m, plain).count() == 0
+    assert row_checks.row_failures(m, plain, ["records_without_rule", "limit_symbol"]).count() == 0
+
+
+def test_q15_missing_codes_and_criteria(spark):
+    refs = references(spark, [{"databundelcode": None}, {"criteria": None}])
+    assert matches(spark, refs, {}) == [[3]]
+    rows = publish.expand_criteria(records(spark, {}), refs).collect()
+    assert [(r["krmcriterium"], r["monprog_naam"]) for r in rows] == [(None, "B1")]
+
+
+def test_prefixes_choose_all_rules_of_a_bundle(spark):
+    refs = references(spark, [{"databundelcode": "B"}, {"databundelcode": "B1"}, {"databundelcode": "B1 2024"}, {"databundelcode": "B2"}])
+    names = spark.createDataFrame([("B1+2024",), ("B2",), ("Q",), ("B",)], "bundle string")
+    got = sorted((r["bundle"], r["rule_id"]) for r in refs.select_rules(names).collect())
+    assert got == [("B", 2), ("B1+2024", 2), ("B1+2024", 3), ("B1+2024", 4), ("B2", 2), ("B2", 5)]
+
+
+def test_q17_status_takes_the_first_criterion(spark):
+    refs = references(spark)
+    result = validate(records(spark, {}), refs, now=F.lit("2025-01-02 03:04:05").cast("timestamp"))
+    row = result.status.first()
+    assert (row["krmcriterium"], row["last_updated"]) == ("ANSNL-D1C1", "2025-01-02 03:04:05")
+    assert row["status"] == "Databundel validatie is: True en akkoord file is: False"
+
+
+def test_q22_rule_without_locations_gives_no_count_line(spark):
+    refs = references(spark, [{"locatiecode": None}])
+    assert lines(spark, refs, {"meetobject_lokaalid": None}) == []
+
+
+def test_valid_bundle_is_exported_with_its_criteria(spark):
+    refs = references(spark, [{"locatiecode": "L1"}])
+    coordinates = {"geometriepunt_x": F.lit("3.0"), "geometriepunt_y": F.lit("52,0")}
+    result = validate(records(spark, {}).withColumns(coordinates), refs)
+    assert result.failures.collect() == []
+    assert result.summary.first()["bundle_valid"] is True
+    rows = result.export.collect()
+    assert sorted(r["krmcriterium"] for r in rows) == ["ANSNL-D1C1", "ANSNL-D5C2"]
+    assert rows[0]["geometriepunt.x"] == 3.0 and rows[0]["geometriepunt.y"] is None
+    assert rows[0]["numeriekewaarde"] == 1.5 and "namespace" not in result.export.columns
+    assert result.export.columns.index("meetobject.lokaalid") == 1
+
+
+def test_approval_opens_the_gate(spark):
+    refs = references(spark)
+    m = records(spark, {"namespace": "x"})
+    assert validate(m, refs).export.count() == 0
+    approved = spark.createDataFrame([("B1 2024", True)], "bundle string, approved boolean")
+    assert validate(m, refs, approvals=approved).export.count() == 2
+
+
+def test_corrected_run_includes_parameters_and_collections(spark):
+    refs = references(spark, [{"biotaxon_of_niet": "j"}], compat=False)
+    found = run_checks(records(spark, {"biotaxon_naam": "T"}), refs, ["parameters", "collections"])
+    assert [r["section"] for r in found.collect()] == ["Parameter controle"]
+
+
+def test_report_order_and_intake(spark):
+    refs = references(spark)
+    rows = [{"namespace": "x"}, {"namespace": "y", "limietsymbool": "="}]
+    found = run_checks(records(spark, *rows), refs, ["namespace", "limit_symbol"])
+    got = report.ordered(found).collect()
+    assert [r["informatie"][:11] for r in got] == ['Namespace "', 'Namespace "', "limietsymbo"]
+    extra = spark.createDataFrame([("b", "NL80_1", "r", "i")], "databundelcode string, record_id string, uitvalreden string, informatie string")
+    assert report.intake("Overige controle", extra).first()["record_id"] == "1"
+    with pytest.raises(ValueError, match="record_id"):
+        report.intake("x", extra.drop("record_id"))
+
+
+def test_unknown_checks_and_missing_columns_are_refused_before_running(spark):
+    refs = references(spark)
+    with pytest.raises(ValueError, match="unknown check"):
+        row_checks.row_failures(records(spark, {}), refs, ["nonsense"])
+    with pytest.raises(ValueError, match="namespace"):
+        row_checks.row_failures(records(spark, {}).drop("namespace"), refs, ["namespace"])
+    assert "row_ord" in RECORD

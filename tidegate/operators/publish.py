@@ -136,17 +136,18 @@ def merge_layers(*layers: DataFrame) -> DataFrame:
     for layer in layers:
         named = layer.toDF(*[c.lower() for c in layer.columns])
         if "crs" in named.columns:
-            if "geom" in named.columns and not {"lon", "lat"} <= set(named.columns):
-                x, y = geo.wkb_point_xy("geom")
-                lon, lat = geo.to_lonlat("crs", x, y)
-                moved = F.when(F.col("crs") == geo.LONLAT, F.col("geom")).otherwise(geo.point_wkb(lon, lat))
+            # Step by step in columns of their own: each formula uses its inputs many times over.
+            from_wkb = "geom" in named.columns and not {"lon", "lat"} <= set(named.columns)
+            x, y = geo.wkb_point_xy("geom") if from_wkb else (F.col("lon"), F.col("lat"))
+            named = named.withColumns({"_x": x, "_y": y})
+            lon, lat = geo.to_lonlat("crs", "_x", "_y")
+            named = named.withColumns({"_lon": lon, "_lat": lat})
+            if "geom" in named.columns:
+                moved = F.when(F.col("crs") == geo.LONLAT, F.col("geom")).otherwise(geo.point_wkb("_lon", "_lat"))
                 named = named.withColumn("geom", moved)
-            else:
-                lon, lat = geo.to_lonlat("crs", "lon", "lat")
-                named = named.withColumns({"lon": lon, "lat": lat})
-                if "geom" in named.columns:
-                    named = named.withColumn("geom", geo.point_wkb("lon", "lat"))
-            named = named.drop("crs")
+            if not from_wkb:
+                named = named.withColumns({"lon": F.col("_lon"), "lat": F.col("_lat")})
+            named = named.drop("crs", "_x", "_y", "_lon", "_lat")
         merged = named if merged is None else merged.unionByName(named, allowMissingColumns=True)
     return merged.drop(*NOT_PUBLISHED)
 
