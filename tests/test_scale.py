@@ -47,7 +47,7 @@ def plan_of(df):
 
 def test_no_cross_joins_and_no_shuffle_of_records_for_row_checks(spark):
     m, names = sv.records(spark, SF), sv.bundle_names(spark, SF)
-    refs = sv.references(spark, SF, True)
+    refs = sv.references(spark, SF)
     for df in (row_checks.row_failures(m, refs, bundles=names), counts.count_lines(m, refs, names)):
         plan = plan_of(df)
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -64,9 +64,9 @@ class References:
         # A list without any location column gives no assignments and no counts.
         spellings = {"locatiecode", "locatie.code", "locatie_code"}
         self.has_locations_column = any(c.strip().lower() in spellings for c in self.rules.columns)
-        self.rules = normalise_rules(self.rules)
         self._kept: list[DataFrame] = []
         self._sides: dict[object, DataFrame] = {}
+        self.rules = self._keep(normalise_rules(self.rules))
 
     def side(self, name: object, build: Callable[[], DataFrame]) -> DataFrame:
         """A look-up table for joins: computed and measured once, broadcast if small."""

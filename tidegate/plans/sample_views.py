@@ -122,7 +122,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    return {name: table(spark, sf_dir, name) for name in names}
+    return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names}
 
 
 def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
@@ -132,7 +132,8 @@ def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, RECORDS)
+    used = tables(spark, sf_dir, "orders", "part")
+    return spark.sql(RECORDS, lineitem=table(spark, sf_dir, "lineitem"), **used)
 
 
 def bundle_names(spark: SparkSession, sf_dir: str) -> DataFrame:
