@@ -14,10 +14,14 @@ shingles. The method:
   only those; only sets without that property also send their empty ones. No link is lost.
 
 Identical sets are one node from the start, so copies never meet as pairs. Signatures travel packed
-by hash bucket. Documents that share a signature form lists; first each node is compared with the
-smallest node that it met, then lists that are not yet inside one component are compared in blocks
-of 64-cell histograms, whose difference is a lower bound of the symmetric difference. What passes
-is verified on the full sets. No list is ever written out as all its pairs.
+by hash bucket. Documents that share a signature form lists. Most lists come from passages that
+unrelated documents share, so a list's members are compared in blocks by parity bitmaps (a bit for
+each hash cell, whether the set holds an odd number of features there): the number of differing bits
+is a lower bound of the symmetric difference, so what it rules out is no link. In a first pass each member
+keeps its best partner of each list; these pairs are verified on the full sets and joined into
+components. Only lists that still reach over several components are compared again, and pairs
+between components that the bitmaps allow are verified. So a group of copies is joined by a few pairs
+a member, and no list is ever written out as all its pairs.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ from tidegate.llm.components import components
 WORDS, PERCENT = 5, 75
 CHARS_A_BUCKET = 24_000_000  # about 5 million signatures
 BLOCK = 4096  # members of a list that one task compares with as many others
-CELLS = 64
+ROWS = 128  # of those, how many at a time
 _U = np.uint64
 
 
@@ -147,20 +151,20 @@ def _packed(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFram
                 nodes = digests(of, hashes, sizes)
                 bucket = (sig % _U(buckets)).astype(np.int64)
                 order = np.lexsort((owner, bucket))
-                owner, sig, bucket = owner[order], sig[order] >> _U(24), bucket[order]
+                owner, sig, bucket = owner[order], sig[order] >> _U(32), bucket[order]
                 cuts = np.flatnonzero(np.diff(bucket)) + 1
                 out = []
                 for o, s, b in zip(np.split(owner, cuts), np.split(sig, cuts), bucket[np.r_[0, cuts]]):
                     who, n = np.unique(o, return_counts=True)
                     out.append((int(b), nodes[who].tobytes(), n.astype(np.uint32).tobytes(),
-                                (s & _U(0xFFFFFFFF)).astype(np.uint32).tobytes(), (s >> _U(32)).astype(np.uint8).tobytes()))
+                                s.astype(np.uint32).tobytes()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), *[pa.binary()] * 4))],
-                    ["bucket", "nodes", "counts", "low", "high"],
+                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), *[pa.binary()] * 3))],
+                    ["bucket", "nodes", "counts", "keys"],
                 )
 
     return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(
-        pack, "bucket long, nodes binary, counts binary, low binary, high binary"
+        pack, "bucket long, nodes binary, counts binary, keys binary"
     )
 
 
@@ -172,7 +176,7 @@ def _lists(packed: DataFrame) -> DataFrame:
             return np.frombuffer(b"".join(group.column(name).to_pylist()), kind)
 
         node = np.repeat(all_of("nodes", np.int64), all_of("counts", np.uint32))
-        key = all_of("low", np.uint32).astype(np.uint64) | all_of("high", np.uint8).astype(np.uint64) << _U(32)
+        key = all_of("keys", np.uint32)
         # most signatures stand alone: a cheap sort of the keys finds the others
         place = np.argsort(key, kind="stable")
         same = key[place][1:] == key[place][:-1]
@@ -199,8 +203,20 @@ def _lists(packed: DataFrame) -> DataFrame:
     return packed.groupBy("bucket").applyInArrow(meet, "list long, node long").distinct()
 
 
-def _full_sets(docs: DataFrame, id_column: str, wanted: DataFrame, words: int) -> DataFrame:
-    """``node, size, cells, items`` for the wanted nodes, from the text of their smallest document."""
+def parity(of: np.ndarray, hashes: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """A bitmap for each set, of as many bits as the next power of two of its size (64 at least)."""
+    bits = 1 << np.maximum(6, np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
+    base = np.cumsum(bits) - bits
+    at = base[of] + (hashes & (bits[of] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.packbits((np.bincount(at, minlength=int(bits.sum())) & 1).astype(bool), bitorder="little").tobytes()
+    return [odd[b // 8 : (b + n) // 8] for b, n in zip(base, bits)]
+
+
+def _wanted_sets(docs: DataFrame, id_column: str, wanted: DataFrame, words: int, whole: bool) -> DataFrame:
+    """``node, size, data`` for the wanted nodes, from the text of their smallest document.
+
+    ``data`` is the whole sorted set (64-bit hashes) or its parity bitmap.
+    """
     held = bm.bitmap(wanted, "rep")
 
     def measure(batches):
@@ -209,19 +225,20 @@ def _full_sets(docs: DataFrame, id_column: str, wanted: DataFrame, words: int) -
             batch = batch.take(pa.array(np.flatnonzero(bm.holds(held, ids) & ~np.asarray(batch.column(0).is_null()))))
             for _, sizes, of, hashes in _sets(batch, words):
                 nodes, ends = digests(of, hashes, sizes), np.cumsum(sizes)
-                cells = np.bincount(of * CELLS + (hashes >> _U(58)).astype(np.int64), minlength=len(sizes) * CELLS)
-                cells = np.minimum(cells, 255).astype(np.uint8).reshape(-1, CELLS)
                 some = np.flatnonzero(sizes)
+                if whole:
+                    data = [hashes[ends[i] - sizes[i] : ends[i]].tobytes() for i in some]
+                else:
+                    bits = parity(of, hashes, sizes)
+                    data = [bits[i] for i in some]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes[some]), pa.array(sizes[some]), pa.array([cells[i].tobytes() for i in some], pa.binary()),
-                     pa.array([hashes[ends[i] - sizes[i] : ends[i]].tobytes() for i in some], pa.binary())],
-                    ["node", "size", "cells", "items"],
+                    [pa.array(nodes[some]), pa.array(sizes[some]), pa.array(data, pa.binary())], ["node", "size", "data"]
                 )
 
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    found = source.mapInArrow(measure, "node long, size long, cells binary, items binary")
+    found = source.mapInArrow(measure, "node long, size long, data binary")
     found = found.join(wanted.select("node"), "node", "left_semi")
-    return found.groupBy("node").agg(F.first("size").alias("size"), F.first("cells").alias("cells"), F.first("items").alias("items"))
+    return found.groupBy("node").agg(F.first("size").alias("size"), F.first("data").alias("data"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -238,75 +255,113 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep[i] = 100 * common >= percent * (len(x) + len(y) - common)
             yield batch.select([0, 1]).filter(pa.array(keep))
 
-    left = sets.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("items").alias("xa"))
-    right = sets.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("items").alias("xb"))
+    left = sets.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("data").alias("xa"))
+    right = sets.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("data").alias("xb"))
     near = pairs.join(left, "a").join(right, "b").where(
         (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     )
     return near.select("a", "b", "xa", "xb").mapInArrow(compare, "a long, b long")
 
 
-def _close(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components inside a list whose histograms allow a link, compared in blocks.
+def _distances(size: np.ndarray, data: list[bytes]):
+    """Differing bits between members ``i`` and ``j >= i`` of a run sorted by size, as a function of blocks."""
+    width = np.array([len(d) // 8 for d in data])
+    edges = np.r_[0, np.flatnonzero(np.diff(width)) + 1, len(width)]
+    full = [np.frombuffer(b"".join(data[s:e]), np.uint64).reshape(e - s, -1) for s, e in zip(edges[:-1], edges[1:])]
+
+    def gaps(c: int, rows: np.ndarray, d: int, cols: slice) -> np.ndarray:
+        other = full[d][cols]
+        while other.shape[1] > full[c].shape[1]:  # bits of the larger bitmap that fall together in the smaller one
+            half = other.shape[1] // 2
+            other = other[:, :half] ^ other[:, half:]
+        out = np.zeros((len(rows), len(other)), np.int64)
+        for w in range(other.shape[1]):
+            out += np.bitwise_count(full[c][rows, w][:, None] ^ other[None, :, w])
+        return out
+
+    return edges, gaps
+
 
-    A list of more than BLOCK members is dealt out over several tasks, each with two blocks of it.
+def _close(members: DataFrame, percent: int, best: bool) -> DataFrame:
+    """``list, a, b``: members of a list in different components (``label``) whose bitmaps allow a link.
+
+    ``best``: of those only the nearest partner of each member. A list of more than BLOCK members is
+    dealt out over several tasks, each with two blocks of it.
     """
-    sized = members.withColumn("members", F.count("*").over(_by("list")))
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    sizes = members.groupBy("list").agg(F.count("*").alias("members")).where(F.col("members") > BLOCK)
+    sized = members.join(sizes, "list", "left")
+    blocks = F.coalesce(F.ceil(F.col("members") / BLOCK).cast("int"), F.lit(1))
     placed = sized.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     tiles = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
         "list", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-        "block", "node", "label", "size", "cells",
+        "block", "node", "label", "size", "data",
     )
 
-    def pairs_of(run: dict) -> pa.RecordBatch:
-        order = np.argsort(run["size"], kind="stable")
+    def pairs_of(run: dict, key: tuple) -> pa.RecordBatch | None:
+        order = np.lexsort((run["node"], run["size"]))
         node, label, size, block = (run[c][order] for c in ("node", "label", "size", "block"))
-        cells = run["cells"][order].astype(np.int16)
-        a, b = [], []
+        edges, gaps = _distances(size, [run["data"][i] for i in order])
         reach = np.searchsorted(size, 100 * size // percent, side="right")
-        for i in range(len(node)):
-            j = np.arange(i + 1, reach[i])
-            j = j[(label[j] != label[i]) & ((block[j] != block[i]) | (run["x"] == run["y"]))]
-            if len(j):
-                gap = np.abs(cells[j] - cells[i]).sum(1)
-                j = j[gap <= difference(size[i] + 0, size[j], percent)]
-                a.append(np.full(len(j), node[i]))
-                b.append(node[j])
-        a, b = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (a, b))
-        return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+        left, right, gap = [], [], []
+        for c in range(len(edges) - 1):
+            for s in range(edges[c], edges[c + 1], ROWS):
+                i = np.arange(s, min(s + ROWS, edges[c + 1]))
+                for d in range(c, len(edges) - 1):
+                    end = min(int(reach[i].max()), edges[d + 1])
+                    begin = max(int(i[0]) + 1, edges[d])
+                    if begin >= end:
+                        continue
+                    j = np.arange(begin, end)
+                    fine = (j[None] > i[:, None]) & (j[None] < reach[i][:, None]) & (label[j][None] != label[i][:, None])
+                    if key[1] != key[2]:
+                        fine &= block[j][None] != block[i][:, None]
+                    if not fine.any():
+                        continue
+                    g = gaps(c, i - edges[c], d, slice(begin - edges[d], end - edges[d]))
+                    fine &= g <= difference(size[i][:, None], size[j][None], percent)
+                    u, v = np.nonzero(fine)
+                    left.append(i[u])
+                    right.append(j[v])
+                    gap.append(g[u, v])
+        if not left or not sum(map(len, left)):
+            return None
+        left, right, gap = map(np.concatenate, (left, right, gap))
+        if best:
+            ends, others, both = np.r_[left, right], np.r_[right, left], np.r_[gap, gap]
+            order = np.lexsort((node[others], both, ends))
+            first = order[np.r_[True, np.diff(ends[order]) != 0]]
+            left, right = ends[first], others[first]
+        a, b = node[left], node[right]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(a), key[0])), pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["list", "a", "b"]
+        )
 
     def scan(batches):
         kept, key = [], None
         for batch in batches:
             rows = {c: np.asarray(batch.column(batch.schema.get_field_index(c))) for c in ("list", "x", "y", "block", "node", "label", "size")}
-            cells = batch.column(batch.schema.get_field_index("cells"))
-            rows["cells"] = np.frombuffer(b"".join(cells.to_pylist()), np.uint8).reshape(-1, CELLS)
-            keys = np.stack([rows["list"], rows["x"], rows["y"]], 1)
+            data = batch.column(batch.schema.get_field_index("data")).to_pylist()
+            keys = np.stack([rows.pop("list"), rows.pop("x"), rows.pop("y")], 1)
             cuts = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, len(keys)]
             for s, e in zip(cuts[:-1], cuts[1:]):
                 if s == e:
                     continue
-                if key is not None and tuple(keys[s]) != key:
-                    yield pairs_of(_run(kept, key))
-                    kept = []
-                key = tuple(keys[s])
-                kept.append({c: v[s:e] for c, v in rows.items()})
-        if kept:
-            yield pairs_of(_run(kept, key))
+                now = tuple(int(k) for k in keys[s])
+                if key is not None and now != key and (found := pairs_of(_run(kept), key)) is not None:
+                    yield found
+                if now != key:
+                    kept, key = [], now
+                kept.append({c: v[s:e] for c, v in rows.items()} | {"data": data[s:e]})
+        if kept and (found := pairs_of(_run(kept), key)) is not None:
+            yield found
 
     dealt = tiles.repartition(partitions(members.sparkSession), "list", "x", "y").sortWithinPartitions("list", "x", "y")
-    return dealt.mapInArrow(scan, "a long, b long").distinct()
-
-
-def _run(kept: list[dict], key: tuple) -> dict:
-    return {c: np.concatenate([k[c] for k in kept]) for c in kept[0] if c not in ("x", "y", "list")} | {"x": key[1], "y": key[2]}
+    return dealt.mapInArrow(scan, "list long, a long, b long")
 
 
-def _by(*columns):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*columns)
+def _run(kept: list[dict]) -> dict:
+    whole = {c: np.concatenate([k[c] for k in kept]) for c in kept[0] if c != "data"}
+    return whole | {"data": [d for k in kept for d in k["data"]]}
 
 
 def near_duplicates(
@@ -329,25 +384,25 @@ def near_duplicates(
     buckets = max(partitions(spark), -(-chars // CHARS_A_BUCKET))
     lists = written(_lists(_packed(docs, words, percent, buckets)), "lists")
 
-    wanted = written(lists.select("node").distinct().join(reps.select("node", "rep"), "node"), "wanted")
-    sets = written(_full_sets(docs, id_column, wanted, words), "full-sets")
+    met = written(lists.select("node").distinct().join(reps.select("node", "rep"), "node"), "met")
+    bits = written(_wanted_sets(docs, id_column, met, words, whole=False), "bits")
+    members = lists.join(bits, "node")
 
-    # first the smallest node that each node met
-    hubs = lists.groupBy("list").agg(F.min("node").alias("hub"))
-    first = lists.join(hubs, "list").where("node <> hub").groupBy("node").agg(F.min("hub").alias("b"))
-    near = written(_verified(first.select(F.col("node").alias("a"), "b"), sets, percent), "links")
+    # first every member's best partner in each list
+    first = written(_close(members.withColumn("label", F.col("node")), percent, best=True), "best")
+    pairs = first.select("a", "b").distinct()
+    ends = first.select(F.col("a").alias("node")).union(first.select("b")).distinct()
+    sets = written(_wanted_sets(docs, id_column, met.join(ends, "node", "left_semi"), words, whole=True), "full-sets")
+    near = written(_verified(pairs, sets, percent), "links")
     labels = components(near)
 
-    # then what is left of lists that reach over several components
-    labelled = lists.join(labels, "node", "left").select(
-        "list", "node", F.coalesce("component", "node").alias("label")
-    )
+    # then what is left of lists that reach over several components; a list without a pair has no link
+    live = members.join(first.select("list").distinct(), "list", "left_semi").join(ends, "node", "left_semi")
+    labelled = live.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
     open_lists = labelled.groupBy("list").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h")
-    rest = labelled.join(open_lists.select("list"), "list", "left_semi").join(
-        sets.select("node", "size", "cells"), "node"
-    )
-    more = _verified(written(_close(rest, percent), "close"), sets, percent)
-    links = written(near.unionByName(more), "all-links")
+    rest = labelled.join(open_lists.select("list"), "list", "left_semi")
+    more = _close(rest, percent, best=False).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    links = written(near.unionByName(_verified(written(more, "close"), sets, percent)), "all-links")
 
     named = links.join(reps.select(F.col("node").alias("a"), F.col("rep").alias("ra")), "a").join(
         reps.select(F.col("node").alias("b"), F.col("rep").alias("rb")), "b"
