@@ -7,6 +7,7 @@ bounded. It only ever lets too many rows through, never too few: the join that f
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,3 +43,29 @@ def bitmap(keys: DataFrame, column: str) -> np.ndarray:
 def holds(packed: np.ndarray, keys: np.ndarray) -> np.ndarray:
     at = places(keys)
     return (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+
+
+def split_off(docs: DataFrame, named: DataFrame, id_column: str) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with ``_row`` (a hash of the text) in two parts: rows that ``named`` (``doc_id, row``) surely does not
+    hold, and the few others, which an exact join has to decide. So texts that stay are not dealt out."""
+    held = bitmap(named, "row")
+
+    @F.pandas_udf("boolean")
+    def maybe(rows: pd.Series) -> pd.Series:
+        return pd.Series(holds(held, rows.to_numpy(np.int64)))
+
+    marked = docs.withColumn("_row", F.xxhash64("text"))
+    marked = marked.withColumn("_maybe", maybe(F.col("_row")))
+    return marked.where("not _maybe").drop("_maybe"), marked.where("_maybe").drop("_maybe")
+
+
+def same_row(id_column: str):
+    """``doc_id, row`` as ``_d, _r`` name the row of a document."""
+    return F.col("_d").eqNullSafe(F.col(id_column).cast("long")) & (F.col("_r") == F.col("_row"))
+
+
+def without(docs: DataFrame, named: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows that ``named`` (``doc_id, row``) holds."""
+    stay, likely = split_off(docs, named, id_column)
+    goes = named.select(F.col("doc_id").alias("_d"), F.col("row").alias("_r")).distinct()
+    return stay.unionByName(likely.join(goes, same_row(id_column), "left_anti")).select(docs.columns)

@@ -74,7 +74,7 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def chunks(texts: list[bytes], limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def chunks(texts: list[bytes], limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Runs of texts of about ``limit`` bytes together, so that memory does not follow the batch."""
     first, size = 0, 0
     for i, text in enumerate(texts):
@@ -116,12 +116,12 @@ def shingle_hashes(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np
     return out, of
 
 
-def shingle_sets(texts: list[bytes], size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For runs of texts: (first text, text of each distinct shingle, its hash), sorted by both."""
+def shingle_sets(texts: list[bytes], size: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """For runs of texts: (which, text of each distinct shingle, its hash), sorted by both."""
     for first, end in chunks(texts):
         hashes, of = shingle_hashes(*word_hashes(texts[first:end]), size)
         order = np.lexsort((hashes, of))
         hashes, of = hashes[order], of[order]
         new = np.ones(len(of), bool)
         new[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
-        yield first, of[new], hashes[new]
+        yield slice(first, end), of[new], hashes[new]

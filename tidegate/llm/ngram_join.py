@@ -13,15 +13,8 @@ shingles. The method:
   in which at least two cells hold something shares a signature that is not empty, so it sends
   only those; only sets without that property also send their empty ones. No link is lost.
 
-Identical sets are one node from the start, so copies never meet as pairs. Signatures travel packed
-by hash bucket. Documents that share a signature form lists. Most lists come from passages that
-unrelated documents share, so a list's members are compared in blocks by parity bitmaps (a bit for
-each hash cell, whether the set holds an odd number of features there): the number of differing bits
-is a lower bound of the symmetric difference, so what it rules out is no link. In a first pass each member
-keeps its best partner of each list; these pairs are verified on the full sets and joined into
-components. Only lists that still reach over several components are compared again, and pairs
-between components that the bitmaps allow are verified. So a group of copies is joined by a few pairs
-a member, and no list is ever written out as all its pairs.
+Identical sets are one node from the start, so copies never meet as pairs. What shares a signature is
+compared and verified as ``signatures`` says, on the full sets at the end.
 """
 
 from __future__ import annotations
@@ -34,13 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm import bitmap as bm
+from tidegate.llm import signatures as sg
 from tidegate.llm.common import mixed, partitions, shingle_sets, written
 from tidegate.llm.components import components
 
 WORDS, PERCENT = 5, 75
-CHARS_A_BUCKET = 24_000_000  # about 5 million signatures
-BLOCK = 4096  # members of a list that one task compares with as many others
-ROWS = 128  # of those, how many at a time
+CHARS_A_BUCKET = 10_000_000  # about 2 million signatures
 _U = np.uint64
 
 
@@ -54,11 +46,6 @@ def bands(largest: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(low), np.array(high)
 
 
-def difference(a, b, percent: int):
-    """Largest symmetric difference of linked sets of these sizes."""
-    return (a + b) * (100 - percent) // (100 + percent)
-
-
 def digests(of: np.ndarray, hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """One 64-bit name for each set."""
     total = np.concatenate(([_U(0)], np.cumsum(mixed(hashes), dtype=np.uint64)))
@@ -75,10 +62,10 @@ def signatures(of, hashes, sizes, percent: int) -> Iterator[tuple[np.ndarray, np
     for step in (0, 1):
         instance = band - step
         top = high[np.maximum(instance, 0)]
-        k = difference(top, np.minimum(100 * top // percent, high[np.maximum(instance, 0) + 1]), percent)
+        k = sg.difference(top, np.minimum(100 * top // percent, high[np.maximum(instance, 0) + 1]), percent)
         live = (instance >= 0) & (sizes > 0) & (k > 0)  # k = 0: only identical sets, which are one node
         partner = 100 * sizes // percent if step == 0 else top
-        own = np.minimum(k, difference(sizes, partner, percent))
+        own = np.minimum(k, sg.difference(sizes, partner, percent))
         n1 = np.where(live, np.ceil(1.2 * (k // 2 + 1)).astype(np.int64), 0)
         base = np.cumsum(3 * n1) - 3 * n1
         total = int((3 * n1).sum())
@@ -111,305 +98,107 @@ def _texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
 
 def _sets(batch: pa.RecordBatch, words: int):
     """Runs of the batch: (rows, sizes, set of each shingle, shingle)."""
-    texts = _texts(batch, "text")
-    starts, runs = [], []
-    for first, of, hashes in shingle_sets(texts, words):
-        starts.append(first)
-        runs.append((of, hashes))
-    for i, (of, hashes) in enumerate(runs):
-        end = starts[i + 1] if i + 1 < len(starts) else len(texts)
-        rows = slice(starts[i], end)
-        yield rows, np.bincount(of, minlength=end - starts[i]), of, hashes
+    for rows, of, hashes in shingle_sets(_texts(batch, "text"), words):
+        yield rows, np.bincount(of, minlength=rows.stop - rows.start), of, hashes
 
 
 def with_sets(docs: DataFrame, id_column: str, words: int = WORDS) -> DataFrame:
-    """``doc_id, n_shingles, node``: the size of each set and its 64-bit name (null if empty)."""
+    """``doc_id, row, n_shingles, node``: the size of each set and its 64-bit name (null if empty)."""
 
     def measure(batches):
         for batch in batches:
-            ids = batch.column(0)
             for rows, sizes, of, hashes in _sets(batch, words):
                 node = pa.array(digests(of, hashes, sizes), mask=sizes == 0)
+                own = batch.slice(rows.start, rows.stop - rows.start)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(rows.start, rows.stop - rows.start), pa.array(sizes), node], ["doc_id", "n_shingles", "node"]
+                    [own.column(0), own.column(1), pa.array(sizes), node], ["doc_id", "row", "n_shingles", "node"]
                 )
 
-    source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return source.mapInArrow(measure, "doc_id long, n_shingles long, node long")
+    source = docs.select(
+        F.col(id_column).cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), F.col("text").cast("binary").alias("text")
+    )
+    return source.mapInArrow(measure, "doc_id long, row long, n_shingles long, node long")
 
 
 def _packed(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
-    """Signatures by hash bucket: for each run of documents the nodes, how many signatures each has, and those."""
-
     def pack(batches):
         for batch in batches:
             for _, sizes, of, hashes in _sets(batch, words):
                 found = list(signatures(of, hashes, sizes, percent))
-                if not found:
-                    continue
-                owner, sig = (np.concatenate(x) for x in zip(*found))
-                nodes = digests(of, hashes, sizes)
-                bucket = (sig % _U(buckets)).astype(np.int64)
-                order = np.lexsort((owner, bucket))
-                owner, sig, bucket = owner[order], sig[order] >> _U(32), bucket[order]
-                cuts = np.flatnonzero(np.diff(bucket)) + 1
-                out = []
-                for o, s, b in zip(np.split(owner, cuts), np.split(sig, cuts), bucket[np.r_[0, cuts]]):
-                    who, n = np.unique(o, return_counts=True)
-                    out.append((int(b), nodes[who].tobytes(), n.astype(np.uint32).tobytes(),
-                                s.astype(np.uint32).tobytes()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), *[pa.binary()] * 3))],
-                    ["bucket", "nodes", "counts", "keys"],
-                )
-
-    return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(
-        pack, "bucket long, nodes binary, counts binary, keys binary"
-    )
-
+                if found:
+                    owner, sig = (np.concatenate(x) for x in zip(*found))
+                    yield from sg.packed(digests(of, hashes, sizes), owner, sig, buckets)
 
-def _lists(packed: DataFrame) -> DataFrame:
-    """``list, node`` for signatures that at least two nodes share; equal lists of a bucket count once."""
-
-    def meet(group: pa.Table) -> pa.Table:
-        def all_of(name, kind):
-            return np.frombuffer(b"".join(group.column(name).to_pylist()), kind)
-
-        node = np.repeat(all_of("nodes", np.int64), all_of("counts", np.uint32))
-        key = all_of("keys", np.uint32)
-        # most signatures stand alone: a cheap sort of the keys finds the others
-        place = np.argsort(key, kind="stable")
-        same = key[place][1:] == key[place][:-1]
-        shared = np.zeros(len(key), bool)
-        shared[1:] |= same
-        shared[:-1] |= same
-        place = place[shared]
-        key, node = key[place], node[place]
-        order = np.lexsort((node, key))
-        key, node = key[order], node[order]
-        fresh = np.ones(len(key), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-        key, node = key[fresh], node[fresh]
-        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-        size = np.diff(np.r_[first, len(key)])
-        name = np.add.reduceat(mixed(node.view(np.uint64)), first) if len(first) else np.zeros(0, np.uint64)
-        _, once = np.unique(name, return_index=True)
-        chosen = np.zeros(len(first), bool)
-        chosen[once] = True
-        chosen &= size > 1
-        rows = np.repeat(chosen, size)
-        return pa.table({"list": np.repeat(name, size)[rows].view(np.int64), "node": node[rows]})
-
-    return packed.groupBy("bucket").applyInArrow(meet, "list long, node long").distinct()
-
-
-def parity(of: np.ndarray, hashes: np.ndarray, sizes: np.ndarray) -> list[bytes]:
-    """A bitmap for each set, of as many bits as the next power of two of its size (64 at least)."""
-    bits = 1 << np.maximum(6, np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
-    base = np.cumsum(bits) - bits
-    at = base[of] + (hashes & (bits[of] - 1).astype(np.uint64)).astype(np.int64)
-    odd = np.packbits((np.bincount(at, minlength=int(bits.sum())) & 1).astype(bool), bitorder="little").tobytes()
-    return [odd[b // 8 : (b + n) // 8] for b, n in zip(base, bits)]
+    return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(pack, sg.PACKED)
 
 
 def _wanted_sets(docs: DataFrame, id_column: str, wanted: DataFrame, words: int, whole: bool) -> DataFrame:
-    """``node, size, data`` for the wanted nodes, from the text of their smallest document.
-
-    ``data`` is the whole sorted set (64-bit hashes) or its parity bitmap.
-    """
-    held = bm.bitmap(wanted, "rep")
+    """``node, size, data`` for the nodes of ``wanted``, from the text of their smallest document (``rep``)."""
+    held = bm.bitmap(wanted.select(F.coalesce("rep", F.lit(0)).alias("rep")), "rep")
 
     def measure(batches):
         for batch in batches:
             ids = np.asarray(batch.column(0).fill_null(0))
-            batch = batch.take(pa.array(np.flatnonzero(bm.holds(held, ids) & ~np.asarray(batch.column(0).is_null()))))
+            batch = batch.take(pa.array(np.flatnonzero(bm.holds(held, ids))))
             for _, sizes, of, hashes in _sets(batch, words):
-                nodes, ends = digests(of, hashes, sizes), np.cumsum(sizes)
-                some = np.flatnonzero(sizes)
-                if whole:
-                    data = [hashes[ends[i] - sizes[i] : ends[i]].tobytes() for i in some]
-                else:
-                    bits = parity(of, hashes, sizes)
-                    data = [bits[i] for i in some]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes[some]), pa.array(sizes[some]), pa.array(data, pa.binary())], ["node", "size", "data"]
-                )
+                yield sg.described(digests(of, hashes, sizes), of, hashes, whole)
 
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    found = source.mapInArrow(measure, "node long, size long, data binary")
-    found = found.join(wanted.select("node"), "node", "left_semi")
-    return found.groupBy("node").agg(F.first("size").alias("size"), F.first("data").alias("data"))
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` of nodes that link, by their full sets."""
-
-    def compare(batches):
-        for batch in batches:
-            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            keep = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(left, right)):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                common = int((y[at] == x).sum())
-                keep[i] = 100 * common >= percent * (len(x) + len(y) - common)
-            yield batch.select([0, 1]).filter(pa.array(keep))
-
-    left = sets.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("data").alias("xa"))
-    right = sets.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("data").alias("xb"))
-    near = pairs.join(left, "a").join(right, "b").where(
-        (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    )
-    return near.select("a", "b", "xa", "xb").mapInArrow(compare, "a long, b long")
-
-
-def _distances(size: np.ndarray, data: list[bytes]):
-    """Differing bits between members ``i`` and ``j >= i`` of a run sorted by size, as a function of blocks."""
-    width = np.array([len(d) // 8 for d in data])
-    edges = np.r_[0, np.flatnonzero(np.diff(width)) + 1, len(width)]
-    full = [np.frombuffer(b"".join(data[s:e]), np.uint64).reshape(e - s, -1) for s, e in zip(edges[:-1], edges[1:])]
-
-    def gaps(c: int, rows: np.ndarray, d: int, cols: slice) -> np.ndarray:
-        other = full[d][cols]
-        while other.shape[1] > full[c].shape[1]:  # bits of the larger bitmap that fall together in the smaller one
-            half = other.shape[1] // 2
-            other = other[:, :half] ^ other[:, half:]
-        out = np.zeros((len(rows), len(other)), np.int64)
-        for w in range(other.shape[1]):
-            out += np.bitwise_count(full[c][rows, w][:, None] ^ other[None, :, w])
-        return out
-
-    return edges, gaps
-
-
-def _close(members: DataFrame, percent: int, best: bool) -> DataFrame:
-    """``list, a, b``: members of a list in different components (``label``) whose bitmaps allow a link.
-
-    ``best``: of those only the nearest partner of each member. A list of more than BLOCK members is
-    dealt out over several tasks, each with two blocks of it.
-    """
-    sizes = members.groupBy("list").agg(F.count("*").alias("members")).where(F.col("members") > BLOCK)
-    sized = members.join(sizes, "list", "left")
-    blocks = F.coalesce(F.ceil(F.col("members") / BLOCK).cast("int"), F.lit(1))
-    placed = sized.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-    tiles = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-        "list", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-        "block", "node", "label", "size", "data",
-    )
-
-    def pairs_of(run: dict, key: tuple) -> pa.RecordBatch | None:
-        order = np.lexsort((run["node"], run["size"]))
-        node, label, size, block = (run[c][order] for c in ("node", "label", "size", "block"))
-        edges, gaps = _distances(size, [run["data"][i] for i in order])
-        reach = np.searchsorted(size, 100 * size // percent, side="right")
-        left, right, gap = [], [], []
-        for c in range(len(edges) - 1):
-            for s in range(edges[c], edges[c + 1], ROWS):
-                i = np.arange(s, min(s + ROWS, edges[c + 1]))
-                for d in range(c, len(edges) - 1):
-                    end = min(int(reach[i].max()), edges[d + 1])
-                    begin = max(int(i[0]) + 1, edges[d])
-                    if begin >= end:
-                        continue
-                    j = np.arange(begin, end)
-                    fine = (j[None] > i[:, None]) & (j[None] < reach[i][:, None]) & (label[j][None] != label[i][:, None])
-                    if key[1] != key[2]:
-                        fine &= block[j][None] != block[i][:, None]
-                    if not fine.any():
-                        continue
-                    g = gaps(c, i - edges[c], d, slice(begin - edges[d], end - edges[d]))
-                    fine &= g <= difference(size[i][:, None], size[j][None], percent)
-                    u, v = np.nonzero(fine)
-                    left.append(i[u])
-                    right.append(j[v])
-                    gap.append(g[u, v])
-        if not left or not sum(map(len, left)):
-            return None
-        left, right, gap = map(np.concatenate, (left, right, gap))
-        if best:
-            ends, others, both = np.r_[left, right], np.r_[right, left], np.r_[gap, gap]
-            order = np.lexsort((node[others], both, ends))
-            first = order[np.r_[True, np.diff(ends[order]) != 0]]
-            left, right = ends[first], others[first]
-        a, b = node[left], node[right]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(a), key[0])), pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["list", "a", "b"]
-        )
-
-    def scan(batches):
-        kept, key = [], None
-        for batch in batches:
-            rows = {c: np.asarray(batch.column(batch.schema.get_field_index(c))) for c in ("list", "x", "y", "block", "node", "label", "size")}
-            data = batch.column(batch.schema.get_field_index("data")).to_pylist()
-            keys = np.stack([rows.pop("list"), rows.pop("x"), rows.pop("y")], 1)
-            cuts = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, len(keys)]
-            for s, e in zip(cuts[:-1], cuts[1:]):
-                if s == e:
-                    continue
-                now = tuple(int(k) for k in keys[s])
-                if key is not None and now != key and (found := pairs_of(_run(kept), key)) is not None:
-                    yield found
-                if now != key:
-                    kept, key = [], now
-                kept.append({c: v[s:e] for c, v in rows.items()} | {"data": data[s:e]})
-        if kept and (found := pairs_of(_run(kept), key)) is not None:
-            yield found
-
-    dealt = tiles.repartition(partitions(members.sparkSession), "list", "x", "y").sortWithinPartitions("list", "x", "y")
-    return dealt.mapInArrow(scan, "list long, a long, b long")
-
-
-def _run(kept: list[dict]) -> dict:
-    whole = {c: np.concatenate([k[c] for k in kept]) for c in kept[0] if c != "data"}
-    return whole | {"data": [d for k in kept for d in k["data"]]}
+    return sg.once(source.mapInArrow(measure, sg.DESCRIBED), wanted)
 
 
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
-    """``doc_id, n_shingles, node, n_copies, component_id`` for every row of ``docs`` (needs ``text``).
-
-    ``component_id`` is the smallest id reachable by links, its own included. Null or wordless
-    texts: 0 shingles, linked with nothing. Fewer words than a shingle: the whole sequence is the
-    one shingle. Texts with equal sets, repeated rows too, are one node (``n_copies`` rows have
-    it). A null id is never the smallest; a component of null ids only has a null id. Other
-    columns are ignored. An empty table gives an empty result.
+    """``doc_id, row, n_shingles, node, n_copies, group, component_id`` for every row of ``docs`` (needs ``text``).
+
+    ``component_id`` is the smallest id reachable by links, its own included; ``group`` is alike for
+    just these rows (null without words), ``row`` a hash of the text. Null or wordless texts: 0
+    shingles, linked with nothing. Fewer words than a shingle: the whole sequence is the one shingle.
+    Texts with equal sets, repeated rows too, are one node (``n_copies`` rows have it). A null id is
+    never the smallest; where all are null, so is the component's. Other columns are ignored.
+    An empty table gives an empty result.
     """
     spark = docs.sparkSession
     measured = written(with_sets(docs, id_column, words), "sets")
-    reps = measured.where("node is not null").groupBy("node").agg(
+    reps = written(measured.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("n_copies")
-    )
+    ), "nodes")
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(partitions(spark), -(-chars // CHARS_A_BUCKET))
-    lists = written(_lists(_packed(docs, words, percent, buckets)), "lists")
-
-    met = written(lists.select("node").distinct().join(reps.select("node", "rep"), "node"), "met")
-    bits = written(_wanted_sets(docs, id_column, met, words, whole=False), "bits")
-    members = lists.join(bits, "node")
-
-    # first every member's best partner in each list
-    first = written(_close(members.withColumn("label", F.col("node")), percent, best=True), "best")
-    pairs = first.select("a", "b").distinct()
-    ends = first.select(F.col("a").alias("node")).union(first.select("b")).distinct()
-    sets = written(_wanted_sets(docs, id_column, met.join(ends, "node", "left_semi"), words, whole=True), "full-sets")
-    near = written(_verified(pairs, sets, percent), "links")
-    labels = components(near)
-
-    # then what is left of lists that reach over several components; a list without a pair has no link
-    live = members.join(first.select("list").distinct(), "list", "left_semi").join(ends, "node", "left_semi")
-    labelled = live.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
-    open_lists = labelled.groupBy("list").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h")
-    rest = labelled.join(open_lists.select("list"), "list", "left_semi")
-    more = _close(rest, percent, best=False).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    links = written(near.unionByName(_verified(written(more, "close"), sets, percent)), "all-links")
-
-    named = links.join(reps.select(F.col("node").alias("a"), F.col("rep").alias("ra")), "a").join(
-        reps.select(F.col("node").alias("b"), F.col("rep").alias("rb")), "b"
+    lists = written(sg.lists_of(_packed(docs, words, percent, buckets)), "lists")
+
+    def sets_of(wanted: DataFrame, whole: bool) -> DataFrame:
+        named = written(wanted.join(reps.select("node", "rep"), "node"), "wanted")
+        return _wanted_sets(docs, id_column, named, words, whole)
+
+    joined = components(sg.linked(lists, sets_of, percent)).withColumnRenamed("component", "group")
+    smallest = reps.join(joined, "node").groupBy("group").agg(F.min("rep").alias("least"))
+    classes = reps.join(joined.join(smallest, "group"), "node", "left").select(
+        "node", "n_copies", F.coalesce("group", "node").alias("group"), F.coalesce("least", "rep").alias("least")
     )
-    joined = components(named.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
-    out = measured.join(reps, "node", "left").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+    out = measured.join(classes, "node", "left")
     return out.select(
-        "doc_id", "n_shingles", "node", F.coalesce("n_copies", F.lit(1)).alias("n_copies"),
-        F.coalesce("component", "rep", "doc_id").alias("component_id"),
+        "doc_id", "row", "n_shingles", "node", F.coalesce("n_copies", F.lit(1)).alias("n_copies"), "group",
+        F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
     )
+
+
+def deduplicated(docs: DataFrame, id_column: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each group: that of the smallest id (null last), then text hash.
+
+    Rows without words are in no group and all stay. Of rows alike in id and text one stays.
+    """
+    rows = written(near_duplicates(docs, id_column, words, percent).select("doc_id", "row", "group"), "groups")
+    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")
+    stays = rows.where("group is not null").groupBy("group").agg(F.min(place).alias("stays"))
+    ranked = rows.join(stays, "group").withColumn("place", place)
+    goes = ranked.where(F.col("place") != F.col("stays")).select("doc_id", "row")
+    repeated = ranked.where(F.col("place") == F.col("stays")).groupBy("doc_id", "row").count().where("count > 1")
+    left = bm.without(docs, written(goes, "goes"), id_column)
+    repeated = written(repeated.select("doc_id", "row"), "repeated")
+    single, likely = bm.split_off(left, repeated, id_column)
+    alike = repeated.select(F.col("doc_id").alias("_d"), F.col("row").alias("_r"))
+    again = likely.join(alike, bm.same_row(id_column), "left_semi").dropDuplicates([id_column, "_row"])
+    others = likely.join(alike, bm.same_row(id_column), "left_anti")
+    return single.unionByName(others).unionByName(again).select(docs.columns)
