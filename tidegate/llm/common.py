@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +20,26 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, unless the environment already does: their Python tasks import it."""
+    root = Path(__file__).resolve().parents[2]
+    known = {Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
+    application = spark.sparkContext.applicationId
+    if root in known or application in _shipped:
+        return
+    archive = Path(tempfile.mkdtemp()) / "tidegate.zip"  # read by the driver alone, which serves it
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted((root / "tidegate").rglob("*.py")):
+            out.write(source, source.relative_to(root))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

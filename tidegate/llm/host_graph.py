@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidegate.llm.common import lower_ascii, written
 
-DAMPING, TOLERANCE, ROUNDS = 0.85, 1e-4, 50
+DAMPING, TOLERANCE, ROUNDS = 0.85, 1e-3, 40
 DISTRUST = 1.0  # a host whose distrust is at least this many times an even share, and its trust, is blocked
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]+)"""
 
@@ -71,9 +71,9 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html", parents:
 def propagated(links: DataFrame, seeds: DataFrame) -> DataFrame:
     """``kind, host, score`` for ``seeds`` (``kind, host, weight``; kinds 'trust' and 'distrust') over ``links``.
 
-    Scores of a kind add up to at most 1. A host without links out gives its score to nobody, which is the
-    same, up to a factor, as giving it back to the seeds. Rounds end when the scores of a round
-    change by less than TOLERANCE in all, or after ROUNDS.
+    Scores of a kind add up to 1. A host without links out gives its score back to the seeds; as that
+    only multiplies all scores, it is done by the division at the end. Rounds end when a round
+    changes the scores by less than TOLERANCE in all, or after ROUNDS.
     """
     total = seeds.groupBy("kind").agg(F.sum("weight").alias("total")).where("total > 0")
     base = written(seeds.join(F.broadcast(total), "kind").select("kind", "host", (F.col("weight") / F.col("total")).alias("base")).where("base > 0"), "seeds")
@@ -96,7 +96,8 @@ def propagated(links: DataFrame, seeds: DataFrame) -> DataFrame:
         scores = moved.select("kind", "host", "score")
         if gap < TOLERANCE:
             break
-    return scores
+    whole = scores.groupBy("kind").agg(F.sum("score").alias("whole"))  # two rows at most
+    return scores.join(F.broadcast(whole), "kind").select("kind", "host", (F.col("score") / F.col("whole")).alias("score"))
 
 
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str]], links: DataFrame | None = None, distrust: float = DISTRUST) -> DataFrame:

@@ -123,12 +123,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def held_out():
-    return F.crc32(F.col("doc_id").cast("string")) % 4 == HELD_OUT
+    """Documents that nothing is learned from; a null id is none of them."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == HELD_OUT, F.lit(False))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = language_id.train(docs.where(~held_out()))
+    model = language_id.train(docs.where(~held_out() & F.col("doc_id").isNotNull()))
     guess = language_id.predicted(F.col("text"), model)
     found = docs.select("doc_id", held_out().alias("held_out"), guess.alias("g"))
     return found.select("doc_id", "held_out", F.col("g.lang").alias("lang_pred"), F.col("g.score").alias("score"))
