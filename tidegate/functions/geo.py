@@ -168,7 +168,21 @@ def _double_from_hex(digits: Column) -> Column:
     return F.when((exponent == 0) & (low == 0), F.lit(0.0)).otherwise(value)
 
 
+def _big_endian(digits: Column, start: int, n: int, little: Column) -> Column:
+    """``n`` bytes of hex digits from ``start`` on, turned round if they are in little-endian order."""
+    turned = F.concat(*[F.substring(digits, start + 2 * i, 2) for i in reversed(range(n))])
+    return F.when(little, turned).otherwise(F.substring(digits, start, 2 * n))
+
+
 def wkb_point_xy(wkb: str | Column) -> tuple[Column, Column]:
-    """Coordinates of a big-endian point in well-known binary."""
+    """Coordinates of a point in well-known binary, of either byte order; any other form is an error."""
     digits = F.hex(as_col(wkb))
-    return _double_from_hex(F.substring(digits, 11, 16)), _double_from_hex(F.substring(digits, 27, 16))
+    little = F.substring(digits, 1, 2) == "01"
+    # the kind without the flags that some writers add for a reference system or further dimensions
+    kind = F.conv(_big_endian(digits, 3, 4, little), 16, 10).cast("bigint").bitwiseAND(F.lit(0xFF)) % 1000
+    flagged = F.conv(_big_endian(digits, 3, 4, little), 16, 10).cast("bigint").bitwiseAND(F.lit(0x20000000)) != 0
+    point = F.when(kind == 1, digits).when(
+        digits.isNotNull(), F.raise_error(F.lit("not a point in well-known binary")).cast("string")
+    )
+    skip = lambda at: F.when(flagged, _big_endian(point, at + 8, 8, little)).otherwise(_big_endian(point, at, 8, little))
+    return _double_from_hex(skip(11)), _double_from_hex(skip(27))

@@ -95,6 +95,7 @@ def count_report_name(bundle: str | Column) -> Column:
 
 
 def rule_record(value: str | Column) -> Column:
-    """Rule record text as a map; single quotes and ``nan`` are put right first, else null."""
-    clean = F.replace(F.replace(as_col(value), F.lit("'"), F.lit('"')), F.lit("nan"), F.lit("null"))
-    return F.from_json(clean, "map<string,string>")
+    """Rule record text as a map. Text that is no JSON is read again with single quotes and ``nan`` put right, else null."""
+    raw = as_col(value)
+    repaired = F.replace(F.replace(raw, F.lit("'"), F.lit('"')), F.lit("nan"), F.lit("null"))
+    return F.coalesce(F.from_json(raw, "map<string,string>"), F.from_json(repaired, "map<string,string>"))

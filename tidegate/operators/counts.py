@@ -71,19 +71,19 @@ def count_lines(df: DataFrame, refs: References, bundles: DataFrame | None = Non
         .withColumn("ord", order_key(refs))
     )
     if refs.settings.compat:
-        left = with_rule.groupBy("databundelcode", "record_id", "validatieregel").agg(
+        left = with_rule.groupBy("bundle", "databundelcode", "record_id", "validatieregel").agg(
             F.count("*").alias("_assigned"), F.min("ord").alias("_first")
         )
         counted_id = F.when(F.col("by_sample"), F.col("sample_id")).otherwise(F.col("record_id"))
         right = (
             _with_level(with_rulesets(df, refs, bundles), refs)
             .where(F.col("location_code").isNotNull())
-            .groupBy("databundelcode", counted_id.alias("record_id"), "location_code")
+            .groupBy("bundle", counted_id.alias("record_id"), "location_code")
             .agg(F.count("*").alias("_found"))
         )
         totals = (
-            left.join(right, ["databundelcode", "record_id"])
-            .groupBy("databundelcode", "validatieregel", "location_code")
+            left.join(right, ["bundle", "record_id"])
+            .groupBy("bundle", "databundelcode", "validatieregel", "location_code")
             .agg(
                 F.sum(F.col("_assigned") * F.col("_found")).alias("_n"),
                 F.min_by("record_id", "_first").alias("record_id"),
@@ -93,7 +93,7 @@ def count_lines(df: DataFrame, refs: References, bundles: DataFrame | None = Non
         # Counts only the rule's own locations, and distinct samples where the rule asks for them.
         located = with_rule.where(F.col("location_code").isNotNull())
         unit = F.when(F.col("by_sample"), F.col("sample_id"))
-        keys = ["databundelcode", "validatieregel", "location_code"]
+        keys = ["bundle", "databundelcode", "validatieregel", "location_code"]
         per_sample = located.groupBy(*keys, "by_sample", unit.alias("_unit")).agg(
             F.count("*").alias("_rows"), F.min(F.struct("ord", "record_id")).alias("_first")
         )
@@ -109,6 +109,7 @@ def count_lines(df: DataFrame, refs: References, bundles: DataFrame | None = Non
     else:
         lines = lines.where(F.col("location_code") == F.col("rule_location")).withColumn("aantaldat", F.col("_n"))
     return lines.select(
+        "bundle",
         "databundelcode",
         "validatieregel",
         F.col("location_code").alias("data_location"),
@@ -132,6 +133,7 @@ def count_failures(lines: DataFrame) -> DataFrame:
         text.shown("aantalval"),
     )
     return lines.where(F.col("uitvalreden") != "").select(
+        "bundle",
         "databundelcode",
         "record_id",
         F.lit(CHECK_ORDER["counts"]).alias("check_ord"),
@@ -164,6 +166,7 @@ def count_report(lines: DataFrame, refs: References) -> DataFrame:
     """The count report: lines of equal content once, the rule as a JSON record."""
     return (
         lines.select(
+            "bundle",
             "databundelcode",
             "record_id",
             F.col("data_location").alias("locatiecode_aantal"),

@@ -26,7 +26,7 @@ def require(df: DataFrame, *columns: str) -> None:
 
 def spread_nulls(key: Column, *order: str) -> Column:
     """Give records without a key many different ones that match nothing, so a shuffle spreads them."""
-    filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*order), F.lit(4096)).cast("string"))
+    filler = F.concat(F.lit("\u0000"), F.xxhash64(*order).cast("string"))
     return F.coalesce(key, filler)
 
 

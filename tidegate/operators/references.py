@@ -18,13 +18,12 @@ from pyspark.sql import functions as F
 
 from tidegate.config import APPARATUS, MATCH_COLUMNS, RULE_TEXT_COLUMNS, VALUE_COLUMNS, Settings
 from tidegate.functions import dates, geo, text
-from tidegate.runtime import kept_side
+from tidegate.runtime import Settled, forget, settled, source_state
 
 # Stands for a missing group name, so that missing meets missing in plain comparisons.
 NO_GROUP = "\u0000"
 # Separates the rule texts that one search looks through; a value that holds it matches nothing.
 TEXT_SEPARATOR = "\u0001"
-MAX_COLUMN_DEFINITIONS = 5000
 
 
 def normalise_rules(rules: DataFrame) -> DataFrame:
@@ -64,35 +63,49 @@ class References:
         # A list without any location column gives no assignments and no counts.
         spellings = {"locatiecode", "locatie.code", "locatie_code"}
         self.has_locations_column = any(c.strip().lower() in spellings for c in self.rules.columns)
-        self._kept: list[DataFrame] = []
-        self._sides: dict[object, DataFrame] = {}
-        self.rules = self._keep(normalise_rules(self.rules))
+        self._sides: dict[object, Settled] = {}
+        self._listed = normalise_rules(self.rules)
+        self.rules = self._settle("all rules", lambda: self._listed).table
+        self._state: tuple | None = None
 
-    def side(self, name: object, build: Callable[[], DataFrame]) -> DataFrame:
-        """A look-up table for joins: computed and measured once, broadcast if small."""
+    def _settle(self, name: object, build: Callable[[], DataFrame]) -> Settled:
         if name not in self._sides:
-            self._sides[name] = kept_side(build(), self._kept)
+            self._sides[name] = settled(build())
         return self._sides[name]
 
+    def side(self, name: object, build: Callable[[], DataFrame]) -> DataFrame:
+        """A look-up table for joins: computed once, written, and read back as a plain table."""
+        return self._settle(name, build).table
+
     def clear(self) -> None:
-        """Release and forget everything derived, so that changed source files are read again."""
-        for df in self._kept:
-            df.unpersist()
-        self._kept.clear()
+        """Forget everything derived, so that changed source files are read again."""
+        forget(self._sides.values())
         self._sides.clear()
         for name in [n for n, v in vars(type(self)).items() if isinstance(v, cached_property)]:
             self.__dict__.pop(name, None)
+        self.rules = self._settle("all rules", lambda: self._listed).table
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        self._kept.append(df.persist())
-        return df
+    def refresh(self) -> None:
+        """``clear`` if a file behind the reference tables has changed since the last call.
+
+        What was derived for single deliveries is dropped in any case.
+        """
+        state = source_state(self._listed, self.groups, self.columns, self.points, self.rings)
+        if self._state is not None and state != self._state:
+            self.clear()
+        self._state = state
+        own = [n for n in self._sides if not isinstance(n, str)]
+        forget(self._sides[n] for n in own)
+        for name in own:
+            del self._sides[name]
 
     # -- rule sets ---------------------------------------------------------
 
     @cached_property
     def codes(self) -> DataFrame:
         code = F.col("databundelcode")
-        return self.rules.where(code.isNotNull()).select(code.alias("ruleset")).distinct()
+        found = self.rules.where(code.isNotNull()).select(code.alias("ruleset")).distinct()
+        return self.side("codes", lambda: found)
 
     def _with_prefixes(self, df: DataFrame, name: str) -> DataFrame:
         lengths = self.codes.agg(F.array_sort(F.collect_set(F.length("ruleset"))))
@@ -106,7 +119,7 @@ class References:
     def ruleset_rules(self) -> DataFrame:
         """One row per rule set and rule in it."""
         prefixed = self._with_prefixes(self.codes, "ruleset")
-        return self._keep(self.rules.join(prefixed, F.col("databundelcode") == F.col("_prefix")).drop("_prefix"))
+        return self.side("rules", lambda: self.rules.join(prefixed, F.col("databundelcode") == F.col("_prefix")).drop("_prefix"))
 
     def bundle_rulesets(self, bundles: DataFrame) -> DataFrame:
         """``bundle`` names with their clean name and rule set (null if no code is a prefix).
@@ -118,16 +131,15 @@ class References:
             names = bundles.groupBy("bundle").agg(F.first("header", True).alias("header"))
         names = names.withColumn("clean_name", text.clean_bundle("bundle"))
         hits = self._with_prefixes(names.select("bundle", "clean_name"), "clean_name").join(
-            self.side("codes", lambda: self.codes), F.col("_prefix") == F.col("ruleset")
+            self.codes, F.col("_prefix") == F.col("ruleset")
         )
         longest = hits.groupBy("bundle").agg(F.max_by("ruleset", F.length("ruleset")).alias("ruleset"))
         return names.join(longest, "bundle", "left")
 
     def select_rules(self, bundles: DataFrame) -> DataFrame:
         """The rules of every bundle."""
-        rules = self.side("rules", lambda: self.ruleset_rules)
         named = self.bundle_rulesets(bundles).select("bundle", "ruleset")
-        return named.join(rules, "ruleset").drop("ruleset")
+        return named.join(self.ruleset_rules, "ruleset").drop("ruleset")
 
     def bundle_side(self, bundles: DataFrame) -> DataFrame:
         """The rule set of every bundle, to join to its records."""
@@ -148,6 +160,9 @@ class References:
 
     @cached_property
     def ruleset_facts(self) -> DataFrame:
+        return self.side("facts", self._ruleset_facts)
+
+    def _ruleset_facts(self) -> DataFrame:
         """Per rule set: date bounds, settings of its first rule, and the allowed values as text."""
         strict = self.settings.strict_rule_dates
         rules = self.ruleset_rules
@@ -212,6 +227,8 @@ class References:
         wanted = self.ruleset_rules.select(
             "ruleset", F.coalesce("groep", F.lit(NO_GROUP)).alias("_group")
         ).distinct()
+        if self.groups is None:
+            raise ValueError("matching rules needs the group list")
         members = self.groups.where(F.col("parameter").isNotNull()).select(
             F.coalesce("groep", F.lit(NO_GROUP)).alias("_group"), F.lower("parameter").alias("_member")
         )
@@ -226,6 +243,8 @@ class References:
     def location_index(self) -> DataFrame:
         """Per location id: its projected points and the projected edges of its lines and areas."""
         parts = []
+        if self.points is None and self.rings is None:
+            raise ValueError("the location checks need points or shapes")
         if self.points is not None:
             east, north = geo.to_utm31("lon", "lat")
             parts.append(
@@ -268,20 +287,41 @@ class References:
     @cached_property
     def plain_locations(self) -> bool:
         """Is every location a single point? Then distances need no arrays at all."""
-        side = self.side("locations", lambda: self.location_index)
-        return not side.where(F.col("_more_points").isNotNull() | F.col("_shapes").isNotNull()).take(1)
+        side = self._settle("locations", lambda: self.location_index)
+        if "plain" not in side.facts:
+            odd = side.table.where(F.col("_more_points").isNotNull() | F.col("_shapes").isNotNull())
+            side.facts["plain"] = not odd.take(1)
+        return side.facts["plain"]
+
+    def _mandatory(self) -> DataFrame:
+        if self.columns is None:
+            raise ValueError("the check on mandatory columns needs the column definition")
+        order = F.col("col_ord") if "col_ord" in self.columns.columns else F.lit(0)
+        label = F.lower("kolomnaam")
+        return self.columns.where(F.col("ihm_verplicht") == "V").select(
+            label.alias("label"), F.replace(label, F.lit("."), F.lit("_")).alias("name"), order.cast("int").alias("ord")
+        )
 
-    @cached_property
-    def mandatory_names(self) -> list[tuple[str, str]]:
-        """Mandatory columns as (name in the report, internal name); the list is short metadata."""
-        wanted = self.columns.where(F.col("ihm_verplicht") == "V")
-        order = "col_ord" if "col_ord" in self.columns.columns else None
-        rows = wanted.limit(MAX_COLUMN_DEFINITIONS + 1).collect()
-        if len(rows) > MAX_COLUMN_DEFINITIONS:
-            raise ValueError(f"more than {MAX_COLUMN_DEFINITIONS} mandatory columns defined")
-        if order:
-            rows = sorted(rows, key=lambda r: r[order])
-        return [(r["kolomnaam"].lower(), r["kolomnaam"].lower().replace(".", "_")) for r in rows]
+    def mandatory_names(self, present: list[str]) -> list[tuple[str, str]]:
+        """Mandatory columns among those ``present``, as (name in the report, internal name).
+
+        Definitions of one column count together, so there are no more than columns.
+        """
+        side = self._settle("mandatory", self._mandatory)
+        key = ("mandatory", tuple(sorted(present)))
+        if key not in side.facts:
+            own = side.table.where(F.col("name").isin(*present)).groupBy("name").agg(
+                F.min(F.struct("ord", "label")).alias("first"), F.count("*").alias("n")
+            )
+            rows = sorted(own.collect(), key=lambda r: tuple(r["first"]))
+            side.facts[key] = [(r["first"]["label"], r["name"]) for r in rows for _ in range(r["n"])]
+        return side.facts[key]
+
+    def mandatory_others(self, present: list[str]) -> Column:
+        """The other mandatory columns as an array of (name, label, place), for records with extra columns."""
+        side = self.side("mandatory", self._mandatory)
+        entry = F.struct("name", "label", "ord")
+        return side.where(~F.col("name").isin(*present)).agg(F.array_sort(F.collect_list(entry))).scalar()
 
 
 POINTS = "array<struct<x:double,y:double>>"

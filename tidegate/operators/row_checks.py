@@ -67,6 +67,18 @@ def in_file(columns: list[str], name: str) -> Column:
     return F.col("header").isNull() | F.array_contains("header", name)
 
 
+# Columns that no delivery brings.
+OWN = ("bundle", "row_ord", "extras", "header", "lon", "lat")
+HITS = "array<struct<check:int,place:int>>"
+
+
+def _absent(columns: list[str], refs: References) -> Column:
+    """Mandatory columns besides the known ones that the bundle's file has without a value in this record."""
+    others = refs.mandatory_others([c for c in columns if c not in OWN])
+    given = F.coalesce(F.col("extras"), F.create_map().cast("map<string,string>"))
+    return F.filter(others, lambda o: F.map_contains_key(given, o["name"]) & given[o["name"]].isNull())
+
+
 def _mandatory(columns: list[str], refs: References) -> list[Check]:
     return [
         Check(
@@ -77,8 +89,7 @@ def _mandatory(columns: list[str], refs: References) -> list[Check]:
             F.lit(f"geen waarde in bestand voor: {label}"),
             position,
         )
-        for position, (label, name) in enumerate(refs.mandatory_names, start=1)
-        if name in columns
+        for position, (label, name) in enumerate(refs.mandatory_names([c for c in columns if c not in OWN]), start=1)
     ]
 
 
@@ -242,9 +253,6 @@ def with_distances(df: DataFrame, refs: References) -> DataFrame:
     return near.withColumn("_metres_more", F.concat(F.coalesce(to_points, none), F.coalesce(to_shapes, none)))
 
 
-# Numbers from here on stand for the far geometries beyond the first, by their place.
-MORE = 1000
-
 
 def row_failures(
     df: DataFrame, refs: References, checks: Iterable[str] = ROW_CHECKS, bundles: DataFrame | None = None
@@ -273,28 +281,33 @@ def row_failures(
             work = work.withColumn("_far_more", F.filter("_metres_more", lambda d: d > limit))
     columns = [*df.columns, *(["header"] if "header" in work.columns else [])]
     if {"value_in_any_rule", "date_range"} & set(wanted):
-        work = work.join(refs.side("facts", lambda: refs.ruleset_facts), "ruleset", "left")
+        work = work.join(refs.ruleset_facts, "ruleset", "left")
     if "value_in_any_rule" in wanted:
         work = work.withColumn("_unsuited", _unsuited(columns, refs))
 
     rows = [c for check in wanted for c in _build(check, columns, refs)]
-    numbers = F.array(*[F.when(c.when, number) for number, c in enumerate(rows)])
+    # a hit names its check, and its place where a check can fail several times for one record
+    numbers = F.array(*[F.when(c.when, F.struct(F.lit(number).alias("check"), F.lit(-1).alias("place"))) for number, c in enumerate(rows)])
+    several = lambda number, found: F.transform(F.sequence(F.lit(0), F.size(found) - 1), lambda i: F.struct(F.lit(number).alias("check"), i.alias("place")))
+    extra = "extras" in df.columns and "mandatory_columns" in wanted
+    if extra:
+        work = work.withColumn("_absent", _absent(columns, refs))
+        rows.append(Check("mandatory_columns", config.MANDATORY, "verplichte kolom is leeg", F.lit(False), F.lit("")))
+        numbers = F.concat(numbers, F.when(F.size("_absent") > 0, several(len(rows) - 1, F.col("_absent"))).otherwise(F.array().cast(HITS)))
     if far_more:
-        count = F.size("_far_more")
-        places = F.when(count > 0, F.sequence(F.lit(MORE), F.lit(MORE - 1) + count)).otherwise(
-            F.lit([]).cast("array<int>")
-        )
-        numbers = F.concat(numbers, places)
+        distance = next(i for i, c in enumerate(rows) if c.name == "location_distance")
+        numbers = F.concat(numbers, F.when(F.size("_far_more") > 0, several(distance, F.col("_far_more"))).otherwise(F.array().cast(HITS)))
     hits = work.withColumn("_hit", F.explode(numbers)).where(F.col("_hit").isNotNull())
 
-    which, infos = F.col("_hit"), F
-    for number, c in enumerate(rows):
-        infos = infos.when(F.col("_hit") == number, c.info)
+    which, place, infos = F.col("_hit.check"), F.col("_hit.place"), F
     if far_more:
-        distance = next(i for i, c in enumerate(rows) if c.name == "location_distance")
-        which = F.when(F.col("_hit") >= MORE, distance).otherwise(F.col("_hit"))
-        more = _distance_check(refs, F.get("_far_more", F.col("_hit") - MORE))
-        infos = infos.when(F.col("_hit") >= MORE, more.info)
+        more = _distance_check(refs, F.get("_far_more", place))
+        infos = infos.when((which == distance) & (place >= 0), more.info)
+    if extra:
+        absent = F.get("_absent", place)
+        infos = infos.when((which == len(rows) - 1) & (place >= 0), F.concat(F.lit("geen waarde in bestand voor: "), absent["label"]))
+    for number, c in enumerate(rows):
+        infos = infos.when(which == number, c.info)
     table = [(CHECK_ORDER[c.name], c.column, c.section, c.reason) for c in rows]
     constant = lambda i: F.element_at(F.lit([row[i] for row in table]), which + 1)
     return hits.select(
@@ -303,7 +316,7 @@ def row_failures(
         "record_id",
         order_struct(refs).alias("ord"),
         constant(0).alias("check_ord"),
-        constant(1).alias("col_ord"),
+        (F.when((which == len(rows) - 1) & (place >= 0), len(columns) + absent["ord"]).otherwise(constant(1)) if extra else constant(1)).alias("col_ord"),
         constant(2).alias("section"),
         constant(3).alias("uitvalreden"),
         infos.alias("informatie"),

@@ -89,23 +89,23 @@ def _lines(spark: SparkSession, sf: str, scale: bool, **settings) -> tuple[DataF
 
 
 def count_reconciliation(spark: SparkSession, sf: str) -> DataFrame:
-    return _lines(spark, sf, True)[0]
+    return _lines(spark, sf, True)[0].drop("bundle")
 
 
 def count_reconciliation_samples(spark: SparkSession, sf: str) -> DataFrame:
-    return _lines(spark, sf, False)[0]
+    return _lines(spark, sf, False)[0].drop("bundle")
 
 
 def count_reconciliation_fixed(spark: SparkSession, sf: str) -> DataFrame:
-    return _lines(spark, sf, True, compat=False)[0]
+    return _lines(spark, sf, True, compat=False)[0].drop("bundle")
 
 
 def count_reconciliation_samples_fixed(spark: SparkSession, sf: str) -> DataFrame:
-    return _lines(spark, sf, False, compat=False)[0]
+    return _lines(spark, sf, False, compat=False)[0].drop("bundle")
 
 
 def count_report(spark: SparkSession, sf: str) -> DataFrame:
-    return counts.count_report(*_lines(spark, sf, True))
+    return counts.count_report(*_lines(spark, sf, True)).drop("bundle")
 
 
 def parameter_check(spark: SparkSession, sf: str) -> DataFrame:
@@ -118,7 +118,8 @@ def parameter_check(spark: SparkSession, sf: str) -> DataFrame:
 
 def collection_groups(spark: SparkSession, sf: str) -> DataFrame:
     refs = sv.references(spark, sf)
-    return collections.collection_parameters(sv.records(spark, sf), refs, sv.bundle_names(spark, sf))
+    found = collections.collection_parameters(sv.records(spark, sf), refs, sv.bundle_names(spark, sf))
+    return found.drop("bundle")
 
 
 def _collections(mode: str) -> Callable:
@@ -378,7 +379,7 @@ def stream_status(spark: SparkSession, sf: str) -> DataFrame:
     )
     root = scratch_path(spark, "stream-status")
     ingest.follow_status(updates, "arrival", root).awaitTermination()
-    return sinks.read_status_table(spark, root)
+    return sinks.read_status_table(spark, root).drop("arrival")
 
 
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
@@ -393,7 +394,7 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     arriving = spark.readStream.schema(deliveries.FILE_SCHEMA).parquet(f"{root}/landing")
     refs = _ingest_references(spark, sf)
     ingest.ingest(arriving, refs, f"{root}/out").awaitTermination()
-    failures = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/out/failures")
+    failures = spark.read.parquet(f"{root}/out/failures")
     single = failures.where(F.col("check_ord") != 40)
     return single.groupBy(F.substring_index("bundle", "+", 1).alias("bundle"), "section", "uitvalreden").agg(
         F.count("*").alias("failures")

@@ -1,15 +1,13 @@
-"""Session set-up, the shared work folder, and size-checked broadcasts."""
+"""Session set-up, the shared work folder, and look-up tables that are computed once."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A side is broadcast only when its rows, measured in the cache, stay below this.
-BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
 
 def build_session(app: str = "tidegate", master: str | None = None, **conf: str) -> SparkSession:
@@ -56,25 +54,51 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tidegate/{label}-{uuid.uuid4().hex}"
 
 
-def cached_bytes(df: DataFrame) -> int:
-    """Real size of a cached table, which is computed here if it was not yet."""
-    df.count()
-    statistics = df.select("*")._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(statistics.sizeInBytes()))
+@dataclass
+class Settled:
+    """A table computed once and written to the shared folder; ``facts`` holds what was asked about it."""
+
+    made_of: DataFrame
+    table: DataFrame
+    facts: dict
+
+
+_settled: dict[tuple[str, int], list[Settled]] = {}
 
 
-def kept_side(df: DataFrame, kept: list[DataFrame], limit: int | None = None) -> DataFrame:
-    """Compute ``df`` once, measure it, and mark it for broadcast if its size allows.
+def settled(df: DataFrame) -> Settled:
+    """``df`` as a written table, read back without its plan.
 
-    A side within the bound stays cached (spilling to disk, rebuilt if an executor is lost)
-    and is added to ``kept`` so that the caller can release it. A larger one is not cached
-    and its joins are left to Catalyst: a shuffle, whose skewed partitions adaptive
-    execution splits.
+    The same plan is computed once in a session. Nothing here decides on broadcasts: the table's
+    size in files is known to Catalyst, and a side above its threshold stays a shuffle join.
     """
-    bound = BROADCAST_LIMIT_BYTES if limit is None else limit
-    cached = df.persist()
-    if cached_bytes(cached) <= bound:
-        kept.append(cached)
-        return F.broadcast(cached)
-    cached.unpersist()
-    return df
+    entries = _settled.setdefault((df.sparkSession.sparkContext.applicationId, df.semanticHash()), [])
+    for entry in entries:
+        if entry.made_of.sameSemantics(df):
+            return entry
+    path = scratch_path(df.sparkSession, "side")
+    df.write.parquet(path)
+    entry = Settled(df, df.sparkSession.read.schema(df.schema).parquet(path), {})
+    entries.append(entry)
+    return entry
+
+
+def forget(entries: Iterable[Settled]) -> None:
+    """Have the given tables computed anew when they are asked for again."""
+    gone = list(entries)
+    for held in _settled.values():
+        held[:] = [e for e in held if not any(e is g for g in gone)]
+
+
+def source_state(*tables: DataFrame | None) -> tuple:
+    """Names, times and lengths of the files behind small tables: changes when one of them does."""
+    found = []
+    for df in tables:
+        if df is None:
+            continue
+        jvm, conf = df.sparkSession._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        for name in sorted(df.inputFiles()):
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+            status = path.getFileSystem(conf).getFileStatus(path)
+            found.append((name, status.getModificationTime(), status.getLen()))
+    return tuple(found)

@@ -16,14 +16,15 @@ from tidegate.operators.publish import EXPORT_COLUMNS
 
 # Columns of a delivery besides the published ones, and the approval marker.
 EXTRA_COLUMNS = ("namespace", "resultaatdatum", "analysecompartiment.code", "bemonsteringsapparaat.code")
-DERIVED = ("krmcriterium", "monprog.naam", "geom")
+DERIVED = ("geom",)
 APPROVAL_FILE = "akkoord.txt"
 BUNDLE_COLUMNS = tuple(
     c.replace(".", "_") for c in (*EXPORT_COLUMNS, *EXTRA_COLUMNS) if c not in DERIVED
 )
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
-INFO_SCHEMA = "path string, approved boolean, header array<string>, n_rows bigint, error string"
+# What is known of a file as a whole stands in one row of its own, with this for its place.
+FILE_ROW = -1
 
 
 def bundle_files(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
@@ -47,6 +48,8 @@ def _make_reader(encoding: str) -> Callable:
         import pyarrow as pa
         from pyarrow import csv as arrow_csv
 
+        csv.field_size_limit(2**31 - 1)  # a cell may be as long as a file
+
         def ragged(text: str, names: list[str]):
             # Short lines are filled up; a line with too many cells is an error.
             rows = list(csv.reader(io.StringIO(text, newline=""), delimiter=";"))[1:]
@@ -96,71 +99,76 @@ def _make_reader(encoding: str) -> Callable:
             if table.num_rows == 0:
                 return approved, named, None, "No CSV content found in ZIP file"
             return approved, named, table, None
-        except (zipfile.BadZipFile, UnicodeDecodeError, ValueError, StopIteration) as problem:
-            return approved, [], None, str(problem)
+        except Exception as problem:  # whatever is wrong with one file, the others go on
+            return approved, [], None, str(problem) or type(problem).__name__
 
     return read
 
 
-def bundle_info(files: DataFrame, encoding: str = "cp1252") -> DataFrame:
-    """One row per file: bundle, approval marker, header, number of rows, and why it cannot be read."""
+def bundle_contents(files: DataFrame, encoding: str = "cp1252") -> DataFrame:
+    """Files decoded once: a row about each file (``row_ord`` = FILE_ROW) and a row for each record.
+
+    Known columns are columns; all others that a file has are in the map ``extras``.
+    """
     read = _make_reader(encoding)
+    columns, file_row = list(BUNDLE_COLUMNS), FILE_ROW
 
     def decode(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        schema = pa.schema(
-            [
-                ("path", pa.string()),
-                ("approved", pa.bool_()),
-                ("header", pa.list_(pa.string())),
-                ("n_rows", pa.int64()),
-                ("error", pa.string()),
-            ]
-        )
-        for batch in batches:
-            for path, content in zip(batch.column(0), batch.column(1)):
-                approved, header, table, error = read(path.as_py(), content.as_py())
-                n = table.num_rows if table is not None else 0
-                row = [[path.as_py()], [approved], [header], [n], [error]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, f.type) for v, f in zip(row, schema)], schema=schema
-                )
-
-    info = files.select("path", "content").mapInArrow(decode, INFO_SCHEMA)
-    return info.withColumn("bundle", bundle_from_path("path"))
+        texts = pa.map_(pa.string(), pa.string())
+        about = [("approved", pa.bool_()), ("header", pa.list_(pa.string())), ("n_rows", pa.int64()), ("error", pa.string())]
+        schema = pa.schema([("path", pa.string()), ("row_ord", pa.int64()), *about, ("extras", texts), *[(c, pa.string()) for c in columns]])
 
+        def rest(part, names):
+            n = part.num_rows
+            keys = pa.array(names * n, pa.string())
+            cells = [part.column(c).to_pylist() for c in names]
+            items = pa.array([cell for row in zip(*cells) for cell in row], pa.string())
+            return pa.MapArray.from_arrays(pa.array(range(0, n * len(names) + 1, len(names)), pa.int32()), keys, items)
 
-def bundle_records(files: DataFrame, encoding: str = "cp1252") -> DataFrame:
-    """All records of all readable files: ``bundle``, ``row_ord`` and the known columns as text."""
-    read = _make_reader(encoding)
-    columns = list(BUNDLE_COLUMNS)
-
-    def decode(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        fields = [("path", pa.string()), ("row_ord", pa.int64())]
-        schema = pa.schema(fields + [(c, pa.string()) for c in columns])
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1)):
-                _, _, table, _ = read(path.as_py(), content.as_py())
-                if table is None:
-                    continue
+                approved, header, table, error = read(path.as_py(), content.as_py())
+                size = table.num_rows if table is not None else 0
+                first = [path.as_py(), file_row, approved, header, size, error, None, *[None] * len(columns)]
+                yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(first, schema)], schema=schema)
                 start = 0
-                for part in table.to_batches(max_chunksize=10000):
+                for part in table.to_batches(max_chunksize=10000) if table is not None else ():
                     n = part.num_rows
                     have = set(part.schema.names)
-                    arrays = [
-                        pa.array([path.as_py()] * n, pa.string()),
-                        pa.array(range(start, start + n), pa.int64()),
-                    ]
+                    others = [c for c in part.schema.names if c not in set(columns)]
+                    arrays = [pa.array([path.as_py()] * n, pa.string()), pa.array(range(start, start + n), pa.int64())]
+                    arrays += [pa.nulls(n, kind) for _, kind in about]
+                    arrays.append(rest(part, others) if others else pa.nulls(n, texts))
                     arrays += [part.column(c) if c in have else pa.nulls(n, pa.string()) for c in columns]
                     yield pa.RecordBatch.from_arrays(arrays, schema=schema)
                     start += n
 
-    schema = "path string, row_ord bigint, " + ", ".join(f"`{c}` string" for c in columns)
-    rows = files.select("path", "content").mapInArrow(decode, schema)
-    return with_coordinates(rows.withColumn("bundle", bundle_from_path("path")).drop("path"))
+    schema = (
+        "path string, row_ord bigint, approved boolean, header array<string>, n_rows bigint, error string, "
+        "extras map<string,string>, " + ", ".join(f"`{c}` string" for c in columns)
+    )
+    return files.select("path", "content").mapInArrow(decode, schema).withColumn("bundle", bundle_from_path("path"))
+
+
+def info_of(contents: DataFrame) -> DataFrame:
+    """One row per file: bundle, approval marker, header, number of rows, and why it cannot be read."""
+    return contents.where(F.col("row_ord") == FILE_ROW).select("path", "approved", "header", "n_rows", "error", "bundle")
+
+
+def records_of(contents: DataFrame) -> DataFrame:
+    """All records of all readable files: ``bundle``, ``row_ord``, the known columns as text, and ``extras``."""
+    rows = contents.where(F.col("row_ord") != FILE_ROW)
+    return with_coordinates(rows.drop("path", "approved", "header", "n_rows", "error"))
+
+
+def bundle_info(files: DataFrame, encoding: str = "cp1252") -> DataFrame:
+    return info_of(bundle_contents(files, encoding))
+
+
+def bundle_records(files: DataFrame, encoding: str = "cp1252") -> DataFrame:
+    return records_of(bundle_contents(files, encoding))
 
 
 def with_coordinates(records: DataFrame) -> DataFrame:

@@ -23,15 +23,20 @@ def read_csv(spark: SparkSession, path: str, sep: str = ";", encoding: str = "cp
     return raw.select(*[text.blank_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns])
 
 
+def one_file(df: DataFrame, path: str) -> DataFrame:
+    """``df`` if it is read from one file, whose rows then are in file order."""
+    if len(df.inputFiles()) != 1:
+        raise ValueError(f"{path}: an ordered list must be one file")
+    return df
+
+
 def read_list(spark: SparkSession, path: str, sep: str = ";", encoding: str = "cp1252") -> DataFrame:
     """One reference file with ``new_index`` 1..N in file order.
 
     Read with multi-line records a file is never split, so the rows of its one partition
     keep their file order and the index is the same in every run.
     """
-    df = read_csv(spark, path, sep, encoding)
-    if len(df.inputFiles()) != 1:
-        raise ValueError(f"{path}: an ordered list must be one file")
+    df = one_file(read_csv(spark, path, sep, encoding), path)
     return df.withColumn("new_index", F.monotonically_increasing_id() + 1)
 
 
@@ -109,7 +114,7 @@ def read_dashboard_csv(
     for c in numbers:
         if c in names:
             df = df.withColumn(c, F.col(c).try_cast("double").cast("bigint"))
-    return df.withColumn("ord", F.monotonically_increasing_id())
+    return one_file(df, path).withColumn("ord", F.monotonically_increasing_id())
 
 
 def read_status(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
@@ -126,7 +131,8 @@ def read_planning(spark: SparkSession, path: str, encoding: str = "utf-8") -> Da
     df = raw.toDF(*[c.strip() for c in raw.columns])
     columns = ("databundelcode", "criteria", "leverdatum")
     value = lambda c: F.coalesce(F.col(c), F.lit("")) if c in df.columns else F.lit("")
-    return df.select(*[value(c).alias(c) for c in columns]).withColumn("ord", F.monotonically_increasing_id())
+    listed = one_file(df, path).select(*[value(c).alias(c) for c in columns])
+    return listed.withColumn("ord", F.monotonically_increasing_id())
 
 
 def read_count_report(spark: SparkSession, folder: str, bundle: str) -> DataFrame:

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegate.functions.text import clean_bundle
 from tidegate.operators import publish, report
 from tidegate.operators.references import References
 from tidegate.plans.validate import validate
@@ -37,45 +36,51 @@ def process_files(files: DataFrame, refs: References, root: str, version: int |
     """
     spark = files.sparkSession
     label = "latest" if version is None else f"batch-{version}"
-    deliveries.bundle_info(files).write.mode("overwrite").parquet(f"{root}/bundles/{label}")
-    info = spark.read.parquet(f"{root}/bundles/{label}").where(F.col("error").isNull())
-    deliveries.bundle_records(files).write.mode("overwrite").parquet(f"{root}/records/{label}")
-    records = spark.read.parquet(f"{root}/records/{label}")
+    deliveries.bundle_contents(files).write.mode("overwrite").parquet(f"{root}/contents/{label}")
+    contents = spark.read.parquet(f"{root}/contents/{label}")
+    records, every = deliveries.records_of(contents), deliveries.info_of(contents)
+    info = every.where(F.col("error").isNull())
+    every.write.mode("overwrite").parquet(f"{root}/bundles/{label}")
+    # a delivery replaces all results of an earlier one, whatever comes of it
+    results = ("failures", "counts", "summaries", "geopackages")
+    for name in results:
+        sinks.withdraw(spark, f"{root}/{name}", every)
 
     result = validate(records, refs, bundles=info, approvals=info)
-    names = info.select("bundle", clean_bundle("bundle").alias("databundelcode"))
-    failures = result.failures.join(names, "databundelcode")
-    failures.write.mode("overwrite").parquet(f"{root}/failures/{label}")
-    found = spark.read.parquet(f"{root}/failures/{label}")
-    sinks.write_partitioned(result.counts.join(names, "databundelcode"), f"{root}/counts")
+    sinks.write_partitioned(result.failures, f"{root}/failures")
+    found = _of(spark, f"{root}/failures", info, result.failures)
+    sinks.write_partitioned(result.counts, f"{root}/counts")
 
     summary = report.bundle_summary(info, found, info)
-    summary.write.mode("overwrite").parquet(f"{root}/summaries/{label}")
-    settled = spark.read.parquet(f"{root}/summaries/{label}")
-    exports = f"{root}/geopackages"
-    may_leave = F.col("bundle_valid") | F.col("has_akkoord")
-    sinks.withdraw(spark, exports, settled.where(~may_leave))
+    sinks.write_partitioned(summary, f"{root}/summaries")
+    settled = _of(spark, f"{root}/summaries", info, summary)
     gated = publish.gate(records, refs, settled)
     shaped = publish.export_columns(publish.expand_criteria(gated, refs, info), keep=["bundle"])
-    sinks.write_partitioned(shaped, exports)
+    sinks.write_partitioned(shaped, f"{root}/geopackages")
     updates = publish.status_rows(refs, settled, F.current_timestamp())
     sinks.write_status(spark, f"{root}/status", updates, version)
     return settled
 
 
+def _of(spark: SparkSession, path: str, info: DataFrame, made: DataFrame) -> DataFrame:
+    """What a partitioned result holds of the given bundles, with the columns it was made with."""
+    written = spark.read.schema(made.schema).parquet(path)
+    return written.join(info.select("bundle").distinct(), "bundle", "left_semi").select(made.columns)
+
+
 def ingest(files: DataFrame, refs: References, root: str, available_now: bool = True) -> StreamingQuery:
     """Run ``process_files`` on every batch of a stream of files."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        refs.refresh()
         process_files(batch, refs, root, batch_id)
-        refs.clear()
 
     writer = files.writeStream.foreachBatch(run).option("checkpointLocation", f"{root}/checkpoint")
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def follow_status(updates: DataFrame, order: str, root: str, available_now: bool = True) -> StreamingQuery:
-    """Keep the status table at the latest update per bundle.
+    """Keep the status table at the latest update per bundle, in whatever order they arrive.
 
     ``updates`` is a stream of ``(databundelcode, krmcriterium, last_updated, status)`` plus the
     column ``order`` that ranks updates of one bundle.
@@ -83,7 +88,7 @@ def follow_status(updates: DataFrame, order: str, root: str, available_now: bool
     spark = updates.sparkSession
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        sinks.write_status(spark, root, sinks.latest_updates(batch, order), batch_id)
+        sinks.write_status(spark, root, sinks.latest_updates(batch, order), batch_id, order)
 
     writer = updates.writeStream.foreachBatch(run).option("checkpointLocation", f"{root}-checkpoint")
     return (writer.trigger(availableNow=True) if available_now else writer).start()
