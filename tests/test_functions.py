@@ -55,8 +55,8 @@ def test_base_code(spark, code, base):
 
 
 def test_bundle_names(spark):
-    assert value(spark, "p string", ("s3://x/input/WMR_1+Noord+x.zip",), text.bundle_from_path("p")) == "WMR_1+Noord+x"
-    assert value(spark, "p string", ("input/WMR_1+Noord%2Bx.zip",), text.bundle_from_event_key("p")) == "WMR_1 Noord+x"
+    assert value(spark, "p string", ("/landing/input/LAB_1+Noord+x.zip",), text.bundle_from_path("p")) == "LAB_1+Noord+x"
+    assert value(spark, "p string", ("input/LAB_1+Noord%2Bx.zip",), text.bundle_from_event_key("p")) == "LAB_1 Noord+x"
     assert value(spark, "p string", ("a+b",), text.clean_bundle("p")) == "a b"
     want = "validatielijst_per_locatie_met_aantal_R 1 a.csv"
     assert value(spark, "p string", ("R+1+a",), labels.count_report_name("p")) == want

@@ -8,7 +8,6 @@ import pytest
 from helpers import RECORD, RULE, frame, records, references
 from pyspark.sql import functions as F
 
-from tidegate import runtime
 from tidegate.operators import counts, matching, rank, row_checks, status
 from tidegate.plans import sample_views as sv
 
@@ -20,7 +19,7 @@ def rows(df):
 
 
 @pytest.mark.parametrize("scale", [False, True])
-def test_same_results_when_nothing_may_be_broadcast(spark, monkeypatch, scale):
+def test_same_results_when_nothing_may_be_broadcast(spark, scale):
     m, names = sv.records(spark, SF), sv.bundle_names(spark, SF)
 
     def run():
@@ -32,7 +31,6 @@ def test_same_results_when_nothing_may_be_broadcast(spark, monkeypatch, scale):
         )
 
     want = run()
-    monkeypatch.setattr(runtime, "BROADCAST_LIMIT_BYTES", -1)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -72,11 +72,10 @@ OWN = ("bundle", "row_ord", "extras", "header", "lon", "lat")
 HITS = "array<struct<check:int,place:int>>"
 
 
-def _absent(columns: list[str], refs: References) -> Column:
+def _absent() -> Column:
     """Mandatory columns besides the known ones that the bundle's file has without a value in this record."""
-    others = refs.mandatory_others([c for c in columns if c not in OWN])
     given = F.coalesce(F.col("extras"), F.create_map().cast("map<string,string>"))
-    return F.filter(others, lambda o: F.map_contains_key(given, o["name"]) & given[o["name"]].isNull())
+    return F.filter("_others", lambda o: F.map_contains_key(given, o["name"]) & given[o["name"]].isNull())
 
 
 def _mandatory(columns: list[str], refs: References) -> list[Check]:
@@ -291,7 +290,9 @@ def row_failures(
     several = lambda number, found: F.transform(F.sequence(F.lit(0), F.size(found) - 1), lambda i: F.struct(F.lit(number).alias("check"), i.alias("place")))
     extra = "extras" in df.columns and "mandatory_columns" in wanted
     if extra:
-        work = work.withColumn("_absent", _absent(columns, refs))
+        # in a column of its own first: a lambda function can't hold a subquery
+        work = work.withColumn("_others", refs.mandatory_others([c for c in columns if c not in OWN]))
+        work = work.withColumn("_absent", _absent()).drop("_others")
         rows.append(Check("mandatory_columns", config.MANDATORY, "verplichte kolom is leeg", F.lit(False), F.lit("")))
         numbers = F.concat(numbers, F.when(F.size("_absent") > 0, several(len(rows) - 1, F.col("_absent"))).otherwise(F.array().cast(HITS)))
     if far_more:
