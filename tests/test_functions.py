@@ -187,3 +187,12 @@ def test_reprojection_rejects_unknown_systems(spark):
     lon, _ = geo.to_lonlat("c", "x", "y")
     with pytest.raises(Exception, match="unsupported coordinate system: EPSG:28992"):
         spark.createDataFrame([("EPSG:28992", 1.0, 2.0)], "c string, x double, y double").select(lon).collect()
+
+
+def test_projection_meets_known_points(spark):
+    # on the central meridian the north coordinate is the scaled arc: the quadrant of GRS80 is 10 001 965.729 m
+    df = spark.createDataFrame([(3.0, 0.0), (3.0, 90.0)], "lon double, lat double")
+    east, north = geo.to_utm31("lon", "lat")
+    got = [tuple(r) for r in df.select(east, north).collect()]
+    assert got[0] == pytest.approx((500000.0, 0.0), abs=1e-6)
+    assert got[1] == pytest.approx((500000.0, 0.9996 * 10001965.729), abs=0.01)

@@ -5,7 +5,6 @@ Written step by step as the definitions read, without the shortcuts of the Spark
 
 from __future__ import annotations
 
-from tidegate.functions import geo
 from tidegate.plans import sample_views as sv
 
 _TABLES = {t: t for t in ("lineitem", "orders", "part", "supplier", "customer")}
@@ -83,12 +82,19 @@ _UNKNOWN = _failure(
 )
 
 
+# Fixed values, apart from those of the code under test: GRS80's eccentricity, the scaled rectifying
+# radius, and the coefficients of the series for the transverse Mercator projection.
+_ECCENTRICITY = 0.08181919084262149
+_RADIUS = 6364902.166165086
+_SERIES = (0.0008377318206303529, 7.608527714248998e-07, 1.1976380015605232e-09, 2.4433761945220637e-12)
+
+
 def _utm(lon: str, lat: str, prefix: str) -> list[str]:
     """Nested selects that turn degrees into metres, one step of the series each."""
-    e = repr(geo.ECCENTRICITY)
-    factor = repr(geo.SCALE * geo.RECTIFYING_RADIUS)
-    east = " + ".join(f"{a!r} * cos(2*{k}*{prefix}xi) * sinh(2*{k}*{prefix}eta)" for k, a in enumerate(geo.ALPHA, 1))
-    north = " + ".join(f"{a!r} * sin(2*{k}*{prefix}xi) * cosh(2*{k}*{prefix}eta)" for k, a in enumerate(geo.ALPHA, 1))
+    e = repr(_ECCENTRICITY)
+    factor = repr(_RADIUS)
+    east = " + ".join(f"{a!r} * cos(2*{k}*{prefix}xi) * sinh(2*{k}*{prefix}eta)" for k, a in enumerate(_SERIES, 1))
+    north = " + ".join(f"{a!r} * sin(2*{k}*{prefix}xi) * cosh(2*{k}*{prefix}eta)" for k, a in enumerate(_SERIES, 1))
     return [
         f"sinh(atanh(sin(radians({lat}))) - {e} * atanh({e} * sin(radians({lat})))) {prefix}t, radians({lon} - 3.0) {prefix}l",
         f"atan2({prefix}t, cos({prefix}l)) {prefix}xi, atanh(sin({prefix}l) / sqrt(1 + {prefix}t * {prefix}t)) {prefix}eta",
@@ -309,8 +315,8 @@ _EXPORTED = (
     "bemonsteringsapparaat_omschrijving", "referentiehorizontaal_code", "monprog_naam", "krmcriterium",
 )
 
-_PUBLISH = """select meetwaarde_lokaalid, grootheid_code, cast(null as varchar) apparaat, round(lon, 6) lon, round(lat, 6) lat from m where bundle = '1-URGENT'
- union all select meetwaarde_lokaalid, null, bemonsteringsapparaat_omschrijving, round(lon, 6), round(lat, 6) from m where bundle = '2-HIGH'"""
+_PUBLISH = """select meetwaarde_lokaalid, grootheid_code, cast(null as varchar) apparaat, round(lon, 6) lon, round(lat, 6) lat from m where cast(substr(bundle, 1, 1) as int) % 2 = 1
+ union all select meetwaarde_lokaalid, null, bemonsteringsapparaat_omschrijving, round(lon, 6), round(lat, 6) from m where cast(substr(bundle, 1, 1) as int) % 2 = 0"""
 
 _BASE_CODE = "case when contains({c}, '+') then trim(split_part({c}, '+', 1)) else trim(split_part({c}, ' ', 1)) end"
 _STATUS = {
@@ -353,6 +359,26 @@ _MOMENT = "strftime(last_updated, '%Y-%m-%d %H:%M:%S')"
 
 def build() -> dict[str, str]:
     return {
+        "rule_list": _sql(
+            """select cast(row_number() over (order by rule_id) + 1 as int) rule_id, databundelcode, grootheid_code, eenheid_code, locatiecode,
+            aantal, limiet, cast(null as varchar) leverdatum from rules_scale"""
+        ),
+        "status_files": _sql(
+            f"""select databundelcode, krmcriterium, {_MOMENT} last_updated, validation, approval, status, leverdatum, delivery_status,
+            publication_status, combined_status, validation_databundelcode from over""",
+            **_STATUS,
+        ),
+        "location_layer": _sql(
+            """select mp.k1, mp.k2, mp.k3, mp.k4, round(sqrt(pow(mp.d_e - g_e, 2) + pow(mp.d_n - g_n, 2)), 3) to_point,
+            round(case when crossings % 2 = 1 then 0.0 else nearest end, 3) to_area
+            from mp join reach on reach.loc = mp.loc and reach.d_e = mp.d_e and reach.d_n = mp.d_n left join lp on lp.mpnident = mp.loc""",
+            **_HAND, **_GEO,
+        ),
+        "failure_report": _sql(
+            "select section, databundelcode, uitvalreden, count(*) failures, count(distinct record_id) records from fails group by 1, 2, 3", **_ALL
+        ),
+        "code_texts": """select o_orderkey, o_orderkey % 3 <> 0 and o_orderpriority in ('1-URGENT', '3-MEDIUM') listed, o_orderkey % 5 in (0, 2) flag,
+            o_orderpriority||'+'||cast(o_orderkey as varchar) bundle from orders""",
         "rule_selection": _sql("select bundle, rule_id, databundelcode from br", **_HAND),
         "rules_exploded": _sql(
             """select rule_id, unnest(string_split(locatiecode, ';')) locatiecode,

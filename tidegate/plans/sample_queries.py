@@ -19,11 +19,12 @@ from tidegate.operators import (
     row_checks,
     status,
 )
+from tidegate.operators.references import normalise_rules
 from tidegate.plans import sample_views as sv
 from tidegate.plans.validate import run_checks, validate
 from tidegate.runtime import scratch_path
 from tidegate.sources import bundles as deliveries
-from tidegate.sources import sinks
+from tidegate.sources import sinks, tables
 from tidegate.streaming import ingest
 
 CURRENT_YEAR = 2025
@@ -193,13 +194,14 @@ def export_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _layers(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Two exported layers with different columns, the second in projected coordinates."""
+    """Two exported layers with different columns, one of every other bundle, the second in projected coordinates."""
     m = sv.records(spark, sf)
-    first = m.where("bundle = '1-URGENT'").select(
+    odd = F.substring("bundle", 1, 1).cast("int") % 2 == 1
+    first = m.where(odd).select(
         "meetwaarde_lokaalid", F.col("grootheid_code").alias("Grootheid_code"), "lon", "lat", F.lit(geo.LONLAT).alias("crs")
     )
     east, north = geo.to_utm31("lon", "lat")
-    second = m.where("bundle = '2-HIGH'").select(
+    second = m.where(~odd).select(
         "meetwaarde_lokaalid",
         F.col("bemonsteringsapparaat_omschrijving").alias("apparaat"),
         F.col("parameter_code").alias("parameter"),
@@ -419,7 +421,80 @@ def stream_publish(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(spark.read.parquet(f"{root}/published"))
 
 
+def _listed(df: DataFrame, path: str, names: dict[str, str], **options: str) -> str:
+    """One delimited file of a small table, with headers as suppliers spell them."""
+    df.withColumnsRenamed(names).coalesce(1).write.csv(path, header=True, **options)
+    return path
+
+
+def rule_list(spark: SparkSession, sf: str) -> DataFrame:
+    """The rule list written as a file with odd headers and read again: numbers follow from the lines."""
+    spelled = {"databundelcode": " DataBundelCode", "locatiecode": "Locatie.Code ", "aantal": "Aantal", "leverdatum": "extra"}
+    rules = sv.view(spark, sf, sv.RULES_SCALE).orderBy("rule_id").drop("rule_id")
+    path = _listed(rules, scratch_path(spark, "rule-list"), spelled, sep=";", encoding="cp1252")
+    read = normalise_rules(tables.read_rules(spark, path))
+    return read.select("rule_id", "databundelcode", "grootheid_code", "eenheid_code", "locatiecode", "aantal", "limiet", "leverdatum")
+
+
+def status_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Status, planning and published tables written as files and read again, then the overview of them."""
+    stamped = sv.view(spark, sf, sv.STATUS).withColumn("last_updated", _stamp("last_updated")).orderBy("ord").drop("ord")
+    planned = sv.view(spark, sf, sv.PLANNING).orderBy("ord").drop("ord")
+    spelled = {"databundelcode": "Databundelcode", "last_updated": "Last Updated"}
+    new = lambda name: scratch_path(spark, name)
+    found = tables.read_status(spark, _listed(stamped, new("status"), spelled, sep=";"), ";")
+    plan = tables.read_planning(spark, _listed(planned, new("planning"), {"criteria": " criteria"}, sep=";"))
+    out = tables.read_published(spark, _listed(sv.view(spark, sf, sv.PUBLISHED), new("published"), spelled), ",")
+    over = status.status_overview(status.parse_status(found), status.dedupe_planning(plan), out)
+    return over.withColumn("last_updated", _stamp("last_updated")).drop("akkoord_reden")
+
+
+def location_layer(spark: SparkSession, sf: str) -> DataFrame:
+    """Points and areas from one text layer, and the distance of every record to what its location has."""
+    places = sv.view(spark, sf, sv.POINTS).select("mpnident", F.format_string("POINT (%s %s)", "lon", "lat").alias("geometry"))
+    corner = F.struct("vertex", F.concat_ws(" ", F.col("lon").cast("string"), F.col("lat").cast("string")).alias("xy"))
+    rings = sv.view(spark, sf, sv.RINGS).groupBy("mpnident", "ring").agg(F.array_sort(F.collect_list(corner)).alias("v"))
+    body = F.concat(F.lit("("), F.array_join("v.xy", ", "), F.lit(")"))
+    areas = rings.groupBy("mpnident").agg(F.array_sort(F.collect_list(F.struct("ring", body.alias("b")))).alias("r"))
+    shapes = areas.select("mpnident", F.concat(F.lit("POLYGON ("), F.array_join("r.b", ", "), F.lit(")")).alias("geometry"))
+    refs = sv.references(spark, sf)
+    refs.points, refs.rings = tables.locations_from_wkt(places.unionByName(shapes))
+    known = matching.with_rulesets(sv.records(spark, sf), refs, sv.bundle_names(spark, sf))
+    found = row_checks.with_distances(row_checks.with_locations(known, refs), refs)
+    return found.where(F.col("_known_location").isNotNull()).select(
+        *KEYS, F.round("_metres", 3).alias("to_point"), F.round(F.get("_metres_more", F.lit(0)), 3).alias("to_area")
+    )
+
+
+def failure_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The failure report as a file and read again."""
+    path = scratch_path(spark, "failure-report")
+    sinks.write_failures_csv(_all_failures(spark, sf), path)
+    read = spark.read.csv(path, header=True, multiLine=False, escape="\\")
+    return read.toDF(*report.REPORT_COLUMNS).groupBy("section", "databundelcode", "uitvalreden").agg(
+        F.count("*").alias("failures"), F.countDistinct("record_id").alias("records")
+    )
+
+
+def code_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """List membership, boolean texts and bundle names from event keys, for every order."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    allowed = F.when(F.col("o_orderkey") % 3 != 0, "1-URGENT;3-MEDIUM")
+    key = F.concat(F.lit("landing/"), F.replace("o_orderpriority", F.lit(" "), F.lit("+")), F.lit("%2B"), F.col("o_orderkey").cast("string"), F.lit(".zip"))
+    return orders.select(
+        "o_orderkey",
+        text.in_list("o_orderpriority", allowed).alias("listed"),
+        text.flag_from_text(F.element_at(F.array(*map(F.lit, ("true", "False", "1", "ja", ""))), (F.col("o_orderkey") % 5 + 1).cast("int"))).alias("flag"),
+        text.bundle_from_event_key(key).alias("bundle"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "rule_list": rule_list,
+    "status_files": status_files,
+    "location_layer": location_layer,
+    "failure_report": failure_report,
+    "code_texts": code_texts,
     "rule_selection": rule_selection,
     "rules_exploded": rules_exploded,
     "rule_match": _rule_match(False),

@@ -49,13 +49,15 @@ select * from (values
  r(rule_id,databundelcode,criteria,grootheid_code,typering_code,eenheid_code,locatiecode,bemonsteringsapparaat_omschrijving,groep,startdatum,einddatum,biotaxon_of_niet,group_by,aantal,limiet,leverdatum)
 """
 
+# One rule for each combination of bundle, unit and quantity that occurs; its number follows from the
+# combination, so nothing has to be numbered as a whole.
 RULES_SCALE = """
-select cast(row_number() over (order by o_orderpriority, p_type, l_returnflag) + 1 as int) rule_id, o_orderpriority databundelcode, 'D1C1;D8C1' criteria,
+select cast(cast(substr(o_orderpriority, 1, 1) as int) * 10000 + ascii(substr(p_type, 2, 1)) * 100 + ascii(l_returnflag) as int) rule_id, o_orderpriority databundelcode, 'D1C1;D8C1' criteria,
  l_returnflag grootheid_code, cast(null as string) typering_code, p_type eenheid_code,
  'S0;S1;S2;S3;S4;S5;S6;S7;S8;S9;S10;S11;S12;S13;S14;S15;S16;S17' locatiecode, 'DEV0;DEV1' bemonsteringsapparaat_omschrijving, 'g'||cast(length(p_type) % 3 as string) groep,
  '1-1-1995' startdatum, case when l_returnflag = 'A' then '31-12-1998' else '31-12-2001' end einddatum, case when p_type like '%M%' then 'j' else 'n' end biotaxon_of_niet,
  'meetwaarde.lokaalid' group_by, case when l_returnflag = 'N' then null else 20 end aantal, case l_returnflag when 'A' then '<=' when 'R' then '>=' else '=' end limiet, '15-9-2023' leverdatum
- from (select distinct o_orderpriority from {orders}) a cross join (select distinct p_type from {part}) b cross join (select distinct l_returnflag from {lineitem}) c
+ from (select distinct o_orderpriority, p_type, l_returnflag from {lineitem} join {orders} on l_orderkey = o_orderkey join {part} on l_partkey = p_partkey) c
 """
 
 GROUPS = """
@@ -63,34 +65,40 @@ select distinct 'g'||cast(p_size % 3 as string) groep, upper(p_name) parameter f
 """
 
 POINTS = """
-select distinct 'S'||cast(s_suppkey % 20 as string) mpnident, cast(2 as double) + (s_suppkey % 20) * cast(0.1 as double) lon, cast(51.5 as double) + (s_suppkey % 20) * cast(0.1 as double) lat from {supplier} where s_suppkey % 10 <> 7
+select distinct case when s_suppkey % 10 = 7 then 'X' else 'S' end||cast(s_suppkey % 20 as string) mpnident, cast(2 as double) + (s_suppkey % 20) * cast(0.1 as double) lon, cast(51.5 as double) + (s_suppkey % 20) * cast(0.1 as double) lat from {supplier}
 """
 
-RINGS = """
-select mpnident, 0 geom, ring, vertex, cast(lon as double) lon, cast(lat as double) lat, true area from (values
- ('S5',0,0,2.45,51.95),('S5',0,1,2.55,51.95),('S5',0,2,2.55,52.05),('S5',0,3,2.45,52.05),('S5',0,4,2.45,51.95),
- ('S5',1,0,2.499,51.999),('S5',1,1,2.503,51.999),('S5',1,2,2.503,52.001),('S5',1,3,2.499,52.001),('S5',1,4,2.499,51.999)) p(mpnident,ring,vertex,lon,lat)
-"""
+# A square with a hole around every location: (ring, vertex, degrees east, degrees north) of its corners.
+_CORNERS = (
+    (0, 0, -0.05, -0.05), (0, 1, 0.05, -0.05), (0, 2, 0.05, 0.05), (0, 3, -0.05, 0.05), (0, 4, -0.05, -0.05),
+    (1, 0, -0.001, -0.001), (1, 1, 0.003, -0.001), (1, 2, 0.003, 0.001), (1, 3, -0.001, 0.001), (1, 4, -0.001, -0.001),
+)
+RINGS = " union all ".join(
+    f"select distinct 'S'||cast(s_suppkey % 20 as string) mpnident, 0 geom, {ring} ring, {vertex} vertex, "
+    f"cast(2 as double) + (s_suppkey % 20) * cast(0.1 as double) + cast({east} as double) lon, "
+    f"cast(51.5 as double) + (s_suppkey % 20) * cast(0.1 as double) + cast({north} as double) lat, true area from {{supplier}}"
+    for ring, vertex, east, north in _CORNERS
+)
 
 COLUMNS = """
 select * from (values (1,'meetobject_lokaalid','V'),(2,'begindatum','V'),(3,'kwaliteitsoordeel_code','V'),(4,'namespace','V'),(5,'parameter_code','C'),(6,'limietsymbool','N'),(7,'not_in_bundle','V')) c(col_ord,kolomnaam,ihm_verplicht)
 """
 
 STATUS = """
-select 'B_'||cast(o_custkey as string)||'+v'||cast(o_orderkey as string) databundelcode, 'ANSNL-'||o_orderpriority krmcriterium, o_orderdate last_updated,
+select case when o_custkey % 4 = 0 then 'D_' else 'B_' end||cast(o_custkey as string)||'+v'||cast(o_orderkey as string) databundelcode, 'ANSNL-'||o_orderpriority krmcriterium, o_orderdate last_updated,
  'Databundel validatie is: '||case when o_orderstatus='F' then 'True' else 'False' end||' en akkoord file is: '||case when o_orderkey % 3 = 0 then 'True' else 'False' end status,
- o_orderkey ord from {orders} where o_custkey % 4 <> 0
+ o_orderkey ord from {orders}
 """
 
 PLANNING = """
-select 'B_'||cast(c_custkey as string)||' '||c_mktsegment databundelcode, c_mktsegment criteria,
- cast(c_custkey % 28 + 1 as string)||'-'||cast(c_custkey % 12 + 1 as string)||'-'||cast(2022 + c_custkey % 4 as string) leverdatum, c_custkey ord from {customer} where c_custkey % 7 <> 0
+select case when c_custkey % 7 = 0 then 'P_' else 'B_' end||cast(c_custkey as string)||' '||c_mktsegment databundelcode, c_mktsegment criteria,
+ cast(c_custkey % 28 + 1 as string)||'-'||cast(c_custkey % 12 + 1 as string)||'-'||cast(2022 + c_custkey % 4 as string) leverdatum, c_custkey ord from {customer}
 union all select 'B_'||cast(c_custkey as string)||' extra', c_mktsegment, '15-9-2023', c_custkey + 100000000 from {customer} where c_custkey % 10 = 1
 union all select 'B_'||cast(c_custkey as string)||' '||c_mktsegment, c_mktsegment, case when c_custkey % 3 = 0 then 'onbekend' else '31-12-2026' end, c_custkey + 200000000 from {customer} where c_custkey % 9 = 2
 """
 
 PUBLISHED = """
-select 'B_'||cast(c_custkey as string)||'+'||c_mktsegment||'+final' databundelcode from {customer} where c_custkey % 5 = 0
+select case when c_custkey % 5 = 0 then 'B_' else 'U_' end||cast(c_custkey as string)||'+'||c_mktsegment||'+final' databundelcode from {customer}
 """
 
 # Map layers per criterion: one in four current, one in nine a test layer.
