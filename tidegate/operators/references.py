@@ -101,19 +101,22 @@ class References:
 
     # -- rule sets ---------------------------------------------------------
 
-    @cached_property
-    def codes(self) -> DataFrame:
+    def _codes(self) -> Settled:
         code = F.col("databundelcode")
-        found = self.rules.where(code.isNotNull()).select(code.alias("ruleset")).distinct()
-        return self.side("codes", lambda: found)
+        return self._settle("codes", lambda: self.rules.where(code.isNotNull()).select(code.alias("ruleset")).distinct())
+
+    @property
+    def codes(self) -> DataFrame:
+        return self._codes().table
 
     def _with_prefixes(self, df: DataFrame, name: str) -> DataFrame:
-        lengths = self.codes.agg(F.array_sort(F.collect_set(F.length("ruleset"))))
-        return (
-            df.withColumn("_lengths", lengths.scalar())
-            .withColumn("_prefix", F.explode(prefixes_of(F.col(name), F.col("_lengths"))))
-            .drop("_lengths")
-        )
+        side = self._codes()
+        if "lengths" not in side.facts:
+            # as many rows as codes have different lengths
+            rows = side.table.select(F.length("ruleset").alias("n")).distinct().collect()
+            side.facts["lengths"] = sorted(r["n"] for r in rows)
+        lengths = F.lit(side.facts["lengths"]).cast("array<int>")
+        return df.withColumn("_prefix", F.explode(prefixes_of(F.col(name), lengths)))
 
     @cached_property
     def ruleset_rules(self) -> DataFrame:
