@@ -24,13 +24,18 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, unless the environment already does: their Python tasks import it."""
+    """Give the Python tasks of a local session this package, unless the environment already does.
+
+    On a cluster the package is installed or sent with the job, as any other.
+    """
+    if not spark.sparkContext.master.startswith("local["):
+        return
     root = Path(__file__).resolve().parents[2]
     known = {Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
     application = spark.sparkContext.applicationId
     if root in known or application in _shipped:
         return
-    archive = Path(tempfile.mkdtemp()) / "tidegate.zip"  # read by the driver alone, which serves it
+    archive = Path(tempfile.mkdtemp()) / "tidegate.zip"
     with zipfile.ZipFile(archive, "w") as out:
         for source in sorted((root / "tidegate").rglob("*.py")):
             out.write(source, source.relative_to(root))

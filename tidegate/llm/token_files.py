@@ -19,6 +19,7 @@ import re
 import struct
 import zlib
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,18 +34,22 @@ HEAD = "<8s32sII"
 SHARD_BYTES = 4 << 20
 DICTIONARY_BYTES, LEVEL = 64 << 10, 3
 SAMPLE_DOCUMENTS, SAMPLE_BYTES = 2000, 8 << 20  # what the dictionary is trained on, at most
-CACHE = 200_000
+CACHE = 400_000  # pieces whose ids a Python worker keeps
 CHARS_A_RANGE = 64_000_000
-# Lower-case letters that no normalisation changes, and marks that end a word: such a chunk is one
-# run of letters and at most one run of marks for any tokenizer that drops white space.
-CORE = re.compile(r"([a-zà-öø-ÿ]+)([.,;:!?]*)")
+# Texts of which every step of such a tokenizer is known: lower-case letters that no normalisation changes,
+# digits, white space and marks of ASCII, but no apostrophe (endings like 's) and no special token. Their
+# pieces are runs of letters, single digits and runs of marks.
+PLAIN = re.compile(r"[a-zß-öø-ÿ0-9\x20\x09-\x0d!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]*")
+PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 
 
+@lru_cache(maxsize=2)
 def encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
     """Texts (UTF-8) to little-endian unsigned 32-bit ids, as the tokenizers library gives them.
 
     If the file says that white space is dropped between words, no token reaches over white space, so
-    the ids of a text are those of its chunks, and chunks are kept in a table of bounded size.
+    the ids of a text are those of its pieces or, if it is not PLAIN, of its chunks between white
+    space. These are kept in a table of bounded size, which tasks of one worker share.
     """
     import os
 
@@ -57,7 +62,7 @@ def encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
     first, model = steps[0], spec.get("model") or {}
     chunked = (
         first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") is True
-        and "|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+" in str(first.get("pattern")) and not spec.get("post_processor")
+        and "|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+" in (first.get("pattern") or {}).get("Regex", "") and not spec.get("post_processor")
     )
 
     def whole(texts: list[str]) -> list[bytes]:
@@ -72,29 +77,20 @@ def encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
     vocabulary = tokenizer.get_vocab()
     last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
     last[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
-    known: dict[bytes, bytes] = {}
-    cores: dict[str, bytes] = {}
+    known: dict[str, bytes] = {}
 
-    def learn_cores(words: list[str]) -> None:
+    def learn(pieces: set[str], letters: bool) -> None:
+        """Ids of new pieces; many words at a time, cut apart where a token ends a word."""
+        words = sorted(p for p in pieces if letters and p[-1].isalpha())
         for s in range(0, len(words), 256):
             some = words[s : s + 256]
             ids = np.array(tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.flatnonzero(last[ids]) + 1 if suffix else np.zeros(0, int)
-            pieces = np.split(ids, ends[:-1]) if len(ends) == len(some) else None
-            cores.update(zip(some, [p.tobytes() for p in pieces] if pieces else whole(some)))
-
-    def learn(chunks: list[bytes]) -> None:
-        split, odd = [], []
-        for chunk in chunks:
-            word = chunk.decode()
-            m = CORE.fullmatch(word.lower()) if lowers else None
-            (split.append((chunk, m[1], m[2])) if m else odd.append((chunk, word)))
-        learn_cores(sorted({p for _, core, marks in split for p in (core, marks) if p and p not in cores and p == core}))
-        fresh = sorted({marks for _, _, marks in split if marks and marks not in cores})
-        cores.update(zip(fresh, whole(fresh)))
-        for chunk, core, marks in split:
-            known[chunk] = cores[core] + (cores[marks] if marks else b"")
-        known.update(zip([c for c, _ in odd], whole([w for _, w in odd])))
+            ends = ((np.flatnonzero(last[ids]) + 1) * 4).tolist() if suffix else []
+            data = ids.tobytes()
+            parts = [data[i:j] for i, j in zip([0, *ends], ends)]
+            known.update(zip(some, parts if len(parts) == len(some) else whole(some)))
+        rest = sorted(pieces.difference(words))
+        known.update(zip(rest, whole(rest) if rest else ()))
 
     def encode(texts: list[bytes]) -> list[bytes]:
         out, begin = [], 0
@@ -105,13 +101,21 @@ def encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
                 end += 1
             if len(known) > CACHE:
                 known.clear()
-            if len(cores) > CACHE:
-                cores.clear()
-            words = [t.split() for t in texts[begin:end]]
-            missing = set().union(*words).difference(known)
-            if missing:
-                learn(sorted(missing))
-            out.extend(b"".join([known[w] for w in ws]) for ws in words)
+            split, plain, odd = [], set(), set()
+            for raw in texts[begin:end]:
+                text = raw.decode()
+                low = text.lower()
+                if lowers and PLAIN.fullmatch(low) and "<|" not in low:
+                    pieces = PIECES.findall(low)
+                    plain.update(pieces)
+                else:
+                    # a blank before the chunk keeps it apart from a piece of the same letters
+                    pieces = [" " + chunk.decode() for chunk in raw.split()]
+                    odd.update(pieces)
+                split.append(pieces)
+            learn(plain.difference(known), True)
+            learn(odd.difference(known), False)
+            out.extend(b"".join(map(known.__getitem__, pieces)) for pieces in split)
             begin = end
         return out
 
