@@ -94,18 +94,21 @@ def parity(of: np.ndarray, hashes: np.ndarray, sizes: np.ndarray) -> list[bytes]
     return [odd[b // 8 : (b + n) // 8] for b, n in zip(base, bits)]
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def common_features(x: bytes, y: bytes) -> int:
+    """Size of the intersection of two sets, each the sorted 64-bit hashes of its features."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int, common: Callable[[bytes, bytes], int]) -> DataFrame:
     """The pairs ``a, b`` of nodes that link, by their full sets."""
 
     def compare(batches):
         for batch in batches:
-            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             keep = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(left, right)):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                common = int((y[at] == x).sum())
-                keep[i] = 100 * common >= percent * (len(x) + len(y) - common)
+            for i, (x, y, n, m) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(2, 6)))):
+                shared = common(x, y)
+                keep[i] = 100 * shared >= percent * (n + m - shared)
             yield batch.select([0, 1]).filter(pa.array(keep))
 
     left = sets.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("data").alias("xa"))
@@ -113,7 +116,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     near = pairs.join(left, "a").join(right, "b").where(
         (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     )
-    return near.select("a", "b", "xa", "xb").mapInArrow(compare, "a long, b long")
+    return near.select("a", "b", "xa", "xb", "na", "nb").mapInArrow(compare, "a long, b long")
 
 
 def _distances(size: np.ndarray, data: list[bytes]):
@@ -135,10 +138,10 @@ def _distances(size: np.ndarray, data: list[bytes]):
     return edges, gaps
 
 
-def _close(members: DataFrame, percent: int, best: bool) -> DataFrame:
+def _close(members: DataFrame, percent: int, best: bool, bitmaps: Callable[[list[bytes]], list[bytes]]) -> DataFrame:
     """``list, a, b``: members of a list in different components (``label``) whose bitmaps allow a link.
 
-    ``best``: of those only the nearest partner of each member. A list of more than BLOCK members is
+    ``bitmaps`` makes the bitmaps of what describes the members. ``best``: of those only the nearest partner of each member. A list of more than BLOCK members is
     dealt out over several tasks, each with two blocks of it.
     """
     sizes = members.groupBy("list").agg(F.count("*").alias("members")).where(F.col("members") > BLOCK)
@@ -189,14 +192,42 @@ def _close(members: DataFrame, percent: int, best: bool) -> DataFrame:
             [pa.array(np.full(len(a), key[0])), pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["list", "a", "b"]
         )
 
+    def of_two(rows: dict, data: list[bytes], cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lists of two members, all at once: (which of the runs these are, first rows of those that may link)."""
+        two = np.flatnonzero(np.diff(cuts) == 2)
+        two = two[(two > 0) & (two < len(cuts) - 2)]  # the first and the last run may go on in another batch
+        first = cuts[two]
+        width = np.fromiter(map(len, data), np.int64, len(data))
+        same = width[first] == width[first + 1]
+        two, first = two[same], first[same]
+        size, label, block = rows["size"], rows["label"], rows["block"]
+        small, large = np.minimum(size[first], size[first + 1]), np.maximum(size[first], size[first + 1])
+        fine = (100 * small >= percent * large) & (label[first] != label[first + 1])
+        fine &= (rows["x"][first] == rows["y"][first]) | (block[first] != block[first + 1])
+        for n in np.unique(width[first]):
+            at = np.flatnonzero(fine & (width[first] == n))
+            if len(at):
+                left, right = (np.frombuffer(b"".join(data[i + k] for i in first[at]), np.uint64).reshape(len(at), -1) for k in (0, 1))
+                gap = np.bitwise_count(left ^ right).sum(1, dtype=np.int64)
+                fine[at] &= gap <= difference(size[first[at]], size[first[at] + 1], percent)
+        return two, first[fine]
+
     def scan(batches):
         kept, key = [], None
         for batch in batches:
             rows = {c: np.asarray(batch.column(batch.schema.get_field_index(c))) for c in ("list", "x", "y", "block", "node", "label", "size")}
-            data = batch.column(batch.schema.get_field_index("data")).to_pylist()
-            keys = np.stack([rows.pop("list"), rows.pop("x"), rows.pop("y")], 1)
+            data = bitmaps(batch.column(batch.schema.get_field_index("data")).to_pylist())
+            keys = np.stack([rows["list"], rows["x"], rows["y"]], 1)
             cuts = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, len(keys)]
-            for s, e in zip(cuts[:-1], cuts[1:]):
+            done, first = of_two(rows, data, cuts)
+            if len(first):
+                a, b = rows["node"][first], rows["node"][first + 1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows["list"][first]), pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["list", "a", "b"]
+                )
+            skip = set(done.tolist())
+            rows = {c: v for c, v in rows.items() if c not in ("list", "x", "y")}
+            for run, (s, e) in enumerate(zip(cuts[:-1], cuts[1:])):
                 if s == e:
                     continue
                 now = tuple(int(k) for k in keys[s])
@@ -204,7 +235,10 @@ def _close(members: DataFrame, percent: int, best: bool) -> DataFrame:
                     yield found
                 if now != key:
                     kept, key = [], now
-                kept.append({c: v[s:e] for c, v in rows.items()} | {"data": data[s:e]})
+                if run in skip:
+                    kept, key = [], None
+                else:
+                    kept.append({c: v[s:e] for c, v in rows.items()} | {"data": data[s:e]})
         if kept and (found := pairs_of(_run(kept), key)) is not None:
             yield found
 
@@ -236,20 +270,26 @@ def once(found: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.groupBy("node").agg(F.first("size").alias("size"), F.first("data").alias("data"))
 
 
-def linked(lists: DataFrame, sets_of: Callable[[DataFrame, bool], DataFrame], percent: int) -> DataFrame:
+def linked(
+    lists: DataFrame, sets_of: Callable[[DataFrame, bool], DataFrame], percent: int,
+    bitmaps: Callable[[list[bytes]], list[bytes]] | None = None, common: Callable[[bytes, bytes], int] = common_features,
+) -> DataFrame:
     """Links ``a, b`` that join all nodes that are linked, directly or over others, as the lists tell.
 
-    ``sets_of(wanted, whole)`` describes the wanted nodes: their full sets or their bitmaps.
+    ``sets_of(wanted, whole)`` describes the wanted nodes: their full sets or their bitmaps. With ``bitmaps`` one
+    description serves for both: it makes the bitmaps from it, and ``common`` counts shared features.
     """
     met = written(lists.select("node").distinct(), "met")
-    members = lists.join(written(sets_of(met, False), "bits"), "node")
+    described_once = written(sets_of(met, False), "described")
+    members = lists.join(described_once, "node")
+    make = bitmaps or (lambda data: data)
 
     # first every member's best partner in each list
-    first = written(_close(members.withColumn("label", F.col("node")), percent, best=True), "best")
-    pairs = first.select("a", "b").distinct()
+    first = written(_close(members.withColumn("label", F.col("node")), percent, True, make), "best")
+    pairs = written(first.select("a", "b").distinct(), "pairs")
     ends = written(first.select(F.col("a").alias("node")).union(first.select("b")).distinct(), "ends")
-    sets = written(sets_of(ends, True), "full-sets")
-    near = written(_verified(pairs, sets, percent), "near")
+    sets = described_once if bitmaps else written(sets_of(ends, True), "full-sets")
+    near = written(_verified(pairs, sets, percent, common), "near")
     labels = components(near)
 
     # then what is left of lists that reach over several components; a list without a pair has no link
@@ -257,5 +297,5 @@ def linked(lists: DataFrame, sets_of: Callable[[DataFrame, bool], DataFrame], pe
     labelled = live.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
     open_lists = labelled.groupBy("list").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h")
     rest = labelled.join(open_lists.select("list"), "list", "left_semi")
-    more = _close(rest, percent, best=False).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    return written(near.unionByName(_verified(written(more, "close"), sets, percent)), "links")
+    more = _close(rest, percent, False, make).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    return written(near.unionByName(_verified(written(more, "close"), sets, percent, common)), "links")
