@@ -139,7 +139,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int =
     wide = F.lit(False)
     for language, n in counts.items():
         # a rate that leaves about one and a half times the sample, which is then cut exactly
-        wide = wide | ((F.col("lang") == language) & (F.pmod("place", F.lit(1 << 20)) < max(1, int(min(1.0, 1.5 * sample / n) * (1 << 20)))))
+        wide = wide | ((F.col("lang") == language) & (F.pmod("place", F.lit(1 << 40)) < max(1, int(min(1.0, 1.5 * sample / n) * (1 << 40)))))
 
     def describe(batches):
         for batch in batches:

@@ -79,7 +79,7 @@ def op2_host_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id", (F.lit(1) - F.col("quality")).alias("junk"), "toxic")
-    model = toxicity.train(docs.select("doc_id", "text").join(labels, "doc_id"), ["junk", "toxic"])
+    model = toxicity.train(docs, labels, ["junk", "toxic"])
     scored = docs.select("doc_id", toxicity.scores(F.col("text"), model).alias("p"))
     return scored.select(
         "doc_id", F.col("p")[0].alias("junk_score"), F.col("p")[1].alias("toxic_score"),

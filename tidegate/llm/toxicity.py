@@ -23,7 +23,7 @@ BEGINNINGS = (4, 5, 6)  # bytes
 FOLDS = 3
 SAMPLE = 2000  # rows a combination of labels that the models are fitted on, at most
 THRESHOLD = 0.5
-CONTRAST, ROUNDS = 6.0, 300  # standard errors by which a feature's frequency must differ; rounds of descent
+CONTRAST, ROUNDS = 4.0, 300  # standard errors by which a feature's frequency must differ; rounds of descent
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 _BASE, _INVERSE = 0x5851F42D4C957F2D, pow(0x5851F42D4C957F2D, -1, 1 << 64)
@@ -111,15 +111,21 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def train(docs: DataFrame, categories: Sequence[str], text: str = "text", sample: int = SAMPLE, folds: int = FOLDS) -> dict:
-    """The chain, from rows that have a text and all labels (0 or 1).
+def train(
+    docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_column: str = "doc_id", text: str = "text",
+    sample: int = SAMPLE, folds: int = FOLDS,
+) -> dict:
+    """The chain, from documents that have a text and, in ``labels``, all labels (0 or 1).
 
-    Of each combination of labels at most about ``sample`` rows are used, picked by hash and weighted back to
-    how frequent the combination is. No rows, or a category with one value only: its probability is constant.
+    Of each combination of labels about ``sample`` rows are used, picked by a hash of the id and weighted back to
+    how frequent the combination is. They are picked before texts are looked at, so what is joined to the
+    documents is bounded by ``sample`` and sent to all of them; no text is dealt out. Rows without an id or a
+    label are left out; of repeated ids one row counts. No rows, or a category with one value
+    only: its probability is constant.
     """
-    labels = [F.col(c).cast("int").alias(f"y{i}") for i, c in enumerate(categories)]
+    ys = [F.col(c).cast("int").alias(f"y{i}") for i, c in enumerate(categories)]
     names = [f"y{i}" for i in range(len(categories))]
-    rows = docs.select(F.col(text).alias("text"), *labels).dropna().withColumn("place", F.xxhash64("text", F.lit(11)))
+    rows = labels.select(F.col(id_column).cast("long").alias("id"), *ys).dropna().withColumn("place", F.xxhash64("id", F.lit(11)))
     counts = {tuple(r[n] for n in names): r["count"] for r in rows.groupBy(*names).count().collect()}
     if not counts:
         return {"categories": list(categories), "models": []}
@@ -129,8 +135,13 @@ def train(docs: DataFrame, categories: Sequence[str], text: str = "text", sample
         for name, value in zip(names, combination):
             own = own & (F.col(name) == value)
         rate = min(1.0, sample / n)
-        chosen = chosen | (own & (F.pmod("place", F.lit(1 << 20)) < max(1, int(rate * (1 << 20)))))
+        chosen = chosen | (own & (F.pmod("place", F.lit(1 << 40)) < max(1, int(rate * (1 << 40)))))
         weight = F.when(own, F.lit(1 / rate)).otherwise(weight)
+    y = F.array(*[F.col(n).cast("double") for n in names])
+    picked = rows.where(chosen).select("id", "place", y.alias("y"), weight.alias("weight")).groupBy("id", "place").agg(
+        F.max("y").alias("y"), F.max("weight").alias("weight")
+    )
+    picked = written(picked, "picked")
 
     def describe(batches):
         for batch in batches:
@@ -142,8 +153,8 @@ def train(docs: DataFrame, categories: Sequence[str], text: str = "text", sample
                 rest = batch.slice(first, end - first)
                 yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary()), *rest.columns[1:]], ["x", *batch.schema.names[1:]])
 
-    y = F.array(*[F.col(n).cast("double") for n in names])
-    sampled = rows.where(chosen).dropDuplicates(["place"]).select("text", "place", y.alias("y"), weight.alias("weight"))
+    texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull())
+    sampled = texts.join(F.broadcast(picked), "id").dropDuplicates(["place"]).select("text", "place", "y", "weight")
     sampled = written(sampled.mapInArrow(describe, "x binary, place long, y array<double>, weight double"), "labelled")
     fold = F.pmod(F.shiftright("place", 24), F.lit(folds)).cast("int")
     sampled = sampled.withColumn("fold", fold).withColumn("extra", F.array().cast("array<double>"))
@@ -186,7 +197,10 @@ def train(docs: DataFrame, categories: Sequence[str], text: str = "text", sample
         runs = range(-1, folds) if c + 1 < len(categories) else (-1,)
         copies = sampled.withColumn("left_out", F.explode(F.array(*map(F.lit, runs))))
         fitted = written(copies.groupBy("left_out").applyInArrow(learner(c), "place long, p double, w binary"), f"chain-{c}")
-        packed = np.frombuffer(bytes(fitted.where("w is not null").first().w))
+        used = fitted.where("w is not null").first()
+        if used is None:  # no labelled document has a text
+            return {"categories": list(categories), "models": []}
+        packed = np.frombuffer(bytes(used.w))
         n = int(packed[0])
         models.append((packed[1 : n + 1].astype(np.int64), packed[n + 1 : 2 * n + 1], packed[2 * n + 1 :]))
         if c + 1 < len(categories):
