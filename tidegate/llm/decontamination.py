@@ -37,7 +37,7 @@ UNITS = frozenset(
 DIGITS = re.compile(r"[-+]?[$€£¥]?\d[\d.,:/]*")
 EDGE = "\"'`“”‘’«»()[]{}<>.,;:!?…*_|#&%$~^=+-–—/\\"
 ENDS = (".", "!", "?", ":", "…")
-KNOWN = 300_000  # tokens whose description a task keeps
+KNOWN = 100_000  # tokens whose description a task keeps
 _U = np.uint64
 
 

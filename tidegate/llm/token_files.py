@@ -34,7 +34,7 @@ HEAD = "<8s32sII"
 SHARD_BYTES = 4 << 20
 DICTIONARY_BYTES, LEVEL = 64 << 10, 3
 SAMPLE_DOCUMENTS, SAMPLE_BYTES = 2000, 8 << 20  # what the dictionary is trained on, at most
-CACHE = 400_000  # pieces whose ids a Python worker keeps
+CACHE = 200_000  # pieces whose ids a Python worker keeps
 CHARS_A_RANGE = 64_000_000
 # Texts of which every step of such a tokenizer is known: lower-case letters that no normalisation changes,
 # digits, white space and marks of ASCII, but no apostrophe (endings like 's) and no special token. Their
