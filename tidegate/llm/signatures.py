@@ -266,8 +266,8 @@ def described(nodes: np.ndarray, of: np.ndarray, hashes: np.ndarray, whole: bool
 
 def once(found: DataFrame, wanted: DataFrame) -> DataFrame:
     """One description for each wanted node."""
-    found = found.join(wanted.select("node"), "node", "left_semi")
-    return found.groupBy("node").agg(F.first("size").alias("size"), F.first("data").alias("data"))
+    single = found.groupBy("node").agg(F.first("size").alias("size"), F.first("data").alias("data"))
+    return single.join(wanted.select("node"), "node", "left_semi")
 
 
 def linked(
