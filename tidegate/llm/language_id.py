@@ -52,7 +52,7 @@ def _letters() -> np.ndarray:
     return _LETTER[0]
 
 
-def _pieces(texts: list[str], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def _pieces(texts: list[str], limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
     first, size = 0, 0
     for i, text in enumerate(texts):
         if i > first and (size + len(text) > limit or i - first >= 256):
