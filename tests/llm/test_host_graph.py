@@ -91,3 +91,22 @@ def test_the_rules_by_brute_force_on_the_smallest_table(spark):
                 if (host.lower() == name or host.lower().endswith("." + name)) and path.startswith("/" + start)]
         assert (r.host, r.path, r.rule) == (host.lower(), path, max(fits)[1] if fits else None)
         assert not fits or r.verdict == max(fits)[2]
+
+
+def test_hosts_of_one_domain_are_joined_without_a_page_on_it(spark):
+    urls = ["https://bad.example.org/en/1", "https://a.b.example.org:80/", "https://www.shop.co.uk/", "https://shop.de./", "http://10.0.0.1/", "http://[::1]/", "https://localhost/", "x", None]
+    pages = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], PAGES)
+    rows = [(r.src, r.dst, r.weight) for r in hg.host_links(pages).collect()]
+    up = {("bad.example.org", "example.org"), ("a.b.example.org:80", "a.b.example.org"), ("a.b.example.org", "b.example.org"),
+          ("b.example.org", "example.org"), ("www.shop.co.uk", "shop.co.uk"), ("shop.de.", "shop.de")}
+    assert sorted(rows) == sorted((s, d, 1.0) for a, b in up for s, d in ((a, b), (b, a)))
+    rules = [("bad.example.org/", "block")]
+    got = {r.host: (r.rule, r.distrust > 0) for r in hg.judged(pages, rules).collect()}
+    assert got["a.b.example.org:80"] == (None, True) and got["www.shop.co.uk"] == (None, False)
+
+
+def test_the_given_pages_have_edges(spark):
+    links = hg.host_links(table(spark, SF, "pages")).collect()
+    assert len(links) >= len({r.src for r in links}) > 0
+    scored = QUERIES["op2_host_graph"](spark, SF).where("host <> ''").collect()
+    assert all(r.trust > 0 for r in scored if r.host.endswith(".example.org"))

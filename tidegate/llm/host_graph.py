@@ -17,6 +17,8 @@ from tidegate.llm.common import lower_ascii, written
 
 DAMPING, TOLERANCE, ROUNDS = 0.85, 1e-3, 40
 DISTRUST = 1.0  # a host whose distrust is at least this many times an even share, and its trust, is blocked
+# Two labels under which a country's registry gives out names: no domain of its own, so its names are not joined.
+REGISTRY = r"^(ac|co|com|edu|gob|gov|go|ltd|mil|ne|net|nom|or|org|plc|sch)[.][a-z]{2}$"
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]+)"""
 
 
@@ -30,6 +32,20 @@ def path(url: Column) -> Column:
     return F.when(url.contains("://"), F.regexp_extract(url, "(?s)^.*?://[^/?#]*([^?#]*)", 1)).otherwise("")
 
 
+def domains(host_column: Column) -> Column:
+    """The host, its name without port and final dot, and every domain above that, the top level left out.
+
+    Addresses of numbers, and names longer than the 253 characters a domain may have, have nothing above them.
+    """
+    name = F.regexp_replace(host_column, r"[.]?(:[0-9]*)?$", "")
+    labels = F.split(name, "[.]", -1)
+    n = F.size(labels)
+    above = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.array_join(F.slice(labels, i, n - i + 1), "."))
+    above = F.filter(above, lambda d: ~d.rlike(REGISTRY))
+    plain = (n > 1) & (F.length(name) <= 253) & ~name.rlike(r"^[0-9.]+$|[\[\]]")
+    return F.array_distinct(F.concat(F.array(host_column), F.when(plain, above).otherwise(F.array().cast("array<string>"))))
+
+
 def rule_of(host_column: Column, path_column: Column, rules: Sequence[tuple[str, str]]) -> Column:
     """``struct<rule, verdict>`` of the longest rule that fits, else null; a rule is ``host/path...``.
 
@@ -49,8 +65,9 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html", parents:
     """``src, dst, weight``: links between different hosts, with the number of pages that have them.
 
     Absolute and scheme-relative ``href`` of anchors count, each target host once a page. ``parents`` adds a
-    link of weight 1 both ways between a host and the host that it is a subdomain of, if both
-    occur: sites vouch for their parts. Rows are added up before they are dealt out.
+    link of weight 1 both ways between a host and the domain right above it, and so on up to below the top
+    level, whether or not a page lies on that domain: so all hosts of a domain are joined. Rows are
+    added up before they are dealt out.
     """
     source = host(F.col(url))
     targets = F.array_distinct(F.transform(
@@ -62,8 +79,11 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html", parents:
     if not parents:
         return edges
     hosts = pages.select(source.alias("src")).where("src <> ''").distinct()
-    above = hosts.select("src", F.regexp_extract("src", "^[^.]+[.](.+[.].+)$", 1).alias("dst")).where("dst <> ''")
-    known = above.join(hosts.select(F.col("src").alias("dst")), "dst", "left_semi").select("src", "dst")
+    chain = hosts.select(domains(F.col("src")).alias("chain"))
+    steps = F.transform(F.sequence(F.lit(1), F.size("chain") - 1), lambda i: F.struct(
+        F.element_at("chain", i).alias("src"), F.element_at("chain", i + 1).alias("dst")
+    ))
+    known = chain.where(F.size("chain") > 1).select(F.explode(steps).alias("s")).select("s.src", "s.dst").distinct()
     both = known.union(known.select("dst", "src")).withColumn("weight", F.lit(1.0))
     return edges.unionByName(both).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
