@@ -63,3 +63,13 @@ def test_repeated_rows_empty_texts_and_empty_table(spark):
     assert [(r.size, r.target, r.taken) for r in blank] == [(0, 0.0, 0), (0, 0.0, 0)]
     empty = table(spark, SF, "documents").where("doc_id < 0")
     assert mixing.plan(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
+
+
+def test_rows_that_differ_in_source_only(spark):
+    rows = [(1, "a b", None, "s"), (1, "a b", None, "t"), (None, "d e", None, None), (None, "d e", None, "s")]
+    docs = documents(spark, rows)
+    want = {(r.doc_id, r.source): r.copies for r in mixing.plan(docs, (1, 1)).collect() if r.copies}
+    got = {}
+    for r in mixing.mixed_documents(docs, (1, 1)).collect():
+        got[(r.doc_id, r.source)] = got.get((r.doc_id, r.source), 0) + 1
+    assert got == want and {(1, "s"), (1, "t")} <= set(want)

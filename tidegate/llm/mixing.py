@@ -111,11 +111,15 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REP
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
     """The documents of the mix, each as many times as it is taken, with the columns of ``docs``."""
     taken = plan(docs, weights, repeats).where("copies > 0").select(
-        F.col("key").alias("_key"), F.col("tie").alias("_tie"), F.col("ordinal").alias("_ordinal"), F.col("copies").alias("_copies")
+        F.col("source").alias("_source"), F.col("doc_id").alias("_doc_id"),
+        *[F.col(c).alias(f"_{c}") for c in ("key", "tie", "ordinal", "copies")],
     )
     others = [F.col(c).cast("string") for c in docs.columns if c not in ("doc_id", "text", "source")]
-    named = docs.select("*", shuffle_key().alias("_key"), F.xxhash64(*others, F.lit(0)).alias("_tie"))
-    alike = Window.partitionBy("_key", "_tie").orderBy(F.lit(0))
-    named = named.withColumn("_ordinal", F.row_number().over(alike))
-    out = named.join(taken, ["_key", "_tie", "_ordinal"])
+    named = docs.select("*", shuffle_key().alias("_k"), F.xxhash64(*others, F.lit(0)).alias("_t"))
+    # numbered among the rows that the plan numbers together
+    alike = Window.partitionBy("source", "_k", "doc_id", "_t").orderBy(F.lit(0))
+    named = named.withColumn("_o", F.row_number().over(alike))
+    same = (F.col("_k") == F.col("_key")) & (F.col("_t") == F.col("_tie")) & (F.col("_o") == F.col("_ordinal"))
+    same = same & F.col("source").eqNullSafe(F.col("_source")) & F.col("doc_id").eqNullSafe(F.col("_doc_id"))
+    out = named.join(taken, same)
     return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
