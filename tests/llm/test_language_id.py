@@ -41,3 +41,12 @@ def test_small_training_tables(spark):
     assert names == ["xx", "und"] and scores.tolist() == [1.0, 0.0]
     two = li.train(documents(spark, [(1, "some text", "en"), (2, "einige worte", "de")]))
     assert li.predict(["some text", "einige worte"], two)[0] == ["en", "de"]
+
+
+def test_copies_do_not_shrink_the_sample(spark):
+    rows = [(i, f"the words of text {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyz'[i // 100]}", "en") for i in range(300)]
+    rows += [(1000 + i, f"die worte im satz {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyz'[i // 100]}", "de") for i in range(300)]
+    rows += [(9000 + i, "one and the same text", "en") for i in range(60_000)] + [(8000, "12", "en"), (8001, "??", "en")]
+    model = li.train(documents(spark, rows), sample=40)
+    assert set(model["machines"]) == {"de|en"}
+    assert li.predict(["the words of text", "die worte im satz"], model)[0] == ["en", "de"]

@@ -133,12 +133,15 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int =
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(text), F.lit(3)).alias("place")
     )
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    # different texts with a letter: copies fall together before they are counted, as in the sample
+    usable = F.when(F.col("text").rlike(r"\p{L}"), F.col("place")).alias("place")
+    different = rows.select("lang", usable).distinct().groupBy("lang").agg(F.count("place").alias("n"))
+    counts = {r.lang: max(1, r.n) for r in different.collect()}
     if not counts:
         return {"languages": [], "machines": {}}
     wide = F.lit(False)
     for language, n in counts.items():
-        # a rate that leaves about one and a half times the sample, which is then cut exactly
+        # a rate that leaves about one and a half times the sample of different texts, which is then cut exactly
         wide = wide | ((F.col("lang") == language) & (F.pmod("place", F.lit(1 << 40)) < max(1, int(min(1.0, 1.5 * sample / n) * (1 << 40)))))
 
     def describe(batches):
@@ -153,8 +156,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int =
 
     from pyspark.sql import Window
 
-    described = rows.where(wide).mapInArrow(describe, "lang string, place long, x binary")
-    described = described.dropDuplicates(["lang", "place"]).withColumn(
+    picked = rows.where(wide).groupBy("lang", "place").agg(F.first("text").alias("text")).select("lang", "text", "place")
+    described = picked.mapInArrow(describe, "lang string, place long, x binary").withColumn(
         "n", F.row_number().over(Window.partitionBy("lang").orderBy("place"))
     ).where(F.col("n") <= sample)
     languages = sorted(counts)
