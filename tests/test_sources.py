@@ -193,3 +193,14 @@ def test_published_layers_come_from_the_target_folder(spark, tmp_path, target):
     merged = publish.merge_layers(tables.read_layers(spark, str(tmp_path), target))
     sinks.write_published(merged, str(tmp_path / "published"))
     assert set(spark.read.parquet(str(tmp_path / "published")).columns) == {"a", "b", "bundle"}
+
+
+def test_ordered_part_files_are_read_side_by_side(spark, tmp_path):
+    rows = [(f"b{i}+v1", i) for i in range(40)]
+    df = spark.createDataFrame(rows, "`Databundelcode` string, ord long")
+    df.repartition(4, "ord").write.csv(str(tmp_path / "parts"), header=True, sep=";")
+    found = tables.read_status(spark, str(tmp_path / "parts"), ";", order="ord")
+    assert len(found.inputFiles()) > 1
+    assert sorted((r.databundelcode, r.ord) for r in found.collect()) == sorted(rows)
+    plan = tables.read_planning(spark, str(tmp_path / "parts"), order="ord")
+    assert plan.columns == ["databundelcode", "criteria", "leverdatum", "ord"] and plan.count() == 40

@@ -427,6 +427,12 @@ def _listed(df: DataFrame, path: str, names: dict[str, str], **options: str) ->
     return path
 
 
+def _parts(df: DataFrame, path: str, names: dict[str, str], **options: str) -> str:
+    """A folder of delimited part files of a table that grows; its ``ord`` column keeps the order."""
+    df.withColumnsRenamed(names).write.csv(path, header=True, **options)
+    return path
+
+
 def rule_list(spark: SparkSession, sf: str) -> DataFrame:
     """The rule list written as a file with odd headers and read again: numbers follow from the lines."""
     spelled = {"databundelcode": " DataBundelCode", "locatiecode": "Locatie.Code ", "aantal": "Aantal", "leverdatum": "extra"}
@@ -438,13 +444,14 @@ def rule_list(spark: SparkSession, sf: str) -> DataFrame:
 
 def status_files(spark: SparkSession, sf: str) -> DataFrame:
     """Status, planning and published tables written as files and read again, then the overview of them."""
-    stamped = sv.view(spark, sf, sv.STATUS).withColumn("last_updated", _stamp("last_updated")).orderBy("ord").drop("ord")
-    planned = sv.view(spark, sf, sv.PLANNING).orderBy("ord").drop("ord")
+    stamped = sv.view(spark, sf, sv.STATUS).withColumn("last_updated", _stamp("last_updated"))
+    planned = sv.view(spark, sf, sv.PLANNING)
+    published = sv.view(spark, sf, sv.PUBLISHED).withColumn("ord", F.monotonically_increasing_id())
     spelled = {"databundelcode": "Databundelcode", "last_updated": "Last Updated"}
     new = lambda name: scratch_path(spark, name)
-    found = tables.read_status(spark, _listed(stamped, new("status"), spelled, sep=";"), ";")
-    plan = tables.read_planning(spark, _listed(planned, new("planning"), {"criteria": " criteria"}, sep=";"))
-    out = tables.read_published(spark, _listed(sv.view(spark, sf, sv.PUBLISHED), new("published"), spelled), ",")
+    found = tables.read_status(spark, _parts(stamped, new("status"), spelled, sep=";"), ";", order="ord")
+    plan = tables.read_planning(spark, _parts(planned, new("planning"), {"criteria": " criteria"}, sep=";"), order="ord")
+    out = tables.read_published(spark, _parts(published, new("published"), spelled), ",", order="ord")
     over = status.status_overview(status.parse_status(found), status.dedupe_planning(plan), out)
     return over.withColumn("last_updated", _stamp("last_updated")).drop("akkoord_reden")
 

@@ -101,11 +101,12 @@ def guess_delimiter(spark: SparkSession, path: str) -> str:
 
 
 def read_dashboard_csv(
-    spark: SparkSession, path: str, sep: str | None = None, numbers: tuple[str, ...] = ()
+    spark: SparkSession, path: str, sep: str | None = None, numbers: tuple[str, ...] = (), order: str | None = None
 ) -> DataFrame:
     """Status, published or count-report table: headers lower-cased with underscores, ``ord`` in file order.
 
-    ``numbers`` names the columns to read as whole numbers; the others stay text.
+    ``numbers`` names the columns to read as whole numbers; the others stay text. With ``order``, a column that
+    holds each row's place, ``path`` may be a folder of part files, which are read side by side.
     """
     delimiter = sep or guess_delimiter(spark, path)
     raw = spark.read.csv(path, sep=delimiter, header=True, encoding="utf-8", multiLine=True, quote='"', escape='"')
@@ -114,23 +115,32 @@ def read_dashboard_csv(
     for c in numbers:
         if c in names:
             df = df.withColumn(c, F.col(c).try_cast("double").cast("bigint"))
+    if order:
+        return _in_order(df, order)
     return one_file(df, path).withColumn("ord", F.monotonically_increasing_id())
 
 
-def read_status(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
-    return read_dashboard_csv(spark, path, sep)
+def _in_order(df: DataFrame, order: str) -> DataFrame:
+    """``df`` with the column ``order`` as the whole number ``ord``."""
+    return df.withColumn("_ord", F.col(order).cast("bigint")).drop(order).withColumnRenamed("_ord", "ord")
 
 
-def read_published(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
-    return read_dashboard_csv(spark, path, sep)
+def read_status(spark: SparkSession, path: str, sep: str | None = None, order: str | None = None) -> DataFrame:
+    return read_dashboard_csv(spark, path, sep, order=order)
 
 
-def read_planning(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
-    """Planning columns of the rule list, missing values as empty text."""
+def read_published(spark: SparkSession, path: str, sep: str | None = None, order: str | None = None) -> DataFrame:
+    return read_dashboard_csv(spark, path, sep, order=order)
+
+
+def read_planning(spark: SparkSession, path: str, encoding: str = "utf-8", order: str | None = None) -> DataFrame:
+    """Planning columns of the rule list, missing values as empty text; ``order`` as for the other tables."""
     raw = spark.read.csv(path, sep=";", header=True, encoding=encoding, multiLine=True, quote='"', escape='"')
     df = raw.toDF(*[c.strip() for c in raw.columns])
     columns = ("databundelcode", "criteria", "leverdatum")
     value = lambda c: F.coalesce(F.col(c), F.lit("")) if c in df.columns else F.lit("")
+    if order:
+        return _in_order(df.select(*[value(c).alias(c) for c in columns], F.col(order)), order)
     listed = one_file(df, path).select(*[value(c).alias(c) for c in columns])
     return listed.withColumn("ord", F.monotonically_increasing_id())
 
