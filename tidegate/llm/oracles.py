@@ -117,4 +117,38 @@ from judged
 """
 assert "cache-control" in PERMITTED and "set-cookie" not in PERMITTED
 
-ORACLES = {"op1_warc_revisits": OP1, "op4_embedding_dedup": OP4, "op5_ngram_join": OP5, "op7_source_mixing": OP7}
+_FAILS = {
+    "short": "n_words < 50", "repeats": "100 * n_repeat_words > 50 * n_words", "symbols": "10 * n_symbols > n_words",
+    "lines": "10 * n_dup_lines > 3 * n_lines", "lengths": "word_chars < 3 * n_words or word_chars > 10 * n_words",
+}
+_COUNTED = ", ".join(f"count(*) filter ({rule}) {name}" for name, rule in _FAILS.items())
+_PRIORS = ", ".join(f"avg({n} / n_docs::double) {n}_m, coalesce(var_samp({n} / n_docs::double), 0) {n}_v" for n in _FAILS)
+_TRUE = ", ".join(f"{n}_v - {n}_m * (1 - {n}_m) * chance {n}_t" for n in _FAILS)
+_STRENGTH = ", ".join(
+    f"{n}_m, greatest(1.0, least(10000.0, case when {n}_t > 0 then {n}_m * (1 - {n}_m) / {n}_t - 1 else 10000.0 end)) {n}_s" for n in _FAILS
+)
+_BLOCKED = " or ".join(f"({n} + {n}_m * {n}_s) / (n_docs + {n}_s) > 0.5" for n in _FAILS)
+
+OP13 = f"""
+with w as (
+  select doc_id, source, coalesce(text, '') x, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') w from documents),
+l as (select *, list_filter(string_split(x, chr(10)), lambda s: regexp_matches(s, '[^\\x20\\x09-\\x0D]')) l from w),
+windows as (select doc_id, i, w[i] a, w[i + 1] b, w[i + 2] c from w, unnest(range(1, len(w) - 1)) t(i)),
+found as (select doc_id, i, count(*) over (partition by doc_id, a, b, c) n from windows),
+covered as (select doc_id, count(distinct i + j) n from found, unnest([0, 1, 2]) u(j) where n > 1 group by doc_id),
+f as (
+  select l.doc_id, source, len(w)::bigint n_words, length(array_to_string(w, ''))::bigint word_chars,
+    length(regexp_replace(x, '[^#*$%&|<>]', '', 'g'))::bigint n_symbols, len(l)::bigint n_lines,
+    (len(l) - len(list_distinct(l)))::bigint n_dup_lines, coalesce(c.n, 0)::bigint n_repeat_words
+  from l left join covered c using (doc_id)),
+hosts as (select source, count(*) n_docs, {_COUNTED} from f where source is not null group by source),
+prior as (select avg(1.0::double / n_docs) chance, {_PRIORS} from hosts),
+true_var as (select *, {_TRUE} from prior),
+strength as (select {_STRENGTH} from true_var),
+verdict as (select source, {_BLOCKED} blocked from hosts, strength)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ({_FAILS["short"]} or {_FAILS["repeats"]}) base_failed,
+  not ({_FAILS["short"]} or {_FAILS["repeats"]}) and not coalesce(blocked, false) kept, coalesce(blocked, false) host_blocked
+from f left join verdict using (source)
+"""
+
+ORACLES = {"op1_warc_revisits": OP1, "op4_embedding_dedup": OP4, "op5_ngram_join": OP5, "op7_source_mixing": OP7, "op13_host_rules": OP13}

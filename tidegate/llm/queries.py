@@ -11,6 +11,7 @@ from tidegate.llm import (
     decontamination,
     embedding_dedup,
     host_graph,
+    host_rules,
     language_id,
     line_dedup,
     mixing,
@@ -135,11 +136,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("g.lang").alias("lang_pred"), F.col("g.score").alias("score"))
 
 
+def op13_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's host is its source, as the table has no addresses."""
+    found = host_rules.judged(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_blocked"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_warc_revisits, op2_host_graph, op3_toxicity_chain, op4_embedding_dedup, op5_ngram_join, op6_line_dedup,
-        op7_source_mixing, op8_token_files, op9_decontamination, op10_language_id,
+        op7_source_mixing, op8_token_files, op9_decontamination, op10_language_id, op13_host_rules,
     )
 }
 __all__ = ["ORACLES", "QUERIES"]
