@@ -12,10 +12,12 @@ from tidegate.llm import (
     embedding_dedup,
     host_graph,
     host_rules,
+    importance_resampling,
     language_id,
     line_dedup,
     mixing,
     ngram_join,
+    spelling_variants,
     token_files,
     toxicity,
     warc_revisits,
@@ -136,6 +138,15 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("g.lang").alias("lang_pred"), F.col("g.score").alias("score"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance_resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document's host is its source, as the table has no addresses."""
     found = host_rules.judged(table(spark, sf_dir, "documents"))
@@ -148,7 +159,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_warc_revisits, op2_host_graph, op3_toxicity_chain, op4_embedding_dedup, op5_ngram_join, op6_line_dedup,
-        op7_source_mixing, op8_token_files, op9_decontamination, op10_language_id, op13_host_rules,
+        op7_source_mixing, op8_token_files, op9_decontamination, op10_language_id, op11_spelling_variants, op12_importance_resampling,
+        op13_host_rules,
     )
 }
 __all__ = ["ORACLES", "QUERIES"]
