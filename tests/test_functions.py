@@ -1,6 +1,5 @@
 """Truth tables of the column expressions."""
 
-import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -173,22 +172,6 @@ def test_utm_meridian_and_round_trip(spark):
         assert abs(r["lon"] - r["lon2"]) < 1e-10 and abs(r["lat"] - r["lat2"]) < 1e-10
 
 
-def test_wkb_is_the_ieee_layout(spark):
-    points = [(3.25, 52.123456789), (-0.1, 0.0), (1e-9, -179.999)]
-    df = spark.createDataFrame(points, "x double, y double").withColumn("w", geo.point_wkb("x", "y"))
-    x, y = geo.wkb_point_xy("w")
-    for r in df.select("x", "y", "w", x.alias("x2"), y.alias("y2")).collect():
-        assert bytes(r["w"]) == struct.pack(">BIdd", 0, 1, r["x"], r["y"])
-        assert (r["x2"], r["y2"]) == (r["x"], r["y"])
-    assert value(spark, "x double, y double", (None, 1.0), geo.point_wkb("x", "y")) is None
-
-
-def test_reprojection_rejects_unknown_systems(spark):
-    lon, _ = geo.to_lonlat("c", "x", "y")
-    with pytest.raises(Exception, match="unsupported coordinate system: EPSG:28992"):
-        spark.createDataFrame([("EPSG:28992", 1.0, 2.0)], "c string, x double, y double").select(lon).collect()
-
-
 def test_projection_meets_known_points(spark):
     # on the central meridian the north coordinate is the scaled arc: the quadrant of GRS80 is 10 001 965.729 m
     df = spark.createDataFrame([(3.0, 0.0), (3.0, 90.0)], "lon double, lat double")

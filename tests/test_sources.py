@@ -6,7 +6,7 @@ import pytest
 from helpers import RECORD, records, references
 from pyspark.sql import functions as F
 
-from tidegate.functions import geo
+from tidegate.functions import geo, wkb
 from tidegate.operators import publish, status
 from tidegate.sources import bundles, sinks, tables
 from tidegate.streaming import ingest
@@ -130,10 +130,10 @@ def test_merged_layers_share_one_system(spark):
     a = spark.createDataFrame([("1", 3.0, 52.0, geo.LONLAT, "r")], "Id string, lon double, lat double, crs string, uitvalreden string")
     east, north = geo.to_utm31("lon", "lat")
     b = spark.createDataFrame([("2", 4.0, 53.0)], "id string, lon double, lat double").withColumns({"e": east, "n": north})
-    b = b.select("id", geo.point_wkb("e", "n").alias("geom"), F.lit(geo.UTM31).alias("crs"), F.lit("x").alias("extra"))
+    b = b.select("id", wkb.point("e", "n").alias("geom"), F.lit(geo.UTM31).alias("crs"), F.lit("x").alias("extra"))
     merged = publish.merge_layers(a, b)
-    x, y = geo.wkb_point_xy("geom")
-    rows = {r["id"]: r for r in merged.withColumns({"x": x, "y": y}).collect()}
+    read = merged.withColumn("p", wkb.point_xy("geom"))
+    rows = {r["id"]: r for r in read.withColumns({"x": F.col("p.x"), "y": F.col("p.y")}).drop("p").collect()}
     assert set(merged.columns) == {"id", "lon", "lat", "geom", "extra"}
     assert abs(rows["2"]["x"] - 4) < 1e-9 and abs(rows["2"]["y"] - 53) < 1e-9 and rows["1"]["lon"] == 3.0
 

@@ -1,4 +1,4 @@
-"""UTM projection, distances and WKB as column expressions.
+"""UTM projection and distances as column expressions.
 
 The projection is the Krueger series in the third flattening n (fourth order,
 better than a tenth of a millimetre within the zone), as published by Karney
@@ -50,7 +50,7 @@ LONLAT = "EPSG:4258"
 UTM31 = "EPSG:32631"
 
 
-def _number(value: str | Column) -> Column:
+def finite(value: str | Column) -> Column:
     """A finite double; NaN becomes null, since NaN sorts above every number in Spark."""
     c = as_col(value).cast("double")
     return F.when(~F.isnan(c), c)
@@ -58,8 +58,8 @@ def _number(value: str | Column) -> Column:
 
 def to_utm31(lon: str | Column, lat: str | Column) -> tuple[Column, Column]:
     """Easting and northing (metres) of a longitude and latitude in degrees."""
-    phi = F.radians(_number(lat))
-    lam = F.radians(_number(lon) - CENTRAL_MERIDIAN)
+    phi = F.radians(finite(lat))
+    lam = F.radians(finite(lon) - CENTRAL_MERIDIAN)
     sin_phi = F.sin(phi)
     t = F.sinh(F.atanh(sin_phi) - ECCENTRICITY * F.atanh(ECCENTRICITY * sin_phi))
     xi = F.atan2(t, F.cos(lam))
@@ -74,8 +74,8 @@ def to_utm31(lon: str | Column, lat: str | Column) -> tuple[Column, Column]:
 def from_utm31(easting: str | Column, northing: str | Column) -> tuple[Column, Column]:
     """Longitude and latitude in degrees of a UTM 31N easting and northing."""
     factor = SCALE * RECTIFYING_RADIUS
-    xi = _number(northing) / factor
-    eta = (_number(easting) - FALSE_EASTING) / factor
+    xi = finite(northing) / factor
+    eta = (finite(easting) - FALSE_EASTING) / factor
     terms = list(enumerate(BETA, start=1))
     xi0 = reduce(lambda s, p: s - p[1] * F.sin(2 * p[0] * xi) * F.cosh(2 * p[0] * eta), terms, xi)
     eta0 = reduce(lambda s, p: s - p[1] * F.cos(2 * p[0] * xi) * F.sinh(2 * p[0] * eta), terms, eta)
@@ -85,17 +85,6 @@ def from_utm31(easting: str | Column, northing: str | Column) -> tuple[Column, C
     return CENTRAL_MERIDIAN + F.degrees(lon), F.degrees(lat)
 
 
-def to_lonlat(crs: str | Column, x: str | Column, y: str | Column) -> tuple[Column, Column]:
-    """Coordinates in EPSG:4258, given those in EPSG:4258 or EPSG:32631; other systems raise."""
-    system, px, py = as_col(crs), as_col(x).cast("double"), as_col(y).cast("double")
-    lon, lat = from_utm31(px, py)
-    refuse = F.raise_error(F.concat(F.lit("unsupported coordinate system: "), F.coalesce(system, F.lit("none"))))
-    pick = lambda plain, projected: (
-        F.when(system == LONLAT, plain).when(system == UTM31, projected).otherwise(refuse.cast("double"))
-    )
-    return pick(px, lon), pick(py, lat)
-
-
 def point_distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     return F.sqrt((x1 - x2) * (x1 - x2) + (y1 - y2) * (y1 - y2))
 
@@ -107,82 +96,3 @@ def segment_distance(x: Column, y: Column, x1: Column, y1: Column, x2: Column, y
     along = F.when(length2 > 0, ((x - x1) * dx + (y - y1) * dy) / length2).otherwise(F.lit(0.0))
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), along))
     return point_distance(x, y, x1 + t * dx, y1 + t * dy)
-
-
-def ring_edges(vertices: Column) -> Column:
-    """Edges ``(x1, y1, x2, y2)`` between consecutive vertices ``(x, y)`` of one ring or line."""
-    steps = F.sequence(F.lit(1), F.greatest(F.size(vertices) - 1, F.lit(1)))
-    edge = lambda i: F.struct(
-        F.element_at(vertices, i)["x"].alias("x1"),
-        F.element_at(vertices, i)["y"].alias("y1"),
-        F.element_at(vertices, F.least(i + 1, F.size(vertices)))["x"].alias("x2"),
-        F.element_at(vertices, F.least(i + 1, F.size(vertices)))["y"].alias("y2"),
-    )
-    return F.transform(steps, edge)
-
-
-def edges_distance(edges: Column, x: Column, y: Column, area: Column) -> Column:
-    """Distance to the nearest edge; 0 inside an area, holes counted out by the even-odd test."""
-    crossings = F.size(
-        F.filter(
-            edges,
-            lambda e: ((e["y1"] > y) != (e["y2"] > y))
-            & (x < (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]),
-        )
-    )
-    nearest = F.array_min(
-        F.transform(edges, lambda e: segment_distance(x, y, e["x1"], e["y1"], e["x2"], e["y2"]))
-    )
-    return F.when(x.isNull() | y.isNull(), F.lit(None).cast("double")).when(
-        area & (crossings % 2 == 1), F.lit(0.0)
-    ).otherwise(nearest)
-
-
-def _ieee_double(value: Column) -> Column:
-    """Big-endian IEEE-754 bytes of a finite double as 16 hex digits."""
-    magnitude = F.abs(value)
-    raw = F.floor(F.log2(F.when(magnitude > 0, magnitude).otherwise(F.lit(1.0)))).cast("int")
-    power = lambda e: F.pow(F.lit(2.0), e.cast("double"))
-    too_high, too_low = power(raw) > magnitude, power(raw + 1) <= magnitude
-    exponent = F.when(too_high, raw - 1).when(too_low, raw + 1).otherwise(raw)
-    fraction = (magnitude / power(exponent) - 1) * F.lit(2.0**52)
-    bits = F.when(magnitude == 0, F.lit(0).cast("bigint")).otherwise(
-        F.shiftleft((exponent + 1023).cast("bigint"), 52) + fraction.cast("bigint")
-    )
-    signed = F.when(value < 0, bits.bitwiseOR(F.lit(-(2**63)))).otherwise(bits)
-    return F.lpad(F.hex(signed), 16, "0")
-
-
-def point_wkb(x: str | Column, y: str | Column) -> Column:
-    """Point as big-endian well-known binary, null if a coordinate is missing."""
-    px, py = _number(x), _number(y)
-    return F.unhex(F.concat(F.lit("0000000001"), _ieee_double(px), _ieee_double(py)))
-
-
-def _double_from_hex(digits: Column) -> Column:
-    low = F.conv(F.substring(digits, 4, 13), 16, 10).cast("double")
-    head = F.conv(F.substring(digits, 1, 3), 16, 10).cast("int")
-    sign = F.when(head >= 2048, F.lit(-1.0)).otherwise(F.lit(1.0))
-    exponent = head % 2048
-    value = sign * (1 + low / F.lit(2.0**52)) * F.pow(F.lit(2.0), (exponent - 1023).cast("double"))
-    return F.when((exponent == 0) & (low == 0), F.lit(0.0)).otherwise(value)
-
-
-def _big_endian(digits: Column, start: int, n: int, little: Column) -> Column:
-    """``n`` bytes of hex digits from ``start`` on, turned round if they are in little-endian order."""
-    turned = F.concat(*[F.substring(digits, start + 2 * i, 2) for i in reversed(range(n))])
-    return F.when(little, turned).otherwise(F.substring(digits, start, 2 * n))
-
-
-def wkb_point_xy(wkb: str | Column) -> tuple[Column, Column]:
-    """Coordinates of a point in well-known binary, of either byte order; any other form is an error."""
-    digits = F.hex(as_col(wkb))
-    little = F.substring(digits, 1, 2) == "01"
-    # the kind without the flags that some writers add for a reference system or further dimensions
-    kind = F.conv(_big_endian(digits, 3, 4, little), 16, 10).cast("bigint").bitwiseAND(F.lit(0xFF)) % 1000
-    flagged = F.conv(_big_endian(digits, 3, 4, little), 16, 10).cast("bigint").bitwiseAND(F.lit(0x20000000)) != 0
-    point = F.when(kind == 1, digits).when(
-        digits.isNotNull(), F.raise_error(F.lit("not a point in well-known binary")).cast("string")
-    )
-    skip = lambda at: F.when(flagged, _big_endian(point, at + 8, 8, little)).otherwise(_big_endian(point, at, 8, little))
-    return _double_from_hex(skip(11)), _double_from_hex(skip(27))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.functions import geo, text
+from tidegate.functions import projections, text, wkb
 from tidegate.operators.references import References
 
 # The published columns in order. Two kinds are numbers, one is binary.
@@ -101,14 +101,19 @@ def expand_criteria(df: DataFrame, refs: References, bundles: DataFrame | None =
     ).drop("_criteria", "_code", "_criterion")
 
 
+def with_geometry(df: DataFrame) -> DataFrame:
+    """``df`` with the point of its coordinates as ``geom``; once a record, so before its criteria are expanded."""
+    if "geom" in df.columns or not {"lon", "lat"} <= set(df.columns):
+        return df
+    return df.withColumn("geom", wkb.point("lon", "lat"))
+
+
 def export_columns(df: DataFrame, dotted: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """The published columns that exist, in order and type; a number that does not parse is null.
 
     ``keep`` names further columns to put in front, such as the partition column ``bundle``.
     """
-    df = df.drop(*NOT_EXPORTED)
-    if "geom" not in df.columns and {"lon", "lat"} <= set(df.columns):
-        df = df.withColumn("geom", geo.point_wkb("lon", "lat"))
+    df = with_geometry(df.drop(*NOT_EXPORTED))
     chosen: list[Column] = [F.col(c) for c in keep]
     for name in EXPORT_COLUMNS:
         inner = name.replace(".", "_")
@@ -131,23 +136,21 @@ def gate(df: DataFrame, refs: References, summary: DataFrame) -> DataFrame:
 
 
 def merge_layers(*layers: DataFrame) -> DataFrame:
-    """Exported layers as one dataset: coordinates in one system, lower-case names, all columns."""
+    """Exported layers as one dataset: coordinates in degrees, lower-case names, all columns.
+
+    A layer with a column ``crs`` is moved from the system that each row names: its geometries of any kind, and
+    its coordinates ``lon, lat`` if it has them. A system that is not known is an error.
+    """
     merged = None
     for layer in layers:
         named = layer.toDF(*[c.lower() for c in layer.columns])
         if "crs" in named.columns:
-            # Step by step in columns of their own: each formula uses its inputs many times over.
-            from_wkb = "geom" in named.columns and not {"lon", "lat"} <= set(named.columns)
-            x, y = geo.wkb_point_xy("geom") if from_wkb else (F.col("lon"), F.col("lat"))
-            named = named.withColumns({"_x": x, "_y": y})
-            lon, lat = geo.to_lonlat("crs", "_x", "_y")
-            named = named.withColumns({"_lon": lon, "_lat": lat})
             if "geom" in named.columns:
-                moved = F.when(F.col("crs") == geo.LONLAT, F.col("geom")).otherwise(geo.point_wkb("_lon", "_lat"))
-                named = named.withColumn("geom", moved)
-            if not from_wkb:
-                named = named.withColumns({"lon": F.col("_lon"), "lat": F.col("_lat")})
-            named = named.drop("crs", "_x", "_y", "_lon", "_lat")
+                named = named.withColumn("geom", wkb.to_lonlat("geom", "crs"))
+            if {"lon", "lat"} <= set(named.columns):
+                moved = named.withColumn("_moved", projections.degrees("crs", "lon", "lat"))
+                named = moved.withColumns({"lon": F.col("_moved.lon"), "lat": F.col("_moved.lat")}).drop("_moved")
+            named = named.drop("crs")
         merged = named if merged is None else merged.unionByName(named, allowMissingColumns=True)
     return merged.drop(*NOT_PUBLISHED)
 

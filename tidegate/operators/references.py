@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tidegate.config import APPARATUS, MATCH_COLUMNS, RULE_TEXT_COLUMNS, VALUE_COLUMNS, Settings
 from tidegate.functions import dates, geo, text
+from tidegate.operators.shapes import edge_tiles
 from tidegate.runtime import Settled, forget, settled, source_state
 
 # Stands for a missing group name, so that missing meets missing in plain comparisons.
@@ -244,7 +245,7 @@ class References:
 
     @cached_property
     def location_index(self) -> DataFrame:
-        """Per location id: its projected points and the projected edges of its lines and areas."""
+        """Per location id: its projected points, and whether it has lines or areas (``edge_tiles`` holds those)."""
         parts = []
         if self.points is None and self.rings is None:
             raise ValueError("the location checks need points or shapes")
@@ -255,27 +256,14 @@ class References:
                 .select("mpnident", F.struct(east.alias("x"), north.alias("y")).alias("point"))
                 .groupBy("mpnident")
                 .agg(F.collect_list("point").alias("_points"))
-                .withColumn("_shapes", F.lit(None).cast(SHAPES))
+                .withColumn("_shaped", F.lit(False))
             )
         if self.rings is not None:
-            east, north = geo.to_utm31("lon", "lat")
-            vertex = F.struct(F.col("vertex").cast("int").alias("v"), east.alias("x"), north.alias("y"))
-            lines = (
-                self.rings.groupBy("mpnident", "geom", "ring")
-                .agg(F.array_sort(F.collect_list(vertex)).alias("vertices"), F.max("area").alias("area"))
-                .withColumn("edges", geo.ring_edges(F.col("vertices")))
-            )
-            shape = lines.groupBy("mpnident", "geom").agg(
-                F.flatten(F.collect_list("edges")).alias("edges"), F.max("area").alias("area")
-            )
-            parts.append(
-                shape.groupBy("mpnident")
-                .agg(F.collect_list(F.struct("edges", "area")).alias("_shapes"))
-                .select("mpnident", F.lit(None).cast(POINTS).alias("_points"), F.col("_shapes").cast(SHAPES))
-            )
+            shaped = self.rings.where(F.col("mpnident").isNotNull()).select("mpnident").distinct()
+            parts.append(shaped.select("mpnident", F.lit(None).cast(POINTS).alias("_points"), F.lit(True).alias("_shaped")))
         whole = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         merged = whole.groupBy(F.col("mpnident").alias("_known_location")).agg(
-            F.first("_points", True).alias("_points"), F.first("_shapes", True).alias("_shapes")
+            F.first("_points", True).alias("_points"), F.max("_shaped").alias("_shaped")
         )
         first = F.get("_points", F.lit(0))
         rest = F.when(F.size("_points") > 1, F.slice("_points", 2, F.size("_points")))
@@ -284,15 +272,28 @@ class References:
             first["x"].alias("_point_x"),
             first["y"].alias("_point_y"),
             rest.alias("_more_points"),
-            "_shapes",
+            "_shaped",
         )
 
+    @property
+    def edge_tiles(self) -> DataFrame:
+        """The edges of all lines and areas, in tiles."""
+        return self.side("tiles", lambda: edge_tiles(self.rings.where(F.col("mpnident").isNotNull())))
+
+    @cached_property
+    def shaped_locations(self) -> bool:
+        """Has a location lines or areas?"""
+        side = self._settle("locations", lambda: self.location_index)
+        if "shaped" not in side.facts:
+            side.facts["shaped"] = bool(side.table.where("_shaped").take(1))
+        return side.facts["shaped"]
+
     @cached_property
     def plain_locations(self) -> bool:
         """Is every location a single point? Then distances need no arrays at all."""
         side = self._settle("locations", lambda: self.location_index)
         if "plain" not in side.facts:
-            odd = side.table.where(F.col("_more_points").isNotNull() | F.col("_shapes").isNotNull())
+            odd = side.table.where(F.col("_more_points").isNotNull() | F.col("_shaped"))
             side.facts["plain"] = not odd.take(1)
         return side.facts["plain"]
 
@@ -328,7 +329,6 @@ class References:
 
 
 POINTS = "array<struct<x:double,y:double>>"
-SHAPES = "array<struct<edges:array<struct<x1:double,y1:double,x2:double,y2:double>>,area:boolean>>"
 
 
 def match_key(ruleset: str, location: str, apparatus: str, present: list[str] | None = None) -> Column:

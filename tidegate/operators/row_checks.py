@@ -26,6 +26,7 @@ from tidegate.operators.matching import (
     with_rulesets,
 )
 from tidegate.operators.references import TEXT_SEPARATOR, References
+from tidegate.operators.shapes import tile_distances
 
 # What the fixed-value checks accept. Records are read as text, so the
 # whole-number spellings of the quality codes are listed too.
@@ -248,9 +249,22 @@ def with_distances(df: DataFrame, refs: References) -> DataFrame:
     if refs.plain_locations:
         return near.withColumn("_metres_more", none)
     to_points = F.transform("_more_points", lambda p: geo.point_distance(x, y, p["x"], p["y"]))
-    to_shapes = F.transform("_shapes", lambda s: geo.edges_distance(s["edges"], x, y, s["area"]))
-    return near.withColumn("_metres_more", F.concat(F.coalesce(to_points, none), F.coalesce(to_shapes, none)))
-
+    more = near.withColumn("_metres_more", F.coalesce(to_points, none))
+    return _with_shape_distances(more, refs) if refs.shaped_locations else more
+
+
+def _with_shape_distances(df: DataFrame, refs: References) -> DataFrame:
+    """Add the metres to the lines and areas of each record's location; a place is looked at once for all its records."""
+    complete = F.col("_shaped") & F.col("_x").isNotNull() & F.col("_y").isNotNull()
+    places = df.where(complete).select(F.col("location_code").alias("location"), F.col("_x").alias("x"), F.col("_y").alias("y")).distinct()
+    metres = F.array_sort(F.collect_list("metres")).alias("_metres_shapes")
+    found = tile_distances(places, refs.edge_tiles).groupBy("location", "x", "y").agg(metres)
+    place = lambda location, x, y: F.concat_ws("|", location, F.col(x).cast("string"), F.col(y).cast("string"))
+    keyed = found.select(place("location", "x", "y").alias("_place"), "_metres_shapes")
+    spread = spread_nulls(F.when(complete, place("location_code", "_x", "_y")), *refs.settings.order_by)
+    joined = df.withColumn("_at", spread).join(keyed, F.col("_at") == F.col("_place"), "left")
+    both = F.concat("_metres_more", F.coalesce("_metres_shapes", F.lit([]).cast("array<double>")))
+    return joined.withColumn("_metres_more", both).drop("_at", "_place", "_metres_shapes")
 
 
 def row_failures(

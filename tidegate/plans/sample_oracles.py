@@ -124,6 +124,12 @@ _GEO = {
         from (select *, greatest(0.0, least(1.0, ((d_e - x1) * (x2 - x1) + (d_n - y1) * (y2 - y1)) / ((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)))) u
               from spot join edge on mpnident = loc) group by 1, 2, 3""",
 }
+_LAYERS = """select mp.k1, mp.k2, mp.k3, mp.k4, round(sqrt(pow(mp.d_e - g_e, 2) + pow(mp.d_n - g_n, 2)), 3) to_point,
+ round(case when crossings % 2 = 1 then 0.0 else nearest end, 3) to_area
+ from mp join reach on reach.loc = mp.loc and reach.d_e = mp.d_e and reach.d_n = mp.d_n left join lp on lp.mpnident = mp.loc"""
+_WIDE = """select mpnident, ring, vertex, lon + s * (1 + 0.3::double * sin(9 * t)) * cos(t) lon, lat + 0.6::double * s * (1 + 0.3::double * sin(9 * t)) * sin(t) lat
+ from (select *, (vertex % 360) * 3.141592653589793::double / 180 t, case ring when 0 then 0.05::double else 0.01::double end s
+   from places, unnest(range(361)) v(vertex), unnest([0, 1]) r(ring) where mpnident like 'S%')"""
 _FAR = _failure(
     "Geo controle", "locatie verder dan 100 meter",
     "'afstand van locatie: '||loc||': '||cast(cast(trunc(dist) as bigint) as varchar)||'m'", "near where dist > 100",
@@ -361,19 +367,25 @@ def build() -> dict[str, str]:
     return {
         "rule_list": _sql(
             """select cast(row_number() over (order by rule_id) + 1 as int) rule_id, databundelcode, grootheid_code, eenheid_code, locatiecode,
-            aantal, limiet, cast(null as varchar) leverdatum from rules_scale"""
+            aantal, limiet, cast(null as varchar) leverdatum,
+            '€ ' || coalesce(cast(aantal as varchar), 'geen') || ';"' || eenheid_code || '"' || chr(10) || 'regel ' || limiet note from rules_scale"""
         ),
         "status_files": _sql(
             f"""select databundelcode, krmcriterium, {_MOMENT} last_updated, validation, approval, status, leverdatum, delivery_status,
             publication_status, combined_status, validation_databundelcode from over""",
             **_STATUS,
         ),
-        "location_layer": _sql(
-            """select mp.k1, mp.k2, mp.k3, mp.k4, round(sqrt(pow(mp.d_e - g_e, 2) + pow(mp.d_n - g_n, 2)), 3) to_point,
-            round(case when crossings % 2 = 1 then 0.0 else nearest end, 3) to_area
-            from mp join reach on reach.loc = mp.loc and reach.d_e = mp.d_e and reach.d_n = mp.d_n left join lp on lp.mpnident = mp.loc""",
-            **_HAND, **_GEO,
+        "shape_distance": _sql(
+            """select k1, k2, k3, k4, round(case when crossings % 2 = 1 then 0.0 else nearest end, 2) distance
+            from mp join reach on reach.loc = mp.loc and reach.d_e = mp.d_e and reach.d_n = mp.d_n""",
+            **{
+                "m": f"select * replace (lon + (k3 % 211) * 0.0007::double - 0.07::double as lon, lat + (k1 % 199) * 0.0005::double - 0.05::double as lat) from ({_BASE['m']})",
+                "rings": _WIDE, **_HAND, **_GEO,
+            },
         ),
+        "foreign_layers": _sql("select meetwaarde_lokaalid, round(lon, 6) lon, round(lat, 6) lat from m"),
+        "binary_layers": _sql(_LAYERS, **_HAND, **_GEO),
+        "location_layer": _sql(_LAYERS, **_HAND, **_GEO),
         "failure_report": _sql(
             "select section, databundelcode, uitvalreden, count(*) failures, count(distinct record_id) records from fails group by 1, 2, 3", **_ALL
         ),

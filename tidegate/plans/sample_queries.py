@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.functions import geo, labels, text
+from tidegate.functions import geo, labels, projections, text, wkb
 from tidegate.operators import (
     collections,
     counts,
@@ -175,9 +175,11 @@ def criteria_fanout(spark: SparkSession, sf: str) -> DataFrame:
 
 def export_projection(spark: SparkSession, sf: str) -> DataFrame:
     coordinates = {"geometriepunt_x": F.col("lon").cast("string"), "geometriepunt_y": F.col("lat").cast("string")}
-    shaped = publish.export_columns(_expanded(spark, sf).withColumns(coordinates), dotted=False, keep=["bundle"])
-    x, y = geo.wkb_point_xy("geom")
-    return shaped.withColumns({"geom_x": x, "geom_y": y}).drop("geom")
+    pointed = publish.with_geometry(sv.records(spark, sf))
+    wide = publish.expand_criteria(pointed, sv.references(spark, sf), sv.bundle_names(spark, sf))
+    shaped = publish.export_columns(wide.withColumns(coordinates), dotted=False, keep=["bundle"])
+    read = shaped.withColumn("xy", wkb.point_xy("geom"))
+    return read.withColumns({"geom_x": F.col("xy.x"), "geom_y": F.col("xy.y")}).drop("geom", "xy")
 
 
 def export_gate(spark: SparkSession, sf: str) -> DataFrame:
@@ -422,8 +424,11 @@ def stream_publish(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _listed(df: DataFrame, path: str, names: dict[str, str], **options: str) -> str:
-    """One delimited file of a small table, with headers as suppliers spell them."""
-    df.withColumnsRenamed(names).coalesce(1).write.csv(path, header=True, **options)
+    """One delimited file of a small table in the suppliers' charset (cp1252), with headers as they spell them."""
+    # Spark writes Latin-1; the euro sign has a byte of its own in cp1252
+    cells = [F.translate(F.col(c).cast("string"), "€", "\x80").alias(c) for c in df.columns]
+    named = df.select(*cells).withColumnsRenamed(names).coalesce(1)
+    named.write.csv(path, header=True, encoding="ISO-8859-1", quote='"', escape='"', **options)
     return path
 
 
@@ -434,12 +439,16 @@ def _parts(df: DataFrame, path: str, names: dict[str, str], **options: str) -> s
 
 
 def rule_list(spark: SparkSession, sf: str) -> DataFrame:
-    """The rule list written as a file with odd headers and read again: numbers follow from the lines."""
+    """The rule list written as a file with odd headers and read again: numbers follow from the records.
+
+    Each rule has a note of two lines with quotes, a separator and a sign that only the suppliers' charset has.
+    """
     spelled = {"databundelcode": " DataBundelCode", "locatiecode": "Locatie.Code ", "aantal": "Aantal", "leverdatum": "extra"}
-    rules = sv.view(spark, sf, sv.RULES_SCALE).orderBy("rule_id").drop("rule_id")
-    path = _listed(rules, scratch_path(spark, "rule-list"), spelled, sep=";", encoding="cp1252")
-    read = normalise_rules(tables.read_rules(spark, path))
-    return read.select("rule_id", "databundelcode", "grootheid_code", "eenheid_code", "locatiecode", "aantal", "limiet", "leverdatum")
+    note = F.concat(F.lit("€ "), F.coalesce(F.col("aantal").cast("string"), F.lit("geen")), F.lit(';"'), "eenheid_code", F.lit('"\nregel '), "limiet")
+    rules = sv.view(spark, sf, sv.RULES_SCALE).orderBy("rule_id").drop("rule_id").withColumn("Toelichting", note)
+    read = tables.read_rules(spark, _listed(rules, scratch_path(spark, "rule-list"), spelled, sep=";"))
+    columns = ("rule_id", "databundelcode", "grootheid_code", "eenheid_code", "locatiecode", "aantal", "limiet", "leverdatum")
+    return normalise_rules(read).select(*columns).join(read.select("rule_id", F.col("Toelichting").alias("note")), "rule_id")
 
 
 def status_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -466,6 +475,58 @@ def location_layer(spark: SparkSession, sf: str) -> DataFrame:
     shapes = areas.select("mpnident", F.concat(F.lit("POLYGON ("), F.array_join("r.b", ", "), F.lit(")")).alias("geometry"))
     refs = sv.references(spark, sf)
     refs.points, refs.rings = tables.locations_from_wkt(places.unionByName(shapes))
+    return _to_layers(spark, sf, refs)
+
+
+def _wide_rings(spark: SparkSession, sf: str) -> DataFrame:
+    """An area of 360 corners with a hole of as many around every location."""
+    places = sv.view(spark, sf, sv.POINTS).where("mpnident like 'S%'")
+    turn = (F.col("vertex") % 360) * F.lit(3.141592653589793) / 180
+    wave = 1 + 0.3 * F.sin(9 * turn)
+    rings = places.withColumn("ring", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("vertex", F.explode(F.sequence(F.lit(0), F.lit(360))))
+    size = F.when(F.col("ring") == 0, 0.05).otherwise(0.01)
+    lon, lat = F.col("lon") + size * wave * F.cos(turn), F.col("lat") + 0.6 * size * wave * F.sin(turn)
+    return rings.select("mpnident", F.lit(0).alias("geom"), "ring", "vertex", lon.alias("lon"), lat.alias("lat"), F.lit(True).alias("area"))
+
+
+def shape_distance(spark: SparkSession, sf: str) -> DataFrame:
+    """Every record, each at a place of its own, against the large area of its location."""
+    refs = sv.references(spark, sf)
+    refs.points, refs.rings = None, _wide_rings(spark, sf)
+    moved = {"lon": F.col("lon") + (F.col("k3") % 211) * 0.0007 - 0.07, "lat": F.col("lat") + (F.col("k1") % 199) * 0.0005 - 0.05}
+    known = matching.with_rulesets(sv.records(spark, sf).withColumns(moved), refs, sv.bundle_names(spark, sf))
+    found = row_checks.with_distances(row_checks.with_locations(known, refs), refs)
+    return found.select(*KEYS, F.explode("_metres_more").alias("d")).select(*KEYS, F.round("d", 2).alias("distance"))
+
+
+def binary_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Points and areas written as binary geometry and read back, then the distances of every record to them.
+
+    Of the points some are multiple; of the areas some are multiple and some collections; byte orders and flags differ.
+    """
+    number = F.substring("mpnident", 2, 9).cast("int")
+    spot = F.array(F.array(F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"))))
+    points = sv.view(spark, sf, sv.POINTS).select(
+        "mpnident", F.when(number % 3 == 0, wkb.POINTS).otherwise(wkb.POINT).alias("kind"),
+        F.array(F.struct(F.lit(wkb.POINT).alias("kind"), spot.alias("rings"))).alias("parts"),
+    )
+    corner = F.struct("vertex", F.col("lon").alias("x"), F.col("lat").alias("y"))
+    lines = sv.view(spark, sf, sv.RINGS).groupBy("mpnident", "ring").agg(F.array_sort(F.collect_list(corner)).alias("v"))
+    ring = F.transform("v", lambda v: F.struct(v["x"].alias("x"), v["y"].alias("y")))
+    areas = lines.groupBy("mpnident").agg(F.array_sort(F.collect_list(F.struct("ring", ring.alias("v")))).alias("r")).select(
+        "mpnident", F.element_at(F.lit([wkb.AREA, wkb.AREAS, wkb.COLLECTION]), number % 3 + 1).alias("kind"),
+        F.array(F.struct(F.lit(wkb.AREA).alias("kind"), F.col("r.v").alias("rings"))).alias("parts"),
+    )
+    shapes = points.unionByName(areas).withColumn("g", F.struct("kind", F.when(number % 2 == 0, 4258).alias("srid"), "parts"))
+    path = scratch_path(spark, "binary-layers")
+    binary = F.when(number % 5 < 2, wkb.packed("g", little=True)).otherwise(wkb.packed("g"))
+    shapes.select("mpnident", binary.alias("geometry")).write.parquet(path)
+    refs = sv.references(spark, sf)
+    refs.points, refs.rings = tables.locations_from_wkb(spark.read.parquet(path))
+    return _to_layers(spark, sf, refs)
+
+
+def _to_layers(spark: SparkSession, sf: str, refs) -> DataFrame:
     known = matching.with_rulesets(sv.records(spark, sf), refs, sv.bundle_names(spark, sf))
     found = row_checks.with_distances(row_checks.with_locations(known, refs), refs)
     return found.where(F.col("_known_location").isNotNull()).select(
@@ -473,6 +534,21 @@ def location_layer(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+SYSTEMS = ("EPSG:4326", "EPSG:32631", "EPSG:32732", "EPSG:3857", "EPSG:28992", "urn:ogc:def:crs:EPSG::25832")
+
+
+def foreign_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Two exported layers in six coordinate systems, the second as binary geometry only, merged into one."""
+    m = sv.records(spark, sf).withColumn("crs", F.element_at(F.array(*map(F.lit, SYSTEMS)), (F.col("k3") % len(SYSTEMS) + 1).cast("int")))
+    m = m.withColumn("at", projections.placed("crs", "lon", "lat"))
+    odd = F.substring("bundle", 1, 1).cast("int") % 2 == 1
+    first = m.where(odd).select("meetwaarde_lokaalid", "crs", F.col("at.x").alias("lon"), F.col("at.y").alias("lat"))
+    second = m.where(~odd).select("meetwaarde_lokaalid", "crs", wkb.point("at.x", "at.y").alias("geom"))
+    merged = publish.merge_layers(first, second).withColumn("xy", wkb.point_xy("geom"))
+    places = {"lon": F.coalesce("lon", "xy.x"), "lat": F.coalesce("lat", "xy.y")}
+    return _rounded(merged.withColumns(places)).select("meetwaarde_lokaalid", "lon", "lat")
+
+
 def failure_report(spark: SparkSession, sf: str) -> DataFrame:
     """The failure report as a file and read again."""
     path = scratch_path(spark, "failure-report")
@@ -500,6 +576,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_list": rule_list,
     "status_files": status_files,
     "location_layer": location_layer,
+    "shape_distance": shape_distance,
+    "binary_layers": binary_layers,
+    "foreign_layers": foreign_layers,
     "failure_report": failure_report,
     "code_texts": code_texts,
     "rule_selection": rule_selection,

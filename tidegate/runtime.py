@@ -20,8 +20,6 @@ def build_session(app: str = "tidegate", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        # cp1252 files need a charset outside the short list Spark accepts by default
-        "spark.sql.legacy.javaCharsets": "true",
     }
     settings.update(conf)
     for key, value in settings.items():

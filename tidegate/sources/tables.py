@@ -8,21 +8,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.functions import text
+from tidegate.functions import text, wkb
 from tidegate.functions.labels import count_report_name
+from tidegate.sources.delimited import read_numbered
 
 GUESSED_DELIMITERS = (",", ";", "\t", "|")
 
 
-def read_csv(spark: SparkSession, path: str, sep: str = ";", encoding: str = "cp1252") -> DataFrame:
-    """Delimited text with a header, all columns text, the usual empty-cell tokens as null.
-
-    The charset needs ``spark.sql.legacy.javaCharsets=true`` unless it is one Spark always accepts.
-    """
-    raw = spark.read.csv(path, sep=sep, header=True, encoding=encoding, multiLine=True, quote='"', escape='"')
-    return raw.select(*[text.blank_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns])
-
-
 def one_file(df: DataFrame, path: str) -> DataFrame:
     """``df`` if it is read from one file, whose rows then are in file order."""
     if len(df.inputFiles()) != 1:
@@ -31,13 +23,13 @@ def one_file(df: DataFrame, path: str) -> DataFrame:
 
 
 def read_list(spark: SparkSession, path: str, sep: str = ";", encoding: str = "cp1252") -> DataFrame:
-    """One reference file with ``new_index`` 1..N in file order.
+    """One reference file with ``new_index`` 1..N in file order, the usual empty-cell tokens as null.
 
-    Read with multi-line records a file is never split, so the rows of its one partition
-    keep their file order and the index is the same in every run.
+    The file is read in parts, whose number changes neither the records nor their numbers.
     """
-    df = one_file(read_csv(spark, path, sep, encoding), path)
-    return df.withColumn("new_index", F.monotonically_increasing_id() + 1)
+    raw = read_numbered(spark, path, sep, encoding)
+    cells = [text.blank_to_null(raw[name]).alias(c) for c in raw.columns[:-1] for name in ["`" + c.replace("`", "``") + "`"]]
+    return raw.select(*cells, "new_index")
 
 
 def read_rules(spark: SparkSession, path: str, sep: str = ";", encoding: str = "cp1252") -> DataFrame:
@@ -88,6 +80,28 @@ def locations_from_wkt(layer: DataFrame, wkt: str = "geometry") -> tuple[DataFra
     return points, rings
 
 
+def locations_from_wkb(layer: DataFrame, geometry: str = "geometry", crs: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Points and rings of a layer ``(mpnident, <geometry>)`` in well-known binary, of any kind and byte order.
+
+    With ``crs``, a column that names each row's system, coordinates are moved to degrees first. The lines of a collection
+    and its areas are two shapes.
+    """
+    shape = F.col(geometry) if crs is None else wkb.to_lonlat(geometry, crs)
+    named = layer.select("mpnident", F.xxhash64(geometry).alias("geom"), wkb.parsed(shape).alias("g"))
+    parts = named.select("mpnident", "geom", "g.parts")
+    of = lambda kind: F.flatten(F.transform(F.filter("parts", lambda p: p["kind"] == kind), lambda p: p["rings"]))
+    points = parts.select("mpnident", F.explode(F.flatten(of(wkb.POINT))).alias("p")).select("mpnident", "p.x", "p.y")
+    shapes = None
+    for kind in (wkb.LINE, wkb.AREA):
+        area = F.lit(kind == wkb.AREA)
+        rings = parts.select("mpnident", F.xxhash64("geom", area).alias("geom"), F.posexplode(of(kind)).alias("ring", "vertices"), area.alias("area"))
+        each = rings.select("mpnident", "geom", "ring", F.posexplode("vertices").alias("vertex", "p"), "area").select(
+            "mpnident", "geom", "ring", "vertex", F.col("p.x").alias("lon"), F.col("p.y").alias("lat"), "area"
+        )
+        shapes = each if shapes is None else shapes.unionByName(each)
+    return points.toDF("mpnident", "lon", "lat"), shapes
+
+
 def union_layers(*layers: DataFrame) -> DataFrame:
     """Location layers of the same kind under each other."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), layers)

@@ -54,7 +54,7 @@ def process_files(files: DataFrame, refs: References, root: str, version: int |
     summary = report.bundle_summary(info, found, info)
     sinks.write_partitioned(summary, f"{root}/summaries")
     settled = _of(spark, f"{root}/summaries", info, summary)
-    gated = publish.gate(records, refs, settled)
+    gated = publish.with_geometry(publish.gate(records, refs, settled))
     shaped = publish.export_columns(publish.expand_criteria(gated, refs, info), keep=["bundle"])
     sinks.write_partitioned(shaped, f"{root}/geopackages")
     updates = publish.status_rows(refs, settled, F.current_timestamp())
