@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidegate.functions import geo, labels, wkb
 from tidegate.operators import row_checks
 from tidegate.plans.validate import validate
-from tidegate.sources import bundles, sinks
+from tidegate.sources import bundles, sinks, snapshots
 from tidegate.streaming import ingest
 
 COLUMNS = [c for c in RECORD if c not in ("bundle", "row_ord", "lon", "lat")]
@@ -93,7 +93,7 @@ def test_a_new_delivery_replaces_counts_failures_and_summary(spark, tmp_path):
     root, refs = str(tmp_path / "out"), references(spark, [{"locatiecode": "L1", "aantal": 5}])
     files = lambda *pairs: spark.createDataFrame([(f"/in/{n}.zip", bytearray(c)) for n, c in pairs], "path string, content binary")
     ingest.process_files(files(("B1+a", packed({"namespace": "wrong"})), ("B1+b", packed())), refs, root, 0)
-    read = lambda name: spark.read.parquet(f"{root}/{name}")
+    read = lambda name: snapshots.read(spark, root, name)
     sections = lambda: {(r["bundle"], r["section"]) for r in read("failures").collect()}
     before = sections()
     assert {b for b, _ in before} == {"B1+a", "B1+b"} and len([s for b, s in before if b == "B1+a"]) == 2
@@ -118,14 +118,21 @@ def test_status_follows_the_order_of_updates_over_batches(spark, tmp_path):
 
 def test_the_published_dataset_is_rebuilt_from_the_current_layers(spark, tmp_path):
     root, out = str(tmp_path), str(tmp_path / "published")
-    layer = lambda name, *ids: sinks.write_partitioned(spark.createDataFrame([(name, i) for i in ids], "bundle string, id string"), f"{root}/geopackages")
-    layer("x", "1", "2")
-    layer("y", "3")
+
+    def deliver(batch, rows, *more):
+        snapshots.stage(spark.createDataFrame(rows, "bundle string, id string"), root, "geopackages", batch)
+        snapshots.commit(spark, root, spark.createDataFrame([(b,) for b in {r[0] for r in rows} | set(more)], "bundle string"), batch)
+
+    ids = lambda: sorted(r["id"] for r in sinks.published_rows(spark, out).collect())
+    deliver("a", [("x", "1"), ("x", "2"), ("y", "3")])
+    sinks.publish(spark, root, out)
+    assert ids() == ["1", "2", "3"]
+    deliver("b", [("x", "4")], "y")  # y is delivered again with nothing to export
     sinks.publish(spark, root, out)
-    layer("x", "4")
-    sinks.withdraw(spark, f"{root}/geopackages", spark.createDataFrame([("y",)], "bundle string"))
+    assert ids() == ["4"]
+    snapshots.withdraw(spark, root, spark.createDataFrame([("x",)], "bundle string"), "c")
     sinks.publish(spark, root, out)
-    assert [r["id"] for r in spark.read.parquet(out).collect()] == ["4"]
+    assert ids() == []
 
 
 def test_points_of_either_byte_order(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions import geo, wkb
 from tidegate.operators import publish, status
-from tidegate.sources import bundles, sinks, tables
+from tidegate.sources import bundles, sinks, snapshots, tables
 from tidegate.streaming import ingest
 
 HEADER = "Meetwaarde.lokaalid;Meetobject.LokaalID ;Monster.lokaalid;Begindatum;Tijd.UTCoffset;GeometriePunt.X;GeometriePunt.Y;Parameter.omschrijving;unknown"
@@ -154,7 +154,7 @@ def test_deliveries_are_processed_as_they_land(spark, tmp_path):
     delivery(landing, "B1+third.zip", {"namespace": "wrong"}, approved=True)
     (landing / "B1+broken.zip").write_bytes(b"?")
     run()
-    exported = lambda: {r["bundle"] for r in spark.read.parquet(f"{root}/geopackages").collect()}
+    exported = lambda: {r["bundle"] for r in snapshots.read(spark, root, "geopackages").collect()}
     assert exported() == {"B1+first", "B1+third"}
     table = {r["databundelcode"]: r["status"] for r in sinks.read_status_table(spark, f"{root}/status").collect()}
     assert table == {
@@ -191,8 +191,10 @@ def test_published_layers_come_from_the_target_folder(spark, tmp_path, target):
     spark.createDataFrame([("1",)], "a string").write.parquet(str(tmp_path / folder / "bundle=x"))
     spark.createDataFrame([("2",)], "b string").write.parquet(str(tmp_path / folder / "bundle=y"))
     merged = publish.merge_layers(tables.read_layers(spark, str(tmp_path), target))
-    sinks.write_published(merged, str(tmp_path / "published"))
-    assert set(spark.read.parquet(str(tmp_path / "published")).columns) == {"a", "b", "bundle"}
+    assert set(merged.columns) == {"a", "b", "bundle"}
+    sinks.publish(spark, str(tmp_path), str(tmp_path / "published"), target)
+    published = sinks.published_rows(spark, str(tmp_path / "published"))
+    assert set(published.columns) == {"a", "b", "bundle"} and published.count() == 2
 
 
 def test_ordered_part_files_are_read_side_by_side(spark, tmp_path):

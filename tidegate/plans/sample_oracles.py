@@ -295,6 +295,10 @@ _ALL["summ"] = """select b.bundle, coalesce(sum(failures), 0) = 0 bundle_valid,
  coalesce(string_agg(section||'='||cast(failures as varchar), ';' order by section), '') failures_by_section
  from bundles b left join sect on sect.databundelcode = b.bundle left join approvals a on a.bundle = b.bundle group by 1"""
 
+_FAILED = "select databundelcode bundle, section, uitvalreden, count(*) failures from fails group by 1, 2, 3"
+_INGESTED = _sql(_FAILED, **_ALL)
+_AGAIN = _sql(_FAILED, **{"m": f"select * from ({_BASE['m']}) where bundle <> '3-MEDIUM' and (bundle <> '1-URGENT' or k2 % 2 = 1)", **_ALL})
+
 _LABEL = """case when biotaxon_naam is not null and parameter_code is null then biotaxon_naam
  when parameter_code is not null and biotaxon_naam is null then parameter_code
  else coalesce(parameter_code, 'nan')||' / '||coalesce(biotaxon_naam, 'nan') end"""
@@ -542,9 +546,16 @@ def build() -> dict[str, str]:
         "stream_status": """select 'U_'||cast(user_id as varchar) databundelcode, 'ANSNL-'||event_type krmcriterium,
             strftime(ts, '%Y-%m-%d %H:%M:%S') last_updated, event_type status
             from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) rn from events) where rn = 1""",
-        "stream_ingest": _sql(
-            """select databundelcode bundle, section, uitvalreden, count(*) failures from fails where section <> 'Aantal controle' group by 1, 2, 3""",
-            **_ALL,
+        "stream_ingest": _INGESTED,
+        "redelivery": f"""with f as ({_INGESTED}), s as ({_AGAIN}),
+            v as (select b.bundle, count(x.section) n from (select distinct o_orderpriority bundle from orders) b
+              left join (select * from f where bundle <> '1-URGENT' union all select * from s where bundle = '1-URGENT') x on x.bundle = b.bundle group by 1)
+            select *, 'delivered' state from f union all select *, 'broken' from f union all select *, 'repeated' from s
+            union all select 'all', 'status', 'Databundel validatie is: '||case when n = 0 then 'True' else 'False' end||' en akkoord file is: True', count(*), 'status'
+            from v group by 3""",
+        "stream_republish": _sql(
+            """select bundle, meetwaarde_lokaalid, round(lon, 6) lon, round(lat, 6) lat from m
+            where bundle <> '2-HIGH' and (bundle <> '1-URGENT' or k2 <= 2)"""
         ),
         "stream_publish": _sql(_PUBLISH),
     }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,9 +23,10 @@ from tidegate.operators import (
 from tidegate.operators.references import normalise_rules
 from tidegate.plans import sample_views as sv
 from tidegate.plans.validate import run_checks, validate
-from tidegate.runtime import scratch_path
+from tidegate.runtime import scratch_path, settled
 from tidegate.sources import bundles as deliveries
-from tidegate.sources import sinks, tables
+from tidegate.sources import files as stored
+from tidegate.sources import sinks, snapshots, tables
 from tidegate.streaming import ingest
 
 CURRENT_YEAR = 2025
@@ -346,7 +348,11 @@ PACKED = (
 
 
 def _packed(spark: SparkSession, sf: str) -> DataFrame:
-    m = sv.records(spark, sf).withColumnsRenamed({"lon": "geometriepunt_x", "lat": "geometriepunt_y"})
+    return _pack(sv.records(spark, sf))
+
+
+def _pack(records: DataFrame) -> DataFrame:
+    m = records.withColumnsRenamed({"lon": "geometriepunt_x", "lat": "geometriepunt_y"})
     return deliveries.pack_bundles(m, list(PACKED), approved=True)
 
 
@@ -386,23 +392,51 @@ def stream_status(spark: SparkSession, sf: str) -> DataFrame:
     return sinks.read_status_table(spark, root).drop("arrival")
 
 
+def _land(files: DataFrame, folder: str) -> None:
+    """Put deliveries into a folder as files, one after the other."""
+    for row in files.toLocalIterator():
+        stored.write_bytes(files.sparkSession, f"{folder}/{row['path']}", bytes(row["content"]))
+
+
+def _counted(failures: DataFrame) -> DataFrame:
+    return failures.groupBy("bundle", "section", "uitvalreden").agg(F.count("*").alias("failures"))
+
+
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """ZIP files land in a folder, some after the stream was stopped; it goes on from its checkpoint."""
     root = scratch_path(spark, "stream-ingest")
-    files = _packed(spark, sf).select(
-        "path",
-        F.lit("2025-01-01 00:00:00").cast("timestamp").alias("modificationTime"),
-        F.octet_length("content").cast("bigint").alias("length"),
-        "content",
-    )
-    files.write.parquet(f"{root}/landing")
-    arriving = spark.readStream.schema(deliveries.FILE_SCHEMA).parquet(f"{root}/landing")
+    files = settled(_packed(spark, sf)).table
+    late = F.substring("path", 1, 1).cast("int") % 2 == 0
     refs = _ingest_references(spark, sf)
-    ingest.ingest(arriving, refs, f"{root}/out").awaitTermination()
-    failures = spark.read.parquet(f"{root}/out/failures")
-    single = failures.where(F.col("check_ord") != 40)
-    return single.groupBy(F.substring_index("bundle", "+", 1).alias("bundle"), "section", "uitvalreden").agg(
-        F.count("*").alias("failures")
-    )
+    for part in (files.where(~late), files.where(late)):
+        _land(part, f"{root}/landing")
+        arriving = ingest.landing_stream(spark, f"{root}/landing", files_a_batch=2)
+        ingest.ingest(arriving, refs, f"{root}/out").awaitTermination()
+    return _counted(snapshots.read(spark, f"{root}/out", "failures"))
+
+
+def redelivery(spark: SparkSession, sf: str) -> DataFrame:
+    """All bundles are delivered; then one comes again with other records, one that can't be read, and the job breaks off.
+
+    ``state`` tells what is to be seen: before, after the broken job, and after the job was run again.
+    """
+    root = scratch_path(spark, "redelivery")
+    refs = _ingest_references(spark, sf)
+    seen = lambda state: _counted(snapshots.read(spark, root, "failures")).withColumn("state", F.lit(state))
+    ingest.process_files(_packed(spark, sf), refs, root, 0)
+    states = [settled(seen("delivered")).table]
+    odd = sv.records(spark, sf).where("bundle = '1-URGENT' and k2 % 2 = 1")
+    again = _pack(odd).unionByName(spark.createDataFrame([("3-MEDIUM.zip", bytearray(b"no archive"))], "path string, content binary"))
+    ingest.stage_files(again, refs, root, "s1")  # everything is written, and the job is lost before its commit
+    states.append(settled(seen("broken")).table)
+    for _ in range(2):  # the repeated batch, and once more
+        ingest.process_files(again, refs, root, 1)
+    status = sinks.read_status_table(spark, f"{root}/status")
+    states.append(seen("repeated"))
+    states.append(status.groupBy("status").agg(F.count("*").alias("failures")).select(
+        F.lit("all").alias("bundle"), F.lit("status").alias("section"), F.col("status").alias("uitvalreden"), "failures", F.lit("status").alias("state")
+    ))
+    return reduce(lambda a, b: a.unionByName(b), states)
 
 
 def _ingest_references(spark: SparkSession, sf: str):
@@ -416,11 +450,30 @@ def _ingest_references(spark: SparkSession, sf: str):
 def stream_publish(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "stream-publish")
     for number, layer in enumerate(_layers(spark, sf)):
-        layer.toDF(*[c.lower() for c in layer.columns]).write.parquet(f"{root}/geopackages/layer={number}")
+        named = layer.toDF(*[c.lower() for c in layer.columns]).withColumn("bundle", F.lit(f"layer {number}"))
+        named.write.parquet(f"{root}/geopackages/layer={number}")
     schema = spark.read.option("mergeSchema", "true").parquet(f"{root}/geopackages").drop("layer").schema
     arriving = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{root}/geopackages")
     ingest.publish_stream(arriving, f"{root}/published").awaitTermination()
-    return _rounded(spark.read.parquet(f"{root}/published"))
+    return _rounded(sinks.published_rows(spark, f"{root}/published").drop("bundle"))
+
+
+def stream_republish(spark: SparkSession, sf: str) -> DataFrame:
+    """Every bundle is published; one is delivered again, an older delivery of another comes late, and a third is withdrawn."""
+    root = scratch_path(spark, "stream-republish")
+    m = sv.records(spark, sf).select("bundle", "meetwaarde_lokaalid", "lon", "lat", F.lit(geo.LONLAT).alias("crs"), "k2")
+    mark = lambda df, number, gone=False: df.withColumns({"delivered": F.lit(number), "withdrawn": F.lit(gone)}).drop("k2")
+    no_rows = {c: F.lit(None).cast(t) for c, t in m.dtypes if c not in ("bundle", "k2")}
+    gone = sv.bundle_names(spark, sf).where("bundle = '2-HIGH'").select("bundle", *[c.alias(n) for n, c in no_rows.items()], F.lit(0).alias("k2"))
+    steps = [
+        mark(m, 2), mark(m.where("bundle = '1-URGENT' and k2 <= 2"), 3), mark(m.where("bundle = '5-LOW' and k2 = 1"), 1), mark(gone, 4, True),
+    ]
+    for number, step in enumerate(steps):
+        step.write.parquet(f"{root}/landing/part-{number}")
+        # each run takes up what the ones before have not seen
+        arriving = spark.readStream.schema(steps[0].schema).option("recursiveFileLookup", "true").parquet(f"{root}/landing")
+        ingest.publish_stream(arriving, f"{root}/published", "delivered").awaitTermination()
+    return _rounded(sinks.published_rows(spark, f"{root}/published"))
 
 
 def _listed(df: DataFrame, path: str, names: dict[str, str], **options: str) -> str:
@@ -633,5 +686,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bundle_files": bundle_files,
     "stream_status": stream_status,
     "stream_ingest": stream_ingest,
+    "redelivery": redelivery,
     "stream_publish": stream_publish,
+    "stream_republish": stream_republish,
 }

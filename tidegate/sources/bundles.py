@@ -178,38 +178,28 @@ def with_coordinates(records: DataFrame) -> DataFrame:
 
 
 def pack_bundles(records: DataFrame, columns: list[str], approved: bool = False, encoding: str = "cp1252") -> DataFrame:
-    """ZIP files made from records, as ``(path, content)``; the inverse of reading.
+    """A ZIP file for each bundle made from records, as ``(path, content)``; the inverse of reading.
 
-    Every Arrow batch of a partition gives one file per bundle in it, so no bundle is gathered
-    in one place. Used to derive deliveries from tables.
+    A bundle is one file, so it is made in one task and has to fit there, as it has to when it is read.
     """
     marker = APPROVAL_FILE
 
-    def pack(batches: Iterator) -> Iterator:
-        import csv
+    def pack(group):
         import io
-        import uuid
         import zipfile
 
         import pyarrow as pa
+        from pyarrow import csv as arrow_csv
 
-        for batch in batches:
-            rows = batch.to_pylist()
-            by_bundle: dict[str, list] = {}
-            for row in rows:
-                by_bundle.setdefault(row["bundle"], []).append([row[c] for c in columns])
-            for bundle, lines in by_bundle.items():
-                text = io.StringIO(newline="")
-                out = csv.writer(text, delimiter=";", lineterminator="\r\n")
-                out.writerow(columns)
-                out.writerows(lines)
-                packed = io.BytesIO()
-                with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-                    if approved:
-                        archive.writestr(marker, "")
-                    archive.writestr("data.csv", text.getvalue().encode(encoding))
-                path = f"{bundle}+part{uuid.uuid5(uuid.NAMESPACE_OID, text.getvalue()).hex}.zip"
-                yield pa.RecordBatch.from_pydict({"path": [path], "content": [packed.getvalue()]})
+        bundle = group.column("bundle")[0].as_py()
+        text = io.BytesIO()
+        arrow_csv.write_csv(group.select(columns), text, arrow_csv.WriteOptions(delimiter=";", batch_size=10000))
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+            if approved:
+                archive.writestr(marker, "")
+            archive.writestr("data.csv", text.getvalue().decode().encode(encoding))
+        return pa.table({"path": [f"{bundle}.zip"], "content": [packed.getvalue()]})
 
     wanted = records.select("bundle", *[F.col(c).cast("string").alias(c) for c in columns])
-    return wanted.mapInArrow(pack, "path string, content binary")
+    return wanted.groupBy("bundle").applyInArrow(pack, "path string, content binary")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions import text, wkb
 from tidegate.functions.labels import count_report_name
+from tidegate.sources import snapshots
 from tidegate.sources.delimited import read_numbered
 
 GUESSED_DELIMITERS = (",", ";", "\t", "|")
@@ -168,8 +169,14 @@ def read_count_report(spark: SparkSession, folder: str, bundle: str) -> DataFram
 
 
 def read_layers(spark: SparkSession, root: str, target: str = "test") -> DataFrame:
-    """All exported layers of the test or the production folder, columns merged."""
+    """All exported layers of the test or the production folder, columns merged.
+
+    Layers that deliveries have written are read as one snapshot of the current ones.
+    """
     folders = {"test": "geopackages", "production": "geopackages_productie"}
     if target not in folders:
         raise ValueError(f"unknown target: {target}")
+    current = snapshots.read(spark, root, folders[target])
+    if current is not None:
+        return current
     return spark.read.option("mergeSchema", "true").parquet(f"{root.rstrip('/')}/{folders[target]}")

@@ -1,12 +1,14 @@
 """Structured Streaming around the batch plans.
 
-Every micro-batch runs the batch plan on the files or rows that arrived, and writes
-tables whose names follow from the batch, so a batch repeated after a failure
-replaces its own output.
+Every micro-batch runs the batch plan on the files or rows that arrived, writes its results into folders of its
+own, and shows them by one rename. A batch that is repeated after a failure writes them anew, or, if it had been
+shown already, does nothing.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,57 +17,52 @@ from tidegate.operators import publish, report
 from tidegate.operators.references import References
 from tidegate.plans.validate import validate
 from tidegate.sources import bundles as deliveries
-from tidegate.sources import sinks
+from tidegate.sources import sinks, snapshots
+
+RESULTS = ("contents", "bundles", "failures", "counts", "summaries", "geopackages", "updates")
 
 
-def landing_stream(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
+def landing_stream(spark: SparkSession, path: str, pattern: str = "*.zip", files_a_batch: int | None = None) -> DataFrame:
     """Delivered files as they land."""
-    return (
-        spark.readStream.format("binaryFile")
-        .schema(deliveries.FILE_SCHEMA)
-        .option("pathGlobFilter", pattern)
-        .load(path)
-    )
+    reader = spark.readStream.format("binaryFile").schema(deliveries.FILE_SCHEMA).option("pathGlobFilter", pattern)
+    return (reader if files_a_batch is None else reader.option("maxFilesPerTrigger", files_a_batch)).load(path)
 
 
-def process_files(files: DataFrame, refs: References, root: str, version: int | None = None) -> DataFrame:
-    """Validate delivered files and write every result below ``root``; returns the bundle summary.
+def stage_files(files: DataFrame, refs: References, root: str, batch: str) -> DataFrame:
+    """Validate delivered files and write every result of the batch; returns the delivered bundles, readable or not.
 
-    The decoded records and the failures are written first and read back, so that nothing is
-    decoded or checked twice and a lost executor costs one stage, not the whole chain.
+    Nothing of it is seen before the batch is committed. The decoded records and the failures are written first
+    and read back, so that nothing is decoded or checked twice and a lost executor costs one stage, not the chain.
     """
-    spark = files.sparkSession
-    label = "latest" if version is None else f"batch-{version}"
-    deliveries.bundle_contents(files).write.mode("overwrite").parquet(f"{root}/contents/{label}")
-    contents = spark.read.parquet(f"{root}/contents/{label}")
-    records, every = deliveries.records_of(contents), deliveries.info_of(contents)
+    put = lambda df, table: snapshots.stage(df, root, table, batch)
+    contents = put(deliveries.bundle_contents(files), "contents")
+    records, every = deliveries.records_of(contents), put(deliveries.info_of(contents), "bundles")
     info = every.where(F.col("error").isNull())
-    every.write.mode("overwrite").parquet(f"{root}/bundles/{label}")
-    # a delivery replaces all results of an earlier one, whatever comes of it
-    results = ("failures", "counts", "summaries", "geopackages")
-    for name in results:
-        sinks.withdraw(spark, f"{root}/{name}", every)
-
     result = validate(records, refs, bundles=info, approvals=info)
-    sinks.write_partitioned(result.failures, f"{root}/failures")
-    found = _of(spark, f"{root}/failures", info, result.failures)
-    sinks.write_partitioned(result.counts, f"{root}/counts")
+    found = put(result.failures, "failures")
+    put(result.counts, "counts")
+    summary = put(report.bundle_summary(info, found, info), "summaries")
+    gated = publish.with_geometry(publish.gate(records, refs, summary))
+    put(publish.export_columns(publish.expand_criteria(gated, refs, info), keep=["bundle"]), "geopackages")
+    updates = publish.status_rows(refs, summary, F.current_timestamp())
+    put(updates.withColumn("bundle", F.col("databundelcode")), "updates")
+    return every.select("bundle")
 
-    summary = report.bundle_summary(info, found, info)
-    sinks.write_partitioned(summary, f"{root}/summaries")
-    settled = _of(spark, f"{root}/summaries", info, summary)
-    gated = publish.with_geometry(publish.gate(records, refs, settled))
-    shaped = publish.export_columns(publish.expand_criteria(gated, refs, info), keep=["bundle"])
-    sinks.write_partitioned(shaped, f"{root}/geopackages")
-    updates = publish.status_rows(refs, settled, F.current_timestamp())
-    sinks.write_status(spark, f"{root}/status", updates, version)
-    return settled
 
+def process_files(files: DataFrame, refs: References, root: str, version: int | None = None) -> DataFrame:
+    """Validate delivered files and make their results the current ones below ``root``; returns the bundle summary.
 
-def _of(spark: SparkSession, path: str, info: DataFrame, made: DataFrame) -> DataFrame:
-    """What a partitioned result holds of the given bundles, with the columns it was made with."""
-    written = spark.read.schema(made.schema).parquet(path)
-    return written.join(info.select("bundle").distinct(), "bundle", "left_semi").select(made.columns)
+    A delivery replaces all results of an earlier one of its bundle, whatever comes of it: also those of a file that
+    can't be read go. Until all results are written the earlier ones stay to be seen. The same ``version`` given again
+    changes nothing that has been shown.
+    """
+    spark = files.sparkSession
+    batch = f"m{uuid.uuid4().hex}" if version is None else f"s{version}"
+    if not snapshots.committed(spark, root, batch):
+        snapshots.commit(spark, root, stage_files(files, refs, root, batch), batch)
+    staged = lambda table: spark.read.parquet(f"{root}/{table}/batch={batch}")
+    sinks.status_table(spark, f"{root}/status").merge(batch, staged("updates").drop("bundle"), publish.upsert_status)
+    return staged("summaries")
 
 
 def ingest(files: DataFrame, refs: References, root: str, available_now: bool = True) -> StreamingQuery:
@@ -94,13 +91,15 @@ def follow_status(updates: DataFrame, order: str, root: str, available_now: bool
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def publish_stream(layers: DataFrame, out: str, available_now: bool = True) -> StreamingQuery:
-    """Append newly exported layers to the published dataset."""
-    merged = publish.merge_layers(layers)
-    writer = (
-        merged.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", f"{out}-checkpoint")
-        .outputMode("append")
-    )
+def publish_stream(layers: DataFrame, out: str, order: str | None = None, available_now: bool = True) -> StreamingQuery:
+    """Keep the published dataset at the latest delivery of every bundle, as exported layers arrive.
+
+    ``layers`` is a stream with ``bundle`` and, if bundles can be withdrawn, ``withdrawn``; ``order`` names a column that
+    ranks deliveries of one bundle. ``sinks.published_rows`` reads the dataset.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        sinks.publish_batch(batch, out, f"s{batch_id}", order)
+
+    writer = layers.writeStream.foreachBatch(run).option("checkpointLocation", f"{out}-checkpoint")
     return (writer.trigger(availableNow=True) if available_now else writer).start()
