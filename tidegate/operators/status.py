@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions import dates, labels, text
+from tidegate.operators.paging import Pages
 from tidegate.operators.references import prefixes_of
 
 DELIVERED, NOT_DELIVERED = "delivered", "not_delivered"
@@ -235,6 +236,11 @@ def page(overview: DataFrame, sort_by: str, descending: bool = False, number: in
     return overview.orderBy(first, *ties).offset(number * size).limit(size)
 
 
+def pages(overview: DataFrame, sort_by: str, descending: bool = False, ranges: int | None = None) -> Pages:
+    """All pages of the sorted table, in the order of ``page``; for tables that are looked through."""
+    return Pages(overview, sort_by, descending, ("databundelcode", "validation_databundelcode"), ranges)
+
+
 def kpis(overview: DataFrame) -> DataFrame:
     status = F.col("combined_status")
     return overview.agg(

@@ -490,6 +490,21 @@ def build() -> dict[str, str]:
             order by databundelcode desc, validation_databundelcode limit 5 offset 5""",
             **_STATUS,
         ),
+        "overview_last_page": _sql(
+            """select databundelcode, krmcriterium, leverdatum, combined_status, publication_status from over
+            order by databundelcode desc, validation_databundelcode nulls first offset (select (count(*) - 1) // 25 * 25 from over)""",
+            **_STATUS,
+        ),
+        "status_spellings": """with s as (select o_orderkey % 5 kind, o_custkey, o_orderpriority, o_orderstatus, o_orderkey from orders where o_orderkey % 5 <> 4)
+            select 'B_'||o_custkey||case kind when 1 then '+x' when 2 then '+y' else '' end databundelcode,
+              case kind when 1 then o_orderpriority when 3 then '' else 'late' end krmcriterium, 'day '||cast(o_orderkey % 31 as varchar) last_updated,
+              o_orderkey % 2 = 0 validation, true approval, o_orderstatus status, o_orderkey ord from s""",
+        "failure_intake": """select 'Externe controle' section, o_orderpriority databundelcode, case when o_orderkey % 3 > 0 then cast(o_orderkey as varchar) else 'nan' end record_id,
+            o_orderstatus uitvalreden, 'day '||cast(o_orderkey % 31 as varchar) informatie from orders
+            union all select 'refused', null, null, 'failures lack column(s): informatie', null""",
+        "count_report_files": _sql("select * replace (nullif(recordnrs, '') as recordnrs, nullif(uitvalreden, '') as uitvalreden) from rep", **_SCALE, **_REPORT),
+        "published_layers": f"""with p as ({_sql("select meetwaarde_lokaalid, round(lon, 6) lon, round(lat, 6) lat, case when cast(substr(bundle, 1, 1) as int) % 2 = 1 then 'first' else 'second' end bundle from m")})
+            select 'both' state, bundle, meetwaarde_lokaalid, lon, lat from p union all select 'withdrawn', bundle, meetwaarde_lokaalid, lon, lat from p where bundle = 'second'""",
         "kpis": _sql(
             """select count(*) total_bundles, count(*) filter (where delivered) delivered_bundles, count(*) filter (where validation) valid_bundles,
             count(*) filter (where publication_status = 'published') published_bundles,

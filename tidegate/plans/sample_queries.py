@@ -269,6 +269,71 @@ def status_filter_search_page(spark: SparkSession, sf: str) -> DataFrame:
     return shown.select("databundelcode", "krmcriterium", "leverdatum", "combined_status", "publication_status")
 
 
+def overview_last_page(spark: SparkSession, sf: str) -> DataFrame:
+    """The last page of the whole overview, of which only the last range is read."""
+    shown = status.pages(_overview(spark, sf), "databundelcode", descending=True).last(25)
+    return shown.select("databundelcode", "krmcriterium", "leverdatum", "combined_status", "publication_status")
+
+
+def status_spellings(spark: SparkSession, sf: str) -> DataFrame:
+    """Status rows whose columns are spelled in three ways; the first filled one counts, rows without a code go."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    kind, code = F.col("o_orderkey") % 5, F.concat(F.lit("B_"), F.col("o_custkey").cast("string"))
+    cell = lambda wanted, value: F.when(kind.isin(*wanted), value).otherwise(F.when(kind == 4, "").cast("string"))
+    rows = orders.select(
+        cell((0, 3), code).alias("databundelcode"), cell((1, 3), F.concat(code, F.lit("+x"))).alias("data_bundle_code"),
+        cell((2,), F.concat(code, F.lit("+y"))).alias("Data Bundle Code"), cell((1,), F.col("o_orderpriority")).alias("krm_criterium"),
+        cell((0, 1, 2), F.lit("late")).alias("KRM Criterium"), F.concat(F.lit("day "), (F.col("o_orderkey") % 31).cast("string")).alias("updated"), F.col("o_orderstatus").alias("status"),
+        F.when(F.col("o_orderkey") % 2 == 0, "yes").otherwise("no").alias("validation"), F.lit("1").alias("approval"), F.col("o_orderkey").alias("ord"),
+    )
+    return status.parse_status(rows).drop("akkoord_reden")
+
+
+def failure_intake(spark: SparkSession, sf: str) -> DataFrame:
+    """Failures found elsewhere join the table; a list that lacks a column is refused."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    named = orders.select(
+        F.col("o_orderpriority").alias("databundelcode"), F.when(F.col("o_orderkey") % 3 > 0, F.concat(F.lit("NL80_"), F.col("o_orderkey").cast("string"))).alias("record_id"),
+        F.col("o_orderstatus").alias("uitvalreden"), F.concat(F.lit("day "), (F.col("o_orderkey") % 31).cast("string")).alias("informatie"), F.col("o_orderdate").alias("extra"),
+    )
+    found = report.intake("Externe controle", named)
+    try:
+        report.intake("Externe controle", named.drop("informatie"))
+    except ValueError as refused:
+        told = {"section": "refused", "uitvalreden": str(refused)}
+        return found.unionByName(spark.range(1).select(*[F.lit(told.get(c)).cast("string").alias(c) for c in found.columns]))
+    raise AssertionError("a list without a column was taken")
+
+
+def count_report_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The count report of every bundle as a file under its own name, each read again by the bundle's code."""
+    folder = scratch_path(spark, "count-reports")
+    rows = settled(counts.count_report(*_lines(spark, sf, True))).table
+    names = [r["bundle"] for r in sv.bundle_names(spark, sf).select("bundle", labels.count_report_name("bundle").alias("n")).collect()]
+    read = []
+    for bundle in sorted(names):
+        file = spark.range(1).select(labels.count_report_name(F.lit(bundle)).alias("n")).first()["n"]
+        sinks.write_count_report_csv(rows.where(F.col("bundle") == bundle), f"{folder}/{file}")
+        read.append(tables.read_count_report(spark, folder, bundle).drop("ord"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), read)
+
+
+def published_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Two exported layers in the folder of the test environment, published, and published again after one was withdrawn."""
+    root = scratch_path(spark, "published-layers")
+    first, second = (layer.toDF(*[c.lower() for c in layer.columns]) for layer in _layers(spark, sf))
+    for name, layer in (("first", first), ("second", second)):
+        snapshots.stage(layer.withColumn("bundle", F.lit(name)), root, "geopackages", name)
+        snapshots.commit(spark, root, spark.createDataFrame([(name,)], "bundle string"), name)
+    sinks.publish(spark, root, f"{root}/published")
+    all_rows = settled(_rounded(sinks.published_rows(spark, f"{root}/published")).withColumn("state", F.lit("both"))).table
+    snapshots.withdraw(spark, root, spark.createDataFrame([("first",)], "bundle string"), "withdrawal")
+    sinks.publish(spark, root, f"{root}/published")
+    rest = _rounded(sinks.published_rows(spark, f"{root}/published")).withColumn("state", F.lit("withdrawn"))
+    columns = ("state", "bundle", "meetwaarde_lokaalid", "lon", "lat")
+    return all_rows.select(*columns).unionByName(rest.select(*columns))
+
+
 def kpis(spark: SparkSession, sf: str) -> DataFrame:
     return status.kpis(_overview(spark, sf))
 
@@ -606,7 +671,7 @@ def failure_report(spark: SparkSession, sf: str) -> DataFrame:
     """The failure report as a file and read again."""
     path = scratch_path(spark, "failure-report")
     sinks.write_failures_csv(_all_failures(spark, sf), path)
-    read = spark.read.csv(path, header=True, multiLine=False, escape="\\")
+    read = spark.read.csv(path, header=True, multiLine=False, escape='"')
     return read.toDF(*report.REPORT_COLUMNS).groupBy("section", "databundelcode", "uitvalreden").agg(
         F.count("*").alias("failures"), F.countDistinct("record_id").alias("records")
     )
@@ -672,6 +737,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_delivery": latest_delivery,
     "status_overview": status_overview,
     "status_filter_search_page": status_filter_search_page,
+    "overview_last_page": overview_last_page,
+    "status_spellings": status_spellings,
+    "failure_intake": failure_intake,
+    "count_report_files": count_report_files,
+    "published_layers": published_layers,
     "kpis": kpis,
     "filter_options": filter_options,
     "year_options": year_options,

@@ -116,12 +116,14 @@ def guess_delimiter(spark: SparkSession, path: str) -> str:
 
 
 def read_dashboard_csv(
-    spark: SparkSession, path: str, sep: str | None = None, numbers: tuple[str, ...] = (), order: str | None = None
+    spark: SparkSession, path: str, sep: str | None = None, numbers: tuple[str, ...] = (), order: str | None = None,
+    part_files: bool = False,
 ) -> DataFrame:
     """Status, published or count-report table: headers lower-cased with underscores, ``ord`` in file order.
 
     ``numbers`` names the columns to read as whole numbers; the others stay text. With ``order``, a column that
-    holds each row's place, ``path`` may be a folder of part files, which are read side by side.
+    holds each row's place, ``path`` may be a folder of part files, which are read side by side; so it may with
+    ``part_files``, for tables whose rows stand in no order (``ord`` then follows the files).
     """
     delimiter = sep or guess_delimiter(spark, path)
     raw = spark.read.csv(path, sep=delimiter, header=True, encoding="utf-8", multiLine=True, quote='"', escape='"')
@@ -132,7 +134,7 @@ def read_dashboard_csv(
             df = df.withColumn(c, F.col(c).try_cast("double").cast("bigint"))
     if order:
         return _in_order(df, order)
-    return one_file(df, path).withColumn("ord", F.monotonically_increasing_id())
+    return (df if part_files else one_file(df, path)).withColumn("ord", F.monotonically_increasing_id())
 
 
 def _in_order(df: DataFrame, order: str) -> DataFrame:
@@ -165,7 +167,7 @@ def read_count_report(spark: SparkSession, folder: str, bundle: str) -> DataFram
     name = spark.range(1).select(count_report_name(F.lit(bundle)).alias("n")).first()["n"]
     if name is None:
         raise ValueError("no bundle code given")
-    return read_dashboard_csv(spark, f"{folder.rstrip('/')}/{name}", ",", ("aantaldat", "aantalval"))
+    return read_dashboard_csv(spark, f"{folder.rstrip('/')}/{name}", ",", ("aantaldat", "aantalval"), part_files=True)
 
 
 def read_layers(spark: SparkSession, root: str, target: str = "test") -> DataFrame:
