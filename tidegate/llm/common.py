@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import sys
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +24,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_LIBC = ctypes.CDLL("libc.so.6") if sys.platform == "linux" else None
 _shipped: set[str] = set()
 
 
@@ -55,6 +60,36 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return free memory to the system: Python workers live on after a task, and the next ones share their host."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def released(work: Callable) -> Callable:
+    """``work`` on the batches of a task, for ``mapInArrow``; when it is done its memory is given back."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def text_runs(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(first row, end row, texts) for runs of a binary column of about ``limit`` bytes; null is empty."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    begin = 0
+    while begin < len(sizes):
+        whole = np.cumsum(sizes[begin:])
+        end = begin + max(1, int(np.searchsorted(whole, limit, side="left")))
+        yield begin, end, [t or b"" for t in column.slice(begin, end - begin).to_pylist()]
+        begin = end
+
+
 def lower_ascii(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 

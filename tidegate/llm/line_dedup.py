@@ -1,14 +1,16 @@
 """Fuzzy line dedup: one line of each group of near-equal lines stays in the corpus.
 
-Lines are compared in a normal form (A-Z lower-cased, runs of blanks one space, trimmed); shorter ones
-than MIN_CHARS are structure rather than content and stay. Lines equal in normal form are one node.
-A node's set is that of its byte shingles; its signature is a one-permutation MinHash of BANDS * ROWS
-bins, an empty bin borrowing from a bin that a fixed sequence names. Lines that share a band form
-lists, which are compared and verified as documents are in ``signatures``: pairs have an exact
-Jaccard similarity of at least PERCENT. Components come from the distributed union-find, and the
-first line of each component, by document and place, is the one that stays.
-
-At similarity 0.75 a pair shares none of the 16 bands of four bins with probability 0.2 %.
+Lines are compared in a normal form (A-Z lower-cased, runs of blanks one space, trimmed); lines that are then
+empty stay. Lines equal in normal form are one node, however short. A node's set is that of its byte shingles;
+lines of one shingle can only be equal. A signature is a one-permutation MinHash of BINS bins, an empty bin borrowing
+from a bin that a fixed sequence names, and each of BANDS bands is a fixed choice of ROWS bins. Lines that share a
+band form lists, which are compared and verified as documents are in ``signatures``: pairs have an exact
+Jaccard similarity of at least PERCENT. Components come from the distributed union-find, and the first line of
+each component, by document and place, is the one that stays.
+
+Measured on pairs of edited lines of 9 to 200 bytes with a similarity of 0.75 to 0.80, 98 % share a band; of pairs
+with a similarity of 0.2 to 0.3 it is 0.07 %, and below 0.1 none of 20,000, so the lines that meet hardly
+grow faster than the lines.
 """
 
 from __future__ import annotations
@@ -20,13 +22,14 @@ from pyspark.sql import functions as F
 
 from tidegate.llm import bitmap as bm
 from tidegate.llm import signatures as sg
-from tidegate.llm.common import mixed, partitions, powers, written
+from tidegate.llm.common import mixed, partitions, powers, released, text_runs, written
 from tidegate.llm.components import components
 
 SHINGLE, PERCENT = 7, 75
-BANDS, ROWS = 16, 4
-MIN_CHARS = 24
-CHARS_A_BUCKET = 16_000_000
+BANDS, ROWS = 40, 8
+BINS = 128
+CHARS_A_BUCKET = 8_000_000
+RUN = 1 << 18  # bytes of text that are cut into lines at once
 _U = np.uint64
 _BYTE = mixed(np.arange(256, dtype=np.uint64) + _U(9000))
 _BASE = 0x5851F42D4C957F2D
@@ -36,10 +39,10 @@ _FOLD[65:91] += 32
 _FOLD[[9, 11, 12, 13]] = 32
 
 
-def normal_lines(texts: list[bytes], min_chars: int = MIN_CHARS):
-    """(bytes of all compared lines one after the other, start and length of each, text, place in the text).
+def normal_lines(texts: list[bytes], least: int = 1):
+    """(bytes of all lines in normal form one after the other, start and length of each, text, place in the text).
 
-    Every line is counted for its place; only those of ``min_chars`` bytes or more are given back.
+    Every line is counted for its place; only those of ``least`` bytes or more are given back.
     """
     joined = _FOLD[np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)]
     feed = joined == 10
@@ -61,7 +64,7 @@ def normal_lines(texts: list[bytes], min_chars: int = MIN_CHARS):
     stops = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1
     of = np.searchsorted(stops, np.flatnonzero(feed), side="left")
     place = np.arange(n_lines) - np.searchsorted(of, of, side="left")
-    some = np.flatnonzero(length >= min_chars)
+    some = np.flatnonzero(length >= least)
     return data, start[some], length[some], of[some], place[some]
 
 
@@ -83,7 +86,7 @@ def line_shingles(data, starts, lengths, size: int = SHINGLE):
     return _hashes(data, at, np.minimum(lengths, size)[of]), of
 
 
-def min_hashes(hashes, of, n: int, bins: int = BANDS * ROWS) -> np.ndarray:
+def min_hashes(hashes, of, n: int, bins: int = BINS) -> np.ndarray:
     """One-permutation MinHash of ``n`` sets, a row each, in a power of two of ``bins``; an empty bin takes the value of the first full bin of its sequence."""
     none = np.iinfo(np.uint64).max
     out = np.full(n * bins, none, np.uint64)
@@ -103,31 +106,25 @@ def min_hashes(hashes, of, n: int, bins: int = BANDS * ROWS) -> np.ndarray:
     return filled
 
 
-def _batches(batch: pa.RecordBatch, column: int, limit: int = 1 << 18):
-    texts = [t or b"" for t in batch.column(column).to_pylist()]
-    begin = 0
-    while begin < len(texts):
-        end, size = begin, 0
-        while end < len(texts) and (end == begin or size + len(texts[end]) < limit):
-            size += len(texts[end])
-            end += 1
-        yield begin, end, texts[begin:end]
-        begin = end
-
-
 def _source(docs: DataFrame, id_column: str) -> DataFrame:
     return docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), F.col("text").cast("binary").alias("text")
     ).where("text is not null")
 
 
-def lines(docs: DataFrame, id_column: str = "doc_id", min_chars: int = MIN_CHARS) -> DataFrame:
-    """``doc_id, row, place, node`` for every line that is compared; ``row`` is a hash of the text, ``node`` of the line."""
+def band_bins(bands: int = BANDS, rows: int = ROWS, bins: int = BINS) -> np.ndarray:
+    """The bins of each band, ``rows`` different ones, alike on every machine."""
+    order = np.argsort(mixed(np.arange(bands * bins, dtype=np.uint64) + _U(1 << 32)).reshape(bands, bins), 1, kind="stable")
+    return order[:, :rows]
+
+
+def lines(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """``doc_id, row, place, node`` for every line that is not blank; ``row`` is a hash of the text, ``node`` of the line."""
 
     def cut(batches):
         for batch in batches:
-            for begin, end, texts in _batches(batch, 2):
-                data, start, length, of, place = normal_lines(texts, min_chars)
+            for begin, end, texts in text_runs(batch.column(2), RUN):
+                data, start, length, of, place = normal_lines(texts)
                 if len(start):
                     at = pa.array(of + begin)
                     yield pa.RecordBatch.from_arrays(
@@ -135,14 +132,16 @@ def lines(docs: DataFrame, id_column: str = "doc_id", min_chars: int = MIN_CHARS
                         ["doc_id", "row", "place", "node"],
                     )
 
-    return _source(docs, id_column).mapInArrow(cut, "doc_id long, row long, place long, node long")
+    return _source(docs, id_column).mapInArrow(released(cut), "doc_id long, row long, place long, node long")
+
 
+def _banded(docs: DataFrame, id_column: str, buckets: int) -> DataFrame:
+    chosen = band_bins()
 
-def _banded(docs: DataFrame, id_column: str, min_chars: int, buckets: int) -> DataFrame:
     def pack(batches):
         for batch in batches:
-            for _, _, texts in _batches(batch, 2):
-                data, start, length, of, place = normal_lines(texts, min_chars)
+            for _, _, texts in text_runs(batch.column(2), RUN):
+                data, start, length, of, place = normal_lines(texts, SHINGLE + 1)
                 if not len(start):
                     continue
                 node = names(data, start, length)
@@ -151,11 +150,11 @@ def _banded(docs: DataFrame, id_column: str, min_chars: int, buckets: int) -> Da
                 low = min_hashes(*line_shingles(data, start, length), len(node))
                 band = np.zeros((len(node), BANDS), np.uint64)
                 for r in range(ROWS):
-                    band = mixed(band + low[:, r::ROWS])
+                    band = mixed(band + low[:, chosen[:, r]])
                 band = mixed(band + np.arange(BANDS, dtype=np.uint64)[None])
                 yield from sg.packed(node, np.repeat(np.arange(len(node)), BANDS), band.ravel(), buckets)
 
-    return _source(docs, id_column).mapInArrow(pack, sg.PACKED)
+    return _source(docs, id_column).mapInArrow(released(pack), sg.PACKED)
 
 
 def _starts(lines_of: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -186,14 +185,14 @@ def common_shingles(x: bytes, y: bytes) -> int:
     return len(cut(x) & cut(y))
 
 
-def _wanted_lines(docs: DataFrame, id_column: str, wanted: DataFrame, min_chars: int) -> DataFrame:
+def _wanted_lines(docs: DataFrame, id_column: str, wanted: DataFrame) -> DataFrame:
     """``node, size, data`` of the wanted lines: the number of different shingles and the line in normal form."""
     held = bm.bitmap(wanted, "node")
 
     def measure(batches):
         for batch in batches:
-            for _, _, texts in _batches(batch, 2):
-                data, start, length, of, place = normal_lines(texts, min_chars)
+            for _, _, texts in text_runs(batch.column(2), RUN):
+                data, start, length, of, place = normal_lines(texts, SHINGLE + 1)
                 node = names(data, start, length)
                 at = np.flatnonzero(bm.holds(held, node))
                 node, once = np.unique(node[at], return_index=True)
@@ -206,20 +205,20 @@ def _wanted_lines(docs: DataFrame, id_column: str, wanted: DataFrame, min_chars:
                          pa.array([whole[s : s + n] for s, n in zip(start.tolist(), length.tolist())], pa.binary())], ["node", "size", "data"],
                     )
 
-    found = _source(docs, id_column).mapInArrow(measure, sg.DESCRIBED)
+    found = _source(docs, id_column).mapInArrow(released(measure), sg.DESCRIBED)
     return sg.once(found, wanted)
 
 
-def duplicate_lines(docs: DataFrame, id_column: str = "doc_id", min_chars: int = MIN_CHARS) -> DataFrame:
+def duplicate_lines(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """``doc_id, row, place``: the lines that go. Of each component the first line by document id, then text hash, then place, stays."""
     spark = docs.sparkSession
-    all_lines = written(lines(docs, id_column, min_chars), "lines")
+    all_lines = written(lines(docs, id_column), "lines")
     position = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row", "place")
     nodes = written(all_lines.groupBy("node").agg(F.min(position).alias("first"), F.count("*").alias("copies")), "nodes")
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(partitions(spark), -(-chars // CHARS_A_BUCKET))
-    lists = written(sg.lists_of(_banded(docs, id_column, min_chars, buckets)), "lists")
-    links = sg.linked(lists, lambda wanted, _: _wanted_lines(docs, id_column, wanted, min_chars), PERCENT, bitmaps, common_shingles)
+    lists = written(sg.lists_of(_banded(docs, id_column, buckets)), "lists")
+    links = sg.linked(lists, lambda wanted, _: _wanted_lines(docs, id_column, wanted), PERCENT, bitmaps, common_shingles)
     joined = components(links)
     # nodes that have copies or partners, with the place of the line that stays
     grouped = nodes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -228,14 +227,14 @@ def duplicate_lines(docs: DataFrame, id_column: str = "doc_id", min_chars: int =
     return all_lines.join(many, "node").where(position != F.col("stays")).select("doc_id", "row", "place")
 
 
-def deduplicated(docs: DataFrame, id_column: str = "doc_id", min_chars: int = MIN_CHARS) -> DataFrame:
+def deduplicated(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """``docs`` with the kept lines as ``text``, and ``n_lines`` (before) and ``removed`` (places, ascending).
 
     Lines end at line feeds. Null texts stay null with 0 lines; an empty text is one empty line. Documents
     stay even if no line of them does (their text is then empty). Rows equal in id and text are one
     document. ``n_lines`` and ``removed`` columns of the input are replaced.
     """
-    goes = duplicate_lines(docs, id_column, min_chars)
+    goes = duplicate_lines(docs, id_column)
     # a document's own lines only
     gone = written(goes.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("place")).alias("removed")), "gone")
     base = docs.drop("n_lines", "removed")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import mixed, partitions, written
+from tidegate.llm.common import give_back, mixed, partitions, released, written
 from tidegate.llm.components import components
 
 BLOCK = 4096  # members of a list that one task compares with as many others
@@ -80,7 +80,10 @@ def lists_of(packed: DataFrame) -> DataFrame:
         chosen[once] = True
         chosen &= size > 1
         rows = np.repeat(chosen, size)
-        return pa.table({"list": np.repeat(name, size)[rows].view(np.int64), "node": node[rows]})
+        found = pa.table({"list": np.repeat(name, size)[rows].view(np.int64), "node": node[rows]})
+        del node, key, place, order
+        give_back()
+        return found
 
     return packed.groupBy("bucket").applyInArrow(meet, "list long, node long").distinct()
 
@@ -116,7 +119,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int, common: Callable[
     near = pairs.join(left, "a").join(right, "b").where(
         (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     )
-    return near.select("a", "b", "xa", "xb", "na", "nb").mapInArrow(compare, "a long, b long")
+    return near.select("a", "b", "xa", "xb", "na", "nb").mapInArrow(released(compare), "a long, b long")
 
 
 def _distances(size: np.ndarray, data: list[bytes]):
@@ -243,7 +246,7 @@ def _close(members: DataFrame, percent: int, best: bool, bitmaps: Callable[[list
             yield found
 
     dealt = tiles.repartition(partitions(members.sparkSession), "list", "x", "y").sortWithinPartitions("list", "x", "y")
-    return dealt.mapInArrow(scan, "list long, a long, b long")
+    return dealt.mapInArrow(released(scan), "list long, a long, b long")
 
 
 def _run(kept: list[dict]) -> dict:
