@@ -1,13 +1,17 @@
 """Benchmark decontamination by templates: a question is also found when its numbers, names or units are changed.
 
-Texts become templates: a number is replaced by the placeholder of numbers, a unit by that of units, a
-name (a capitalised word that does not begin a sentence) by that of names; all other words are lower-
-cased and lose their punctuation. Windows of WINDOW template words are joined by hash with those of the
-benchmark. Windows that match on the same diagonal (place in the document less place in the item) are
-one alignment. Slots are checked on it: a slot value of the item must stand for one value in the
-document each time it occurs and two values of the item must not become one. An alignment counts if
-it covers COVERAGE of the item's windows with consistent slots and with at least some
-ordinary words; a document with such an alignment is contaminated.
+Texts become templates: a number, in digits or words, is replaced by the placeholder of numbers, a unit by that of
+units, a name (a capitalised word that does not begin a sentence) by that of names; all other words are lower-
+cased and lose their punctuation. Neighbouring placeholders of one kind are one slot, so a name may get longer. Letters of
+scripts without blanks are words of their own. Windows of WINDOW template words are joined by hash with those of the
+benchmark; an item with fewer is one window. Windows with fewer than ORDINARY ordinary words tell nothing by their
+template and are joined by their words instead, as they stand; so number series are found too.
+
+Windows of a document and an item whose diagonals (place in the document less place in the item) are near make one
+alignment, so a word more or less does not break it. Slots are checked on it: a slot value of the item must stand for one
+value in the document each time it occurs and two values of the item must not become one. An alignment with
+consistent slots counts if it holds COVERAGE of the item's windows, or if its windows cover WORDS_COVERED of the
+item's words; a document with such an alignment is contaminated.
 """
 
 from __future__ import annotations
@@ -21,11 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm import bitmap as bm
-from tidegate.llm.common import shingle_hashes, written
+from tidegate.llm.common import mixed, released, written
 
 WINDOW = 8  # template words
 COVERAGE = 0.5  # share of the item's windows
-ORDINARY = 3  # words of a window that are no placeholders; a window with fewer tells nothing
+WORDS_COVERED = 0.75  # share of the item's words
+ORDINARY = 3  # words of a window that are no placeholders; a window with fewer is compared as it stands
+LETTERS = 12  # characters that a shorter window without enough ordinary words needs
+DRIFT = 8  # diagonals of one alignment differ by less; up to half of it always fall together
 NUMBER, NAME, UNIT = 1, 2, 3
 # Units that follow numbers.
 UNITS = frozenset(
@@ -34,6 +41,13 @@ UNITS = frozenset(
     "week weeks month months year years hz khz mhz ghz j kj cal kcal w kw mw kwh v mv a ma k c f pa kpa bar mol "
     "percent % $ € £ ¥ usd eur gbp dollar dollars euro euros cent cents kb mb gb tb bit bits byte bytes mph kmh degree degrees °c °f".split()
 )
+# Numbers in words.
+NUMBER_WORDS = frozenset(
+    "zero two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty "
+    "thirty forty fifty sixty seventy eighty ninety hundred thousand million billion twenty-one".split()
+)
+# Scripts without blanks between words.
+SINGLE = re.compile("([\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff])")
 DIGITS = re.compile(r"[-+]?[$€£¥]?\d[\d.,:/]*")
 EDGE = "\"'`“”‘’«»()[]{}<>.,;:!?…*_|#&%$~^=+-–—/\\"
 ENDS = (".", "!", "?", ":", "…")
@@ -51,13 +65,13 @@ class _Tokens(dict):
     """A number for each token, and what the token is by itself."""
 
     def __init__(self):
-        self.described: list[tuple] = []  # (is a word, a number, may be a unit, capitalised, ends a sentence, value)
+        self.described: list[tuple] = []  # (is a word, a number, may be a unit, capitalised, ends a sentence, value, characters)
         self.columns: list[np.ndarray] = []
 
     def arrays(self) -> list[np.ndarray]:
         have = len(self.columns[0]) if self.columns else 0
         if len(self.described) > have:
-            fresh = [np.array(c, _U if i == 5 else bool) for i, c in enumerate(zip(*self.described[have:]))]
+            fresh = [np.array(c, (bool, bool, bool, bool, bool, _U, np.int64)[i]) for i, c in enumerate(zip(*self.described[have:]))]
             self.columns = [np.concatenate(c) for c in zip(self.columns, fresh)] if have else fresh
         return self.columns
 
@@ -69,73 +83,116 @@ class _Tokens(dict):
     def __missing__(self, raw: str) -> int:
         bare = raw.strip(EDGE) or (raw if raw in UNITS else "")
         low = bare.lower()
-        digit = bool(bare) and (bare[0].isdigit() or (bare[0] in "-+" and bare[1:2].isdigit())) and bool(DIGITS.match(bare))
+        spelled = low in NUMBER_WORDS or ("-" in low and all(w in NUMBER_WORDS or w == "one" for w in low.split("-")))
+        digit = spelled or bool(bare) and (bare[0].isdigit() or (bare[0] in "-+" and bare[1:2].isdigit())) and bool(DIGITS.match(bare))
         capital = bool(bare) and bare[0].isupper() and bare[1:] == bare[1:].lower()
-        self.described.append((bool(bare), digit, low in UNITS, capital, raw.endswith(ENDS), _name(low)))
+        self.described.append((bool(bare), digit, low in UNITS, capital, raw.endswith(ENDS), _name(low), len(low)))
         self[raw] = len(self.described) - 1
         return self[raw]
 
 
 def templates(texts: list[str], tokens: _Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(template word, kind of slot or 0, value) of all words of the texts, and how many each text has.
+    """(kind of slot or 0, value, characters) of all words of the texts, and how many each text has.
 
     Bare punctuation is no word, but may end a sentence. Kinds follow from the token and the one before.
     """
-    split = [t.split() for t in texts]
+    split = [(t if t.isascii() else SINGLE.sub(r" \1 ", t)).split() for t in texts]
     if len(tokens) > KNOWN:
         tokens.forget()
     found = np.fromiter(map(tokens.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
     of = np.repeat(np.arange(len(texts)), [len(ws) for ws in split])
     if not len(found):
-        return np.zeros(0, _U), np.zeros(0, np.int8), np.zeros(0, _U), np.zeros(len(texts), np.int64)
-    word, digit, unit, capital, ends, value = (c[found] for c in tokens.arrays())
+        return np.zeros(0, np.int8), np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+    word, digit, unit, capital, ends, value, letters = (c[found] for c in tokens.arrays())
     place = np.cumsum(word) - 1
     ended = np.bincount(np.maximum(place[ends], 0), minlength=int(word.sum()) or 1) > 0
-    digit, unit, capital, value, of = digit[word], unit[word], capital[word], value[word], of[word]
+    digit, unit, capital, value, letters, of = digit[word], unit[word], capital[word], value[word], letters[word], of[word]
     first = np.r_[True, of[1:] != of[:-1]][: len(of)]
     begins = first | np.r_[False, ended[: len(of)][:-1]][: len(of)]
     after = np.r_[False, digit[:-1]][: len(of)] & ~first
     kinds = np.select([digit, unit & after, capital & ~begins], [NUMBER, UNIT, NAME], 0).astype(np.int8)
-    return np.where(kinds > 0, kinds.astype(_U), value), kinds, value, np.bincount(of, minlength=len(texts))
-
-
-def windows(words, kinds, counts, size: int = WINDOW):
-    """(hash, text, first word in the text, first word of all, whether it has enough ordinary words) of each window."""
-    hashes, of = shingle_hashes(words, counts, size)
-    begin = np.cumsum(counts) - counts
-    n = np.bincount(of, minlength=len(counts))
-    at = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-    start = at + begin[of]
-    plain = np.concatenate(([0], np.cumsum(kinds == 0)))
-    stop = np.minimum(start + size, (begin + counts)[of])
-    return hashes.view(np.int64), of, at, start, plain[stop] - plain[start] >= ORDINARY
+    return kinds, value, letters, np.bincount(of, minlength=len(texts))
+
+
+class Stream:
+    """The words of texts one after the other: template word, kind, value, characters, first and end word in the plain text."""
+
+    def __init__(self, words, kinds, values, letters, start, end, counts) -> None:
+        self.words, self.kinds, self.values, self.letters, self.start, self.end, self.counts = words, kinds, values, letters, start, end, counts
+        self.begin = np.cumsum(counts) - counts
+        self.ordinary = np.concatenate(([0], np.cumsum(kinds == 0)))
+        self.so_far = np.concatenate(([0], np.cumsum(letters)))
+
+
+def streams(texts: list[str], tokens: _Tokens) -> tuple[Stream, Stream]:
+    """The texts as templates, and as they stand."""
+    kinds, values, letters, counts = templates(texts, tokens)
+    of = np.repeat(np.arange(len(counts)), counts)
+    at = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+    plain = Stream(values, kinds, values, letters, at, at + 1, counts)
+    head = np.ones(len(kinds), bool)
+    head[1:] = (kinds[1:] == 0) | (kinds[1:] != kinds[:-1]) | (of[1:] != of[:-1])
+    first = np.flatnonzero(head)
+    length = np.diff(np.r_[first, len(kinds)])
+    place = np.arange(len(kinds)) - np.repeat(first, length)
+    together = np.add.reduceat(mixed(values + place.astype(_U)), first) if len(first) else values
+    value = np.where(length > 1, together, values[first])
+    kind = kinds[first]
+    chars = np.add.reduceat(letters, first) if len(first) else letters
+    slots = Stream(np.where(kind > 0, kind.astype(_U), value), kind, value, chars, at[first], at[first] + length, np.bincount(of[first], minlength=len(counts)))
+    return slots, plain
+
+
+def windows(stream: Stream, size: int, template: bool, exactly: int | None = None):
+    """(hash, text, place in the stream) of the windows of ``size`` words: of a template those with enough ordinary words, of
+    plain words those without. With ``exactly`` only texts of that many words are taken."""
+    n = np.where(stream.counts >= size, stream.counts - size + 1, 0)
+    if exactly is not None:
+        n = np.where(stream.counts == exactly, n, 0)
+    of = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + stream.begin[of]
+    tells = stream.ordinary[at + size] - stream.ordinary[at] >= ORDINARY
+    if not template:
+        tells = ~tells & ((size >= WINDOW) | (stream.so_far[at + size] - stream.so_far[at] >= LETTERS))
+    of, at = of[tells], at[tells]
+    out = np.full(len(at), 2 * size + template, _U)
+    for k in range(size):
+        out = mixed(out + stream.words[at + k])
+    return out.view(np.int64), of, at
+
+
+_ITEM = "item_id long, hash long, item_at int, item_end int, size int, template boolean, kinds array<int>, item_values array<long>"
 
 
 def _items(benchmark: DataFrame, size: int) -> DataFrame:
-    """``item_id, hash, item_at, windows, item_kinds, item_values`` for each window of the benchmark."""
+    """Windows of the benchmark with the number of windows and words of their item, ``windows`` and ``words``."""
 
     def cut(batches):
         tokens = _Tokens()
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            words, kinds, values, counts = templates(texts, tokens)
-            hashes, of, at, start, fine = windows(words, kinds, counts, size)
-            total = np.bincount(of, fine, len(texts)).astype(int)
-            rows = [(ids[of[i]], int(hashes[i]), int(at[i]), int(total[of[i]]), kinds[start[i] : start[i] + size].tolist(),
-                     values[start[i] : start[i] + size].view(np.int64).tolist()) for i in np.flatnonzero(fine)]
+            rows = []
+            for stream, template in zip(streams(texts, tokens), (True, False)):
+                for own in range(1, size + 1):
+                    hashes, of, at = windows(stream, own, template, None if own == size else own)
+                    for h, i, w in zip(hashes.tolist(), of.tolist(), at.tolist()):
+                        kinds = stream.kinds[w : w + own].tolist() if template else [0] * own
+                        rows.append((ids[i], h, int(stream.start[w]), int(stream.end[w + own - 1]), own, template, kinds, stream.values[w : w + own].view(np.int64).tolist()))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
-                    pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64())))],
-                    ["item_id", "hash", "item_at", "windows", "kinds", "item_values"])
+                kinds_of = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds_of)], [c.split()[0] for c in _ITEM.split(", ")])
 
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
-    return rows.mapInArrow(cut, "item_id long, hash long, item_at int, windows int, kinds array<int>, item_values array<long>")
+    found = written(rows.distinct().mapInArrow(released(cut), _ITEM), "item-windows")
+    sums = found.groupBy(F.col("item_id").alias("of_item")).agg(F.countDistinct("item_at", "template").alias("windows"), F.max("item_end").alias("words"))
+    return found.join(sums, F.col("item_id").eqNullSafe(F.col("of_item"))).drop("of_item")
 
 
-def _hits(docs: DataFrame, id_column: str, held: np.ndarray, size: int) -> DataFrame:
-    """``doc_id, row, hash, doc_at, doc_values``: windows of the documents that the bitmap lets through.
+def _hits(docs: DataFrame, id_column: str, held: np.ndarray, sizes: list[tuple[int, bool]]) -> DataFrame:
+    """``doc_id, row, hash, doc_at, doc_end, doc_values``: windows of the documents that the bitmap lets through.
 
-    ``row`` tells documents apart whose ids are equal or null: a hash of the text.
+    ``row`` tells documents apart whose ids are equal or null: a hash of the text. ``sizes`` are those of
+    the benchmark's windows, of templates or not.
     """
 
     def cut(batches):
@@ -144,19 +201,21 @@ def _hits(docs: DataFrame, id_column: str, held: np.ndarray, size: int) -> DataF
             for s in range(0, batch.num_rows, 500):
                 some = batch.slice(s, 500)
                 ids, keys, texts = (some.column(i).to_pylist() for i in range(3))
-                words, kinds, values, counts = templates(texts, tokens)
-                hashes, of, at, start, fine = windows(words, kinds, counts, size)
-                hit = np.flatnonzero(fine)
-                hit = hit[bm.holds(held, hashes[hit])]
-                if len(hit):
-                    rows = [(ids[of[i]], keys[of[i]], int(hashes[i]), int(at[i]),
-                             values[start[i] : start[i] + size].view(np.int64).tolist()) for i in hit]
+                slots, plain = streams(texts, tokens)
+                rows = []
+                for own, template in sizes:
+                    stream = slots if template else plain
+                    hashes, of, at = windows(stream, own, template)
+                    hit = np.flatnonzero(bm.holds(held, hashes))
+                    rows += [(ids[of[i]], keys[of[i]], int(hashes[i]), int(stream.start[at[i]]), int(stream.end[at[i] + own - 1]),
+                              stream.values[at[i] : at[i] + own].view(np.int64).tolist()) for i in hit]
+                if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
-                        pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())))],
-                        ["doc_id", "row", "hash", "doc_at", "doc_values"])
+                        pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())))],
+                        ["doc_id", "row", "hash", "doc_at", "doc_end", "doc_values"])
 
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text").where("text is not null")
-    return source.mapInArrow(cut, "doc_id long, row long, hash long, doc_at int, doc_values array<long>")
+    return source.mapInArrow(released(cut), "doc_id long, row long, hash long, doc_at int, doc_end int, doc_values array<long>")
 
 
 def matches(
@@ -166,24 +225,31 @@ def matches(
 
     The best alignment of each document and item: ``matched`` windows of the item's ``windows``, whether its slots are
     consistent, how many slot values were ``changed``, and the range of document words. Null or
-    empty texts and items match nothing; an item shorter than a window is one window, which must
-    hold enough ordinary words. Rows with equal ids are told apart by their text; equal rows are
+    empty texts and items match nothing, nor do items without a window: of fewer than three ordinary words and fewer
+    than LETTERS characters. Rows with equal ids are told apart by their text; equal rows are
     one. Extra columns are ignored. Empty tables give an empty result.
     """
     items = written(_items(benchmark, size), "items")
     held = bm.bitmap(items, "hash")
+    # no more than two for each number of words up to that of a window
+    sizes = sorted((r["size"], r["template"]) for r in items.select("size", "template").distinct().collect())
     # AQE broadcasts the items' windows if they are small and splits a frequent window's rows if not
-    hits = _hits(docs, id_column, held, size).join(items, "hash")
-    diagonal = (F.col("doc_at") - F.col("item_at")).alias("shift")
+    hits = _hits(docs, id_column, held, sizes).join(items, "hash")
+    shift = F.col("doc_at") - F.col("item_at")
+    # two rows of bands, half a band apart: near diagonals fall together in one of them
+    bands = F.array(*[F.struct(F.lit(o).alias("o"), F.floor((shift + F.lit(o * DRIFT // 2)) / DRIFT).alias("b")) for o in (0, 1)])
     slots = F.filter(
         F.arrays_zip("kinds", "item_values", "doc_values"), lambda s: s["kinds"] != 0
     )
-    placed = written(hits.select("doc_id", "row", "item_id", "windows", "item_at", "doc_at", diagonal, slots.alias("slots")).distinct(), "hits")
-    key = ["doc_id", "row", "item_id", "shift"]
+    placed = written(hits.select(
+        "doc_id", "row", "item_id", "windows", "words", "item_at", "item_end", "template", "doc_at", "doc_end", slots.alias("slots")
+    ).distinct(), "hits").withColumn("band", F.explode(bands))
+    key = ["doc_id", "row", "item_id", "band"]
     runs = placed.groupBy(*key).agg(
-        F.max("windows").alias("windows"), F.countDistinct("item_at").alias("matched"),
-        F.min("doc_at").alias("doc_start"), (F.max("doc_at") + size).alias("doc_end"),
+        F.max("windows").alias("windows"), F.max("words").alias("words"), F.countDistinct("item_at", "template").alias("matched"),
+        F.min("doc_at").alias("doc_start"), F.max("doc_end").alias("doc_end"),
     )
+    covered = placed.select(*key, F.explode(F.sequence("item_at", F.col("item_end") - 1)).alias("w")).distinct().groupBy(*key).agg(F.count("*").alias("covered"))
     # each (value in the item, value in the document) of an alignment once, then how many partners a value has
     pairs = placed.select(*key, F.explode("slots").alias("s")).select(
         *key, F.col("s.item_values").alias("iv"), F.col("s.doc_values").alias("dv")
@@ -192,12 +258,13 @@ def matches(
         F.count("*").alias("n"), F.countDistinct("iv").alias("ni"), F.countDistinct("dv").alias("nd"),
         F.sum((F.col("iv") != F.col("dv")).cast("int")).alias("changed"),
     )
-    null_safe = [F.col(f"r.{c}").eqNullSafe(F.col(f"p.{c}")) for c in key]
-    judged = runs.alias("r").join(partners.alias("p"), null_safe, "left").select(
-        "r.*", F.coalesce((F.col("n") == F.col("ni")) & (F.col("n") == F.col("nd")), F.lit(True)).alias("consistent"),
+    same = lambda other: [F.col(f"r.{c}").eqNullSafe(F.col(f"{other}.{c}")) for c in key]
+    judged = runs.alias("r").join(partners.alias("p"), same("p"), "left").join(covered.alias("c"), same("c")).select(
+        "r.*", "covered", F.coalesce((F.col("n") == F.col("ni")) & (F.col("n") == F.col("nd")), F.lit(True)).alias("consistent"),
         F.coalesce("changed", F.lit(0)).alias("changed"),
     )
-    found = judged.where((F.col("matched") >= coverage * F.col("windows")) & F.col("consistent"))
+    enough = (F.col("matched") >= coverage * F.col("windows")) | (F.col("covered") >= WORDS_COVERED * F.col("words"))
+    found = judged.where(enough & F.col("consistent"))
     best = F.max(F.struct("matched", (-F.col("changed")).alias("c"), (-F.col("doc_start")).alias("s"), "windows", "changed", "consistent", "doc_start", "doc_end"))
     return found.groupBy("doc_id", "row", "item_id").agg(best.alias("b")).select(
         "doc_id", "row", "item_id", "b.windows", "b.matched", "b.consistent", "b.changed", "b.doc_start", "b.doc_end"
