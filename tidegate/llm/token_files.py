@@ -27,14 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import partitions
+from tidegate.llm.common import partitions, released
 
 MAGIC = b"TGIDS001"
 HEAD = "<8s32sII"
 SHARD_BYTES = 4 << 20
 DICTIONARY_BYTES, LEVEL = 64 << 10, 3
 SAMPLE_DOCUMENTS, SAMPLE_BYTES = 2000, 8 << 20  # what the dictionary is trained on, at most
-CACHE = 200_000  # pieces whose ids a Python worker keeps
+CACHE = 200_000  # chunks and pieces whose ids a Python worker keeps, and as many that it met before those
 CHARS_A_RANGE = 64_000_000
 # Texts of which every step of such a tokenizer is known: lower-case letters that no normalisation changes,
 # digits, white space and marks of ASCII, but no apostrophe (endings like 's) and no special token. Their
@@ -48,8 +48,8 @@ def encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
     """Texts (UTF-8) to little-endian unsigned 32-bit ids, as the tokenizers library gives them.
 
     If the file says that white space is dropped between words, no token reaches over white space, so
-    the ids of a text are those of its pieces or, if it is not PLAIN, of its chunks between white
-    space. These are kept in a table of bounded size, which tasks of one worker share.
+    the ids of a text are those of its chunks between white space, and if it is PLAIN those of a chunk are
+    the ids of its pieces. Both are kept in tables of bounded size, which tasks of one worker share.
     """
     import os
 
@@ -78,6 +78,14 @@ def encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
     last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
     last[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
     known: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
+
+    def unknown(pieces: set[str]) -> set[str]:
+        """Pieces whose ids neither table has; those of the older one move to the other."""
+        new = pieces.difference(known)
+        again = new & older.keys()
+        known.update((p, older[p]) for p in again)
+        return new - again
 
     def learn(pieces: set[str], letters: bool) -> None:
         """Ids of new pieces; many words at a time, cut apart where a token ends a word."""
@@ -100,21 +108,25 @@ def encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
                 size += len(texts[end])
                 end += 1
             if len(known) > CACHE:
+                older.clear()
+                older.update(known)
                 known.clear()
             split, plain, odd = [], set(), set()
             for raw in texts[begin:end]:
                 text = raw.decode()
                 low = text.lower()
                 if lowers and PLAIN.fullmatch(low) and "<|" not in low:
-                    pieces = PIECES.findall(low)
+                    pieces = low.split()
                     plain.update(pieces)
                 else:
                     # a blank before the chunk keeps it apart from a piece of the same letters
                     pieces = [" " + chunk.decode() for chunk in raw.split()]
                     odd.update(pieces)
                 split.append(pieces)
-            learn(plain.difference(known), True)
-            learn(odd.difference(known), False)
+            new = {chunk: PIECES.findall(chunk) for chunk in unknown(plain)}
+            learn(unknown(set().union(*new.values())), True)
+            known.update((chunk, b"".join(map(known.__getitem__, parts))) for chunk, parts in new.items() if parts != [chunk])
+            learn(unknown(odd), False)
             out.extend(b"".join(map(known.__getitem__, pieces)) for pieces in split)
             begin = end
         return out
@@ -151,7 +163,7 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int, width: i
             )
 
     chosen = chosen.select(F.xxhash64("doc_id", "text").alias("place"), F.col("text").cast("binary").alias("text"))
-    found = chosen.mapInArrow(ids, "place long, ids binary").where(F.length("ids") <= SAMPLE_BYTES // 64)
+    found = chosen.mapInArrow(released(ids), "place long, ids binary").where(F.length("ids") <= SAMPLE_BYTES // 64)
     samples, size = [], 0
     for place, data in sorted((r.place, bytes(r.ids)) for r in found.toLocalIterator()):
         if size + len(data) <= SAMPLE_BYTES:
@@ -219,7 +231,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 1,
     text = F.xxhash64("text")
     dealt = slim.repartitionByRange(ranges, "doc_id", text).sortWithinPartitions("doc_id", text)
     out = dealt.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
-        shards, "part int, number long, first_id long, last_id long, documents long, ids long, data binary"
+        released(shards), "part int, number long, first_id long, last_id long, documents long, ids long, data binary"
     )
     out.write.parquet(f"{path}/shards")
 
@@ -245,10 +257,10 @@ def _dictionary(spark: SparkSession, path: str) -> tuple[bytes, bytes]:
     return data, bytes.fromhex(row.hash)
 
 
-def read_ids(spark: SparkSession, path: str, wanted: list[int] | None = None) -> DataFrame:
+def read_ids(spark: SparkSession, path: str, wanted: list[int] | None = None, checksum: bool = False) -> DataFrame:
     """``part, number, position, doc_id, n_tokens, ids`` (ids: little-endian unsigned 32-bit) of the files.
 
-    With ``wanted`` only the shards whose range can hold one of these ids are read, and of those
+    With ``checksum`` there is the unsigned crc32 of the ids, ``ids_crc32``, in their place. With ``wanted`` only the shards whose range can hold one of these ids are read, and of those
     only the frames of these documents are decompressed.
     """
     import zstandard
@@ -271,15 +283,17 @@ def read_ids(spark: SparkSession, path: str, wanted: list[int] | None = None) ->
                 for s in range(0, len(at), 500):
                     some = at[s : s + 500]
                     frames = [np.frombuffer(opener.decompress(data[begin + int(offsets[i]) : begin + int(offsets[i + 1])]), f"<u{width}") for i in some]
+                    whole = [f.astype("<u4").tobytes() for f in frames]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([part] * len(some), pa.int32()), pa.array([number] * len(some), pa.int64()), pa.array(some, pa.int64()),
-                         pa.array([int(ids[i]) if has[i] else None for i in some], pa.int64()),
-                         pa.array([len(f) for f in frames], pa.int64()), pa.array([f.astype("<u4").tobytes() for f in frames], pa.binary())],
-                        ["part", "number", "position", "doc_id", "n_tokens", "ids"],
+                         pa.array([int(ids[i]) if has[i] else None for i in some], pa.int64()), pa.array([len(f) for f in frames], pa.int64()),
+                         pa.array(map(zlib.crc32, whole), pa.int64()) if checksum else pa.array(whole, pa.binary())],
+                        ["part", "number", "position", "doc_id", "n_tokens", last],
                     )
 
+    last = "ids_crc32" if checksum else "ids"
     return rows.select("part", "number", "data").mapInArrow(
-        parse, "part int, number long, position long, doc_id long, n_tokens long, ids binary"
+        released(parse), f"part int, number long, position long, doc_id long, n_tokens long, {last} {'long' if checksum else 'binary'}"
     )
 
 
@@ -290,14 +304,7 @@ def index(spark: SparkSession, path: str) -> DataFrame:
     range, and over ranges, so no window holds all documents.
     """
 
-    def check(batches):
-        for batch in batches:
-            crc = [zlib.crc32(x) for x in batch.column(5).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(crc, pa.int64())], [*batch.schema.names[:5], "ids_crc32"])
-
-    found = read_ids(spark, path).mapInArrow(
-        check, "part int, number long, position long, doc_id long, n_tokens long, ids_crc32 long"
-    )
+    found = read_ids(spark, path, checksum=True)
     shards = spark.read.parquet(f"{path}/shards").select("part", "number", "ids")
     earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     parts = shards.groupBy("part").agg(F.sum("ids").alias("ids"))
