@@ -151,4 +151,57 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ({_F
 from f left join verdict using (source)
 """
 
-ORACLES = {"op1_warc_revisits": OP1, "op4_embedding_dedup": OP4, "op5_ngram_join": OP5, "op7_source_mixing": OP7, "op13_host_rules": OP13}
+# The crc32 of each ``names.name``, byte by byte.
+_CRC = """
+bits as (select i, list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i) v from range(256) t(i)),
+steps as (
+  select name, hex(encode(name)) h, 0::bigint p, 4294967295::bigint c from names
+  union all
+  select name, h, p + 1, xor(c >> 8, v) from steps join bits on i = xor(c, ('0x' || substr(h, 2 * p + 1, 2))::bigint) & 255 where 2 * p < length(h)),
+crc as (select name, xor(c, 4294967295) c from steps where 2 * p = length(h))"""
+OP12 = f"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') w from documents),
+b as (select regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') w from benchmark),
+f as (select doc_id, array_to_string(w[i:i + k - 1], ' ') name, count(*) n from d, unnest([1, 2, 3]) u(k), unnest(range(1, len(w) - k + 2)) t(i) group by all),
+g as (select array_to_string(w[i:i + k - 1], ' ') name, count(*) n from b, unnest([1, 2, 3]) u(k), unnest(range(1, len(w) - k + 2)) t(i) group by all),
+names as (select name from f union select name from g),
+{_CRC},
+s as (select c % 10000 b, sum(n) n from f join crc using (name) group by 1),
+t as (select c % 10000 b, sum(n) n from g join crc using (name) group by 1),
+sums as (select coalesce((select sum(n) from s), 0)::double + 10000 so, coalesce((select sum(n) from t), 0)::double + 10000 ta),
+gain as (select r.b, floor(1000 * ln((coalesce(t.n, 0) + 1)::double * so / ((coalesce(s.n, 0) + 1)::double * ta)))::bigint gain
+  from range(10000) r(b) left join s using (b) left join t using (b), sums),
+w as (select doc_id, sum(n)::bigint n_features, sum(n * gain)::bigint weight from f join crc using (name) join gain on b = c % 10000 group by doc_id),
+scored as (select d.doc_id, len(d.w) n_words, coalesce(n_features, 0) n_features, coalesce(weight, 0) weight,
+  coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || d.doc_id), 1, 8))::bigint + 0.5::double) / 4294967296)))::bigint score
+  from d left join w using (doc_id)),
+placed as (select doc_id, row_number() over (order by score desc, doc_id) place from scored where n_words >= 20)
+select doc_id, n_features, weight, score, case when place <= (select count(*) from placed) * 5 // 100 then place end rank
+from scored left join placed using (doc_id)
+"""
+OP11 = f"""
+with recursive r as (
+  select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[a-zÀ-ÿ]+')) run from documents),
+u as (select doc_id, run, count(*) n, doc_id || ':' || run name from r group by all),
+names as (select name from u),
+{_CRC},
+v as (select case when c % 97 = 0 then substr(run, 1, c % length(run)) || substr(run, c % length(run) + 2) else run end word, n from u join crc using (name)),
+vocab as (select word, sum(n)::bigint n from v where length(word) >= 5 group by word having sum(n) >= 3),
+shapes as (
+  select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) shape, true cut from vocab, unnest(range(1, length(word) + 1)) t(i)
+  union all select word, n, 0, word, false from vocab),
+near as (
+  select distinct a.word, b.word near, b.n near_n from shapes a join shapes b on a.shape = b.shape and a.word <> b.word
+  where (a.cut <> b.cut) or (a.cut and a.i = b.i)),
+best as (select word, count(*) n_near, arg_min(near, (-near_n, near)) near, max(near_n) near_n from near group by word),
+judged as (select word, n, coalesce(n_near, 0)::bigint n_near, case when near_n >= 2 * n then near end form, case when near_n >= 2 * n then near_n end form_n
+  from vocab left join best using (word)),
+chain as (select word, word last from judged union all select c.word, j.form from chain c join judged j on j.word = c.last where j.form is not null)
+select j.word, j.form, c.last root, j.n, j.n_near, j.form_n from judged j join chain c using (word) join judged e on e.word = c.last where e.form is null
+"""
+
+ORACLES = {
+    "op1_warc_revisits": OP1, "op4_embedding_dedup": OP4, "op5_ngram_join": OP5, "op7_source_mixing": OP7, "op11_spelling_variants": OP11, "op12_importance_resampling": OP12,
+    "op13_host_rules": OP13,
+}
