@@ -20,6 +20,8 @@ def build_session(app: str = "tidegate", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # one call to the JVM for a column instead of four, as plans here have thousands
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update(conf)
     for key, value in settings.items():
