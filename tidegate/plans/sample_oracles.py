@@ -318,6 +318,30 @@ _FIRST = {
     "crit": "select bundle, code, unnest(string_split(criteria, ';')) c from lead_rule",
     "wide": "select m.*, 'ANSNL-'||c krmcriterium, code monprog_naam from m left join crit on crit.bundle = m.bundle",
 }
+_PARAMETERS = f"""select 'Parameter controle' section, d.bundle databundelcode, d.rid record_id, 'parameter is ongeldig' uitvalreden,
+ 'parameter "'||label||'" i.c.m. groep ('||coalesce(lower(groep), '')||') uit de validatieregel komt niet voor in de groep-lijst' informatie
+ from (select *, {_LABEL} label from mk) d join asg a on a.bundle = d.bundle and a.rid = d.rid
+ join (select * from ex where locatiecode is not null) x on x.bundle = a.bundle and x.rule_id = a.rule
+ where label <> 'nan / nan' and lower(label) not in (select lower(parameter) from grp) group by 1, 2, 3, 4, 5"""
+_INTENT = _MISSING + """ where not exists (select 1 from asg a join br on br.bundle = a.bundle and br.rule_id = a.rule
+ where a.bundle = verz.databundelcode and br.groep = verz.groep and a.pkey = verz.parameter)"""
+_TESTED = {**{c: c for c, _ in _CHECKED}, "locatiecode": "loc"}
+_SUITS = " and ".join(
+    f"exists (select 1 from vals where vals.bundle = mk.bundle and vals.c = '{c}' and vals.v is not distinct from mk.{own})" for c, own in _TESTED.items()
+)
+_CORRECTED = {
+    **_matching("rules", day_first=True), **_GEO, **_BOUNDS, **_COUNTS_FIXED, "verz": _COLLECT["verz"],
+    "vals": " union ".join(
+        f"select bundle, '{c}' c, unnest(case when {c} is null then [cast(null as varchar)] else string_split({c}, ';') end) v from br" for c in _TESTED
+    ),
+}
+_CORRECTED["fails"] = " union all ".join(
+    f"select * from ({part})"
+    for part in (
+        _UNKNOWN, _FAR, _MANDATORY, _COUNT_FAILURES, _FIXED, _NO_RULE, _OTHER, _DATES, _PARAMETERS, _INTENT,
+        _failure("Kolomwaarde controle", "ongeldige code", "''", f"mk where bundle in (select bundle from br) and not ({_SUITS})"),
+    )
+)
 _EXPORTED = (
     "meetobject_lokaalid", "monster_lokaalid", "meetwaarde_lokaalid", "monstercompartiment_code", "begindatum", "typering_code",
     "grootheid_code", "parameter_code", "biotaxon_naam", "eenheid_code", "hoedanigheid_code", "waardebewerkingsmethode_code",
@@ -437,16 +461,16 @@ def build() -> dict[str, str]:
             _MISSING + " where parameter not in (select lower(g2.parameter) from grp g2)", **_COLLECT
         ),
         "collection_intent": _sql(
-            _MISSING
-            + """ where not exists (select 1 from asg a join br on br.bundle = a.bundle and br.rule_id = a.rule
-                where a.bundle = verz.databundelcode and br.groep = verz.groep and a.pkey = verz.parameter)""",
-            **_COLLECT,
+            _INTENT, **_COLLECT,
         ),
         "fixed_values": _sql(_FIXED, **_HAND),
         "other_checks": _sql(_OTHER, **_HAND),
         "date_range": _sql(_DATES, **_HAND, **_BOUNDS),
         "failures_all": _sql("select * from fails", **_ALL),
         "failures_by_section": _sql("select * from sect", **_ALL),
+        "failures_corrected": _sql(
+            "select databundelcode, section, uitvalreden, count(*) failures, count(distinct record_id) records from fails group by 1, 2, 3", **_CORRECTED
+        ),
         "bundle_summary": _sql(
             """select *, 'Databundel validatie is: '||case when bundle_valid then 'True' else 'False' end||' en akkoord file is: '||case when has_akkoord then 'True' else 'False' end status from summ""",
             **_ALL,

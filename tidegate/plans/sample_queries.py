@@ -143,6 +143,15 @@ def failures_all(spark: SparkSession, sf: str) -> DataFrame:
     return report.ordered(_all_failures(spark, sf))
 
 
+def failures_corrected(spark: SparkSession, sf: str) -> DataFrame:
+    """All ten families of checks in the corrected behaviour, counted by bundle, section and reason."""
+    refs = sv.references(spark, sf, compat=False)
+    found = run_checks(sv.records(spark, sf), refs, bundles=sv.bundle_names(spark, sf))
+    return found.groupBy("databundelcode", "section", "uitvalreden").agg(
+        F.count("*").alias("failures"), F.countDistinct("record_id").alias("records")
+    )
+
+
 def failures_by_section(spark: SparkSession, sf: str) -> DataFrame:
     return report.by_section(_all_failures(spark, sf))
 
@@ -724,6 +733,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "other_checks": _row_check(*row_checks.OTHER_CHECKS),
     "date_range": _row_check("date_range"),
     "failures_all": failures_all,
+    "failures_corrected": failures_corrected,
     "failures_by_section": failures_by_section,
     "bundle_summary": bundle_summary,
     "sample_dense_rank": sample_dense_rank,
