@@ -16,8 +16,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidegate.functions import projections
 from tidegate.functions.geo import finite
+from tidegate.functions.projections import by_system
 from tidegate.functions.text import as_col
 
 VERTEX = "struct<x:double,y:double>"
@@ -181,7 +181,7 @@ def to_lonlat(wkb: str | Column, crs: str | Column) -> Column:
         xy = flat.coordinates()
         sizes = np.diff(np.array(flat.ring_ends)[np.array(flat.part_ends)[flat.ends]])
         of = np.repeat(np.arange(len(systems)), sizes)
-        moved = [projections.by_system([systems[i] for i in of], xy[:, 0], xy[:, 1])] if len(xy) else []
+        moved = [by_system([systems[i] for i in of], xy[:, 0], xy[:, 1])] if len(xy) else []
         flat.xy = [np.stack(m, 1) for m in moved]
         flat.srids = [None] * len(systems)
         return _packed(flat, False)
