@@ -24,8 +24,11 @@ LEAST_SCORE = 0.3
 def with_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is predicted, with LEAST_SCORE at least; the model is learned from ``docs``."""
     model = language_id.train(docs.where(~queries.held_out() & F.col("doc_id").isNotNull()))
-    guessed = docs.withColumn("_guess", language_id.predicted(F.col("text"), model))
-    known = (F.col("_guess.lang") != language_id.UNDETERMINED) & (F.col("_guess.score") >= LEAST_SCORE)
+    guess = "_guess"
+    while guess in docs.columns:
+        guess = f"_{guess}"
+    guessed = docs.withColumn(guess, language_id.predicted(F.col("text"), model))
+    known = (F.col(f"{guess}.lang") != language_id.UNDETERMINED) & (F.col(f"{guess}.score") >= LEAST_SCORE)
     return guessed.where(known).select(docs.columns)
 
 
