@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import mixed
+from tidegate.llm.common import mixed, released
 
 BITS = 23
 
@@ -33,7 +33,7 @@ def bitmap(keys: DataFrame, column: str) -> np.ndarray:
         used = np.flatnonzero(words)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(words[used])], ["place", "bits"])
 
-    parts = keys.select(F.col(column).cast("long").alias("key")).mapInArrow(put, "place long, bits long")
+    parts = keys.select(F.col(column).cast("long").alias("key")).mapInArrow(released(put), "place long, bits long")
     rows = parts.groupBy("place").agg(F.bit_or("bits").alias("bits")).toPandas()
     words = np.zeros(1 << (BITS - 6), np.int64)
     words[rows["place"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)

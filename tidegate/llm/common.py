@@ -8,6 +8,7 @@ import sys
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import wraps
 from pathlib import Path
 
 import numpy as np
@@ -90,6 +91,28 @@ def text_runs(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int
         begin = end
 
 
+def keeps_columns(*own: str) -> Callable:
+    """For functions on a table that use columns of these names themselves: the table's own ones are set aside meanwhile."""
+
+    def wrap(work: Callable) -> Callable:
+        @wraps(work)
+        def run(df: DataFrame, *args, **kwargs) -> DataFrame:
+            aside, taken = {}, {c.lower() for c in df.columns}
+            for column in df.columns:
+                if column.lower() in own:
+                    name = f"own {column}"
+                    while name.lower() in taken:
+                        name = f"own {name}"
+                    taken.add(name.lower())
+                    aside[column] = name
+            out = work(df.withColumnsRenamed(aside) if aside else df, *args, **kwargs)
+            return out.withColumnsRenamed({name: column for column, name in aside.items()}) if aside else out
+
+        return run
+
+    return wrap
+
+
 def lower_ascii(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm import bitmap as bm
-from tidegate.llm.common import mixed, released, written
+from tidegate.llm.common import keeps_columns, mixed, released, written
 
 WINDOW = 8  # template words
 COVERAGE = 0.5  # share of the item's windows
@@ -271,6 +271,7 @@ def matches(
     )
 
 
+@keeps_columns("_row", "_maybe", "_d", "_r")
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """``docs`` without the contaminated ones; rows with a null text stay."""
     found = written(matches(docs, benchmark, id_column).select("doc_id", "row").distinct(), "found")

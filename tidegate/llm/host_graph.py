@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import lower_ascii, written
+from tidegate.llm.common import keeps_columns, lower_ascii, written
 
 DAMPING, TOLERANCE, ROUNDS = 0.85, 1e-3, 40
 DISTRUST = 1.0  # a host whose distrust is at least this many times an even share, and its trust, is blocked
@@ -120,6 +120,7 @@ def propagated(links: DataFrame, seeds: DataFrame) -> DataFrame:
     return scores.join(F.broadcast(whole), "kind").select("kind", "host", (F.col("score") / F.col("whole")).alias("score"))
 
 
+@keeps_columns("_rule")
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str]], links: DataFrame | None = None, distrust: float = DISTRUST) -> DataFrame:
     """``pages`` with ``host, path, rule, verdict, trust, distrust``.
 

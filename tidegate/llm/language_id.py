@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import mixed
+from tidegate.llm.common import give_back, mixed, released
 
 UNDETERMINED = "und"
 DIMENSIONS, ORDERS = 4096, 3
@@ -157,7 +157,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int =
     from pyspark.sql import Window
 
     picked = rows.where(wide).groupBy("lang", "place").agg(F.first("text").alias("text")).select("lang", "text", "place")
-    described = picked.mapInArrow(describe, "lang string, place long, x binary").withColumn(
+    described = picked.mapInArrow(released(describe), "lang string, place long, x binary").withColumn(
         "n", F.row_number().over(Window.partitionBy("lang").orderBy("place"))
     ).where(F.col("n") <= sample)
     languages = sorted(counts)
@@ -234,5 +234,6 @@ def predicted(text: Column, model: dict) -> Column:
         for series in texts:
             names, scores = predict([t if isinstance(t, str) else None for t in series], model)
             yield pd.DataFrame({"lang": pd.Series(names, dtype=object), "score": scores})
+        give_back()
 
     return guess(text)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidegate.llm import bitmap as bm
 from tidegate.llm import signatures as sg
-from tidegate.llm.common import mixed, partitions, powers, released, text_runs, written
+from tidegate.llm.common import keeps_columns, mixed, partitions, powers, released, text_runs, written
 from tidegate.llm.components import components
 
 SHINGLE, PERCENT = 7, 75
@@ -227,6 +227,7 @@ def duplicate_lines(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     return all_lines.join(many, "node").where(position != F.col("stays")).select("doc_id", "row", "place")
 
 
+@keeps_columns("_row", "_maybe", "_d", "_r")
 def deduplicated(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """``docs`` with the kept lines as ``text``, and ``n_lines`` (before) and ``removed`` (places, ascending).
 

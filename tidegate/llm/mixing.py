@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import n_words, partitions, written
+from tidegate.llm.common import keeps_columns, n_words, partitions, written
 
 WEIGHTS, REPEATS, SEED = (1, 2, 3), 3, "mix-1"
 PIECE_DIGITS = 3  # hexadecimal digits of the hash that name a piece: 4096 pieces a source
@@ -108,6 +108,7 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REP
     return served.groupBy(*identity).agg(F.sum(take).alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
 
 
+@keeps_columns("_source", "_doc_id", "_key", "_tie", "_ordinal", "_copies", "_copy", "_k", "_t", "_o")
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
     """The documents of the mix, each as many times as it is taken, with the columns of ``docs``."""
     taken = plan(docs, weights, repeats).where("copies > 0").select(

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tidegate.llm import bitmap as bm
 from tidegate.llm import signatures as sg
-from tidegate.llm.common import mixed, partitions, shingle_sets, written
+from tidegate.llm.common import keeps_columns, mixed, partitions, released, shingle_sets, text_runs, written
 from tidegate.llm.components import components
 
 WORDS, PERCENT = 5, 75
@@ -92,14 +92,12 @@ def signatures(of, hashes, sizes, percent: int) -> Iterator[tuple[np.ndarray, np
             yield of_part[send], sig[send]
 
 
-def _texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
-    return [x or b"" for x in batch.column(batch.schema.get_field_index(column)).to_pylist()]
-
-
 def _sets(batch: pa.RecordBatch, words: int):
     """Runs of the batch: (rows, sizes, set of each shingle, shingle)."""
-    for rows, of, hashes in shingle_sets(_texts(batch, "text"), words):
-        yield rows, np.bincount(of, minlength=rows.stop - rows.start), of, hashes
+    for begin, _, texts in text_runs(batch.column(batch.schema.get_field_index("text"))):
+        for rows, of, hashes in shingle_sets(texts, words):
+            sizes = np.bincount(of, minlength=rows.stop - rows.start)
+            yield slice(begin + rows.start, begin + rows.stop), sizes, of, hashes
 
 
 def with_sets(docs: DataFrame, id_column: str, words: int = WORDS) -> DataFrame:
@@ -117,7 +115,7 @@ def with_sets(docs: DataFrame, id_column: str, words: int = WORDS) -> DataFrame:
     source = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), F.col("text").cast("binary").alias("text")
     )
-    return source.mapInArrow(measure, "doc_id long, row long, n_shingles long, node long")
+    return source.mapInArrow(released(measure), "doc_id long, row long, n_shingles long, node long")
 
 
 def _packed(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
@@ -129,7 +127,7 @@ def _packed(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFram
                     owner, sig = (np.concatenate(x) for x in zip(*found))
                     yield from sg.packed(digests(of, hashes, sizes), owner, sig, buckets)
 
-    return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(pack, sg.PACKED)
+    return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(released(pack), sg.PACKED)
 
 
 def _wanted_sets(docs: DataFrame, id_column: str, wanted: DataFrame, words: int, whole: bool) -> DataFrame:
@@ -144,7 +142,7 @@ def _wanted_sets(docs: DataFrame, id_column: str, wanted: DataFrame, words: int,
                 yield sg.described(digests(of, hashes, sizes), of, hashes, whole)
 
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return sg.once(source.mapInArrow(measure, sg.DESCRIBED), wanted)
+    return sg.once(source.mapInArrow(released(measure), sg.DESCRIBED), wanted)
 
 
 def near_duplicates(
@@ -184,6 +182,7 @@ def near_duplicates(
     )
 
 
+@keeps_columns("_row", "_maybe", "_d", "_r")
 def deduplicated(docs: DataFrame, id_column: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each group: that of the smallest id (null last), then text hash.
 
