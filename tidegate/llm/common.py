@@ -27,6 +27,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _LIBC = ctypes.CDLL("libc.so.6") if sys.platform == "linux" else None
 _shipped: set[str] = set()
+BATCH_BYTES, _BATCH = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
@@ -49,8 +50,16 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(application)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of BATCH_BYTES, unless the session asks for less: texts are long, and every task holds some batches."""
+    size = spark.conf.get(_BATCH).rstrip("bB")
+    if not size.isdigit() or not 0 < int(size) <= BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
