@@ -3,7 +3,7 @@
 Rows lie in buckets by the hash of their key. A version is a small file that names the folder of each bucket; a
 batch reads the buckets of its keys, writes them anew into a folder of its own and then puts the next version beside the
 last one. Until then readers see the table as it was, and what a failed batch has written is in no version. A batch that
-is repeated after its version is there does nothing.
+is repeated after its version is there does nothing. Of two writers that build on the same version the second is refused.
 """
 
 from __future__ import annotations
@@ -31,11 +31,11 @@ class KeyedTable:
 
     def versions(self) -> list[tuple[int, str]]:
         """(number, name of the batch that made it) of the versions that are there, oldest first."""
-        found = [n.split("-", 1) for n in files.names(self.spark, f"{self.root}/versions") if not n.startswith(("_", "."))]
-        return [(int(number), batch) for number, batch in found]
+        numbers = [int(n) for n in files.names(self.spark, f"{self.root}/versions") if n.isdigit()]
+        return [(n, self._version(n)["batch"]) for n in numbers]
 
-    def _version(self, number: int, batch: str) -> dict:
-        return json.loads(files.read_bytes(self.spark, f"{self.root}/versions/{number:09d}-{batch}"))
+    def _version(self, number: int) -> dict:
+        return json.loads(files.read_bytes(self.spark, f"{self.root}/versions/{number:09d}"))
 
     def _rows(self, version: dict, buckets: list[str]) -> DataFrame:
         schema = StructType.fromJson(version["schema"])
@@ -47,7 +47,7 @@ class KeyedTable:
         versions = self.versions()
         if not versions:
             return None
-        version = self._version(*versions[-1])
+        version = self._version(versions[-1][0])
         return self._rows(version, sorted(version["buckets"]))
 
     def merge(self, batch: str, updates: DataFrame, combine: Combine | None = None) -> bool:
@@ -65,15 +65,16 @@ class KeyedTable:
         bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("string")
         touched = sorted(r[0] for r in updates.select(bucket).distinct().collect())  # no more than there are buckets
 
-        last = self._version(*versions[-1]) if versions else {"buckets": {}, "schema": updates.schema.jsonValue()}
+        last = self._version(versions[-1][0]) if versions else {"buckets": {}, "schema": updates.schema.jsonValue()}
         current = self._rows(last, [b for b in touched if b in last["buckets"]])
         merged = (combine or self._replaced)(current, updates)
-        folder = f"{len(versions) and versions[-1][0] + 1:09d}-{batch}"
+        number = versions[-1][0] + 1 if versions else 0
+        folder = f"{number:09d}-{batch}"
         merged.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/data/{folder}")
         made = {n.removeprefix("bucket=") for n in files.names(self.spark, f"{self.root}/data/{folder}") if n.startswith("bucket=")}
         buckets = {b: f for b, f in last["buckets"].items() if b not in touched} | {b: folder for b in made}
-        version = {"schema": merged.schema.jsonValue(), "buckets": buckets}
-        files.write_at_once(self.spark, f"{self.root}/versions/{folder}", json.dumps(version).encode())
+        version = {"batch": batch, "schema": merged.schema.jsonValue(), "buckets": buckets}
+        files.write_at_once(self.spark, f"{self.root}/versions/{number:09d}", json.dumps(version).encode())
         self._clear(incoming)
         return True
 
@@ -85,9 +86,9 @@ class KeyedTable:
         """Remove old versions, and folders that no version names."""
         files.remove(self.spark, incoming)
         versions = self.versions()
-        for number, batch in versions[:-KEPT]:
-            files.remove(self.spark, f"{self.root}/versions/{number:09d}-{batch}")
-        named = {f for v in versions[-KEPT:] for f in self._version(*v)["buckets"].values()}
+        for number, _ in versions[:-KEPT]:
+            files.remove(self.spark, f"{self.root}/versions/{number:09d}")
+        named = {f for number, _ in versions[-KEPT:] for f in self._version(number)["buckets"].values()}
         last = f"{versions[-1][0]:09d}"
         for folder in files.names(self.spark, f"{self.root}/data"):
             if folder not in named and folder[:9] <= last:
