@@ -92,17 +92,17 @@ def min_hashes(hashes, of, n: int, bins: int = BINS) -> np.ndarray:
     out = np.full(n * bins, none, np.uint64)
     np.minimum.at(out, of * bins + (hashes & _U(bins - 1)).astype(np.int64), hashes >> _U(bins.bit_length() - 1))
     out = out.reshape(n, bins)
-    empty = out == none
     filled = out.copy()
-    some = (~empty).any(1)
+    empty = out == none
+    row, col = np.nonzero(empty & ~empty.all(1)[:, None])
     for step in range(1, 1 << 10):
-        row, col = np.nonzero(empty & some[:, None])
         if not len(row):
             break
         other = (mixed(col.astype(np.uint64) + _U(step << 20)) % _U(bins)).astype(np.int64)
-        good = out[row, other] != none
-        filled[row[good], col[good]] = mixed(out[row[good], other[good]] + _U(step))
-        empty[row[good], col[good]] = False
+        found = out[row, other]
+        good = found != none
+        filled[row[good], col[good]] = mixed(found[good] + _U(step))
+        row, col = row[~good], col[~good]
     return filled
 
 
