@@ -214,3 +214,13 @@ def test_random_records_against_brute_force(spark):
     lines = counts.count_lines(m, refs).collect()
     assert {(r["databundelcode"], r["validatieregel"], r["data_location"], r["rule_location"]): r["aantaldat"] for r in lines} == totals
     assert F is not None
+
+
+def test_prefixes_of_published_codes_are_not_broadcast(spark):
+    published = spark.createDataFrame([("B_1+x+final",), ("B 2",), (None,)], "databundelcode string")
+    codes = spark.createDataFrame([("B_1+x",), ("B  2",), ("B_3",)], "code string")
+    found = status.published_flags(codes, published)
+    assert {r["code"] for r in found.collect()} == {"B_1+x", "B  2"}
+    # the estimate does not know how many prefixes there are, so a small one must not decide
+    plan = plan_of(found)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan

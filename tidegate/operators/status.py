@@ -100,7 +100,11 @@ def latest_deliveries(status: DataFrame) -> DataFrame:
 
 
 def published_flags(codes: DataFrame, published: DataFrame) -> DataFrame:
-    """The distinct values of ``code`` that some published code starts with."""
+    """The distinct values of ``code`` that some published code starts with.
+
+    Each published code becomes a row for every length, which no estimate of its size counts, so the join is told
+    not to broadcast them.
+    """
     wanted = codes.select("code").distinct().withColumn("_norm", text.plus_for_blanks("code"))
     lengths = wanted.agg(F.array_sort(F.collect_set(F.length("_norm"))))
     done = published.where(F.coalesce("databundelcode", F.lit("")) != "").select(
@@ -111,7 +115,7 @@ def published_flags(codes: DataFrame, published: DataFrame) -> DataFrame:
         .select(F.explode(prefixes_of(F.col("_done"), F.col("_lengths"))).alias("_norm"))
         .distinct()
     )
-    return wanted.join(starts, "_norm", "left_semi").select("code")
+    return wanted.join(starts.hint("merge"), "_norm", "left_semi").select("code")
 
 
 def status_overview(status: DataFrame, planning: DataFrame, published: DataFrame) -> DataFrame:
