@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Iterator
+from itertools import groupby
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+PIECE, HELD = 1 << 20, 32 << 20  # bytes of a file in a row, and of all files that the driver takes at once
 
 
 def path_of(spark: SparkSession, path: str):
@@ -37,6 +44,32 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         stream.close()
 
 
+def write_files(files: DataFrame, folder: str) -> None:
+    """Put ``(path, content)`` into a folder as files, one after the other, in pieces: no file is whole on the driver."""
+    spark, size = files.sparkSession, PIECE
+
+    def cut(batches: Iterator) -> Iterator:
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1)):
+                whole = content.as_buffer()
+                for place, start in enumerate(range(0, max(whole.size, 1), size)):
+                    piece = whole.slice(start, min(size, whole.size - start)).to_pybytes()
+                    columns = [pa.array([path.as_py()]), pa.array([place]), pa.array([piece], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["path", "place", "piece"])
+
+    total = files.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+    pieces = files.select("path", "content").mapInArrow(cut, "path string, place long, piece binary")
+    dealt = pieces.repartitionByRange(total // HELD + 1, "path", "place").sortWithinPartitions("path", "place")
+    for path, rows in groupby(dealt.toLocalIterator(), key=lambda row: row["path"]):
+        target = f"{folder}/{path}"
+        stream = store_of(spark, target).create(path_of(spark, target), True)
+        try:
+            for row in rows:
+                stream.write(row["piece"])
+        finally:
+            stream.close()
+
+
 def write_at_once(spark: SparkSession, path: str, data: bytes) -> None:
     """A new file that readers see whole or not at all: written aside and renamed. An existing one is an error."""
     folder, name = path.rsplit("/", 1)
