@@ -245,3 +245,29 @@ def test_a_large_ring_against_many_records(spark):
         with np.errstate(all="ignore"):
             inside = (((y1 > r.y) != (y2 > r.y)) & (r.x < (x2 - x1) * (r.y - y1) / (y2 - y1) + x1)).sum() % 2
         assert r.metres == pytest.approx(0.0 if inside else near, abs=1e-6)
+
+
+def test_plain_points_are_read_all_at_once(monkeypatch):
+    import pyarrow as pa
+
+    nan = float("nan")
+    points = [None, (1.5, -2.0), (nan, nan), (nan, 3.0), (0.0, 7.25), None]
+
+    def packed(mark, order):
+        return pa.array([None if p is None else struct.pack(order + "BIdd", mark, 1, *p) for p in points], pa.binary())
+
+    for cells in (packed(0, ">"), packed(1, "<"), packed(0, ">")[1:5], packed(1, "<")[2:], packed(0, ">")[:1], packed(0, ">")[:0]):
+        with monkeypatch.context() as m:
+            m.setattr(wkb, "_plain_points", lambda cells: None)
+            want = wkb._point_columns(cells)
+        assert str(wkb._point_columns(cells)) == str(want)
+    mixed = pa.concat_arrays([packed(0, ">"), packed(1, "<")])
+    assert wkb._point_columns(mixed).null_count == 0 and str(wkb._point_columns(mixed)[7]["x"]) == "1.5"
+    with pytest.raises(ValueError):
+        wkb._point_columns(pa.array([b"\0" * 21]))
+
+    def one_by_one(*_):
+        raise AssertionError("a point was read on its own")
+
+    monkeypatch.setattr(wkb, "_read", one_by_one)
+    assert len(wkb._point_columns(packed(0, ">"))) == len(points)
