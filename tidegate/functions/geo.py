@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.text import as_col
@@ -56,14 +56,21 @@ def finite(value: str | Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def to_utm31(lon: str | Column, lat: str | Column) -> tuple[Column, Column]:
-    """Easting and northing (metres) of a longitude and latitude in degrees."""
-    phi = F.radians(finite(lat))
-    lam = F.radians(finite(lon) - CENTRAL_MERIDIAN)
-    sin_phi = F.sin(phi)
-    t = F.sinh(F.atanh(sin_phi) - ECCENTRICITY * F.atanh(ECCENTRICITY * sin_phi))
-    xi = F.atan2(t, F.cos(lam))
-    eta = F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
+def _sphere(lat: str | Column) -> Column:
+    """Tangent of the conformal latitude."""
+    sin_phi = F.sin(F.radians(finite(lat)))
+    return F.sinh(F.atanh(sin_phi) - ECCENTRICITY * F.atanh(ECCENTRICITY * sin_phi))
+
+
+def _from_meridian(lon: str | Column) -> Column:
+    return F.radians(finite(lon) - CENTRAL_MERIDIAN)
+
+
+def _cylinder(t: Column, lam: Column) -> tuple[Column, Column]:
+    return F.atan2(t, F.cos(lam)), F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
+
+
+def _metres(xi: Column, eta: Column) -> tuple[Column, Column]:
     terms = list(enumerate(ALPHA, start=1))
     east = reduce(lambda s, p: s + p[1] * F.cos(2 * p[0] * xi) * F.sinh(2 * p[0] * eta), terms, eta)
     north = reduce(lambda s, p: s + p[1] * F.sin(2 * p[0] * xi) * F.cosh(2 * p[0] * eta), terms, xi)
@@ -71,6 +78,23 @@ def to_utm31(lon: str | Column, lat: str | Column) -> tuple[Column, Column]:
     return FALSE_EASTING + factor * east, factor * north
 
 
+def to_utm31(lon: str | Column, lat: str | Column) -> tuple[Column, Column]:
+    """Easting and northing (metres) of a longitude and latitude in degrees."""
+    return _metres(*_cylinder(_sphere(lat), _from_meridian(lon)))
+
+
+def with_utm31(df: DataFrame, lon: str, lat: str, east: str, north: str) -> DataFrame:
+    """``df`` with easting and northing, in steps that the next step uses several times.
+
+    Spark keeps such steps apart, where it would write the one expression of ``to_utm31`` out in an aggregate's
+    results and work out its parts over and over.
+    """
+    turned = df.withColumns({"_t": _sphere(lat), "_lam": _from_meridian(lon)})
+    xi, eta = _cylinder(F.col("_t"), F.col("_lam"))
+    x, y = _metres(F.col("_xi"), F.col("_eta"))
+    return turned.withColumns({"_xi": xi, "_eta": eta}).withColumns({east: x, north: y}).drop("_t", "_lam", "_xi", "_eta")
+
+
 def from_utm31(easting: str | Column, northing: str | Column) -> tuple[Column, Column]:
     """Longitude and latitude in degrees of a UTM 31N easting and northing."""
     factor = SCALE * RECTIFYING_RADIUS

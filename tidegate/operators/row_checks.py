@@ -241,8 +241,7 @@ def with_locations(df: DataFrame, refs: References) -> DataFrame:
 
 def with_distances(df: DataFrame, refs: References) -> DataFrame:
     """Metres to the location's (first) point, and an array of metres to its other geometries."""
-    east, north = geo.to_utm31("lon", "lat")
-    placed = df.withColumns({"_x": east, "_y": north})
+    placed = geo.with_utm31(df, "lon", "lat", "_x", "_y")
     x, y = F.col("_x"), F.col("_y")
     near = placed.withColumn("_metres", geo.point_distance(x, y, F.col("_point_x"), F.col("_point_y")))
     none = F.lit([]).cast("array<double>")
@@ -254,17 +253,24 @@ def with_distances(df: DataFrame, refs: References) -> DataFrame:
 
 
 def _with_shape_distances(df: DataFrame, refs: References) -> DataFrame:
-    """Add the metres to the lines and areas of each record's location; a place is looked at once for all its records."""
-    complete = F.col("_shaped") & F.col("_x").isNotNull() & F.col("_y").isNotNull()
-    places = df.where(complete).select(F.col("location_code").alias("location"), F.col("_x").alias("x"), F.col("_y").alias("y")).distinct()
+    """Add the metres to the lines and areas of each record's location; a place is looked at once for all its records.
+
+    Places are told apart by their degrees and projected once each: a filter on the projected place would
+    project it again for every record and every use.
+    """
+    lon, lat = geo.finite("lon"), geo.finite("lat")
+    complete = F.col("_shaped") & lon.isNotNull() & lat.isNotNull()
+    degrees = df.where(complete).select(F.col("location_code").alias("location"), lon.alias("lon"), lat.alias("lat")).distinct()
+    places = geo.with_utm31(degrees, "lon", "lat", "x", "y")
     metres = F.array_sort(F.collect_list("metres")).alias("_metres_shapes")
-    found = tile_distances(places, refs.edge_tiles).groupBy("location", "x", "y").agg(metres)
-    place = lambda location, x, y: F.concat_ws("|", location, F.col(x).cast("string"), F.col(y).cast("string"))
-    keyed = found.select(place("location", "x", "y").alias("_place"), "_metres_shapes")
-    spread = spread_nulls(F.when(complete, place("location_code", "_x", "_y")), *refs.settings.order_by)
-    joined = df.withColumn("_at", spread).join(keyed, F.col("_at") == F.col("_place"), "left")
+    found = tile_distances(places, refs.edge_tiles).groupBy("location", "lon", "lat").agg(metres)
+    keyed = found.withColumnsRenamed({"location": "_at_location", "lon": "_at_lon", "lat": "_at_lat"})
+    spread = spread_nulls(F.when(complete, F.col("location_code")), *refs.settings.order_by)
+    at = {"_place": spread, "_lon": lon, "_lat": lat}
+    same = (F.col("_place") == F.col("_at_location")) & (F.col("_lon") == F.col("_at_lon")) & (F.col("_lat") == F.col("_at_lat"))
+    joined = df.withColumns(at).join(keyed, same, "left")
     both = F.concat("_metres_more", F.coalesce("_metres_shapes", F.lit([]).cast("array<double>")))
-    return joined.withColumn("_metres_more", both).drop("_at", "_place", "_metres_shapes")
+    return joined.withColumn("_metres_more", both).drop(*at, *keyed.columns)
 
 
 def row_failures(

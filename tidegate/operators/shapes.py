@@ -42,14 +42,14 @@ def edge_tiles(rings: DataFrame, size: int = TILE) -> DataFrame:
 
 
 def tile_distances(places: DataFrame, tiles: DataFrame) -> DataFrame:
-    """``location, x, y, geom, metres`` of every place (``location, x, y``, each once) and shape of its location.
+    """The columns of ``places``, ``geom`` and ``metres`` of every place (``location, x, y`` and more, each once) and shape of its location.
 
     0 inside of an area, holes counted out; else the distance to the nearest edge.
     """
-    here, there = F.col("location"), F.col("mpnident")
+    here, there, own = F.col("location"), F.col("mpnident"), places.columns
     boxes = tiles.drop("edges")
     most = geo.point_distance(F.col("x"), F.col("y"), F.col("some.x"), F.col("some.y"))
-    reach = places.join(boxes, here == there).groupBy("location", "x", "y", "geom").agg(F.min(most).alias("most"))
+    reach = places.join(boxes, here == there).groupBy(*own, "geom").agg(F.min(most).alias("most"))
 
     def beyond(c: str) -> Column:
         return F.greatest(F.col(f"{c}_min") - F.col(c), F.lit(0.0), F.col(c) - F.col(f"{c}_max"))
@@ -58,10 +58,10 @@ def tile_distances(places: DataFrame, tiles: DataFrame) -> DataFrame:
     crossed = F.col("area") & F.col("y").between(F.col("y_min"), F.col("y_max")) & (F.col("x") <= F.col("x_max"))
     shaped = tiles.withColumnRenamed("geom", "of_geom")
     met = reach.join(shaped, (here == there) & (F.col("geom") == F.col("of_geom"))).where((least <= F.col("most")) | crossed)
-    each = met.select("location", "x", "y", "geom", "area", F.inline("edges"))
+    each = met.select(*own, "geom", "area", F.inline("edges"))
     x, y, x1, y1, x2, y2 = map(F.col, ("x", "y", "x1", "y1", "x2", "y2"))
     passes = ((y1 > y) != (y2 > y)) & (x < (x2 - x1) * (y - y1) / F.nullif(y2 - y1, F.lit(0.0)) + x1)
-    found = each.groupBy("location", "x", "y", "geom").agg(
+    found = each.groupBy(*own, "geom").agg(
         F.min(geo.segment_distance(x, y, x1, y1, x2, y2)).alias("nearest"), F.count_if(passes & F.col("area")).alias("passed")
     )
-    return found.select("location", "x", "y", "geom", F.when(F.col("passed") % 2 == 1, 0.0).otherwise(F.col("nearest")).alias("metres"))
+    return found.select(*own, "geom", F.when(F.col("passed") % 2 == 1, 0.0).otherwise(F.col("nearest")).alias("metres"))
