@@ -271,3 +271,17 @@ def test_plain_points_are_read_all_at_once(monkeypatch):
 
     monkeypatch.setattr(wkb, "_read", one_by_one)
     assert len(wkb._point_columns(packed(0, ">"))) == len(points)
+
+
+def test_places_are_projected_once(spark):
+    """No filter works the projection out, no step writes it out at length, and records at one place share its distance."""
+    rings = spark.createDataFrame([("L1", 0, 0, v, 3 + 0.01 * (v % 2), 52 + 0.01 * (v // 2), True) for v in range(4)], "mpnident string, geom int, ring int, vertex int, lon double, lat double, area boolean")
+    rows = records(spark, *[{"lon": lon, "lat": lat} for lon, lat in ((3.0, 53.0), (3.0, 53.0), (None, 53.0), (3.0, float("nan")), (0.0, 53.0), (-0.0, 53.0))])
+    refs = references(spark)
+    refs.points, refs.rings = None, rings
+    found = row_checks.with_distances(row_checks.with_locations(with_rulesets(rows, refs), refs), refs)
+    lines = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert not [line for line in lines if "ATANH" in line and "Filter" in line]
+    assert max(line.count("ATANH") for line in lines) <= 4
+    got = sorted(tuple(map(int, r["_metres_more"])) for r in found.collect())
+    assert got[:2] == [(), ()] and len({*got}) == 3 and len(got) == 6
