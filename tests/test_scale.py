@@ -224,3 +224,13 @@ def test_prefixes_of_published_codes_are_not_broadcast(spark):
     # the estimate does not know how many prefixes there are, so a small one must not decide
     plan = plan_of(found)
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+@pytest.mark.parametrize("name", ["failures_all", "failures_corrected", "export_gate"])
+def test_the_tables_are_joined_once_for_all_passes(spark, name):
+    """The checks pass over the records several times; every pass reads the written records."""
+    from tidegate.plans.sample_queries import QUERIES
+
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().analyzed().toString()
+    assert "meetwaarde_lokaalid" in plan and "l_orderkey" not in plan
+    assert sv.delivered(spark, SF).exceptAll(sv.records(spark, SF)).count() == 0
