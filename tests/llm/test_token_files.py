@@ -98,3 +98,36 @@ def test_empty_table(spark):
     path = scratch_path(spark, "test-none")
     tf.write_ids(documents(spark, [(1, "x")]).where("doc_id < 0"), path, PATH)
     assert tf.index(spark, path).count() == 0
+
+
+def test_the_table_of_known_words_is_compact(monkeypatch):
+    """A worker that has met 250,000 words holds some MB for them, and what it gave for them stays right when the table starts anew."""
+    import tracemalloc
+
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [f"{letters[i % 26]}{letters[i // 26 % 26]}é{letters[i // 676 % 26]}{letters[i // 17576]}" for i in range(250_000)]
+    encode = tf.encoder.__wrapped__(PATH)
+    tracemalloc.start()
+    try:
+        for s in range(0, len(words), 10_000):
+            encode([" ".join(words[s : s + 10_000]).encode()])
+        assert tracemalloc.get_traced_memory()[0] < 40 << 20
+    finally:
+        tracemalloc.stop()
+    monkeypatch.setattr(tf, "KNOWN", 5)
+    monkeypatch.setattr(tf, "RUN", 50)
+    encode = tf.encoder.__wrapped__(PATH)
+    texts = [prose(i, 40 + i) + " it's " + "x" * 300 + " Straße 3.14 日本, z" * (i % 2) for i in range(20)] * 2
+    got = [np.frombuffer(x, np.uint32).tolist() for x in encode([t.encode() for t in texts])]
+    assert got == [TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_that_meet_in_the_table_stay_apart():
+    known, rng = tf.Known(), np.random.default_rng(3)
+    key = (rng.integers(0, 5, 4000).astype(np.uint64) << np.uint64(60)) + np.arange(1, 4001, dtype=np.uint64)
+    check = rng.integers(0, 1 << 32, 4000).astype(np.uint32)
+    assert (known.find(key, check) < 0).all()
+    known.put(key, check, np.arange(4000), np.arange(4000) % 7)
+    slot = known.find(key, check)
+    assert known.begin[slot].tolist() == list(range(4000)) and known.size[slot].tolist() == [i % 7 for i in range(4000)]
+    assert (known.find(key, check + np.uint32(1)) < 0).all() and len(set(slot.tolist())) == 4000

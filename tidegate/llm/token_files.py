@@ -27,20 +27,100 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import partitions, released
+from tidegate.llm.common import mixed, partitions, powers, released
 
 MAGIC = b"TGIDS001"
 HEAD = "<8s32sII"
 SHARD_BYTES = 4 << 20
 DICTIONARY_BYTES, LEVEL = 64 << 10, 3
 SAMPLE_DOCUMENTS, SAMPLE_BYTES = 2000, 8 << 20  # what the dictionary is trained on, at most
-CACHE = 200_000  # chunks and pieces whose ids a Python worker keeps, and as many that it met before those
 CHARS_A_RANGE = 64_000_000
 # Texts of which every step of such a tokenizer is known: lower-case letters that no normalisation changes,
 # digits, white space and marks of ASCII, but no apostrophe (endings like 's) and no special token. Their
 # pieces are runs of letters, single digits and runs of marks.
 PLAIN = re.compile(r"[a-zß-öø-ÿ0-9\x20\x09-\x0d!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]*")
-PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+_BLANK_BYTE = re.compile(rb"[\x20\x09-\x0d]")
+RUN = 1 << 18  # bytes of text that are cut into words at once
+SLOTS, LONGEST = 1 << 20, 128  # of the table of known words; bytes of a word that it may hold
+KNOWN, KNOWN_IDS = SLOTS // 2, 1 << 22  # words and ids at which it starts anew
+_U = np.uint64
+# kinds of bytes: blanks, letters, digits (each a piece of its own), marks; or blanks and others
+_PIECES, _CHUNKS = np.full(256, 3, np.uint8), np.ones(256, np.uint8)
+_PIECES[[*range(97, 123), *range(128, 256)]], _PIECES[48:58] = 1, 2
+_PIECES[[9, 10, 11, 12, 13, 32]] = _CHUNKS[[9, 10, 11, 12, 13, 32]] = 0
+_BYTE = mixed(np.arange(256, dtype=np.uint64) + _U(5000))
+_BASES = (0x5851F42D4C957F2D, 0x9E3779B97F4A7C15)
+_INVERSES = tuple(pow(b, -1, 1 << 64) for b in _BASES)
+
+
+class Known:
+    """Ids of words by 96 bits of two hashes: arrays of fixed size, searched for many words at once."""
+
+    def __init__(self):
+        self.key, self.check = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.uint32)
+        self.begin, self.size = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int32)
+        self.words, self.n_ids, self.ids = 0, 0, np.zeros(1 << 16, np.uint32)
+
+    def full(self) -> bool:
+        return self.words > KNOWN or self.n_ids > KNOWN_IDS
+
+    @staticmethod
+    def _slots(key: np.ndarray) -> np.ndarray:
+        return (key >> _U(65 - SLOTS.bit_length())).astype(np.int64)
+
+    def find(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """The slot of each word, -1 if it is not known."""
+        out, rows, at = np.full(len(key), -1), np.arange(len(key)), self._slots(key)
+        while len(rows):
+            here = self.key[at]
+            hit = (here == key[rows]) & (self.check[at] == check[rows])
+            out[rows[hit]] = at[hit]
+            further = ~hit & (here != 0)
+            rows, at = rows[further], (at[further] + 1) % SLOTS
+        return out
+
+    def append(self, ids: np.ndarray) -> int:
+        """Where the ids begin."""
+        begin, self.n_ids = self.n_ids, self.n_ids + len(ids)
+        if self.n_ids > len(self.ids):
+            self.ids = np.concatenate((self.ids[:begin], np.zeros(max(begin, len(ids)), np.uint32)))
+        self.ids[begin : self.n_ids] = ids
+        return begin
+
+    def put(self, key: np.ndarray, check: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        """Different words that are not known."""
+        rows, at = np.arange(len(key)), self._slots(key)
+        self.words += len(key)
+        while len(rows):
+            free = np.flatnonzero(self.key[at] == 0)
+            slot, first = np.unique(at[free], return_index=True)
+            who = rows[free[first]]
+            self.key[slot], self.check[slot], self.begin[slot], self.size[slot] = key[who], check[who], begin[who], size[who]
+            left = np.ones(len(rows), bool)
+            left[free[first]] = False
+            rows, at = rows[left], (at[left] + 1) % SLOTS
+
+
+def _hashes(joined: np.ndarray, starts: np.ndarray, ends: np.ndarray, plain: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(64 bits, never 0, and 32 more) of each word; a chunk and a piece of the same bytes differ."""
+    value, found = _BYTE[joined], []
+    for base, inverse in zip(_BASES, _INVERSES):
+        total = np.concatenate(([_U(0)], np.cumsum(value * powers(base, len(joined)), dtype=np.uint64)))
+        found.append(mixed((total[ends] - total[starts]) * powers(inverse, len(joined))[starts] + _U(plain)))
+    return found[0] | _U(1), (found[1] >> _U(32)).astype(np.uint32)
+
+
+def _parts(text: bytes) -> list[bytes]:
+    """A text cut at blanks, so that no part is much longer than RUN."""
+    if len(text) <= RUN:
+        return [text]
+    out, begin = [], 0
+    while begin < len(text):
+        blank = _BLANK_BYTE.search(text, begin + RUN)
+        end = blank.start() if blank else len(text)
+        out.append(text[begin:end])
+        begin = end
+    return out
 
 
 @lru_cache(maxsize=2)
@@ -49,7 +129,8 @@ def encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
 
     If the file says that white space is dropped between words, no token reaches over white space, so
     the ids of a text are those of its chunks between white space, and if it is PLAIN those of a chunk are
-    the ids of its pieces. Both are kept in tables of bounded size, which tasks of one worker share.
+    the ids of its pieces. Both are words of a table of bounded size, which tasks of one worker share; what it
+    does not hold is encoded by the library.
     """
     import os
 
@@ -65,71 +146,99 @@ def encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
         and "|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+" in (first.get("pattern") or {}).get("Regex", "") and not spec.get("post_processor")
     )
 
-    def whole(texts: list[str]) -> list[bytes]:
+    def whole(texts: list[str]) -> list[np.ndarray]:
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, np.uint32).tobytes() for x in found]
+        return [np.array(x.ids, np.uint32) for x in found]
 
     if not chunked:
-        return lambda texts: whole([t.decode() for t in texts])
+        return lambda texts: [x.tobytes() for x in whole([t.decode() for t in texts])]
 
     suffix = model.get("end_of_word_suffix") or ""
     lowers = any(n.get("type") == "Lowercase" for n in (spec.get("normalizer") or {}).get("normalizers", []))
     vocabulary = tokenizer.get_vocab()
     last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
     last[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
-    known: dict[str, bytes] = {}
-    older: dict[str, bytes] = {}
-
-    def unknown(pieces: set[str]) -> set[str]:
-        """Pieces whose ids neither table has; those of the older one move to the other."""
-        new = pieces.difference(known)
-        again = new & older.keys()
-        known.update((p, older[p]) for p in again)
-        return new - again
-
-    def learn(pieces: set[str], letters: bool) -> None:
-        """Ids of new pieces; many words at a time, cut apart where a token ends a word."""
-        words = sorted(p for p in pieces if letters and p[-1].isalpha())
-        for s in range(0, len(words), 256):
-            some = words[s : s + 256]
-            ids = np.array(tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
-            ends = ((np.flatnonzero(last[ids]) + 1) * 4).tolist() if suffix else []
-            data = ids.tobytes()
-            parts = [data[i:j] for i, j in zip([0, *ends], ends)]
-            known.update(zip(some, parts if len(parts) == len(some) else whole(some)))
-        rest = sorted(pieces.difference(words))
-        known.update(zip(rest, whole(rest) if rest else ()))
+    del spec, model, vocabulary
+    known = Known()
+
+    def learned(words: list[bytes], plain: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of new words, where those of each begin, how many they are); many runs of letters at a time, cut apart where a token ends a word."""
+        # a blank before a chunk keeps it one
+        texts = [w.decode() if plain else " " + w.decode() for w in words]
+        runs = [i for i, t in enumerate(texts) if plain and t[-1].isalpha()]
+        rest = [i for i, t in enumerate(texts) if not (plain and t[-1].isalpha())]
+        ids, sizes = [], []
+        for s in range(0, len(runs), 256):
+            some = [texts[i] for i in runs[s : s + 256]]
+            found = whole([" ".join(some)])[0]
+            ends = np.flatnonzero(last[found]) + 1
+            if len(ends) == len(some):
+                ids.append(found[: ends[-1]])
+                sizes.append(np.diff(ends, prepend=0))
+            else:
+                each = whole(some)
+                ids += each
+                sizes.append([len(x) for x in each])
+        each = whole([texts[i] for i in rest]) if rest else []
+        order, size = np.array(runs + rest, np.int64), np.zeros(len(words), np.int64)
+        size[order] = np.concatenate([*sizes, [len(x) for x in each]])
+        begin = np.zeros(len(words), np.int64)
+        begin[order] = np.cumsum(size[order]) - size[order]
+        return np.concatenate([*ids, *each, np.zeros(0, np.uint32)]), begin, size
+
+    def run(parts: list[bytes], plain: bool) -> list[bytes]:
+        nonlocal known
+        if known.full():
+            known = Known()
+        data = b" ".join(parts) + b" "
+        joined = np.frombuffer(data, np.uint8)
+        kind = (_PIECES if plain else _CHUNKS)[joined]
+        edge = np.concatenate(([True], (kind[1:] != kind[:-1]) | (kind[1:] == 2), [True]))
+        starts = np.flatnonzero(edge[:-1] & (kind != 0))
+        ends = np.flatnonzero(edge[1:] & (kind != 0)) + 1
+        key, check = _hashes(joined, starts, ends, plain)
+        slot = known.find(key, check)
+        begin, size = known.begin[slot], known.size[slot].astype(np.int64)
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            number: dict[bytes, int] = {}
+            which = np.array([number.setdefault(data[s:e], len(number)) for s, e in zip(starts[new].tolist(), ends[new].tolist())])
+            ids, first, n = learned(list(number), plain)
+            first += known.append(ids)
+            begin[new], size[new] = first[which], n[which]
+            _, once = np.unique(which, return_index=True)
+            once = new[once]
+            once = once[ends[once] - starts[once] <= LONGEST]
+            known.put(key[once], check[once], begin[once], size[once])
+        cuts = np.concatenate(([0], np.cumsum(size)))
+        out = known.ids[np.repeat(begin - cuts[:-1], size) + np.arange(cuts[-1])].tobytes()
+        stops = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
+        at = (cuts[np.searchsorted(starts, stops)] * 4).tolist()
+        return [out[i:j] for i, j in zip([0, *at], at)]
 
     def encode(texts: list[bytes]) -> list[bytes]:
-        out, begin = [], 0
-        while begin < len(texts):
-            end, size = begin, 0
-            while end < len(texts) and (end == begin or size + len(texts[end]) < 1 << 20):
-                size += len(texts[end])
-                end += 1
-            if len(known) > CACHE:
-                older.clear()
-                older.update(known)
-                known.clear()
-            split, plain, odd = [], set(), set()
-            for raw in texts[begin:end]:
-                text = raw.decode()
-                low = text.lower()
-                if lowers and PLAIN.fullmatch(low) and "<|" not in low:
-                    pieces = low.split()
-                    plain.update(pieces)
-                else:
-                    # a blank before the chunk keeps it apart from a piece of the same letters
-                    pieces = [" " + chunk.decode() for chunk in raw.split()]
-                    odd.update(pieces)
-                split.append(pieces)
-            new = {chunk: PIECES.findall(chunk) for chunk in unknown(plain)}
-            learn(unknown(set().union(*new.values())), True)
-            known.update((chunk, b"".join(map(known.__getitem__, parts))) for chunk, parts in new.items() if parts != [chunk])
-            learn(unknown(odd), False)
-            out.extend(b"".join(map(known.__getitem__, pieces)) for pieces in split)
-            begin = end
-        return out
+        out: list[list[bytes]] = [[] for _ in texts]
+        waiting: dict[bool, tuple[list[int], list[bytes]]] = {True: ([], []), False: ([], [])}
+        held = {True: 0, False: 0}
+
+        def flush(plain: bool) -> None:
+            of, parts = waiting[plain]
+            for i, ids in zip(of, run(parts, plain) if parts else ()):
+                out[i].append(ids)
+            waiting[plain], held[plain] = ([], []), 0
+
+        for i, raw in enumerate(texts):
+            low = raw.decode().lower()
+            plain = lowers and PLAIN.fullmatch(low) is not None and "<|" not in low
+            for part in _parts(low.encode() if plain else raw):
+                if held[plain] + len(part) > RUN:
+                    flush(plain)
+                waiting[plain][0].append(i)
+                waiting[plain][1].append(part)
+                held[plain] += len(part) + 1
+        flush(True)
+        flush(False)
+        return [b"".join(ids) for ids in out]
 
     return encode
 
