@@ -124,3 +124,47 @@ def test_empty_table_and_very_long_line(spark):
     long = "".join(chr(97 + i * i % 26) + str(i) for i in range(100_000))
     out = ld.deduplicated(documents(spark, [(1, long), (2, long + "end"), (3, "tail")]))
     assert {r.doc_id: r.n for r in out.select("doc_id", F.size("removed").alias("n")).collect()} == {1: 0, 2: 1, 3: 0}
+
+
+def test_bitmaps_are_made_once_a_line(spark, monkeypatch):
+    """What lists are compared by holds the bitmaps, not the lines, however many lists a line is in."""
+    from tidegate.llm import signatures as sg
+
+    seen, close = [], sg._close
+    monkeypatch.setattr(sg, "_close", lambda members, *rest: (seen.append(members), close(members, *rest))[1])
+    line = " ".join(f"word{i}" for i in range(40))
+    rows = [(i, f"{line} {i}") for i in range(6)]
+    got = {(r.doc_id, k) for r in ld.deduplicated(documents(spark, rows)).collect() for k in r.removed}
+    assert got == brute(rows) and len(got) == 5
+    data = [r.data for r in seen[0].select("data").collect()]
+    assert data and all(len(d) == 64 for d in data)  # 512 bits for some 280 shingles
+
+
+def test_normal_lines_are_those_of_plain_python():
+    rng = random.Random(6)
+    for _ in range(500):
+        texts = ["".join(rng.choice("aB \n\t\rcdé") for _ in range(rng.randrange(rng.choice((1, 6, 40))))) for _ in range(rng.randrange(1, 4))]
+        data, start, length, of, place = ld.normal_lines([t.encode() for t in texts])
+        whole = data.tobytes()
+        got = [(o, p, whole[s : s + n]) for o, p, s, n in zip(of.tolist(), place.tolist(), start.tolist(), length.tolist())]
+        assert got == [(o, p, normal(x)) for o, t in enumerate(texts) for p, x in enumerate(t.split("\n")) if normal(x)]
+
+
+def test_packing_does_not_take_longer_with_more_buckets():
+    """Signatures of a run of texts are packed without a step for each bucket, and come back as they went in."""
+    import time
+
+    import numpy as np
+    from tidegate.llm import signatures as sg
+
+    rng = np.random.default_rng(1)
+    nodes, owner = rng.integers(0, 1 << 60, 3000), np.repeat(np.arange(3000), 40)
+    sig = rng.integers(0, 1 << 63, len(owner)).astype(np.uint64)
+    began = time.process_time()
+    (batch,) = sg.packed(nodes, owner, sig, 30_000)
+    assert time.process_time() - began < 0.15
+    got = []
+    for row in batch.to_pylist():
+        node = np.repeat(np.frombuffer(row["nodes"], np.int64), np.frombuffer(row["counts"], np.uint32))
+        got += [(row["bucket"], n, k) for n, k in zip(node.tolist(), np.frombuffer(row["keys"], np.uint32).tolist())]
+    assert sorted(got) == sorted(zip((sig % 30_000).tolist(), nodes[owner].tolist(), (sig >> np.uint64(32)).tolist()))

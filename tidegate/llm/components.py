@@ -31,10 +31,19 @@ def _star(links: DataFrame, both: bool) -> DataFrame:
     return moved.where("a <> b").distinct()
 
 
+def _settled(current: DataFrame) -> bool:
+    """Whether the links, each from a larger to a smaller node, are stars: no end of one is a start, and none starts twice."""
+    ends = current.select(F.col("a").alias("node"), F.lit(1).alias("starts"), F.lit(0).alias("ends")).union(
+        current.select(F.col("b"), F.lit(0), F.lit(1))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("starts").alias("starts"), F.sum("ends").alias("ends"))
+    return nodes.where("starts > 1 or (starts > 0 and ends > 0)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` (smallest node reachable) for every node of the links ``a, b``.
 
-    Rounds go on until every node points at the smallest one; each round is written to the
+    Rounds go on until every node of a component points at one, which then is the smallest; each round is written to the
     shared folder. Links in any direction, repeated links and links of a node with itself are
     allowed; null ends are left out. No links: no rows.
     """
@@ -43,14 +52,8 @@ def components(links: DataFrame) -> DataFrame:
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         "links",
     )
-    seen = None
-    while True:
+    while not _settled(current):
         current = written(_star(_star(current, True), False), "stars")
-        # settled: the same links as before, which then are stars around the smallest nodes
-        state = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
-            break
-        seen = state
     nodes = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return nodes.union(roots)

@@ -45,24 +45,20 @@ def normal_lines(texts: list[bytes], least: int = 1):
     Every line is counted for its place; only those of ``least`` bytes or more are given back.
     """
     joined = _FOLD[np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)]
-    feed = joined == 10
-    blank = feed | (joined == 32)
-    # a blank stays if something of its line stands before and right after it
-    keep = ~blank
-    after = np.r_[keep[1:], False]
-    line_of = np.cumsum(np.r_[0, feed[:-1]])
-    solid = np.flatnonzero(keep)
-    inner = np.zeros(len(joined), bool)
-    if len(solid):
-        first = np.full(int(line_of[-1]) + 1, len(joined))
-        np.minimum.at(first, line_of[solid], solid)
-        inner = (joined == 32) & after & (np.arange(len(joined)) > first[line_of])
-    data, line = joined[keep | inner], line_of[keep | inner]
-    n_lines = int(line_of[-1]) + 1 if len(joined) else 0
-    length = np.bincount(line, minlength=n_lines)
+    feeds = np.flatnonzero(joined == 10)
+    keep = (joined != 10) & (joined != 32)
+    # the last of a run of blanks stays if something of its line stands before and right after it
+    after = np.flatnonzero(~keep[:-1] & keep[1:]) + 1
+    before = np.flatnonzero(keep[:-1] & ~keep[1:])
+    # where the gap between two runs of other bytes begins and ends; a run that begins the text follows none
+    begin, end = before[:-1], after if keep[0] else after[1:]
+    inner = end[np.searchsorted(feeds, begin) == np.searchsorted(feeds, end)]
+    keep[inner - 1] = True
+    data, n_lines = joined[keep], len(feeds)
+    length = np.diff(np.concatenate(([0], np.cumsum(keep)[feeds])))
     start = np.cumsum(length) - length
     stops = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1
-    of = np.searchsorted(stops, np.flatnonzero(feed), side="left")
+    of = np.searchsorted(stops, feeds, side="left")
     place = np.arange(n_lines) - np.searchsorted(of, of, side="left")
     some = np.flatnonzero(length >= least)
     return data, start[some], length[some], of[some], place[some]
@@ -82,8 +78,12 @@ def line_shingles(data, starts, lengths, size: int = SHINGLE):
     """(hash of each shingle, line it is of), repeats included."""
     n = np.maximum(lengths - size + 1, 1)
     of = np.repeat(np.arange(len(starts)), n)
-    at = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + starts[of]
-    return _hashes(data, at, np.minimum(lengths, size)[of]), of
+    at = np.arange(len(of)) + np.repeat(starts - np.cumsum(n) + n, n)
+    if not len(of) or lengths.min() < size:
+        return _hashes(data, at, np.minimum(lengths, size)[of]), of
+    # all runs have one length: those at neighbouring places are taken together
+    total = np.concatenate(([_U(0)], np.cumsum(_BYTE[data] * powers(_BASE, len(data)), dtype=np.uint64)))
+    return mixed((total[size:] - total[:-size]) * powers(_INVERSE, len(data) - size + 1))[at], of
 
 
 def min_hashes(hashes, of, n: int, bins: int = BINS) -> np.ndarray:
@@ -164,20 +164,12 @@ def _starts(lines_of: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _distinct(data, start, length):
-    """(line, hash) of each different shingle of lines, sorted by both."""
+    """(line, hash) of each different shingle of lines, sorted by both; of the hash the bits that the line's number leaves free."""
     hashes, of = line_shingles(data, start, length)
-    order = np.lexsort((hashes, of))
-    hashes, of = hashes[order], of[order]
-    new = np.r_[True, (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])][: len(of)]
-    return of[new], hashes[new]
-
-
-def bitmaps(lines_of: list[bytes]) -> list[bytes]:
-    """The parity bitmap of each line's shingles."""
-    if not lines_of:
-        return []
-    of, hashes = _distinct(*_starts(lines_of))
-    return sg.parity(of, hashes, np.bincount(of, minlength=len(lines_of)))
+    bits = _U(64 - max(1, len(start) - 1).bit_length())
+    both = np.sort((of.astype(np.uint64) << bits) | (hashes & ((_U(1) << bits) - _U(1))))
+    both = both[np.concatenate(([True], both[1:] != both[:-1]))[: len(both)]]
+    return (both >> bits).astype(np.int64), both & ((_U(1) << bits) - _U(1))
 
 
 def common_shingles(x: bytes, y: bytes) -> int:
@@ -186,7 +178,7 @@ def common_shingles(x: bytes, y: bytes) -> int:
 
 
 def _wanted_lines(docs: DataFrame, id_column: str, wanted: DataFrame) -> DataFrame:
-    """``node, size, data`` of the wanted lines: the number of different shingles and the line in normal form."""
+    """``node, size, data, full`` of the wanted lines: the number of different shingles, their parity bitmap, the line in normal form."""
     held = bm.bitmap(wanted, "node")
 
     def measure(batches):
@@ -198,14 +190,14 @@ def _wanted_lines(docs: DataFrame, id_column: str, wanted: DataFrame) -> DataFra
                 node, once = np.unique(node[at], return_index=True)
                 start, length = start[at][once], length[at][once]
                 if len(node):
-                    of, _ = _distinct(data, start, length)
-                    whole = data.tobytes()
+                    of, hashes = _distinct(data, start, length)
+                    size, whole = np.bincount(of, minlength=len(node)), data.tobytes()
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(node), pa.array(np.bincount(of, minlength=len(node))),
-                         pa.array([whole[s : s + n] for s, n in zip(start.tolist(), length.tolist())], pa.binary())], ["node", "size", "data"],
+                        [pa.array(node), pa.array(size), pa.array(sg.parity(of, hashes, size), pa.binary()),
+                         pa.array([whole[s : s + n] for s, n in zip(start.tolist(), length.tolist())], pa.binary())], ["node", "size", "data", "full"],
                     )
 
-    found = _source(docs, id_column).mapInArrow(released(measure), sg.DESCRIBED)
+    found = _source(docs, id_column).mapInArrow(released(measure), sg.DESCRIBED + ", full binary")
     return sg.once(found, wanted)
 
 
@@ -218,7 +210,7 @@ def duplicate_lines(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(partitions(spark), -(-chars // CHARS_A_BUCKET))
     lists = written(sg.lists_of(_banded(docs, id_column, buckets)), "lists")
-    links = sg.linked(lists, lambda wanted, _: _wanted_lines(docs, id_column, wanted), PERCENT, bitmaps, common_shingles)
+    links = sg.linked(lists, lambda wanted, _: _wanted_lines(docs, id_column, wanted), PERCENT, common_shingles)
     joined = components(links)
     # nodes that have copies or partners, with the place of the line that stays
     grouped = nodes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -38,16 +38,26 @@ def packed(nodes: np.ndarray, owner: np.ndarray, sig: np.ndarray, buckets: int)
     """A row for each bucket: its nodes, how many signatures each has there, and those (their upper halves)."""
     if not len(sig):
         return
-    bucket = (sig % _U(buckets)).astype(np.int64)
-    order = np.lexsort((owner, bucket))
+    bucket = (sig % _U(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+    if (owner[1:] < owner[:-1]).any():
+        order = np.lexsort((owner, bucket))
+    else:
+        order = np.argsort(bucket, kind="stable")
     owner, sig, bucket = owner[order], sig[order] >> _U(32), bucket[order]
-    cuts = np.flatnonzero(np.diff(bucket)) + 1
-    out = []
-    for o, s, b in zip(np.split(owner, cuts), np.split(sig, cuts), bucket[np.r_[0, cuts]]):
-        who, n = np.unique(o, return_counts=True)
-        out.append((int(b), nodes[who].tobytes(), n.astype(np.uint32).tobytes(), s.astype(np.uint32).tobytes()))
-    columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), *[pa.binary()] * 3))]
-    yield pa.RecordBatch.from_arrays(columns, ["bucket", "nodes", "counts", "keys"])
+    turn = np.concatenate(([True], bucket[1:] != bucket[:-1]))
+    first = np.flatnonzero(turn)  # of a bucket
+    own = np.flatnonzero(turn | np.concatenate(([True], owner[1:] != owner[:-1])))  # of a node in it
+    n = np.diff(np.concatenate((own, [len(sig)])))
+    at = np.searchsorted(own, first)
+
+    def column(values: np.ndarray, begins: np.ndarray) -> pa.Array:
+        offsets = (np.concatenate((begins, [len(values)])) * values.itemsize).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(bucket[first].astype(np.int64)), column(nodes[owner[own]], at), column(n.astype(np.uint32), at), column(sig.astype(np.uint32), first)],
+        ["bucket", "nodes", "counts", "keys"],
+    )
 
 
 def lists_of(packed: DataFrame) -> DataFrame:
@@ -60,12 +70,12 @@ def lists_of(packed: DataFrame) -> DataFrame:
         node = np.repeat(all_of("nodes", np.int64), all_of("counts", np.uint32))
         key = all_of("keys", np.uint32)
         # most signatures stand alone: a cheap sort of the keys finds the others
-        place = np.argsort(key, kind="stable")
-        same = key[place][1:] == key[place][:-1]
+        place = np.sort((key.astype(np.uint64) << _U(32)) | np.arange(len(key), dtype=np.uint64))
+        same = (place[1:] >> _U(32)) == (place[:-1] >> _U(32))
         shared = np.zeros(len(key), bool)
         shared[1:] |= same
         shared[:-1] |= same
-        place = place[shared]
+        place = (place[shared] & _U(0xFFFFFFFF)).astype(np.int64)
         key, node = key[place], node[place]
         order = np.lexsort((node, key))
         key, node = key[order], node[order]
@@ -141,11 +151,11 @@ def _distances(size: np.ndarray, data: list[bytes]):
     return edges, gaps
 
 
-def _close(members: DataFrame, percent: int, best: bool, bitmaps: Callable[[list[bytes]], list[bytes]]) -> DataFrame:
-    """``list, a, b``: members of a list in different components (``label``) whose bitmaps allow a link.
+def _close(members: DataFrame, percent: int, best: bool) -> DataFrame:
+    """``list, a, b``: members of a list in different components (``label``) whose bitmaps (``data``) allow a link.
 
-    ``bitmaps`` makes the bitmaps of what describes the members. ``best``: of those only the nearest partner of each member. A list of more than BLOCK members is
-    dealt out over several tasks, each with two blocks of it.
+    ``best``: of those only the nearest partner of each member. A list of more than BLOCK members is dealt
+    out over several tasks, each with two blocks of it.
     """
     sizes = members.groupBy("list").agg(F.count("*").alias("members")).where(F.col("members") > BLOCK)
     sized = members.join(sizes, "list", "left")
@@ -219,7 +229,7 @@ def _close(members: DataFrame, percent: int, best: bool, bitmaps: Callable[[list
         kept, key = [], None
         for batch in batches:
             rows = {c: np.asarray(batch.column(batch.schema.get_field_index(c))) for c in ("list", "x", "y", "block", "node", "label", "size")}
-            data = bitmaps(batch.column(batch.schema.get_field_index("data")).to_pylist())
+            data = batch.column(batch.schema.get_field_index("data")).to_pylist()
             keys = np.stack([rows["list"], rows["x"], rows["y"]], 1)
             cuts = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, len(keys)]
             done, first = of_two(rows, data, cuts)
@@ -269,36 +279,37 @@ def described(nodes: np.ndarray, of: np.ndarray, hashes: np.ndarray, whole: bool
 
 def once(found: DataFrame, wanted: DataFrame) -> DataFrame:
     """One description for each wanted node."""
-    single = found.groupBy("node").agg(F.first("size").alias("size"), F.first("data").alias("data"))
+    single = found.groupBy("node").agg(*[F.first(c).alias(c) for c in found.columns if c != "node"])
     return single.join(wanted.select("node"), "node", "left_semi")
 
 
 def linked(
-    lists: DataFrame, sets_of: Callable[[DataFrame, bool], DataFrame], percent: int,
-    bitmaps: Callable[[list[bytes]], list[bytes]] | None = None, common: Callable[[bytes, bytes], int] = common_features,
+    lists: DataFrame, sets_of: Callable[[DataFrame, bool], DataFrame], percent: int, common: Callable[[bytes, bytes], int] = common_features,
 ) -> DataFrame:
-    """Links ``a, b`` that join all nodes that are linked, directly or over others, as the lists tell.
+    """Links ``a, b`` that join all nodes that are linked, directly or over others, as the lists tell; some lead to a component's smallest node instead.
 
-    ``sets_of(wanted, whole)`` describes the wanted nodes: their full sets or their bitmaps. With ``bitmaps`` one
-    description serves for both: it makes the bitmaps from it, and ``common`` counts shared features.
+    ``sets_of(wanted, whole)`` describes the wanted nodes: their full sets or their bitmaps. If what it gives with the
+    bitmaps has a column ``full``, that holds the full sets, of which ``common`` counts the shared features.
     """
     met = written(lists.select("node").distinct(), "met")
     described_once = written(sets_of(met, False), "described")
-    members = lists.join(described_once, "node")
-    make = bitmaps or (lambda data: data)
+    members = lists.join(described_once.select("node", "size", "data"), "node")
 
     # first every member's best partner in each list
-    first = written(_close(members.withColumn("label", F.col("node")), percent, True, make), "best")
+    first = written(_close(members.withColumn("label", F.col("node")), percent, True), "best")
     pairs = written(first.select("a", "b").distinct(), "pairs")
     ends = written(first.select(F.col("a").alias("node")).union(first.select("b")).distinct(), "ends")
-    sets = described_once if bitmaps else written(sets_of(ends, True), "full-sets")
-    near = written(_verified(pairs, sets, percent, common), "near")
-    labels = components(near)
+    if "full" in described_once.columns:
+        sets = described_once.select("node", "size", F.col("full").alias("data"))
+    else:
+        sets = written(sets_of(ends, True), "full-sets")
+    labels = written(components(written(_verified(pairs, sets, percent, common), "near")), "labels")
 
     # then what is left of lists that reach over several components; a list without a pair has no link
     live = members.join(first.select("list").distinct(), "list", "left_semi").join(ends, "node", "left_semi")
     labelled = live.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
     open_lists = labelled.groupBy("list").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h")
     rest = labelled.join(open_lists.select("list"), "list", "left_semi")
-    more = _close(rest, percent, False, make).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    return written(near.unionByName(_verified(written(more, "close"), sets, percent, common)), "links")
+    more = _close(rest, percent, False).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    stars = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return written(stars.unionByName(_verified(written(more, "close"), sets, percent, common)), "links")
