@@ -50,3 +50,20 @@ def test_copies_do_not_shrink_the_sample(spark):
     model = li.train(documents(spark, rows), sample=40)
     assert set(model["machines"]) == {"de|en"}
     assert li.predict(["the words of text", "die worte im satz"], model)[0] == ["en", "de"]
+
+
+def test_machines_are_trained_without_copies_of_the_sample():
+    """Rows stay as narrow as they come; the weights are those of rows that are widened at once."""
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    x = np.abs(rng.normal(size=(2000, li.DIMENSIONS))).astype(np.float16)
+    y = np.where(np.arange(2000) % 3 == 0, 1.0, -1.0)
+    x[y > 0, :50] += np.float16(2)
+    tracemalloc.start()
+    try:
+        w = li.support_vector_machine(x, y, rounds=2)
+        assert tracemalloc.get_traced_memory()[1] < 2 << 20
+    finally:
+        tracemalloc.stop()
+    assert (w == li.support_vector_machine(x.astype(np.float64), y, rounds=2)).all() and ((x[:50] @ w[:-1] + w[-1] > 0) == (y[:50] > 0)).all()

@@ -94,17 +94,23 @@ def features(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 
 def support_vector_machine(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 30) -> np.ndarray:
-    """Weights (the last one for a constant) of the machine with squared hinge loss, by dual coordinate descent."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    alpha, w, rng = np.zeros(len(x)), np.zeros(x.shape[1]), np.random.default_rng(5)
-    square = (x * x).sum(1) + 0.5 / cost
+    """Weights (the last one for a constant) of the machine with squared hinge loss, by dual coordinate descent.
+
+    ``x`` may be of any float type: its rows are widened one at a time, so no other copy of it is made.
+    """
+    alpha, w, rng = np.zeros(len(x)), np.zeros(x.shape[1] + 1), np.random.default_rng(5)
+    square, row = np.zeros(len(x)), np.ones(x.shape[1] + 1)
+    for i in range(len(x)):
+        row[:-1] = x[i]
+        square[i] = (row * row).sum() + 0.5 / cost
     for _ in range(rounds):
         largest = 0.0
         for i in rng.permutation(len(x)):
-            g = y[i] * (w @ x[i]) - 1 + alpha[i] * 0.5 / cost
+            row[:-1] = x[i]
+            g = y[i] * (w @ row) - 1 + alpha[i] * 0.5 / cost
             new = max(alpha[i] - g / square[i], 0.0)
             if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
+                w += (new - alpha[i]) * y[i] * row
                 largest = max(largest, abs(new - alpha[i]))
                 alpha[i] = new
         if largest < 1e-3:
@@ -176,15 +182,25 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int =
 
     def fit(group: pa.Table) -> pa.Table:
         order = np.argsort(np.asarray(group.column("place")), kind="stable")
-        x = np.stack([np.frombuffer(v, np.float16) for v in group.column("x").to_pylist()]).astype(np.float64)[order]
+        column = group.column("x")
+        x = np.empty((len(order), DIMENSIONS), np.float16)
+        for to, i in enumerate(order.tolist()):
+            x[to] = np.frombuffer(column[i].as_buffer(), np.float16)
         y = np.asarray(group.column("side")).astype(float)[order]
+        problem = group.column("problem")[0].as_py()
+        del group, column
         held = np.arange(len(y)) % 5 == 0
         if len(set(y[~held])) < 2:
             held[:] = False
-        w = support_vector_machine(x[~held], y[~held]) if len(set(y[~held])) == 2 else np.zeros(x.shape[1] + 1)
         at = held if held.any() else ~held
-        k = slope(x[at] @ w[:-1] + w[-1], y[at])
-        return pa.table({"problem": [group.column("problem")[0].as_py()], "w": pa.array([(w * k).tobytes()], pa.binary())})
+        tried = x[at]
+        x, own = x[~held], y[~held]
+        w = support_vector_machine(x, own) if len(set(own)) == 2 else np.zeros(x.shape[1] + 1)
+        del x
+        margin = np.concatenate([tried[s : s + 256].astype(np.float64) @ w[:-1] + w[-1] for s in range(0, len(tried), 256)])
+        out = pa.table({"problem": [problem], "w": pa.array([(w * slope(margin, y[at])).tobytes()], pa.binary())})
+        give_back()
+        return out
 
     fitted = described.join(F.broadcast(sides), "lang").groupBy("problem").applyInArrow(fit, "problem string, w binary")
     machines = {r.problem: np.frombuffer(bytes(r.w)) for r in fitted.collect()}  # one row a pair
