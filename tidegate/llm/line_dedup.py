@@ -15,6 +15,8 @@ grow faster than the lines.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,7 +31,8 @@ SHINGLE, PERCENT = 7, 75
 BANDS, ROWS = 40, 8
 BINS = 128
 CHARS_A_BUCKET = 8_000_000
-RUN = 1 << 18  # bytes of text that are cut into lines at once
+RUN = 1 << 16  # bytes of text that are cut into lines at once: few enough for a core's cache
+STEPS = 1 << 10  # of an empty bin's sequence
 _U = np.uint64
 _BYTE = mixed(np.arange(256, dtype=np.uint64) + _U(9000))
 _BASE = 0x5851F42D4C957F2D
@@ -86,6 +89,12 @@ def line_shingles(data, starts, lengths, size: int = SHINGLE):
     return mixed((total[size:] - total[:-size]) * powers(_INVERSE, len(data) - size + 1))[at], of
 
 
+@lru_cache(maxsize=4)
+def _sequences(bins: int) -> np.ndarray:
+    """A row a step: the bin that each bin looks at then."""
+    return np.stack([(mixed(np.arange(bins, dtype=np.uint64) + _U(step << 20)) % _U(bins)).astype(np.int64) for step in range(STEPS)])
+
+
 def min_hashes(hashes, of, n: int, bins: int = BINS) -> np.ndarray:
     """One-permutation MinHash of ``n`` sets, a row each, in a power of two of ``bins``; an empty bin takes the value of the first full bin of its sequence."""
     none = np.iinfo(np.uint64).max
@@ -95,14 +104,16 @@ def min_hashes(hashes, of, n: int, bins: int = BINS) -> np.ndarray:
     filled = out.copy()
     empty = out == none
     row, col = np.nonzero(empty & ~empty.all(1)[:, None])
-    for step in range(1, 1 << 10):
-        if not len(row):
-            break
-        other = (mixed(col.astype(np.uint64) + _U(step << 20)) % _U(bins)).astype(np.int64)
+    step, others = 1, _sequences(bins)
+    while len(row) and step < STEPS:
+        # many steps at once where few bins are left
+        other = others[step : step + max(1, (1 << 14) // len(row)), col]
         found = out[row, other]
         good = found != none
-        filled[row[good], col[good]] = mixed(found[good] + _U(step))
-        row, col = row[~good], col[~good]
+        taken, at = good.argmax(0), np.arange(len(row))
+        done = good[taken, at]
+        filled[row[done], col[done]] = mixed(found[taken, at][done] + (step + taken[done]).astype(np.uint64))
+        row, col, step = row[~done], col[~done], step + len(other)
     return filled
 
 
@@ -123,14 +134,16 @@ def lines(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
 
     def cut(batches):
         for batch in batches:
+            found = []
             for begin, end, texts in text_runs(batch.column(2), RUN):
                 data, start, length, of, place = normal_lines(texts)
-                if len(start):
-                    at = pa.array(of + begin)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(at), batch.column(1).take(at), pa.array(place), pa.array(names(data, start, length))],
-                        ["doc_id", "row", "place", "node"],
-                    )
+                found.append((of + begin, place, names(data, start, length)))
+            if found:
+                of, place, node = map(np.concatenate, zip(*found))
+                at = pa.array(of)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(place), pa.array(node)], ["doc_id", "row", "place", "node"]
+                )
 
     return _source(docs, id_column).mapInArrow(released(cut), "doc_id long, row long, place long, node long")
 
@@ -140,6 +153,7 @@ def _banded(docs: DataFrame, id_column: str, buckets: int) -> DataFrame:
 
     def pack(batches):
         for batch in batches:
+            found = []
             for _, _, texts in text_runs(batch.column(2), RUN):
                 data, start, length, of, place = normal_lines(texts, SHINGLE + 1)
                 if not len(start):
@@ -151,8 +165,11 @@ def _banded(docs: DataFrame, id_column: str, buckets: int) -> DataFrame:
                 band = np.zeros((len(node), BANDS), np.uint64)
                 for r in range(ROWS):
                     band = mixed(band + low[:, chosen[:, r]])
-                band = mixed(band + np.arange(BANDS, dtype=np.uint64)[None])
-                yield from sg.packed(node, np.repeat(np.arange(len(node)), BANDS), band.ravel(), buckets)
+                found.append((node, mixed(band + np.arange(BANDS, dtype=np.uint64)[None])))
+            if found:
+                node, band = map(np.concatenate, zip(*found))
+                node, once = np.unique(node, return_index=True)
+                yield from sg.packed(node, np.repeat(np.arange(len(node)), BANDS), band[once].ravel(), buckets)
 
     return _source(docs, id_column).mapInArrow(released(pack), sg.PACKED)
 
