@@ -168,3 +168,34 @@ def test_packing_does_not_take_longer_with_more_buckets():
         node = np.repeat(np.frombuffer(row["nodes"], np.int64), np.frombuffer(row["counts"], np.uint32))
         got += [(row["bucket"], n, k) for n, k in zip(node.tolist(), np.frombuffer(row["keys"], np.uint32).tolist())]
     assert sorted(got) == sorted(zip((sig % 30_000).tolist(), nodes[owner].tolist(), (sig >> np.uint64(32)).tolist()))
+
+
+def test_shingles_of_many_pairs_are_counted_at_once():
+    """Pairs are verified together, on the bytes themselves, not by a Python set for each line."""
+    rng = random.Random(3)
+    xs = ["".join(rng.choice("ab é") for _ in range(rng.randrange(8, 200))).encode() for _ in range(700)]
+    ys = [x[: rng.randrange(8, len(x) + 1)] + bytes([rng.randrange(256)]) * rng.randrange(9) for x in xs]
+    cut = lambda line: {line[i : i + ld.SHINGLE] for i in range(len(line) - ld.SHINGLE + 1)}
+    assert ld.common_shingles(xs, ys).tolist() == [len(cut(x) & cut(y)) for x, y in zip(xs, ys)]
+    assert ld.common_shingles([], []).tolist() == []
+
+
+def test_copies_are_told_by_the_pass_that_makes_the_bands(spark):
+    """Lines that come repeatedly, in one batch or in several, short or long, are known without a pass of their own."""
+    from tidegate.llm import signatures as sg
+
+    long = "a line that is long enough for bands"
+    docs = documents(spark, [(1, f"x\nx\n{long}"), (2, f"once only, and long enough\n{long.upper()}"), (3, "y\n\n"), (4, " Y "), (5, "z")]).repartition(4)
+    rows = sg.lists_of(ld._banded(docs, 3), repeated=True).where("list is null").collect()
+    start = ld._starts([normal(x) for x in ("x", long, "y")])
+    assert sorted(r.node for r in rows) == sorted(ld.names(ld._totals(start[0]), start[1], start[2]).tolist())
+
+
+def test_lists_of_three_are_compared_with_others(spark):
+    """Lists of up to FEW members are compared together; larger ones, and those that a batch cuts, as before."""
+    from tidegate.llm import signatures as sg
+
+    words = [f"w{i}" for i in range(60)]
+    rows = [(100 * k + i, " ".join([f"k{k}"] + words[k : k + 40] + [f"v{i}"])) for k, n in enumerate((2, 3, 5, 20, sg.FEW + 9)) for i in range(n)]
+    got = {(r.doc_id, k) for r in ld.deduplicated(documents(spark, rows)).collect() for k in r.removed}
+    assert got == brute(rows)

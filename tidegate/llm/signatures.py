@@ -24,6 +24,8 @@ from tidegate.llm.components import components
 
 BLOCK = 4096  # members of a list that one task compares with as many others
 ROWS = 128  # of those, how many at a time
+FEW = 64  # members of a list that is compared together with others
+GAPS = 1 << 22  # bytes of bitmaps that are compared at once
 PACKED = "bucket long, nodes binary, counts binary, keys binary"
 DESCRIBED = "node long, size long, data binary"
 _U = np.uint64
@@ -40,7 +42,8 @@ def packed(nodes: np.ndarray, owner: np.ndarray, sig: np.ndarray, buckets: int)
         return
     bucket = (sig % _U(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
     if (owner[1:] < owner[:-1]).any():
-        order = np.lexsort((owner, bucket))
+        order = np.argsort(owner.astype(np.uint16 if len(nodes) <= 1 << 16 else np.int64), kind="stable")
+        order = order[np.argsort(bucket[order], kind="stable")]
     else:
         order = np.argsort(bucket, kind="stable")
     owner, sig, bucket = owner[order], sig[order] >> _U(32), bucket[order]
@@ -60,8 +63,16 @@ def packed(nodes: np.ndarray, owner: np.ndarray, sig: np.ndarray, buckets: int)
     )
 
 
-def lists_of(packed: DataFrame) -> DataFrame:
-    """``list, node`` for signatures that at least two nodes share; equal lists of a bucket count once."""
+def name_signatures(nodes: np.ndarray) -> np.ndarray:
+    """A signature for each node that no other has; packed more than once, it tells ``lists_of`` that the node comes repeatedly."""
+    return mixed(nodes.view(np.uint64) + _U(1))
+
+
+def lists_of(packed: DataFrame, repeated: bool = False) -> DataFrame:
+    """``list, node`` for signatures that at least two nodes share; equal lists of a bucket count once.
+
+    ``repeated``: nodes whose name signature comes more than once are in a list null, too.
+    """
 
     def meet(group: pa.Table) -> pa.Table:
         def all_of(name, kind):
@@ -81,6 +92,7 @@ def lists_of(packed: DataFrame) -> DataFrame:
         key, node = key[order], node[order]
         fresh = np.ones(len(key), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+        again = np.unique(node[~fresh & (key == name_signatures(node) >> _U(32))]) if repeated else node[:0]
         key, node = key[fresh], node[fresh]
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
         size = np.diff(np.r_[first, len(key)])
@@ -90,7 +102,10 @@ def lists_of(packed: DataFrame) -> DataFrame:
         chosen[once] = True
         chosen &= size > 1
         rows = np.repeat(chosen, size)
-        found = pa.table({"list": np.repeat(name, size)[rows].view(np.int64), "node": node[rows]})
+        found = pa.table({
+            "list": pa.array(np.concatenate((np.repeat(name, size)[rows].view(np.int64), again)), mask=np.arange(rows.sum() + len(again)) >= rows.sum()),
+            "node": np.concatenate((node[rows], again)),
+        })
         del node, key, place, order
         give_back()
         return found
@@ -107,22 +122,24 @@ def parity(of: np.ndarray, hashes: np.ndarray, sizes: np.ndarray) -> list[bytes]
     return [odd[b // 8 : (b + n) // 8] for b, n in zip(base, bits)]
 
 
-def common_features(x: bytes, y: bytes) -> int:
-    """Size of the intersection of two sets, each the sorted 64-bit hashes of its features."""
-    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+def common_features(xs: list[bytes], ys: list[bytes]) -> np.ndarray:
+    """Sizes of the intersections of pairs of sets, each the sorted 64-bit hashes of its features."""
+
+    def common(x: bytes, y: bytes) -> int:
+        a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
 
+    return np.fromiter(map(common, xs, ys), np.int64, len(xs))
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int, common: Callable[[bytes, bytes], int]) -> DataFrame:
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int, common: Callable[[list[bytes], list[bytes]], np.ndarray]) -> DataFrame:
     """The pairs ``a, b`` of nodes that link, by their full sets."""
 
     def compare(batches):
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            for i, (x, y, n, m) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(2, 6)))):
-                shared = common(x, y)
-                keep[i] = 100 * shared >= percent * (n + m - shared)
-            yield batch.select([0, 1]).filter(pa.array(keep))
+            shared = common(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            both = np.asarray(batch.column(4)) + np.asarray(batch.column(5)) - shared
+            yield batch.select([0, 1]).filter(pa.array(100 * shared >= percent * both))
 
     left = sets.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("data").alias("xa"))
     right = sets.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("data").alias("xb"))
@@ -205,25 +222,40 @@ def _close(members: DataFrame, percent: int, best: bool) -> DataFrame:
             [pa.array(np.full(len(a), key[0])), pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["list", "a", "b"]
         )
 
-    def of_two(rows: dict, data: list[bytes], cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lists of two members, all at once: (which of the runs these are, first rows of those that may link)."""
-        two = np.flatnonzero(np.diff(cuts) == 2)
-        two = two[(two > 0) & (two < len(cuts) - 2)]  # the first and the last run may go on in another batch
-        first = cuts[two]
-        width = np.fromiter(map(len, data), np.int64, len(data))
-        same = width[first] == width[first + 1]
-        two, first = two[same], first[same]
+    def of_few(rows: dict, data: list[bytes], cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Lists of few members, all at once: (which of the runs these are, rows of the pairs that may link)."""
+        few = np.flatnonzero(np.diff(cuts) <= FEW)
+        few = few[(few > 0) & (few < len(cuts) - 2)]  # the first and the last run may go on in another batch
+        n = np.diff(cuts)[few]
+        member = np.repeat(cuts[few] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        later = np.repeat(cuts[few] + n, n) - member - 1  # members after this one
+        left = np.repeat(member, later)
+        right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(later) - later, later)
         size, label, block = rows["size"], rows["label"], rows["block"]
-        small, large = np.minimum(size[first], size[first + 1]), np.maximum(size[first], size[first + 1])
-        fine = (100 * small >= percent * large) & (label[first] != label[first + 1])
-        fine &= (rows["x"][first] == rows["y"][first]) | (block[first] != block[first + 1])
-        for n in np.unique(width[first]):
-            at = np.flatnonzero(fine & (width[first] == n))
-            if len(at):
-                left, right = (np.frombuffer(b"".join(data[i + k] for i in first[at]), np.uint64).reshape(len(at), -1) for k in (0, 1))
-                gap = np.bitwise_count(left ^ right).sum(1, dtype=np.int64)
-                fine[at] &= gap <= difference(size[first[at]], size[first[at] + 1], percent)
-        return two, first[fine]
+        fine = 100 * np.minimum(size[left], size[right]) >= percent * np.maximum(size[left], size[right])
+        fine &= (label[left] != label[right]) & ((rows["x"][left] == rows["y"][left]) | (block[left] != block[right]))
+        left, right = left[fine], right[fine]
+        width = np.fromiter(map(len, data), np.int64, len(data)) // 8
+        swap = width[left] > width[right]
+        left, right = np.where(swap, right, left), np.where(swap, left, right)
+        gap = np.zeros(len(left), np.int64)
+        for narrow in np.unique(width[left]):
+            for wide in np.unique(width[right][width[left] == narrow]):
+                pairs = np.flatnonzero((width[left] == narrow) & (width[right] == wide))
+                step = max(1, GAPS // (8 * int(wide)))
+                for at in (pairs[k : k + step] for k in range(0, len(pairs), step)):
+                    a, b = (np.frombuffer(b"".join([data[i] for i in ends[at].tolist()]), np.uint64).reshape(len(at), -1) for ends in (left, right))
+                    while b.shape[1] > narrow:  # bits that fall together in the smaller bitmap
+                        b = b[:, : b.shape[1] // 2] ^ b[:, b.shape[1] // 2 :]
+                    gap[at] = np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
+        near = gap <= difference(size[left], size[right], percent)
+        left, right, gap = left[near], right[near], gap[near]
+        if best and len(left):
+            ends, others, both = np.r_[left, right], np.r_[right, left], np.r_[gap, gap]
+            order = np.lexsort((rows["node"][others], both, ends))
+            first = order[np.r_[True, np.diff(ends[order]) != 0]]
+            left, right = ends[first], others[first]
+        return few, left, right
 
     def scan(batches):
         kept, key = [], None
@@ -232,15 +264,15 @@ def _close(members: DataFrame, percent: int, best: bool) -> DataFrame:
             data = batch.column(batch.schema.get_field_index("data")).to_pylist()
             keys = np.stack([rows["list"], rows["x"], rows["y"]], 1)
             cuts = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, len(keys)]
-            done, first = of_two(rows, data, cuts)
-            if len(first):
-                a, b = rows["node"][first], rows["node"][first + 1]
+            done, left, right = of_few(rows, data, cuts)
+            if len(left):
+                a, b = rows["node"][left], rows["node"][right]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows["list"][first]), pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["list", "a", "b"]
+                    [pa.array(rows["list"][left]), pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["list", "a", "b"]
                 )
-            skip = set(done.tolist())
             rows = {c: v for c, v in rows.items() if c not in ("list", "x", "y")}
-            for run, (s, e) in enumerate(zip(cuts[:-1], cuts[1:])):
+            for run in np.setdiff1d(np.arange(len(cuts) - 1), done):
+                s, e = cuts[run : run + 2]
                 if s == e:
                     continue
                 now = tuple(int(k) for k in keys[s])
@@ -248,10 +280,7 @@ def _close(members: DataFrame, percent: int, best: bool) -> DataFrame:
                     yield found
                 if now != key:
                     kept, key = [], now
-                if run in skip:
-                    kept, key = [], None
-                else:
-                    kept.append({c: v[s:e] for c, v in rows.items()} | {"data": data[s:e]})
+                kept.append({c: v[s:e] for c, v in rows.items()} | {"data": data[s:e]})
         if kept and (found := pairs_of(_run(kept), key)) is not None:
             yield found
 
@@ -284,7 +313,7 @@ def once(found: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def linked(
-    lists: DataFrame, sets_of: Callable[[DataFrame, bool], DataFrame], percent: int, common: Callable[[bytes, bytes], int] = common_features,
+    lists: DataFrame, sets_of: Callable[[DataFrame, bool], DataFrame], percent: int, common: Callable[[list[bytes], list[bytes]], np.ndarray] = common_features,
 ) -> DataFrame:
     """Links ``a, b`` that join all nodes that are linked, directly or over others, as the lists tell; some lead to a component's smallest node instead.
 
