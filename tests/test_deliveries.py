@@ -177,3 +177,89 @@ def test_look_up_tables_are_computed_once_and_follow_changed_files(spark, tmp_pa
     changed.refresh()
     assert [r["_member"] for r in changed.side("memberships", lambda: changed.memberships).collect()] == ["zn"]
     assert frame(spark, RECORD, [{}]).count() == 1
+
+
+def test_a_bundle_is_packed_and_read_by_many_tasks(spark, monkeypatch):
+    """No task makes or parses a whole file: its blocks are deflated where the records are, its text is read in runs of lines."""
+    monkeypatch.setattr(bundles, "PACKED", 2000)
+    monkeypatch.setattr(bundles, "RUN", 3000)
+    names = ["meetwaarde_lokaalid", "parameter_omschrijving", "eigen"]
+    texts = ["a;b", 'say "so"', "two\r\nlines", '";\n"', None, "€ é", "plain"]
+    rows = [(f"B{i % 2}", f"NL80_{i}", texts[i % 7], str(i)) for i in range(2000)] + [(None, "NL80_x", "x", "y")]
+    df = spark.createDataFrame(rows, "bundle string, meetwaarde_lokaalid string, parameter_omschrijving string, eigen string").repartition(5)
+    pieces = bundles.pack_pieces(df, names, approved=True).cache()
+    assert {r["path"] for r in pieces.collect()} == {"B0.zip", "B1.zip", "None.zip"}
+    for path in ("B0.zip", "B1.zip"):
+        found = sorted((r["place"], bytes(r["piece"])) for r in pieces.where(F.col("path") == path).collect())
+        assert len(found) > 8  # around the blocks of five tasks stand the marker, the header, the end and the directory
+        with zipfile.ZipFile(io.BytesIO(b"".join(p for _, p in found))) as z:
+            assert z.testzip() is None and z.namelist() == ["akkoord.txt", "data.csv"]
+    contents = bundles.bundle_contents(pieces)
+    got = bundles.records_of(contents).select(F.col("bundle"), *names[:2], F.col("extras")["eigen"], "row_ord").collect()
+    assert {tuple(r)[:4] for r in got} == {(r[0] or "None", *r[1:]) for r in rows} and len(got) == len(rows)  # a missing bundle is a file named None
+    for bundle in ("B0", "B1"):
+        assert sorted(r["row_ord"] for r in got if r["bundle"] == bundle) == list(range(1000))
+    info = {r["bundle"]: (r["n_rows"], r["approved"], r["error"], len(r["header"])) for r in bundles.bundle_info(pieces).collect()}
+    assert info == {"B0": (1000, True, None, 3), "B1": (1000, True, None, 3), "None": (1, True, None, 3)}
+    runs = bundles._files(pieces).mapInArrow(bundles._look("cp1252", True), bundles.RUNS).groupBy("path").count().collect()
+    assert {r["path"]: r["count"] > 8 for r in runs} == {"B0.zip": True, "B1.zip": True, "None.zip": False}, runs
+
+
+def test_runs_of_lines_hold_what_the_whole_file_holds(monkeypatch):
+    """Texts with quotes, blank lines and line ends of all kinds: cut, or left to the reader, never cut wrongly."""
+    import random
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(bundles, "RUN", 40)
+    read, cut, parse = bundles._make_reader("cp1252"), bundles._make_cutter("cp1252"), bundles._parsing()
+    rng, seen = random.Random(3), {True: 0, False: 0}
+    cells = ["a", "", "NA", '"q;r"', '"two\nlines"', '"he said ""so"""', 'x"y', '"a"b', '"end\r\n"', "\xe9", "long " * 9]
+    for case in range(400):
+        some = rng.sample(cells, 4) if case % 2 else [c for c in cells if c not in ('x"y', '"a"b')]
+        lines = [";".join(rng.choice(some) for _ in range(3 if case % 5 else rng.choice((2, 3, 3, 3)))) for _ in range(rng.randrange(1, 30))]
+        end = rng.choice(["\n", "\r\n", "\r"])
+        text = ("one;two;three" + end + end.join(line + (end if rng.random() < 0.1 else "") for line in lines)).encode("cp1252")
+        whole = pa.py_buffer(text)
+        _, header, n, error, parts = read("x.csv", whole)
+        runs = []
+        found = cut("x.csv", whole, runs.append)
+        seen[found is not None] += 1
+        if found is None:
+            continue
+        assert (found[1], sum(found[2]), error) == (header, n, None)
+        rows = [r for run, k in zip(runs, found[2]) if k for r in [tuple(x.values()) for x in parse(run, header).to_pylist()][-k:]]
+        assert rows == [tuple(x.values()) for part in parts() for x in part.to_pylist()]
+    assert seen[True] > 50 and seen[False] > 50
+
+
+def test_a_large_line_and_pieces_that_are_no_archive(spark, monkeypatch):
+    monkeypatch.setattr(bundles, "RUN", 100)
+    monkeypatch.setattr(bundles, "RUN_MOST", 300)
+    text = packed({"alfanumeriekewaarde": "x" * 5000}, {"meetwaarde_lokaalid": "NL80_2"})
+    cut = [("/in/B1.zip", i, bytearray(text[at : at + 7])) for i, at in enumerate(range(0, len(text), 7))]
+    files = spark.createDataFrame([*cut, ("/in/B2.zip", 0, bytearray(b"no archive"))], "path string, place bigint, piece binary").repartition(4)
+    rows = bundles.bundle_records(files).orderBy("row_ord").collect()
+    assert [(r["bundle"], r["row_ord"], len(r["alfanumeriekewaarde"] or "")) for r in rows] == [("B1", 0, 5000), ("B1", 1, 0)]
+    assert {r["bundle"]: r["error"] for r in bundles.bundle_info(files).collect()} == {"B1": None, "B2": "File is not a zip file"}
+
+
+def test_failures_of_deliveries_are_exploded_in_generated_code(spark):
+    """Conditions are made once, in a projection; exploding takes a plain column."""
+    files = spark.createDataFrame([("/in/B1.zip", bytearray(packed()))], "path string, content binary")
+    refs = references(spark, [{"locatiecode": "L1"}], points=(("L1", 3.0, 52.0), ("L1", 3.1, 52.0)))
+    found = row_checks.row_failures(bundles.bundle_records(files), refs, bundles=bundles.bundle_info(files))
+    plan = found._sc._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "simple")
+    assert "Generate explode(_hits" in plan and "Filter (size(" not in plan
+
+
+def test_count_lines_of_a_batch_are_made_once(spark, tmp_path, monkeypatch):
+    from tidegate.operators import counts
+
+    made, whole = [], counts.count_lines
+    monkeypatch.setattr(counts, "count_lines", lambda *a, **b: made.append(1) or whole(*a, **b))
+    root, refs = str(tmp_path / "out"), references(spark, [{"locatiecode": "L1", "aantal": 5}])
+    ingest.process_files(spark.createDataFrame([("/in/B1+a.zip", bytearray(packed()))], "path string, content binary"), refs, root, 0)
+    assert made == [1]
+    assert [(r["bundle"], r["aantaldat"], r["aantalval"]) for r in snapshots.read(spark, root, "counts").collect()] == [("B1+a", 1, 5)]
+    assert snapshots.read(spark, root, "lines").count() == 1

@@ -45,7 +45,7 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
 
 
 def write_files(files: DataFrame, folder: str) -> None:
-    """Put ``(path, content)`` into a folder as files, one after the other, in pieces: no file is whole on the driver."""
+    """Put ``(path, content)`` or ``(path, place, piece)`` into a folder as files, one after the other, in pieces: no file is whole on the driver."""
     spark, size = files.sparkSession, PIECE
 
     def cut(batches: Iterator) -> Iterator:
@@ -57,8 +57,9 @@ def write_files(files: DataFrame, folder: str) -> None:
                     columns = [pa.array([path.as_py()]), pa.array([place]), pa.array([piece], pa.binary())]
                     yield pa.RecordBatch.from_arrays(columns, ["path", "place", "piece"])
 
-    total = files.agg(F.sum(F.octet_length("content"))).first()[0] or 0
-    pieces = files.select("path", "content").mapInArrow(cut, "path string, place long, piece binary")
+    held = "piece" if "piece" in files.columns else "content"
+    total = files.agg(F.sum(F.octet_length(held))).first()[0] or 0
+    pieces = files if held == "piece" else files.select("path", "content").mapInArrow(cut, "path string, place long, piece binary")
     dealt = pieces.repartitionByRange(total // HELD + 1, "path", "place").sortWithinPartitions("path", "place")
     for path, rows in groupby(dealt.toLocalIterator(), key=lambda row: row["path"]):
         target = f"{folder}/{path}"

@@ -19,10 +19,13 @@ def current(spark: SparkSession, root: str) -> KeyedTable:
     return KeyedTable(spark, f"{root.rstrip('/')}/current", "bundle")
 
 
-def stage(df: DataFrame, root: str, table: str, batch: str) -> DataFrame:
-    """Write one table of a batch, whose rows carry ``bundle``; nobody sees it before the batch is committed."""
+def stage(df: DataFrame, root: str, table: str, batch: str, together: bool = False) -> DataFrame:
+    """Write one table of a batch, whose rows carry ``bundle``; nobody sees it before the batch is committed.
+
+    ``together`` tells that the rows of a bundle follow each other in a partition as they come, so that none are sorted.
+    """
     path = f"{root.rstrip('/')}/{table}/batch={batch}"
-    df.sortWithinPartitions("bundle").write.mode("overwrite").parquet(path)
+    (df if together else df.sortWithinPartitions("bundle")).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

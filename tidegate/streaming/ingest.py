@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegate.operators import publish, report
+from tidegate.operators import counts, publish, report
 from tidegate.operators.references import References
 from tidegate.plans.validate import validate
 from tidegate.sources import bundles as deliveries
 from tidegate.sources import sinks, snapshots
 
-RESULTS = ("contents", "bundles", "failures", "counts", "summaries", "geopackages", "updates")
+RESULTS = ("contents", "bundles", "lines", "failures", "counts", "summaries", "geopackages", "updates")
 
 
 def landing_stream(spark: SparkSession, path: str, pattern: str = "*.zip", files_a_batch: int | None = None) -> DataFrame:
@@ -31,19 +31,20 @@ def landing_stream(spark: SparkSession, path: str, pattern: str = "*.zip", files
 def stage_files(files: DataFrame, refs: References, root: str, batch: str) -> DataFrame:
     """Validate delivered files and write every result of the batch; returns the delivered bundles, readable or not.
 
-    Nothing of it is seen before the batch is committed. The decoded records and the failures are written first
-    and read back, so that nothing is decoded or checked twice and a lost executor costs one stage, not the chain.
+    Nothing of it is seen before the batch is committed. The decoded records, the count lines and the failures are written
+    first and read back, so that nothing is decoded, counted or checked twice and a lost executor costs one stage, not the chain.
     """
-    put = lambda df, table: snapshots.stage(df, root, table, batch)
-    contents = put(deliveries.bundle_contents(files), "contents")
+    put = lambda df, table, **how: snapshots.stage(df, root, table, batch, **how)
+    contents = put(deliveries.bundle_contents(files), "contents", together=True)
     records, every = deliveries.records_of(contents), put(deliveries.info_of(contents), "bundles")
     info = every.where(F.col("error").isNull())
-    result = validate(records, refs, bundles=info, approvals=info)
-    found = put(result.failures, "failures")
+    lines = put(counts.count_lines(records, refs, info), "lines")
+    result = validate(records, refs, bundles=info, approvals=info, lines=lines)
+    found = put(result.failures, "failures", together=True)
     put(result.counts, "counts")
     summary = put(report.bundle_summary(info, found, info), "summaries")
     gated = publish.with_geometry(publish.gate(records, refs, summary))
-    put(publish.export_columns(publish.expand_criteria(gated, refs, info), keep=["bundle"]), "geopackages")
+    put(publish.export_columns(publish.expand_criteria(gated, refs, info), keep=["bundle"]), "geopackages", together=True)
     updates = publish.status_rows(refs, summary, F.current_timestamp())
     put(updates.withColumn("bundle", F.col("databundelcode")), "updates")
     return every.select("bundle")
