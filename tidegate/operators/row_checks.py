@@ -309,16 +309,22 @@ def row_failures(
     numbers = F.array(*[F.when(c.when, F.struct(F.lit(number).alias("check"), F.lit(-1).alias("place"))) for number, c in enumerate(rows)])
     several = lambda number, found: F.transform(F.sequence(F.lit(0), F.size(found) - 1), lambda i: F.struct(F.lit(number).alias("check"), i.alias("place")))
     extra = "extras" in df.columns and "mandatory_columns" in wanted
+    # what needs a lambda function stands in columns of its own, so that the rest, and the exploding, stay in generated code
+    more = []
     if extra:
         # in a column of its own first: a lambda function can't hold a subquery
         work = work.withColumn("_others", refs.mandatory_others([c for c in columns if c not in OWN]))
         work = work.withColumn("_absent", _absent()).drop("_others")
         rows.append(Check("mandatory_columns", config.MANDATORY, "verplichte kolom is leeg", F.lit(False), F.lit("")))
-        numbers = F.concat(numbers, F.when(F.size("_absent") > 0, several(len(rows) - 1, F.col("_absent"))).otherwise(F.array().cast(HITS)))
+        more.append(F.when(F.size("_absent") > 0, several(len(rows) - 1, F.col("_absent"))).otherwise(F.array().cast(HITS)))
     if far_more:
         distance = next(i for i, c in enumerate(rows) if c.name == "location_distance")
-        numbers = F.concat(numbers, F.when(F.size("_far_more") > 0, several(distance, F.col("_far_more"))).otherwise(F.array().cast(HITS)))
-    hits = work.withColumn("_hit", F.explode(numbers)).where(F.col("_hit").isNotNull())
+        more.append(F.when(F.size("_far_more") > 0, several(distance, F.col("_far_more"))).otherwise(F.array().cast(HITS)))
+    if more:
+        work = work.withColumn("_hits", F.concat(*more)).withColumn("_hits", F.concat(numbers, F.col("_hits")))
+        numbers = F.col("_hits")
+    # the outer kind, as for the other Spark makes the array a second time to see whether it is empty
+    hits = work.withColumn("_hit", F.explode_outer(numbers)).where(F.col("_hit").isNotNull())
 
     which, place, infos = F.col("_hit.check"), F.col("_hit.place"), F
     if far_more:
